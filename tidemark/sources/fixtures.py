@@ -1,10 +1,9 @@
 """Adapters from the driver's tables to the engine's input shapes.
 
 Every value is an integer sum divided once, so Spark and DuckDB see identical
-doubles. Each source table is scanned once: lineitem is aggregated to
-(entity, day) and rolled up to months from that aggregate; orders to
-(entity, month) and rolled up to quarters. Sums of integers are exact in any
-order, so the roll-ups are exact too.
+doubles. Each source table is scanned and shuffled once: every row is tagged
+with all the time grains it feeds (day and month for lineitem, month and
+quarter for orders) and one aggregate computes all grains.
 """
 
 from __future__ import annotations
@@ -33,9 +32,34 @@ def _cents(c: Column) -> Column:
     return F.round(c * F.lit(100)).cast("bigint")
 
 
-def _long(df: DataFrame, keys, series_id: str, date_col: str, value: Column) -> DataFrame:
-    return df.select(*keys, F.lit(series_id).alias("series_id"),
-                     F.col(date_col).alias("observation_date"), value.alias("value"))
+def _grains(df: DataFrame, keys, grains: dict, sums: dict) -> DataFrame:
+    """One aggregate over several time grains at once.
+
+    Each input row is tagged with every grain by a generator (like Spark's
+    Expand for grouping sets), so the table is scanned once and shuffled once;
+    the partial aggregate collapses the copies before the shuffle.
+    """
+    tags = F.array(*[F.struct(F.lit(g).alias("grain"), c.alias("period")) for g, c in grains.items()])
+    x = df.select(*keys, F.inline(tags), *[v.alias(k) for k, v in sums.items()])
+    return (x.groupBy(*keys, "grain", "period")
+             .agg(F.count(F.lit(1)).alias("n"), *[F.sum(k).alias(k) for k in sums]))
+
+
+def _to_long(agg: DataFrame, keys, rows: dict) -> DataFrame:
+    """Aggregated grains to long (series_id, observation_date, value) rows.
+
+    ``rows`` maps grain -> list of (series_id, value, keep) for that grain.
+    """
+    grain = F.col("grain")
+    arr = None
+    for g, items in rows.items():
+        structs = F.array(*[F.when(keep, F.struct(F.lit(sid).alias("series_id"),
+                                                  F.col("period").alias("observation_date"),
+                                                  val.alias("value")))
+                            for sid, val, keep in items])
+        arr = F.when(grain == g, structs) if arr is None else arr.when(grain == g, structs)
+    return (agg.select(*keys, F.inline(arr))
+               .filter(F.col("series_id").isNotNull()))
 
 
 def econ_observations(spark: SparkSession, sf_dir: str, entity: str | None = None) -> DataFrame:
@@ -55,42 +79,33 @@ def econ_observations(spark: SparkSession, sf_dir: str, entity: str | None = Non
     elif entity is not None:
         raise ValueError(f"unknown entity {entity!r}")
 
-    daily = (li.groupBy(*keys, F.to_date("l_shipdate").alias("d"))
-               .agg(F.count(F.lit(1)).alias("n"),
-                    F.sum(_cents(F.col("l_extendedprice"))).alias("s_price"),
-                    F.sum(_cents(F.col("l_discount"))).alias("s_disc"),
-                    F.sum(F.col("l_quantity").cast("bigint")).alias("s_qty"),
-                    F.sum(_cents(F.col("l_tax") - F.col("l_discount"))).alias("s_spread")))
-    monthly = (daily.groupBy(*keys, month_of("d").alias("m"))
-                    .agg(F.sum("n").alias("n"), F.sum("s_price").alias("s_price"),
-                         F.sum("s_disc").alias("s_disc"), F.sum("s_qty").alias("s_qty"))
-                    .filter(F.col("m") != F.to_date(F.lit(DROPPED_MONTH))))
+    day = F.to_date("l_shipdate")
+    li_agg = _grains(li, keys, {"d": day, "m": month_of(day)}, {
+        "s_price": _cents(F.col("l_extendedprice")),
+        "s_disc": _cents(F.col("l_discount")),
+        "s_qty": F.col("l_quantity").cast("bigint"),
+        "s_spread": _cents(F.col("l_tax") - F.col("l_discount")),
+    })
     n = F.col("n").cast("double")
-    parts = [
-        _long(monthly, keys, "CPIAUCSL", "m", F.col("s_price").cast("double") / n / F.lit(100)),
-        _long(monthly, keys, "FEDFUNDS", "m", F.col("s_disc").cast("double") / n),
-        _long(monthly.filter(F.month("m") != 5), keys, "UMCSENT", "m", F.col("s_qty").cast("double") / n),
-        _long(daily, keys, "T10Y2Y", "d", F.col("s_spread").cast("double") / n),
-    ]
+    kept = F.col("period") != F.to_date(F.lit(DROPPED_MONTH))
+    out = _to_long(li_agg, keys, {
+        "m": [("CPIAUCSL", F.col("s_price").cast("double") / n / F.lit(100), kept),
+              ("FEDFUNDS", F.col("s_disc").cast("double") / n, kept),
+              ("UMCSENT", F.col("s_qty").cast("double") / n, kept & (F.month("period") != 5))],
+        "d": [("T10Y2Y", F.col("s_spread").cast("double") / n, F.lit(True))],
+    })
     if with_orders:
         o = table(spark, sf_dir, "orders")
         if entity:
             o = o.withColumn(ENTITY, F.col("o_orderpriority"))
-        om = (o.groupBy(*keys, month_of("o_orderdate").alias("m"))
-               .agg(F.count(F.lit(1)).alias("n"),
-                    F.sum(F.when(F.col("o_orderstatus") == "F", F.lit(10000)).otherwise(F.lit(0))
-                          .cast("bigint")).alias("s_f"),
-                    F.sum(_cents(F.col("o_totalprice"))).alias("s_price")))
-        quarterly = (om.groupBy(*keys, F.trunc("m", "quarter").alias("q"))
-                       .agg(F.sum("s_price").alias("s_price")))
-        parts += [
-            _long(om.filter(F.col("m") != F.to_date(F.lit(DROPPED_MONTH))), keys, "UNRATE", "m",
-                  F.col("s_f").cast("double") / F.col("n").cast("double") / F.lit(100)),
-            _long(quarterly, keys, "GDP", "q", F.col("s_price").cast("double") / F.lit(1e8)),
-        ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        o_agg = _grains(o, keys, {"m": month_of("o_orderdate"), "q": F.trunc("o_orderdate", "quarter")}, {
+            "s_f": F.when(F.col("o_orderstatus") == "F", F.lit(10000)).otherwise(F.lit(0)).cast("bigint"),
+            "s_price": _cents(F.col("o_totalprice")),
+        })
+        out = out.unionByName(_to_long(o_agg, keys, {
+            "m": [("UNRATE", F.col("s_f").cast("double") / n / F.lit(100), kept)],
+            "q": [("GDP", F.col("s_price").cast("double") / F.lit(1e8), F.lit(True))],
+        }))
     return out
 
 
