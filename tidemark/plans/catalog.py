@@ -1,23 +1,40 @@
-"""Registered queries: (spark, sf_dir) -> DataFrame, plus their DuckDB oracle SQL."""
+"""Registered queries: (spark, sf_dir) -> DataFrame, plus their DuckDB oracle SQL.
+
+Every query reads the driver's tables through the fixture adapters in
+``tidemark.sources.fixtures``, so its work grows with the tables.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import align, marts, metrics, signals
-from ..schemas import Thresholds
+from ..functions.calendar import spine_for
+from ..operators import align, dedup, load, marts, metrics, quality, serving, signals
+from ..schemas import DEFAULT_SERIES, MONTH, RISK_LEVELS, WIDE_COLUMNS, Thresholds
 from ..sources import fixtures as fx
 from . import oracle as O
 
 FIX_T = Thresholds(**fx.FIXTURE_THRESHOLDS)
 PANEL = ["entity"]
+RUN_ID = "run-fixture"
+NOW = "2024-02-01 00:00:00"          # load time stamped by the fixture upsert / load
+FRESHNESS_NOW = "2024-02-02 00:00:00"
+RANGE_FROM = "1998-01-01"            # dashboard date-range filter of the fixture
+META_TARGET_BEFORE = "1999-01-01"
+META_BATCH_FROM = "2001-01-01"
+
+
+# ---------------------------------------------------------------- builders
+
+def _obs(spark, sf_dir, entity=None):
+    return fx.econ_observations(spark, sf_dir, entity), (PANEL if entity else [])
 
 
 def _wide(spark, sf_dir, entity=None):
-    keys = PANEL if entity else []
-    obs = fx.econ_observations(spark, sf_dir, entity)
+    obs, keys = _obs(spark, sf_dir, entity)
     return align.monthly_wide(obs, start=fx.SPINE_START, as_of=fx.AS_OF, keys=keys), keys
 
 
@@ -26,51 +43,308 @@ def _metrics(spark, sf_dir, entity=None):
     return metrics.derived_metrics(wide, keys), keys
 
 
-def monthly_wide(spark, sf_dir):
-    return _wide(spark, sf_dir)[0]
+def _dashboard(spark, sf_dir, entity=None):
+    m, keys = _metrics(spark, sf_dir, entity)
+    return marts.economic_dashboard(m, FIX_T, keys), keys
+
+
+def _panel(fn):
+    def run(spark, sf_dir):
+        return fn(spark, sf_dir, "priority")
+    run.__name__ = f"panel_{fn.__name__}"
+    return run
+
+
+# ---------------------------------------------------------------- staging / load
+
+def dedup_latest_observation(spark, sf_dir):
+    raw = fx.revised_observations(spark, sf_dir)
+    return dedup.stage_observations(raw, tie_break=[F.col("event_id").desc()])
+
+
+def dedup_latest_metadata(spark, sf_dir):
+    raw = fx.metadata_loads(spark, sf_dir)
+    return dedup.stage_metadata(raw, tie_break=[F.col("o_orderkey").desc()])
+
+
+def clean_missing_marker(spark, sf_dir):
+    from ..functions.columns import is_bad_value, parse_value
+
+    land = fx.landing_text(spark, sf_dir)
+    return land.select("event_id", "series_id", "observation_date", "raw_value",
+                       parse_value("raw_value").alias("value"), is_bad_value("raw_value").alias("is_bad"))
+
+
+def _dim_with_events(spark, sf_dir):
+    events = fx.table(spark, sf_dir, "events").select(F.col("event_type").alias("series_id"))
+    return load.series_dim(spark).select("series_id").unionByName(events).distinct()
+
+
+def series_watermark(spark, sf_dir):
+    raw = fx.revised_observations(spark, sf_dir)
+    return load.watermarks(raw, _dim_with_events(spark, sf_dir))
+
+
+def upsert_result(spark, sf_dir):
+    target, batch = fx.revision_split(spark, sf_dir)
+    return load.upsert(target, batch, now=NOW)
+
+
+def replace_by_key_result(spark, sf_dir):
+    raw = fx.metadata_loads(spark, sf_dir)
+    target = raw.filter(F.col("ingested_at") < F.lit(META_TARGET_BEFORE).cast("timestamp_ntz")).drop("o_orderkey")
+    fresh = raw.filter((F.col("ingested_at") >= F.lit(META_BATCH_FROM).cast("timestamp_ntz"))
+                       & (F.col("frequency") == "P"))
+    batch = dedup.latest_per_key(fresh, ["series_id"],
+                                 [F.col("ingested_at").desc(), F.col("o_orderkey").desc()]).drop("o_orderkey")
+    return load.replace_by_key(target, batch, ["series_id"])
+
+
+def _run(spark, sf_dir):
+    land = fx.landing_text(spark, sf_dir).drop("event_id")
+    return load.run_load(land, _dim_with_events(spark, sf_dir), now=NOW, run_id=RUN_ID)
+
+
+def load_batch(spark, sf_dir):
+    return _run(spark, sf_dir)[0]
+
+
+def malformed_split(spark, sf_dir):
+    """The quarantined side: landed rows of series that failed to load."""
+    land = fx.landing_text(spark, sf_dir)
+    log = _run(spark, sf_dir)[1]
+    failed = log.filter(F.col("status") == "FAILED").select("series_id")
+    return land.join(failed, "series_id", "left_semi")
+
+
+def load_log(spark, sf_dir):
+    return _run(spark, sf_dir)[1]
+
+
+def run_summary(spark, sf_dir):
+    return load.run_summary(_run(spark, sf_dir)[1])
+
+
+def raw_row_counts(spark, sf_dir):
+    parts = [("OBSERVATIONS", fx.revised_observations(spark, sf_dir)),
+             ("SERIES_METADATA", fx.metadata_loads(spark, sf_dir)),
+             ("INGESTION_LOG", fx.run_log(spark, sf_dir))]
+    out = None
+    for name, df in parts:
+        c = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+# ---------------------------------------------------------------- alignment
+
+def month_spine(spark, sf_dir):
+    """Per-entity month calendar over each entity's own order-date range."""
+    o = fx.table(spark, sf_dir, "orders")
+    bounds = o.groupBy(F.col("o_orderpriority").alias("entity")).agg(
+        F.min(F.trunc("o_orderdate", "MM")).alias("lo"), F.max(F.trunc("o_orderdate", "MM")).alias("hi"))
+    return bounds.select("entity", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias(MONTH))
+
+
+def monthly_pivot(spark, sf_dir, entity=None):
+    obs, keys = _obs(spark, sf_dir, entity)
+    return align.pivot_series(obs, DEFAULT_SERIES, keys)
+
+
+def gdp_forward_fill(spark, sf_dir, entity=None):
+    obs, keys = _obs(spark, sf_dir, entity)
+    return align.forward_filled(obs, "GDP", "gdp", fx.SPINE_START, fx.AS_OF, keys)
+
+
+def month_end_daily(spark, sf_dir, entity=None):
+    obs, keys = _obs(spark, sf_dir, entity)
+    return align.month_end_values(obs, "T10Y2Y", "treasury_spread_10y2y", keys)
+
+
+def monthly_wide(spark, sf_dir, entity=None):
+    return _wide(spark, sf_dir, entity)[0]
+
+
+# ---------------------------------------------------------------- metrics / signals / marts
+
+def mom_yoy_changes(spark, sf_dir, entity=None):
+    wide, keys = _wide(spark, sf_dir, entity)
+    return metrics.changes(wide, keys)
+
+
+def pct_changes(spark, sf_dir, entity=None):
+    wide, keys = _wide(spark, sf_dir, entity)
+    return metrics.pct_changes(wide, keys)
+
+
+def rolling_avgs(spark, sf_dir, entity=None):
+    wide, keys = _wide(spark, sf_dir, entity)
+    return metrics.rolling_avgs(wide, keys)
+
+
+def rolling_low(spark, sf_dir, entity=None):
+    wide, keys = _wide(spark, sf_dir, entity)
+    return metrics.rolling_low(wide, keys)
 
 
-def derived_metrics(spark, sf_dir):
-    return _metrics(spark, sf_dir)[0]
+def derived_metrics(spark, sf_dir, entity=None):
+    return _metrics(spark, sf_dir, entity)[0]
 
 
-def recession_signals(spark, sf_dir):
-    m, keys = _metrics(spark, sf_dir)
+def recession_signals(spark, sf_dir, entity=None):
+    m, keys = _metrics(spark, sf_dir, entity)
     return signals.recession_signals(m, FIX_T, keys)
 
 
-def economic_dashboard(spark, sf_dir, entity=None):
+def signal_flags(spark, sf_dir, entity=None):
+    m, keys = _metrics(spark, sf_dir, entity)
+    return signals.with_signals(m, FIX_T).select(*keys, MONTH, "sahm_rule_value", *signals.SIGNAL_FLAGS)
+
+
+def signal_count_level(spark, sf_dir, entity=None):
     m, keys = _metrics(spark, sf_dir, entity)
-    return marts.economic_dashboard(m, FIX_T, keys)
+    return signals.with_signals(m, FIX_T).select(*keys, MONTH, "recession_signal_count", "recession_risk_level")
 
 
-def panel_economic_dashboard(spark, sf_dir):
-    return economic_dashboard(spark, sf_dir, "priority")
+def economic_dashboard(spark, sf_dir, entity=None):
+    return _dashboard(spark, sf_dir, entity)[0]
 
 
 def supplier_economic_dashboard(spark, sf_dir):
     return economic_dashboard(spark, sf_dir, "supplier")
 
 
+def indicator_summary(spark, sf_dir, entity=None):
+    d, keys = _dashboard(spark, sf_dir, entity)
+    return marts.indicator_summary(d, keys)
+
+
+# ---------------------------------------------------------------- data quality
+
+def dq_unique(spark, sf_dir):
+    return quality.unique(fx.revised_observations(spark, sf_dir), ["series_id", "observation_date"])
+
+
+def dq_not_null(spark, sf_dir):
+    raw = fx.revised_observations(spark, sf_dir)
+    return quality.not_null(raw, "value").select("series_id", "observation_date", "source_url")
+
+
+def dq_accepted_values(spark, sf_dir):
+    staged = dedup_latest_observation(spark, sf_dir)
+    bad = quality.accepted_values(staged, "series_id", [s.series_id for s in DEFAULT_SERIES])
+    return bad.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def dq_range(spark, sf_dir):
+    sig = recession_signals(spark, sf_dir)
+    return quality.in_range(sig, "sahm_rule_value", 0, 10).select(MONTH, "sahm_rule_value")
+
+
+def dq_row_reconcile(spark, sf_dir):
+    obs, _ = _obs(spark, sf_dir)
+    wide = align.monthly_wide(obs, start=fx.SPINE_START, as_of=fx.AS_OF)
+    return quality.staging_reconcile(obs, wide)
+
+
+def dq_freshness(spark, sf_dir):
+    return quality.freshness(fx.revised_observations(spark, sf_dir), "ingested_at", FRESHNESS_NOW)
+
+
+def dq_report(spark, sf_dir):
+    d, _ = _dashboard(spark, sf_dir)
+    return quality.check_report(d, [
+        ("month_not_null", "not_null", MONTH),
+        ("risk_level_accepted", "accepted_values", "recession_risk_level", RISK_LEVELS),
+        ("sahm_in_range", "in_range", "sahm_rule_value", 0, 10),
+        ("unemployment_not_null", "not_null", "unemployment_rate"),
+    ])
+
+
+# ---------------------------------------------------------------- serving
+
+def observation_counts(spark, sf_dir, entity=None):
+    d, keys = _dashboard(spark, sf_dir, entity)
+    return serving.observation_counts(d, keys=keys)
+
+
+def completeness_24m(spark, sf_dir, entity=None):
+    d, keys = _dashboard(spark, sf_dir, entity)
+    return serving.completeness(d, keys=keys)
+
+
+def recent_runs_top20(spark, sf_dir):
+    return serving.recent_runs(fx.run_log(spark, sf_dir), 20, tie_break=["event_id"])
+
+
+def kpi_table(spark, sf_dir, entity=None):
+    s = indicator_summary(spark, sf_dir, entity)
+    return serving.kpi_table(s, PANEL if entity else [])
+
+
+def current_risk(spark, sf_dir, entity=None):
+    d, keys = _dashboard(spark, sf_dir, entity)
+    return serving.current_risk(d, keys)
+
+
+def signal_status(spark, sf_dir, entity=None):
+    d, keys = _dashboard(spark, sf_dir, entity)
+    return serving.signal_status(d, keys)
+
+
+OVERVIEW_COLUMNS = ("unemployment_rate", "inflation_rate_yoy", "fed_funds_rate", "consumer_sentiment")
+
+
+def range_series(spark, sf_dir):
+    d, _ = _dashboard(spark, sf_dir)
+    return serving.range_series(d, OVERVIEW_COLUMNS, lo=RANGE_FROM)
+
+
+def sahm_history(spark, sf_dir):
+    d, _ = _dashboard(spark, sf_dir)
+    return serving.range_series(d, ["sahm_rule_value"], lo=RANGE_FROM, drop_null=["sahm_rule_value"])
+
+
+def gdp_history(spark, sf_dir):
+    d, _ = _dashboard(spark, sf_dir)
+    return serving.range_series(d, ["gdp", "gdp_qoq_growth_rate"], lo=RANGE_FROM,
+                                drop_null=["gdp_qoq_growth_rate"])
+
+
+def month_bounds(spark, sf_dir, entity=None):
+    d, keys = _dashboard(spark, sf_dir, entity)
+    return serving.month_bounds(d, keys)
+
+
+# ---------------------------------------------------------------- registry
+
+_PANEL_VARIANTS = (monthly_pivot, gdp_forward_fill, month_end_daily, monthly_wide, mom_yoy_changes,
+                   pct_changes, rolling_avgs, rolling_low, derived_metrics, recession_signals,
+                   signal_flags, signal_count_level, economic_dashboard, indicator_summary,
+                   observation_counts, completeness_24m, kpi_table, current_risk, signal_status,
+                   month_bounds)
+
+_PLAIN = (dedup_latest_observation, dedup_latest_metadata, clean_missing_marker, series_watermark,
+          upsert_result, replace_by_key_result, load_batch, malformed_split, load_log, run_summary,
+          raw_row_counts, month_spine, *_PANEL_VARIANTS, supplier_economic_dashboard,
+          dq_unique, dq_not_null, dq_accepted_values, dq_range, dq_row_reconcile, dq_freshness,
+          dq_report, recent_runs_top20, range_series, sahm_history, gdp_history)
+
+
+def _plain(fn):
+    def run(spark, sf_dir):
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "monthly_wide": monthly_wide,
-        "derived_metrics": derived_metrics,
-        "recession_signals": recession_signals,
-        "economic_dashboard": economic_dashboard,
-        "panel_economic_dashboard": panel_economic_dashboard,
-        "supplier_economic_dashboard": supplier_economic_dashboard,
-    }
+    out = {fn.__name__: _plain(fn) for fn in _PLAIN}
+    out.update({f"panel_{fn.__name__}": _panel(fn) for fn in _PANEL_VARIANTS})
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    sig_cols = ", ".join(("observation_month",) + signals.SIGNAL_MODEL_COLUMNS)
-    return {
-        "monthly_wide": O.wide_ctes() + "\nSELECT * FROM wide",
-        "derived_metrics": O.wide_ctes() + O.metrics_cte() + "\nSELECT * FROM metrics",
-        "recession_signals": O.wide_ctes() + O.metrics_cte() + O.signals_cte()
-        + f"\nSELECT {sig_cols} FROM signals",
-        "economic_dashboard": O.dashboard_sql(),
-        "panel_economic_dashboard": O.dashboard_sql("priority"),
-        "supplier_economic_dashboard": O.dashboard_sql("supplier"),
-    }
+    from .oracle_catalog import ORACLE
+
+    return dict(ORACLE())
