@@ -70,13 +70,19 @@ def layer_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFr
     return spark.read.parquet(layer_path(root, layer, name))
 
 
+class AuditFailed(RuntimeError):
+    """A written table failed its audit and was not published."""
+
+
 def publish(df: DataFrame, root: str, layer: str, name: str, as_: str = "table",
-            partition_by: list[str] | None = None, sort_within: list[str] | None = None) -> DataFrame:
+            partition_by: list[str] | None = None, sort_within: list[str] | None = None,
+            audit=None) -> DataFrame:
     """Materialise a layer: a temp view (recomputed on read) or a written table.
 
     Tables are written to a fresh versioned folder and then become the
-    current version by a pointer file, so readers never see a half-written
-    table and the writer never reads its own output.
+    current version by a pointer file (write, audit, publish): readers never
+    see a half-written or failing table, and the writer never reads its own
+    output. ``audit(written_df)`` returns a list of failure messages.
     """
     spark = df.sparkSession
     if as_ == "view":
@@ -89,8 +95,13 @@ def publish(df: DataFrame, root: str, layer: str, name: str, as_: str = "table",
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(version)
+    written = spark.read.parquet(version)
+    if audit is not None:
+        failures = audit(written)
+        if failures:
+            raise AuditFailed(f"{layer}/{name} not published: " + "; ".join(failures))
     _write_pointer(spark, base, version)
-    return spark.read.parquet(version)
+    return written
 
 
 def _write_pointer(spark: SparkSession, base: str, version: str) -> None:
@@ -133,11 +144,11 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame,
     staging folder, then swapped in with dynamic partition overwrite, so the
     job never reads its own output. Returns the number of rows merged.
     """
-    from ..operators.load import _ts, merged_count, upsert
+    from ..operators.load import _ts, dedup_batch, merged_count, upsert
 
     n = merged_count(batch, keys).first()[0]
     if not exists(spark, path):
-        first = batch.withColumn("ingested_at", _ts(now)) if "ingested_at" not in batch.columns else batch
+        first = dedup_batch(batch, keys).withColumn("ingested_at", _ts(now))
         first.write.partitionBy(partition_by).parquet(path)
         return n
     target = spark.read.parquet(path)
