@@ -32,7 +32,8 @@ class RunConfig:
     landing_meta: str | None = None             # folder of metadata payloads
     specs: Sequence[SeriesSpec] = DEFAULT_SERIES
     thresholds: Thresholds = field(default_factory=Thresholds)
-    start: str = DEFAULT_START_DATE
+    start: str = DEFAULT_START_DATE             # first month of the calendar spine
+    load_start: str = DEFAULT_START_DATE        # first observation date fetched on a full load
     as_of: str | None = None
     now: str | None = None
     incremental: bool = False
@@ -55,7 +56,7 @@ def load_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     rows, malformed = landing_src.read_observation_landing(spark, cfg.landing_obs)
     target = spark.read.parquet(obs_path) if tables.exists(spark, obs_path) else None
     batch, log = load.run_load(rows, dim, target, cfg.incremental, cfg.now, cfg.run_id, malformed,
-                               cfg.start)
+                               cfg.load_start)
     log = log.checkpoint(eager=True)   # the log decides what is loaded; compute it once
     tables.upsert_table(spark, obs_path, batch, now=cfg.now)
     if cfg.landing_meta:

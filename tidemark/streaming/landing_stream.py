@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import load
-from ..schemas import DEFAULT_SERIES, OBSERVATION_PAYLOAD
+from ..schemas import DEFAULT_SERIES, DEFAULT_START_DATE, OBSERVATION_PAYLOAD
 from ..sources import tables
 
 
@@ -31,7 +31,7 @@ def observation_stream(spark: SparkSession, landing_dir: str, max_files_per_trig
     return df.select(series.alias("series_id"), "observations", "error_code", "error_message")
 
 
-def _micro_batch(root: str, specs, now):
+def _micro_batch(root: str, specs, now, load_start):
     def handle(payloads: DataFrame, epoch_id: int) -> None:
         spark = payloads.sparkSession
         bad = payloads.filter(F.col("observations").isNull()).select("series_id")
@@ -41,7 +41,7 @@ def _micro_batch(root: str, specs, now):
                                 F.col("value").alias("raw_value")))
         present = payloads.select("series_id").distinct()
         dim = load.series_dim(spark, specs).join(present, "series_id", "left_semi")
-        batch, log = load.run_load(rows, dim, None, False, now, f"stream-{epoch_id}", bad)
+        batch, log = load.run_load(rows, dim, None, False, now, f"stream-{epoch_id}", bad, load_start)
         log = log.checkpoint(eager=True)
         obs_path = tables.layer_path(root, "raw", "observations")
         tables.upsert_table(spark, obs_path, batch, now=now)
@@ -50,11 +50,12 @@ def _micro_batch(root: str, specs, now):
 
 
 def start_incremental_load(spark: SparkSession, landing_dir: str, root: str, checkpoint_location: str | None = None,
-                           specs=DEFAULT_SERIES, now=None, available_now: bool = True):
+                           specs=DEFAULT_SERIES, now=None, available_now: bool = True,
+                           load_start: str = DEFAULT_START_DATE):
     """Start the stream; returns the StreamingQuery (call ``awaitTermination()``)."""
     ckpt = checkpoint_location or os.path.join(spark.conf.get("spark.checkpoint.dir"), "landing-stream")
     w = (observation_stream(spark, landing_dir).writeStream
-         .foreachBatch(_micro_batch(root, specs, now))
+         .foreachBatch(_micro_batch(root, specs, now, load_start))
          .option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
     return w.start()
