@@ -266,3 +266,22 @@ def test_quality_checks(spark):
     a = spark.createDataFrame([(10,)], "staging_months long")
     b = spark.createDataFrame([(12,)], "pivoted_rows long")
     assert quality.row_ratio(a, b).first().failed is True
+
+
+def test_conform_casts_fills_and_splits_violations(spark):
+    from tidemark.schemas import INGESTION_LOG, MAX_LENGTHS
+    from tidemark.sources.tables import conform
+
+    df = spark.createDataFrame([
+        ("r1", "UNRATE", None, "SUCCESS", "2024-01-01 00:00:00", None),
+        ("r1", None, "3", "SUCCESS", "2024-01-01 00:00:00", None),          # NOT NULL series_id
+        ("r1", "X" * 21, "3", "SUCCESS", "2024-01-01 00:00:00", None),      # longer than 20
+        ("r1", "GDP", "three", "SUCCESS", "2024-01-01 00:00:00", None),     # does not cast
+    ], "run_id string, series_id string, records_fetched string, status string, started_at string, "
+       "error_message string")
+    ok, bad = conform(df, INGESTION_LOG, defaults={"records_fetched": F.lit(0)},
+                      max_lengths=MAX_LENGTHS["ingestion_log"])
+    rows = ok.collect()
+    assert len(rows) == 1 and rows[0].records_fetched == 0 and rows[0].series_id == "UNRATE"
+    assert dict(ok.dtypes)["started_at"] == "timestamp_ntz"
+    assert bad.count() == 3

@@ -98,13 +98,24 @@ def run_load(landing: DataFrame, dim: DataFrame, target: DataFrame | None = None
     Returns ``(batch, log)``: the rows to upsert (good series only, rows on or
     after each series' start date) and one log row per configured series.
     """
+    from ..session import cut_lineage
+    from .joins import MAX_BROADCAST_ROWS
+
     run_id = run_id or str(uuid.uuid4())
     ts = _ts(now)
     if incremental and target is not None:
-        starts = watermarks(target, dim, default_start)
+        # one row per configured series: materialise it once, then broadcast it
+        # (a hot series holding a third of the rows then never lands in one task)
+        starts = cut_lineage(watermarks(target, dim, default_start))
     else:
         starts = dim.select("series_id", F.to_date(F.lit(default_start)).alias("start_date"))
-    rows = (landing.join(starts, "series_id")
+    # starts has one row per configured series; so do the log and the failed set
+    small = starts.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+
+    def per_series_side(df):
+        return F.broadcast(df) if small else df
+
+    rows = (landing.join(per_series_side(starts), "series_id")
                    .filter(F.col("observation_date") >= F.col("start_date"))
                    .drop("start_date"))
     per_series = rows.groupBy("series_id").agg(
@@ -129,7 +140,7 @@ def run_load(landing: DataFrame, dim: DataFrame, target: DataFrame | None = None
         ts.alias("started_at"), ts.alias("completed_at"),
         F.when(failed, truncate_text(message, 2000)).alias("error_message"))
     bad_series = log.filter(F.col("status") == "FAILED").select("series_id")
-    batch = (rows.join(bad_series, "series_id", "left_anti")
+    batch = (rows.join(per_series_side(bad_series), "series_id", "left_anti")
                  .select("series_id", "observation_date", parse_value("raw_value").alias("value"),
                          F.concat(F.lit(SOURCE_URL_BASE), F.col("series_id")).alias("source_url")))
     return batch, log

@@ -39,16 +39,20 @@ def in_range(df: DataFrame, col: str, lo, hi) -> DataFrame:
     return df.filter(c.isNotNull() & ((c < F.lit(lo)) | (c > F.lit(hi))))
 
 
-def row_ratio(left_count: DataFrame, right_count: DataFrame, lo: float = 0.5,
-              hi: float = 1.1) -> DataFrame:
-    """Compare a 1-row count with another (both 1-row frames; cross product of
-    two single rows). Columns: expected, actual, difference, failed."""
-    l_name, r_name = left_count.columns[0], right_count.columns[0]
-    j = left_count.crossJoin(right_count)
-    e, a = F.col(l_name), F.col(r_name)
+def row_ratio(expected: DataFrame, actual: DataFrame, lo: float = 0.5, hi: float = 1.1) -> DataFrame:
+    """Compare two 1-row counts: one row (expected, actual, row_difference, failed).
+
+    The two single values are brought together by a union and one aggregate,
+    not by a join. Fails when actual is 0, above hi x expected or below lo x.
+    """
+    e_name, a_name = expected.columns[0], actual.columns[0]
+    both = (expected.select(F.lit(0).alias("_side"), F.col(e_name).cast("long").alias("_v"))
+            .unionByName(actual.select(F.lit(1).alias("_side"), F.col(a_name).cast("long").alias("_v"))))
+    one = both.agg(F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias(e_name),
+                   F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias(a_name))
+    e, a = F.col(e_name), F.col(a_name)
     failed = (a == 0) | (a > e * F.lit(hi)) | (a < e * F.lit(lo))
-    return j.select(e.alias(l_name), a.alias(r_name), (a - e).alias("row_difference"),
-                    failed.alias("failed"))
+    return one.select(e, a, (a - e).alias("row_difference"), failed.alias("failed"))
 
 
 def staging_reconcile(staged: DataFrame, wide: DataFrame, series_id: str = "UNRATE",

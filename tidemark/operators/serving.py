@@ -33,6 +33,28 @@ KPI_CARDS = (
 )
 
 
+# The columns behind each chart of the dashboard.
+CHART_SERIES = {
+    "overview": ("unemployment_rate", "inflation_rate_yoy", "fed_funds_rate", "consumer_sentiment"),
+    "signal_count": ("recession_signal_count",),
+    "sahm": ("sahm_rule_value",),
+    "unemployment": ("unemployment_rate", "unemployment_rate_3m_avg", "unemployment_rate_12m_avg"),
+    "inflation": ("cpi_index", "inflation_rate_yoy"),
+    "fed_funds": ("fed_funds_rate", "fed_funds_rate_yoy_change"),
+    "sentiment": ("consumer_sentiment", "sentiment_3m_avg", "sentiment_mom_change"),
+    "treasury_spread": ("treasury_spread_10y2y",),
+    "gdp_level": ("gdp",),
+    "gdp_growth": ("gdp_qoq_growth_rate",),
+}
+# charts that drop rows where their single series is NULL
+CHART_DROP_NULL = {"sahm": ("sahm_rule_value",), "gdp_growth": ("gdp_qoq_growth_rate",)}
+
+
+def chart_series(df: DataFrame, chart: str, lo=None, hi=None, keys: Sequence[str] = ()) -> DataFrame:
+    """Data behind one dashboard chart, within an inclusive month range."""
+    return range_series(df, CHART_SERIES[chart], lo, hi, CHART_DROP_NULL.get(chart), keys)
+
+
 def month_bounds(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Min and max month per entity."""
     return df.groupBy(*keys).agg(F.min(MONTH).alias("min_month"), F.max(MONTH).alias("max_month"))

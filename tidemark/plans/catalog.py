@@ -311,6 +311,18 @@ def gdp_history(spark, sf_dir):
                                 drop_null=["gdp_qoq_growth_rate"])
 
 
+def _chart(name):
+    def run(spark, sf_dir):
+        d, _ = _dashboard(spark, sf_dir)
+        return serving.chart_series(d, name, lo=RANGE_FROM)
+    run.__name__ = f"chart_{name}"
+    return run
+
+
+# V5, V7-V11 and the GDP level chart (overview, sahm and GDP growth are registered above)
+CHARTS = ("signal_count", "unemployment", "inflation", "fed_funds", "sentiment", "treasury_spread", "gdp_level")
+
+
 def month_bounds(spark, sf_dir, entity=None):
     d, keys = _dashboard(spark, sf_dir, entity)
     return serving.month_bounds(d, keys)
@@ -340,6 +352,7 @@ def _plain(fn):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {fn.__name__: _plain(fn) for fn in _PLAIN}
+    out.update({f"chart_{c}": _chart(c) for c in CHARTS})
     out.update({f"panel_{fn.__name__}": _panel(fn) for fn in _PANEL_VARIANTS})
     return out
 

@@ -261,6 +261,14 @@ FROM events ORDER BY ts DESC, event_id DESC LIMIT 20""",
         "gdp_history": _dash_q(f"SELECT observation_month, gdp, gdp_qoq_growth_rate FROM dash "
                                f"WHERE observation_month >= DATE '{RANGE_FROM}' AND gdp_qoq_growth_rate IS NOT NULL"),
     }
+    from ..operators.serving import CHART_DROP_NULL, CHART_SERIES
+    from .catalog import CHARTS
+
+    for c in CHARTS:
+        cols = CHART_SERIES[c]
+        nn = "".join(f" AND {x} IS NOT NULL" for x in CHART_DROP_NULL.get(c, ()))
+        out[f"chart_{c}"] = _dash_q(f"SELECT observation_month, {', '.join(cols)} FROM dash "
+                                    f"WHERE observation_month >= DATE '{RANGE_FROM}'{nn}")
     out.update(_panelable())
     out.update({f"panel_{k}": v for k, v in _panelable("priority").items()})
     return out

@@ -32,12 +32,11 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None,
     cols, bad = [], []
     for f in schema.fields:
         src = F.col(f.name) if f.name in df.columns else F.lit(None)
-        c = src.try_cast(f.dataType)
-        if f.name in defaults:
-            c = F.coalesce(c, defaults[f.name])
-        cols.append(c.alias(f.name))
+        cast = src.try_cast(f.dataType)
         if f.name in df.columns:
-            bad.append(src.isNotNull() & c.isNull())
+            bad.append(src.isNotNull() & cast.isNull())   # text that does not cast
+        c = F.coalesce(cast, defaults[f.name]) if f.name in defaults else cast
+        cols.append(c.alias(f.name))
         if not f.nullable:
             bad.append(c.isNull())
         if f.name in max_lengths:
@@ -151,8 +150,13 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame,
         first = dedup_batch(batch, keys).withColumn("ingested_at", _ts(now))
         first.write.partitionBy(partition_by).parquet(path)
         return n
+    from ..operators.joins import broadcast_if_small
+    from ..session import cut_lineage
+
     target = spark.read.parquet(path)
-    touched = batch.select(partition_by).distinct()
+    # partitions touched by the batch: one row per series, materialised once and
+    # broadcast after a size check, so the semi/anti joins never shuffle the table
+    touched = broadcast_if_small(cut_lineage(batch.select(partition_by).distinct()))
     merged = upsert(target.join(touched, partition_by, "left_semi"), batch, keys, now)
     staging_root = staging_root or spark.conf.get("spark.checkpoint.dir")
     stage = os.path.join(staging_root, f"upsert-{uuid.uuid4().hex}")
