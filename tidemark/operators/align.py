@@ -75,11 +75,8 @@ def fill_forward(values: DataFrame, columns: Sequence[str], keys: Sequence[str],
     w = (Window.partitionBy(*keys).orderBy(F.col(MONTH).asc())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     spine = in_spine(F.col(MONTH), start, as_of)
-    out = values
-    for c in columns:
-        filled = F.last(F.when(spine, F.col(c)), ignorenulls=True).over(w)
-        out = out.withColumn(c, F.when(spine, filled))
-    return out
+    return values.withColumns({
+        c: F.when(spine, F.last(F.when(spine, F.col(c)), ignorenulls=True).over(w)) for c in columns})
 
 
 def monthly_wide(obs: DataFrame, specs: Sequence[SeriesSpec] = DEFAULT_SERIES,

@@ -34,11 +34,12 @@ def with_signals(metrics: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
         "signal_low_sentiment": flag(F.col("consumer_sentiment") < F.lit(t.low_sentiment)),
         "signal_fed_tightening": flag(F.col("fed_funds_rate_yoy_change") >= F.lit(t.fed_tightening)),
     }
-    out = metrics.withColumns({"sahm_rule_value": F.round(sahm_gap, 2), **flags})
-    count = sum((F.coalesce(F.col(c), F.lit(0)) for c in SIGNAL_FLAGS[1:]),
-                F.coalesce(F.col(SIGNAL_FLAGS[0]), F.lit(0)))
-    out = out.withColumn("recession_signal_count", count)
-    return out.withColumn("recession_risk_level", risk_level(F.col("recession_signal_count"), t))
+    # the count is computed once per row by common-subexpression elimination
+    count = sum((F.coalesce(flags[c], F.lit(0)) for c in SIGNAL_FLAGS[1:]),
+                F.coalesce(flags[SIGNAL_FLAGS[0]], F.lit(0)))
+    return metrics.withColumns({"sahm_rule_value": F.round(sahm_gap, 2), **flags,
+                                "recession_signal_count": count,
+                                "recession_risk_level": risk_level(count, t)})
 
 
 SIGNAL_MODEL_COLUMNS = (

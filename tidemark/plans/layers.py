@@ -126,11 +126,11 @@ def tests_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     dash = tables.read_current(spark, cfg.root, "marts", "economic_dashboard")
     summary = tables.read_current(spark, cfg.root, "marts", "indicator_summary")
     checks = {
-        "stg_observation_id_unique": quality.unique(staged, "observation_id"),
-        "stg_series_accepted": quality.accepted_values(staged, "series_id", [s.series_id for s in cfg.specs]),
-        "stg_value_not_null": quality.not_null(staged, "value"),
-        "int_month_unique": quality.unique(wide, [*keys, MONTH]),
-        "sig_level_accepted": quality.accepted_values(sig, "recession_risk_level", RISK_LEVELS),
+        "staging_observation_id_unique": quality.unique(staged, "observation_id"),
+        "staging_series_accepted": quality.accepted_values(staged, "series_id", [s.series_id for s in cfg.specs]),
+        "staging_value_not_null": quality.not_null(staged, "value"),
+        "intermediate_month_unique": quality.unique(wide, [*keys, MONTH]),
+        "signals_level_accepted": quality.accepted_values(sig, "recession_risk_level", RISK_LEVELS),
         "sahm_rule_value_in_range": quality.in_range(sig, "sahm_rule_value", 0, 10),
         "staging_to_intermediate_row_count": quality.staging_reconcile(staged, wide).filter("failed"),
         "mart_month_unique": quality.unique(dash, [*keys, MONTH]),

@@ -24,8 +24,21 @@ AS_OF = "2001-12-31"
 FIXTURE_THRESHOLDS = dict(sahm_rule=4.0, high_inflation=2.0, low_sentiment=25.3, fed_tightening=0.1)
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one of the driver's read-only tables.
+
+    The relation (file listing and footer schema) is resolved once per
+    session and path; every query still plans its own scan with its own
+    pruned columns and pushed filters.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _cents(c: Column) -> Column:
@@ -40,36 +53,31 @@ def _grains(df: DataFrame, keys, grains: dict, sums: dict) -> DataFrame:
 
     Spark plans this as one Expand + partial aggregate before a single
     shuffle, so the table is scanned once and every grain comes out of the
-    same exchange. Output: keys, grain, period, n, sums.
+    same exchange. Output: keys, one column per grain (NULL unless it is the
+    row's grain), n, sums and ``_g_<grain>`` = 0 on the rows of that grain.
     """
     names = list(grains)
     x = df.select(*keys, *[c.alias(g) for g, c in grains.items()], *[v.alias(k) for k, v in sums.items()])
-    agg = x.groupingSets([[*keys, g] for g in names], *keys, *names).agg(
+    return x.groupingSets([[*keys, g] for g in names], *keys, *names).agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(k).alias(k) for k in sums],
         *[F.grouping(g).alias(f"_g_{g}") for g in names])
-    grain = None
-    for g in names:
-        grain = (F.when(F.col(f"_g_{g}") == 0, F.lit(g)) if grain is None
-                 else grain.when(F.col(f"_g_{g}") == 0, F.lit(g)))
-    period = F.coalesce(*[F.when(F.col(f"_g_{g}") == 0, F.col(g)) for g in names])
-    return agg.select(*keys, grain.alias("grain"), period.alias("period"), "n", *sums)
 
 
 def _to_long(agg: DataFrame, keys, rows: dict) -> DataFrame:
     """Aggregated grains to long (series_id, observation_date, value) rows.
 
-    ``rows`` maps grain -> list of (series_id, value, keep) for that grain.
+    ``rows`` maps grain -> list of (series_id, value, keep) for that grain;
+    one generator emits them, dropping the entries whose ``keep`` is false.
     """
-    grain = F.col("grain")
     arr = None
     for g, items in rows.items():
         structs = F.array(*[F.when(keep, F.struct(F.lit(sid).alias("series_id"),
-                                                  F.col("period").alias("observation_date"),
+                                                  F.col(g).alias("observation_date"),
                                                   val.alias("value")))
                             for sid, val, keep in items])
-        arr = F.when(grain == g, structs) if arr is None else arr.when(grain == g, structs)
-    return (agg.select(*keys, F.inline(arr))
-               .filter(F.col("series_id").isNotNull()))
+        is_g = F.col(f"_g_{g}") == 0
+        arr = F.when(is_g, structs) if arr is None else arr.when(is_g, structs)
+    return agg.select(*keys, F.inline(F.filter(arr, lambda x: x.isNotNull())))
 
 
 def econ_observations(spark: SparkSession, sf_dir: str, entity: str | None = None) -> DataFrame:
@@ -97,11 +105,11 @@ def econ_observations(spark: SparkSession, sf_dir: str, entity: str | None = Non
         "s_spread": _cents(F.col("l_tax") - F.col("l_discount")),
     })
     n = F.col("n").cast("double")
-    kept = F.col("period") != F.to_date(F.lit(DROPPED_MONTH))
+    kept = F.col("m") != F.to_date(F.lit(DROPPED_MONTH))
     out = _to_long(li_agg, keys, {
         "m": [("CPIAUCSL", F.col("s_price").cast("double") / n / F.lit(100), kept),
               ("FEDFUNDS", F.col("s_disc").cast("double") / n, kept),
-              ("UMCSENT", F.col("s_qty").cast("double") / n, kept & (F.month("period") != 5))],
+              ("UMCSENT", F.col("s_qty").cast("double") / n, kept & (F.month("m") != 5))],
         "d": [("T10Y2Y", F.col("s_spread").cast("double") / n, F.lit(True))],
     })
     if with_orders:
