@@ -33,7 +33,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return round(v, 6)   # strict: -0.0 and 0.0 stay distinct in the sort
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
