@@ -118,11 +118,14 @@ def run_load(landing: DataFrame, dim: DataFrame, target: DataFrame | None = None
     rows = (landing.join(per_series_side(starts), "series_id")
                    .filter(F.col("observation_date") >= F.col("start_date"))
                    .drop("start_date"))
-    per_series = rows.groupBy("series_id").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(is_bad_value("raw_value")).alias("_bad"),
-        F.min(F.when(is_bad_value("raw_value"), F.col("raw_value"))).alias("_bad_text"))
-    status = dim.select("series_id").join(per_series, "series_id", "left")
+    # counts are a hash aggregate over all rows; the sample bad text (a string,
+    # which needs a sort-based aggregate) is taken from the bad rows only
+    counts = rows.groupBy("series_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(is_bad_value("raw_value")).alias("_bad"))
+    bad_text = (rows.filter(is_bad_value("raw_value"))
+                    .groupBy("series_id").agg(F.min("raw_value").alias("_bad_text")))
+    status = (dim.select("series_id").join(counts, "series_id", "left")
+                 .join(bad_text, "series_id", "left"))
     if malformed is not None:
         status = status.join(malformed.select("series_id").distinct().withColumn("_malformed", F.lit(True)),
                              "series_id", "left")
