@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import lag_diff, pct_change, rolling, time_window
-from ..schemas import MONTH
+from ..schemas import MONTH, WIDE_COLUMNS
 
 # Derived metric columns in the order of the reference model.
 METRIC_COLUMNS = (
@@ -47,10 +47,16 @@ def metric_columns(keys: Sequence[str] = ()) -> dict:
     }
 
 
+def with_indicator_columns(wide: DataFrame) -> DataFrame:
+    """Add any of the six indicator columns the series configuration left out, as NULL."""
+    missing = [c for c in WIDE_COLUMNS if c not in wide.columns]
+    return wide.withColumns({c: F.lit(None).cast("double") for c in missing}) if missing else wide
+
+
 def derived_metrics(wide: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Wide table plus the 13 derived metric columns."""
     cols = metric_columns(keys)
-    return wide.select("*", *[cols[c].alias(c) for c in METRIC_COLUMNS])
+    return with_indicator_columns(wide).select("*", *[cols[c].alias(c) for c in METRIC_COLUMNS])
 
 
 def changes(wide: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

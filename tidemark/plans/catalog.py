@@ -11,9 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import spine_for
 from ..operators import align, dedup, load, marts, metrics, quality, serving, signals
-from ..schemas import DEFAULT_SERIES, MONTH, RISK_LEVELS, WIDE_COLUMNS, Thresholds
+from ..schemas import DEFAULT_SERIES, MONTH, RISK_LEVELS, Thresholds
 from ..sources import fixtures as fx
 from . import oracle as O
 

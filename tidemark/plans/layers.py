@@ -1,11 +1,13 @@
 """Layered run: load -> staging -> intermediate -> marts -> tests, in one application.
 
-Each layer is a DataFrame function of the layer below. Staging and
-intermediate are temp views (one logical plan, optimised as a whole); marts
-are written to the shared folder (write, audit, then publish), which also
-cuts the lineage so a lost executor never recomputes from raw. The summary
-reads the *written* dashboard, as the modelled pipeline does. A failing layer
-stops the run.
+Each layer is a DataFrame function of the layer below. By default every layer
+is written to the shared folder: the staged observations feed the wide table
+and five data tests, so as views the dedup over the whole raw table would be
+recomputed by each consumer; written once, each consumer reads the result,
+and a lost executor never recomputes from raw. ``RunConfig.views=True`` keeps
+staging and intermediate as temp views (the modelled layout). Marts are
+written, audited, then published. The summary reads the *written* dashboard.
+A failing layer stops the run.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ class RunConfig:
     incremental: bool = False
     run_id: str | None = None
     keys: Sequence[str] = ()
+    views: bool = False                         # staging/intermediate as temp views instead of tables
 
 
 class LayerFailed(RuntimeError):
@@ -70,25 +73,35 @@ def load_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     return log
 
 
+def _mode(cfg: RunConfig) -> str:
+    return "view" if cfg.views else "table"
+
+
+def _read(spark: SparkSession, cfg: RunConfig, layer: str, name: str) -> DataFrame:
+    if cfg.views:
+        return tables.layer_table(spark, cfg.root, layer, name)
+    return tables.read_current(spark, cfg.root, layer, name)
+
+
 def staging_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     raw = spark.read.parquet(_raw(spark, cfg, "observations"))
-    staged = dedup.stage_observations(raw)
-    tables.publish(staged, cfg.root, "staging", "observations", as_="view")
+    staged = tables.publish(dedup.stage_observations(raw), cfg.root, "staging", "observations",
+                            as_=_mode(cfg), partition_by=None if cfg.views else ["series_id"])
     meta = tables.read_current(spark, cfg.root, "raw", "series_metadata")
     if meta is not None:
-        tables.publish(dedup.stage_metadata(meta), cfg.root, "staging", "series_metadata", as_="view")
+        tables.publish(dedup.stage_metadata(meta), cfg.root, "staging", "series_metadata", as_=_mode(cfg))
     return staged
 
 
 def intermediate_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
-    staged = tables.layer_table(spark, cfg.root, "staging", "observations")
+    staged = _read(spark, cfg, "staging", "observations")
     keys = list(cfg.keys)
-    wide = align.monthly_wide(staged, cfg.specs, cfg.start, cfg.as_of, keys)
-    tables.publish(wide, cfg.root, "intermediate", "indicators_wide", as_="view")
-    m = metrics.derived_metrics(wide, keys)
-    tables.publish(m, cfg.root, "intermediate", "indicators_with_changes", as_="view")
+    wide = tables.publish(align.monthly_wide(staged, cfg.specs, cfg.start, cfg.as_of, keys),
+                          cfg.root, "intermediate", "indicators_wide", as_=_mode(cfg))
+    m = tables.publish(metrics.derived_metrics(wide, keys), cfg.root, "intermediate",
+                       "indicators_with_changes", as_=_mode(cfg))
     tables.publish(signals.recession_signals(m, cfg.thresholds, keys), cfg.root, "intermediate",
-                   "recession_signals", as_="view")
+                   "recession_signals", as_=_mode(cfg))
     return m
 
 
@@ -105,7 +118,7 @@ def _mart_audit(keys):
 
 def marts_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     keys = list(cfg.keys)
-    m = tables.layer_table(spark, cfg.root, "intermediate", "indicators_with_changes")
+    m = _read(spark, cfg, "intermediate", "indicators_with_changes")
     dash = marts.economic_dashboard(m, cfg.thresholds, keys)
     written = tables.publish(dash, cfg.root, "marts", "economic_dashboard",
                              sort_within=[*keys, MONTH], audit=_mart_audit(keys))
@@ -120,9 +133,9 @@ def tests_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     Returns the report (test, n_failed); raises if any test fails.
     """
     keys = list(cfg.keys)
-    staged = tables.layer_table(spark, cfg.root, "staging", "observations")
-    wide = tables.layer_table(spark, cfg.root, "intermediate", "indicators_wide")
-    sig = tables.layer_table(spark, cfg.root, "intermediate", "recession_signals")
+    staged = _read(spark, cfg, "staging", "observations")
+    wide = _read(spark, cfg, "intermediate", "indicators_wide")
+    sig = _read(spark, cfg, "intermediate", "recession_signals")
     dash = tables.read_current(spark, cfg.root, "marts", "economic_dashboard")
     summary = tables.read_current(spark, cfg.root, "marts", "indicator_summary")
     checks = {
