@@ -285,3 +285,16 @@ def test_conform_casts_fills_and_splits_violations(spark):
     assert len(rows) == 1 and rows[0].records_fetched == 0 and rows[0].series_id == "UNRATE"
     assert dict(ok.dtypes)["started_at"] == "timestamp_ntz"
     assert bad.count() == 3
+
+
+def test_panel_dedup_keeps_entities_apart(spark):
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    raw = spark.createDataFrame([
+        ("east", "A", D(2024, 1, 1), 1.0, t1, "u"),
+        ("west", "A", D(2024, 1, 1), 2.0, t2, "u"),   # same series and date, other entity
+        ("east", "A", D(2024, 1, 1), 3.0, t2, "u"),
+    ], "entity string, series_id string, observation_date date, value double, ingested_at timestamp_ntz, "
+       "source_url string")
+    out = dedup.stage_observations(raw, keys=["entity"]).collect()
+    assert sorted((r.entity, r.value) for r in out) == [("east", 3.0), ("west", 2.0)]
+    assert len({r.observation_id for r in out}) == 2

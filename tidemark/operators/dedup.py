@@ -33,14 +33,16 @@ def latest_load_order(tie_break: Sequence[Column] = ()) -> list[Column]:
     return [F.col("ingested_at").desc_nulls_first(), *tie_break]
 
 
-def stage_observations(raw: DataFrame, tie_break: Sequence[Column] = ()) -> DataFrame:
-    """Staged observations: latest load per (series_id, observation_date), NULL values retracted."""
-    picked = latest_per_key(raw, ["series_id", "observation_date"],
-                            latest_load_order(tie_break),
+def stage_observations(raw: DataFrame, tie_break: Sequence[Column] = (),
+                       keys: Sequence[str] = ()) -> DataFrame:
+    """Staged observations: latest load per ([entity keys,] series_id, observation_date),
+    NULL values retracted. The surrogate key hashes the same columns."""
+    key_cols = [*keys, "series_id", "observation_date"]
+    picked = latest_per_key(raw, key_cols, latest_load_order(tie_break),
                             keep=F.col("value").isNotNull())
     return picked.select(
-        surrogate_key("series_id", "observation_date").alias("observation_id"),
-        "series_id", "observation_date", "value", "ingested_at", "source_url")
+        surrogate_key(*key_cols).alias("observation_id"),
+        *keys, "series_id", "observation_date", "value", "ingested_at", "source_url")
 
 
 def stage_metadata(raw: DataFrame, tie_break: Sequence[Column] = ()) -> DataFrame:

@@ -85,7 +85,7 @@ def _read(spark: SparkSession, cfg: RunConfig, layer: str, name: str) -> DataFra
 
 def staging_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     raw = spark.read.parquet(_raw(spark, cfg, "observations"))
-    staged = tables.publish(dedup.stage_observations(raw), cfg.root, "staging", "observations",
+    staged = tables.publish(dedup.stage_observations(raw, keys=list(cfg.keys)), cfg.root, "staging", "observations",
                             as_=_mode(cfg), partition_by=None if cfg.views else ["series_id"])
     meta = tables.read_current(spark, cfg.root, "raw", "series_metadata")
     if meta is not None:
