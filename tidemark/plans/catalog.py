@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..operators import align, dedup, load, marts, metrics, quality, serving, signals
 from ..schemas import DEFAULT_SERIES, MONTH, RISK_LEVELS, Thresholds
 from ..sources import fixtures as fx
-from . import oracle as O
 
 FIX_T = Thresholds(**fx.FIXTURE_THRESHOLDS)
 PANEL = ["entity"]

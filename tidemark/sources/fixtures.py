@@ -8,7 +8,6 @@ lineitem, month and quarter for orders).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
