@@ -69,7 +69,8 @@ def freshness(df: DataFrame, col: str, now, warn_hours: float = 48, error_hours:
     if isinstance(now, (dt.datetime, str)):
         now = F.lit(str(now)).cast("timestamp_ntz")
     last = F.max(_c(col))
-    age = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(last.cast("timestamp"))) / F.lit(3.6e9)
+    # wall-clock difference of two TIMESTAMP_NTZ values: independent of the session time zone
+    age = F.timestamp_diff("MICROSECOND", last, now) / F.lit(3.6e9)
     out = df.agg(last.alias("max_loaded_at"), age.alias("age_hours"))
     a = F.col("age_hours")
     return out.withColumn("status", F.when(a.isNull(), F.lit("ERROR"))
