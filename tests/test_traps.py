@@ -298,3 +298,22 @@ def test_panel_dedup_keeps_entities_apart(spark):
     out = dedup.stage_observations(raw, keys=["entity"]).collect()
     assert sorted((r.entity, r.value) for r in out) == [("east", 3.0), ("west", 2.0)]
     assert len({r.observation_id for r in out}) == 2
+
+
+def test_bad_date_fails_only_its_series(spark, workdir):
+    import json
+    import os
+
+    from tidemark.sources import landing
+
+    d = os.path.join(workdir, "dates")
+    os.makedirs(d)
+    with open(os.path.join(d, "A.json"), "w") as f:
+        json.dump({"observations": [{"date": "2024-01-01", "value": "1"}]}, f)
+    with open(os.path.join(d, "B.json"), "w") as f:
+        json.dump({"observations": [{"date": "2024-13-45", "value": "1"}, {"date": "2024-01-01", "value": "2"}]}, f)
+    rows, bad = landing.read_observation_landing(spark, d)
+    dim = spark.createDataFrame([("A",), ("B",)], "series_id string")
+    batch, log = load.run_load(rows, dim, malformed=bad, now="2024-02-01 00:00:00", run_id="r")
+    assert {r.series_id: r.status for r in log.collect()} == {"A": "SUCCESS", "B": "FAILED"}
+    assert [r.series_id for r in batch.collect()] == ["A"]

@@ -115,15 +115,18 @@ def run_load(landing: DataFrame, dim: DataFrame, target: DataFrame | None = None
     def per_series_side(df):
         return F.broadcast(df) if small else df
 
+    date = F.col("observation_date")
     rows = (landing.join(per_series_side(starts), "series_id")
-                   .filter(F.col("observation_date") >= F.col("start_date"))
+                   .filter(date.isNull() | (date >= F.col("start_date")))   # NULL = unparseable date
                    .drop("start_date"))
+    bad_row = is_bad_value("raw_value") | date.isNull()
     # counts are a hash aggregate over all rows; the sample bad text (a string,
     # which needs a sort-based aggregate) is taken from the bad rows only
     counts = rows.groupBy("series_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if(is_bad_value("raw_value")).alias("_bad"))
-    bad_text = (rows.filter(is_bad_value("raw_value"))
-                    .groupBy("series_id").agg(F.min("raw_value").alias("_bad_text")))
+        F.count(F.lit(1)).alias("_n"), F.count_if(bad_row).alias("_bad"))
+    bad_text = (rows.filter(bad_row)
+                    .groupBy("series_id").agg(F.min(F.when(date.isNull(), F.lit("<bad date>"))
+                                                    .otherwise(F.col("raw_value"))).alias("_bad_text")))
     status = (dim.select("series_id").join(counts, "series_id", "left")
                  .join(bad_text, "series_id", "left"))
     if malformed is not None:

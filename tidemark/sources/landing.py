@@ -42,8 +42,8 @@ def read_observation_landing(spark: SparkSession, path: str):
     """
     good, bad = split_malformed(read_observation_payloads(spark, path))
     rows = (good.select("series_id", F.inline("observations"))
-                .select("series_id", F.to_date("date").alias("observation_date"),
-                        F.col("value").alias("raw_value")))
+                .select("series_id", F.try_to_date("date").alias("observation_date"),
+                        F.col("value").alias("raw_value")))   # a bad date is NULL: the series fails
     return rows, bad.select("series_id")
 
 

@@ -37,7 +37,7 @@ def _micro_batch(root: str, specs, now, load_start):
         bad = payloads.filter(F.col("observations").isNull()).select("series_id")
         rows = (payloads.filter(F.col("observations").isNotNull())
                         .select("series_id", F.inline("observations"))
-                        .select("series_id", F.to_date("date").alias("observation_date"),
+                        .select("series_id", F.try_to_date("date").alias("observation_date"),
                                 F.col("value").alias("raw_value")))
         present = payloads.select("series_id").distinct()
         dim = load.series_dim(spark, specs).join(present, "series_id", "left_semi")
