@@ -158,6 +158,8 @@ def test_replayed_micro_batch_changes_nothing(spark, workdir, econ_rows):
     handle(payloads, 7)
     again = sorted(map(tuple, spark.read.parquet(os.path.join(root, "raw", "observations")).collect()))
     assert first == again and len(first) > 0
+    log = spark.read.parquet(os.path.join(root, "raw", "ingestion_log"))
+    assert log.count() == log.select("series_id").distinct().count()   # replay wrote no duplicate log rows
 
 
 def fx_specs():

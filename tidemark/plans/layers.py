@@ -69,7 +69,7 @@ def load_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
         old = tables.read_current(spark, cfg.root, "raw", "series_metadata")
         new = meta if old is None else load.replace_by_key(old, meta, ["series_id"])
         tables.publish(new, cfg.root, "raw", "series_metadata")
-    log.write.mode("append").parquet(_raw(spark, cfg, "ingestion_log"))
+    tables.append_log(log, _raw(spark, cfg, "ingestion_log"))
     return log
 
 

@@ -133,6 +133,17 @@ def read_current(spark: SparkSession, root: str, layer: str, name: str) -> DataF
     return None if path is None else spark.read.parquet(path)
 
 
+def append_log(log: DataFrame, path: str) -> None:
+    """Append a run's log rows, partitioned by run_id.
+
+    Dynamic partition overwrite replaces only this run's partition: every run
+    adds its own rows (append-only log), and a replayed run or micro-batch
+    with the same run_id writes the same rows again instead of duplicating them.
+    """
+    (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id").parquet(path))
+
+
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame,
                  keys=("series_id", "observation_date"), partition_by: str = "series_id",
                  now=None, staging_root: str | None = None) -> int:

@@ -45,7 +45,7 @@ def _micro_batch(root: str, specs, now, load_start):
         log = log.checkpoint(eager=True)
         obs_path = tables.layer_path(root, "raw", "observations")
         tables.upsert_table(spark, obs_path, batch, now=now)
-        log.write.mode("append").parquet(tables.layer_path(root, "raw", "ingestion_log"))
+        tables.append_log(log, tables.layer_path(root, "raw", "ingestion_log"))
     return handle
 
 
