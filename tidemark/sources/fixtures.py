@@ -23,21 +23,19 @@ AS_OF = "2001-12-31"
 FIXTURE_THRESHOLDS = dict(sahm_rule=4.0, high_inflation=2.0, low_sentiment=25.3, fed_tightening=0.1)
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one of the driver's read-only tables.
 
     The relation (file listing and footer schema) is resolved once per
-    session and path; every query still plans its own scan with its own
-    pruned columns and pushed filters.
+    session and path, and kept on the session object, so a new session never
+    sees another session's frames. Every query still plans its own scan with
+    its own pruned columns and pushed filters.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    cache = spark.__dict__.setdefault("_tidemark_tables", {})
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
 
 
 def _cents(c: Column) -> Column:
