@@ -45,3 +45,19 @@ def test_summary_adds_no_exchange(spark):
     d = plan(catalog.queries()["panel_economic_dashboard"](spark, SF_SMOKE))
     s = plan(catalog.queries()["panel_indicator_summary"](spark, SF_SMOKE))
     assert s.count("Exchange") == d.count("Exchange")
+
+
+def test_shuffle_sizing_respects_user_setting(spark, workdir):
+    from tidemark.session import size_shuffles
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    prev = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        n = size_shuffles(spark, ["/root/testdata/sf0.01"], target_bytes=1024 * 1024)
+        assert n is not None and n >= spark.sparkContext.defaultParallelism
+        assert size_shuffles(spark, ["/root/testdata/sf0.01"]) is None   # already set: left alone
+    finally:
+        spark.conf.unset(key)
+        if prev:
+            spark.conf.set(key, prev)

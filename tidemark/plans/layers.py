@@ -173,9 +173,10 @@ def run_layers(spark: SparkSession, cfg: RunConfig, layers: Sequence[str] = LAYE
     The load raises after all series are processed if any series failed;
     the good series stay loaded (per-series isolation).
     """
-    from ..session import ensure_checkpoint_dir
+    from ..session import ensure_checkpoint_dir, size_shuffles
 
     ensure_checkpoint_dir(spark)
+    size_shuffles(spark, [p for p in (cfg.landing_obs, _raw(spark, cfg, "observations")) if p])
     if "://" not in cfg.root:
         os.makedirs(cfg.root, exist_ok=True)
     out = {}

@@ -45,3 +45,39 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (Hadoop file system summary, no data read)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffles(spark: SparkSession, paths, target_bytes: int = TARGET_PARTITION_BYTES,
+                  max_partitions: int = 200_000) -> int | None:
+    """Size AQE's initial shuffle partition count from the input volume.
+
+    Only when the submitter has not set it: one partition per ``target_bytes``
+    of input (at least the default parallelism), so the first shuffle of a
+    100 TB job does not squeeze into 200 partitions and spill. AQE then
+    coalesces small partitions (the aggregated shuffles are far smaller).
+    Returns the value set, or None if the setting was already given.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if spark.conf.get(key, None):
+        return None
+    n = -(-input_bytes(spark, paths) // target_bytes)
+    n = int(min(max(n, spark.sparkContext.defaultParallelism), max_partitions))
+    spark.conf.set(key, str(n))
+    if not spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None):
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes // 2))
+    return n
