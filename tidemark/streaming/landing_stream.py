@@ -27,7 +27,7 @@ def observation_stream(spark: SparkSession, landing_dir: str, max_files_per_trig
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.json(landing_dir)
-    series = F.regexp_extract(F.element_at(F.split(F.input_file_name(), "/"), -1), r"^([^.]+)", 1)
+    series = F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1)
     return df.select(series.alias("series_id"), "observations", "error_code", "error_message")
 
 
