@@ -88,6 +88,12 @@ def upsert_result(spark, sf_dir):
     return load.upsert(target, batch, now=NOW)
 
 
+def upsert_recent_batch(spark, sf_dir):
+    """Upsert of a 10 % batch (the last three days of loads) into the rest."""
+    target, batch = fx.revision_split(spark, sf_dir, fx.REV_RECENT_TARGET_BEFORE, fx.REV_RECENT_BATCH_FROM)
+    return load.upsert(target, batch, now=NOW)
+
+
 def replace_by_key_result(spark, sf_dir):
     raw = fx.metadata_loads(spark, sf_dir)
     target = raw.filter(F.col("ingested_at") < F.lit(META_TARGET_BEFORE).cast("timestamp_ntz")).drop("o_orderkey")
@@ -335,7 +341,7 @@ _PANEL_VARIANTS = (monthly_pivot, gdp_forward_fill, month_end_daily, monthly_wid
                    month_bounds)
 
 _PLAIN = (dedup_latest_observation, dedup_latest_metadata, clean_missing_marker, series_watermark,
-          upsert_result, replace_by_key_result, load_batch, malformed_split, load_log, run_summary,
+          upsert_result, upsert_recent_batch, replace_by_key_result, load_batch, malformed_split, load_log, run_summary,
           raw_row_counts, month_spine, *_PANEL_VARIANTS, supplier_economic_dashboard,
           dq_unique, dq_not_null, dq_accepted_values, dq_range, dq_row_reconcile, dq_freshness,
           dq_report, recent_runs_top20, range_series, sahm_history, gdp_history)

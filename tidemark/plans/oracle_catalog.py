@@ -192,6 +192,13 @@ FROM dim d LEFT JOIN last ON d.series_id = last.series_id""",
 SELECT t.* FROM tgt t
 WHERE NOT EXISTS (SELECT 1 FROM bat b WHERE b.series_id = t.series_id AND b.observation_date = t.observation_date)
 UNION ALL
+SELECT series_id, observation_date, value, TIMESTAMP '{NOW}' AS ingested_at, source_url FROM bat""",
+        "upsert_recent_batch": f"""WITH {split_rows},
+    tgt AS {pick(f"ingested_at < TIMESTAMP '{fx.REV_RECENT_TARGET_BEFORE}'")},
+    bat AS {pick(f"ingested_at >= TIMESTAMP '{fx.REV_RECENT_BATCH_FROM}'")}
+SELECT t.* FROM tgt t
+WHERE NOT EXISTS (SELECT 1 FROM bat b WHERE b.series_id = t.series_id AND b.observation_date = t.observation_date)
+UNION ALL
 SELECT series_id, observation_date, value, TIMESTAMP '{NOW}' AS ingested_at, source_url FROM bat""",
         "replace_by_key_result": f"""WITH {_META},
     tgt AS (SELECT * EXCLUDE (o_orderkey) FROM m WHERE ingested_at < TIMESTAMP '{META_TARGET_BEFORE}'),

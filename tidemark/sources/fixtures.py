@@ -143,7 +143,12 @@ REV_TARGET_BEFORE = "2024-01-16"   # target: loads with ts < this
 REV_BATCH_FROM = "2024-01-15"      # batch: loads with ts >= this (one day overlaps)
 
 
-def revision_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+REV_RECENT_TARGET_BEFORE = "2024-01-29"   # 10 % batch: the last three days of loads,
+REV_RECENT_BATCH_FROM = "2024-01-28"      # one of them overlapping the target
+
+
+def revision_split(spark: SparkSession, sf_dir: str, target_before: str = REV_TARGET_BEFORE,
+                   batch_from: str = REV_BATCH_FROM) -> tuple[DataFrame, DataFrame]:
     """FX-REV split into an existing target and an incoming batch, each deduped
     to one row per key (latest ts, then event_id), ingested_at = ts."""
     from ..operators.dedup import latest_per_key
@@ -156,8 +161,8 @@ def revision_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         "event_id")
     order = [F.col("ingested_at").desc(), F.col("event_id").desc()]
     keys = ["series_id", "observation_date"]
-    target = latest_per_key(rows.filter(F.col("ingested_at") < F.lit(REV_TARGET_BEFORE).cast("timestamp_ntz")), keys, order)
-    batch = latest_per_key(rows.filter(F.col("ingested_at") >= F.lit(REV_BATCH_FROM).cast("timestamp_ntz")), keys, order)
+    target = latest_per_key(rows.filter(F.col("ingested_at") < F.lit(target_before).cast("timestamp_ntz")), keys, order)
+    batch = latest_per_key(rows.filter(F.col("ingested_at") >= F.lit(batch_from).cast("timestamp_ntz")), keys, order)
     return target.drop("event_id"), batch.drop("event_id")
 
 
