@@ -11,7 +11,8 @@ from ..operators.load import SOURCE_URL_BASE
 from ..operators.signals import SIGNAL_FLAGS, SIGNAL_MODEL_COLUMNS
 
 _IDS = ", ".join(f"'{s.series_id}'" for s in DEFAULT_SERIES)
-_DIM = (f"dim AS (SELECT series_id FROM (VALUES {', '.join(f'({chr(39)}{s.series_id}{chr(39)})' for s in DEFAULT_SERIES)}) t(series_id)"
+_ID_ROWS = ", ".join(f"('{s.series_id}')" for s in DEFAULT_SERIES)
+_DIM = (f"dim AS (SELECT series_id FROM (VALUES {_ID_ROWS}) t(series_id)"
         " UNION SELECT DISTINCT event_type FROM events)")
 
 _META = """
