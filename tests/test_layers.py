@@ -95,8 +95,10 @@ def test_run_layers_matches_registered_dashboard(spark, workdir, econ_rows):
     assert sorted(map(tuple, written.select(*cols).collect())) == sorted(map(tuple, expected.collect()))
     summary = tables.read_current(spark, root, "marts", "indicator_summary")
     assert summary.count() == catalog.indicator_summary(spark, SF_SMOKE).count()
-    served = tables.read_mart(spark, root, "economic_dashboard")
+    served = tables.read_mart(spark, root, "economic_dashboard", sort=True)
     assert dict(served.dtypes)["observation_month"] == "timestamp_ntz"
+    months = [r.observation_month for r in served.select("observation_month").collect()]
+    assert months == sorted(months)
     meta = tables.read_current(spark, root, "raw", "series_metadata").collect()
     assert [m.series_id for m in meta] == ["UNRATE"]
 

@@ -116,8 +116,13 @@ def current_version(spark: SparkSession, base: str) -> str | None:
     return rows[0][0] if rows else None
 
 
-def read_mart(spark: SparkSession, root: str, name: str, layer: str = "marts") -> DataFrame:
-    """Serving read: current version, lower-case column names, month as timestamp."""
+def read_mart(spark: SparkSession, root: str, name: str, layer: str = "marts",
+              sort: bool = False) -> DataFrame:
+    """Serving read: current version, lower-case column names, month as timestamp.
+
+    ``sort=True`` returns the rows ordered by month (the serving order of a
+    single-entity mart; a range shuffle, so leave it off for large panels).
+    """
     path = current_version(spark, layer_path(root, layer, name))
     if path is None:
         raise FileNotFoundError(f"no published table {layer}/{name}")
@@ -125,6 +130,8 @@ def read_mart(spark: SparkSession, root: str, name: str, layer: str = "marts") -
     df = df.toDF(*[c.lower() for c in df.columns])
     if "observation_month" in df.columns:
         df = df.withColumn("observation_month", F.col("observation_month").cast("timestamp_ntz"))
+        if sort:
+            df = df.orderBy("observation_month")
     return df
 
 
