@@ -61,3 +61,20 @@ def test_shuffle_sizing_respects_user_setting(spark, workdir):
         spark.conf.unset(key)
         if prev:
             spark.conf.set(key, prev)
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin",          # cross joins / all pairs
+             "BatchEvalPython", "ArrowEvalPython", "PythonUDF",       # Python in the hot path
+             "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow")
+
+
+def test_no_cross_join_and_no_python_in_any_registered_query(spark):
+    import __spark_entry__ as E
+
+    bad = {}
+    for key, fn in E.queries().items():
+        p = plan(fn(spark, SF_SMOKE))
+        hits = [f for f in FORBIDDEN if f in p]
+        if hits:
+            bad[key] = hits
+    assert not bad, bad
