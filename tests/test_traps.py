@@ -317,3 +317,13 @@ def test_bad_date_fails_only_its_series(spark, workdir):
     batch, log = load.run_load(rows, dim, malformed=bad, now="2024-02-01 00:00:00", run_id="r")
     assert {r.series_id: r.status for r in log.collect()} == {"A": "SUCCESS", "B": "FAILED"}
     assert [r.series_id for r in batch.collect()] == ["A"]
+
+
+def test_suite_one_row_per_test(spark):
+    df = spark.createDataFrame([(1, "LOW"), (1, "BAD"), (2, None)], "k int, level string")
+    rep = quality.suite([("k_unique", "staging", "error", quality.unique(df, "k")),
+                         ("level_ok", "marts", "warn", quality.accepted_values(df, "level", ["LOW"])),
+                         ("k_nn", "staging", "error", quality.not_null(df, "k"))])
+    got = {r.test_name: (r.layer, r.severity, r.n_failed) for r in rep.collect()}
+    assert got == {"k_unique": ("staging", "error", 1), "level_ok": ("marts", "warn", 1),
+                   "k_nn": ("staging", "error", 0)}

@@ -110,3 +110,25 @@ def write_failures(violations: DataFrame, root: str, test_name: str) -> str:
     path = os.path.join(root, "dq_failures", test_name)
     violations.write.mode("overwrite").parquet(path)
     return path
+
+
+def suite(checks) -> DataFrame:
+    """Run many tests as one job: one row per test (test_name, layer, severity, n_failed).
+
+    ``checks``: iterable of (test_name, layer, severity, violations DataFrame).
+    Each test contributes a one-row count, and the counts are unioned, so the
+    whole suite is a single action with one row per test on the driver.
+    """
+    out = None
+    for name, layer, severity, violations in checks:
+        row = violations.agg(F.count(F.lit(1)).alias("n_failed")).select(
+            F.lit(name).alias("test_name"), F.lit(layer).alias("layer"),
+            F.lit(severity).alias("severity"), "n_failed")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def freshness_violations(df: DataFrame, col: str, now, warn_hours: float = 48,
+                         error_hours: float = 96) -> DataFrame:
+    """The freshness result as a test: one row when the newest load is older than the warn age."""
+    return freshness(df, col, now, warn_hours, error_hours).filter(F.col("status") != "PASS")

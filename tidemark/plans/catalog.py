@@ -265,6 +265,21 @@ def dq_report(spark, sf_dir):
     ])
 
 
+def dq_suite(spark, sf_dir):
+    """Every data test of every layer as one suite over the FX-ECON chain (freshness on FX-REV)."""
+    from .layers import data_tests
+
+    obs = fx.econ_observations(spark, sf_dir).withColumns(
+        {"ingested_at": F.lit(NOW).cast("timestamp_ntz"), "source_url": F.lit("fixture")})
+    staged = dedup.stage_observations(obs)
+    wide = align.monthly_wide(staged, start=fx.SPINE_START, as_of=fx.AS_OF)
+    m = metrics.derived_metrics(wide)
+    dash = marts.economic_dashboard(m, FIX_T)
+    tests = data_tests(staged, wide, signals.recession_signals(m, FIX_T), dash, marts.indicator_summary(dash),
+                       fx.revised_observations(spark, sf_dir), DEFAULT_SERIES, [], FRESHNESS_NOW)
+    return quality.suite(tests)
+
+
 # ---------------------------------------------------------------- serving
 
 def observation_counts(spark, sf_dir, entity=None):
@@ -344,7 +359,7 @@ _PLAIN = (dedup_latest_observation, dedup_latest_metadata, clean_missing_marker,
           upsert_result, upsert_recent_batch, replace_by_key_result, load_batch, malformed_split, load_log, run_summary,
           raw_row_counts, month_spine, *_PANEL_VARIANTS, supplier_economic_dashboard,
           dq_unique, dq_not_null, dq_accepted_values, dq_range, dq_row_reconcile, dq_freshness,
-          dq_report, recent_runs_top20, range_series, sahm_history, gdp_history)
+          dq_report, dq_suite, recent_runs_top20, range_series, sahm_history, gdp_history)
 
 
 def _plain(fn):

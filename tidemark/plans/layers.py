@@ -127,40 +127,64 @@ def marts_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     return written
 
 
+def data_tests(staged: DataFrame, wide: DataFrame, sig: DataFrame, dash: DataFrame, summary: DataFrame,
+               raw: DataFrame | None, specs, keys, now=None) -> list[tuple]:
+    """The data tests of every layer: (test_name, layer, severity, violations)."""
+    ids = [s.series_id for s in specs]
+    tests = [
+        ("observation_id_unique", "staging", "error", quality.unique(staged, "observation_id")),
+        ("observation_id_not_null", "staging", "error", quality.not_null(staged, "observation_id")),
+        ("series_id_accepted", "staging", "error", quality.accepted_values(staged, "series_id", ids)),
+        ("series_id_not_null", "staging", "error", quality.not_null(staged, "series_id")),
+        ("observation_date_not_null", "staging", "error", quality.not_null(staged, "observation_date")),
+        ("value_not_null", "staging", "error", quality.not_null(staged, "value")),
+        ("wide_month_unique", "intermediate", "error", quality.unique(wide, [*keys, MONTH])),
+        ("wide_month_not_null", "intermediate", "error", quality.not_null(wide, MONTH)),
+        ("signals_month_unique", "intermediate", "error", quality.unique(sig, [*keys, MONTH])),
+        ("signals_level_accepted", "intermediate", "error",
+         quality.accepted_values(sig, "recession_risk_level", RISK_LEVELS)),
+        ("sahm_rule_value_in_range", "intermediate", "error", quality.in_range(sig, "sahm_rule_value", 0, 10)),
+        ("staging_to_intermediate_row_count", "intermediate", "error",
+         quality.staging_reconcile(staged, wide).filter("failed")),
+        ("dashboard_month_unique", "marts", "error", quality.unique(dash, [*keys, MONTH])),
+        ("dashboard_level_accepted", "marts", "error",
+         quality.accepted_values(dash, "recession_risk_level", RISK_LEVELS)),
+        ("summary_latest_not_null", "marts", "error", quality.not_null(summary, "latest_month")),
+        ("summary_level_accepted", "marts", "error",
+         quality.accepted_values(summary, "current_risk_level", RISK_LEVELS)),
+    ]
+    if raw is not None and now is not None:
+        tests.append(("observations_freshness", "raw", "warn",
+                      quality.freshness_violations(raw, "ingested_at", now)))
+    return tests
+
+
 def tests_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
-    """Data tests over staging, intermediate and marts; failing rows are stored.
+    """Data tests over raw, staging, intermediate and marts, as one suite.
 
-    Returns the report (test, n_failed); raises if any test fails.
+    Returns the report (test_name, layer, severity, n_failed); failing rows of
+    each failing test are stored under ``dq_failures``; raises if a test of
+    severity ``error`` fails (``warn`` only reports).
     """
     keys = list(cfg.keys)
-    staged = _read(spark, cfg, "staging", "observations")
-    wide = _read(spark, cfg, "intermediate", "indicators_wide")
-    sig = _read(spark, cfg, "intermediate", "recession_signals")
-    dash = tables.read_current(spark, cfg.root, "marts", "economic_dashboard")
-    summary = tables.read_current(spark, cfg.root, "marts", "indicator_summary")
-    checks = {
-        "staging_observation_id_unique": quality.unique(staged, "observation_id"),
-        "staging_series_accepted": quality.accepted_values(staged, "series_id", [s.series_id for s in cfg.specs]),
-        "staging_value_not_null": quality.not_null(staged, "value"),
-        "intermediate_month_unique": quality.unique(wide, [*keys, MONTH]),
-        "signals_level_accepted": quality.accepted_values(sig, "recession_risk_level", RISK_LEVELS),
-        "sahm_rule_value_in_range": quality.in_range(sig, "sahm_rule_value", 0, 10),
-        "staging_to_intermediate_row_count": quality.staging_reconcile(staged, wide).filter("failed"),
-        "mart_month_unique": quality.unique(dash, [*keys, MONTH]),
-        "summary_latest_not_null": quality.not_null(summary, "latest_month"),
-        "summary_level_accepted": quality.accepted_values(summary, "current_risk_level", RISK_LEVELS),
-    }
-    rows, failed = [], []
-    for name, violations in checks.items():
-        n = violations.count()
-        rows.append((name, n))
-        if n:
-            quality.write_failures(violations, cfg.root, name)
-            failed.append(name)
-    report = spark.createDataFrame(rows, "test_name string, n_failed long")
-    if failed:
-        raise LayerFailed("data tests failed: " + ", ".join(failed))
-    return report
+    raw_path = _raw(spark, cfg, "observations")
+    raw = spark.read.parquet(raw_path) if tables.exists(spark, raw_path) else None
+    tests = data_tests(_read(spark, cfg, "staging", "observations"),
+                       _read(spark, cfg, "intermediate", "indicators_wide"),
+                       _read(spark, cfg, "intermediate", "recession_signals"),
+                       tables.read_current(spark, cfg.root, "marts", "economic_dashboard"),
+                       tables.read_current(spark, cfg.root, "marts", "indicator_summary"),
+                       raw, cfg.specs, keys, cfg.now)
+    report = quality.suite(tests)
+    rows = report.collect()                      # one row per test
+    by_name = {name: violations for name, _, _, violations in tests}
+    failed = [r for r in rows if r.n_failed]
+    for r in failed:
+        quality.write_failures(by_name[r.test_name], cfg.root, r.test_name)
+    errors = [r.test_name for r in failed if r.severity == "error"]
+    if errors:
+        raise LayerFailed("data tests failed: " + ", ".join(errors))
+    return spark.createDataFrame(rows, report.schema)
 
 
 _LAYERS = {"load": load_layer, "staging": staging_layer, "intermediate": intermediate_layer,

@@ -163,6 +163,47 @@ def _panelable(entity=None) -> dict[str, str]:
     }
 
 
+def _dq_suite() -> str:
+    levels = "('LOW', 'MODERATE', 'ELEVATED', 'HIGH')"
+    tests = [
+        ("observation_id_unique", "staging", "SELECT observation_id FROM staged WHERE observation_id IS NOT NULL "
+                                             "GROUP BY observation_id HAVING count(*) > 1"),
+        ("observation_id_not_null", "staging", "SELECT 1 FROM staged WHERE observation_id IS NULL"),
+        ("series_id_accepted", "staging", f"SELECT 1 FROM staged WHERE series_id NOT IN ({_IDS})"),
+        ("series_id_not_null", "staging", "SELECT 1 FROM staged WHERE series_id IS NULL"),
+        ("observation_date_not_null", "staging", "SELECT 1 FROM staged WHERE observation_date IS NULL"),
+        ("value_not_null", "staging", "SELECT 1 FROM staged WHERE value IS NULL"),
+        ("wide_month_unique", "intermediate", "SELECT observation_month FROM wide "
+                                              "GROUP BY observation_month HAVING count(*) > 1"),
+        ("wide_month_not_null", "intermediate", "SELECT 1 FROM wide WHERE observation_month IS NULL"),
+        ("signals_month_unique", "intermediate", "SELECT observation_month FROM signals "
+                                                 "GROUP BY observation_month HAVING count(*) > 1"),
+        ("signals_level_accepted", "intermediate", f"SELECT 1 FROM signals WHERE recession_risk_level NOT IN {levels}"),
+        ("sahm_rule_value_in_range", "intermediate", "SELECT 1 FROM signals WHERE sahm_rule_value IS NOT NULL "
+                                                     "AND (sahm_rule_value < 0 OR sahm_rule_value > 10)"),
+        ("staging_to_intermediate_row_count", "intermediate",
+         "SELECT 1 FROM (SELECT (SELECT count(DISTINCT observation_date) FROM staged WHERE series_id = 'UNRATE') AS e, "
+         "(SELECT count(*) FROM wide) AS a) WHERE a = 0 OR a > e * 1.1 OR a < e * 0.5"),
+        ("dashboard_month_unique", "marts", "SELECT observation_month FROM dash "
+                                            "GROUP BY observation_month HAVING count(*) > 1"),
+        ("dashboard_level_accepted", "marts", f"SELECT 1 FROM dash WHERE recession_risk_level NOT IN {levels}"),
+        ("summary_latest_not_null", "marts", "SELECT 1 FROM summ WHERE latest_month IS NULL"),
+        ("summary_level_accepted", "marts", f"SELECT 1 FROM summ WHERE current_risk_level NOT IN {levels}"),
+        ("observations_freshness", "raw",
+         f"SELECT 1 FROM (SELECT (epoch_us(TIMESTAMP '{FRESHNESS_NOW}') - epoch_us(max(ingested_at))) / 3.6e9 AS h "
+         "FROM raw) WHERE h IS NULL OR h > 48"),
+    ]
+    parts = [f"SELECT '{name}' AS test_name, '{layer}' AS layer, "
+             f"'{'warn' if layer == 'raw' else 'error'}' AS severity, (SELECT count(*) FROM ({q})) AS n_failed"
+             for name, layer, q in tests]
+    staged = """,
+    staged AS (SELECT md5(concat_ws('-', coalesce(CAST(series_id AS VARCHAR), '_null_'),
+                                         coalesce(CAST(observation_date AS VARCHAR), '_null_'))) AS observation_id,
+                      series_id, observation_date, value FROM obs WHERE value IS NOT NULL),
+    summ AS (""" + O.summary_sql().replace("\n", "\n  ") + "),"
+    return (O.dash_ctes() + staged + O.raw_revisions_cte() + "\n" + "\nUNION ALL ".join(parts))
+
+
 def ORACLE() -> dict[str, str]:
     rev = f"WITH {O.raw_revisions_cte()}"
     staged = f"WITH {O.staged_revisions_cte()}"
@@ -277,6 +318,7 @@ FROM events ORDER BY ts DESC, event_id DESC LIMIT 20""",
         nn = "".join(f" AND {x} IS NOT NULL" for x in CHART_DROP_NULL.get(c, ()))
         out[f"chart_{c}"] = _dash_q(f"SELECT observation_month, {', '.join(cols)} FROM dash "
                                     f"WHERE observation_month >= DATE '{RANGE_FROM}'{nn}")
+    out["dq_suite"] = _dq_suite()
     out.update(_panelable())
     out.update({f"panel_{k}": v for k, v in _panelable("priority").items()})
     return out
