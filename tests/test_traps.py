@@ -327,3 +327,13 @@ def test_suite_one_row_per_test(spark):
     got = {r.test_name: (r.layer, r.severity, r.n_failed) for r in rep.collect()}
     assert got == {"k_unique": ("staging", "error", 1), "level_ok": ("marts", "warn", 1),
                    "k_nn": ("staging", "error", 0)}
+
+
+def test_suite_folds_row_checks_of_one_table(spark):
+    df = spark.createDataFrame([(1, "LOW"), (None, "BAD")], "k int, level string")
+    rep = quality.suite([("k_nn", "staging", "error", df, quality.null_rows("k")),
+                         ("lvl", "staging", "error", df, quality.outside("level", ["LOW"]))])
+    assert {r.test_name: r.n_failed for r in rep.collect()} == {"k_nn": 1, "lvl": 1}
+    p = rep._jdf.queryExecution().executedPlan().toString()
+    assert p.count("Scan ExistingRDD") == 1       # one pass over the table for both tests
+    assert quality.violations_of(("lvl", "staging", "error", df, quality.outside("level", ["LOW"]))).count() == 1

@@ -115,19 +115,53 @@ def write_failures(violations: DataFrame, root: str, test_name: str) -> str:
 def suite(checks) -> DataFrame:
     """Run many tests as one job: one row per test (test_name, layer, severity, n_failed).
 
-    ``checks``: iterable of (test_name, layer, severity, violations DataFrame).
-    Each test contributes a one-row count, and the counts are unioned, so the
-    whole suite is a single action with one row per test on the driver.
+    ``checks``: tuples ``(test_name, layer, severity, violations)`` for tests
+    that need their own grouping (uniqueness, reconciliation), or
+    ``(test_name, layer, severity, table, predicate)`` for row-level tests.
+    Row-level tests on the same table are folded into a single aggregate
+    (one pass over the table, one ``count_if`` per test); all counts are then
+    unioned, so the suite is one action returning one row per test.
     """
-    out = None
-    for name, layer, severity, violations in checks:
-        row = violations.agg(F.count(F.lit(1)).alias("n_failed")).select(
-            F.lit(name).alias("test_name"), F.lit(layer).alias("layer"),
-            F.lit(severity).alias("severity"), "n_failed")
-        out = row if out is None else out.unionByName(row)
+    parts, by_table = [], {}
+    for check in checks:
+        name, layer, severity, df, *pred = check
+        if pred:
+            by_table.setdefault(id(df), (df, []))[1].append((name, layer, severity, pred[0]))
+        else:
+            parts.append(df.agg(F.count(F.lit(1)).alias("n_failed")).select(
+                F.lit(name).alias("test_name"), F.lit(layer).alias("layer"),
+                F.lit(severity).alias("severity"), "n_failed"))
+    for df, tests in by_table.values():
+        rows = F.array(*[F.struct(F.lit(n).alias("test_name"), F.lit(l).alias("layer"),
+                                  F.lit(s).alias("severity"),
+                                  F.count_if(F.coalesce(p, F.lit(False))).alias("n_failed"))
+                         for n, l, s, p in tests])
+        parts.append(df.agg(rows.alias("_r")).select(F.inline("_r")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 
+def violations_of(check) -> DataFrame:
+    """The failing rows of a suite check."""
+    name, layer, severity, df, *pred = check
+    return df.filter(F.coalesce(pred[0], F.lit(False))) if pred else df
+
+
+def null_rows(col: str) -> Column:
+    return F.col(col).isNull()
+
+
+def outside(col: str, values) -> Column:
+    return ~F.col(col).isin(list(values))
+
+
+def out_of_range(col: str, lo, hi) -> Column:
+    c = F.col(col)
+    return c.isNotNull() & ((c < F.lit(lo)) | (c > F.lit(hi)))
+
+
 def freshness_violations(df: DataFrame, col: str, now, warn_hours: float = 48,
                          error_hours: float = 96) -> DataFrame:
     """The freshness result as a test: one row when the newest load is older than the warn age."""

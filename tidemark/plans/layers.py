@@ -129,33 +129,35 @@ def marts_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
 
 def data_tests(staged: DataFrame, wide: DataFrame, sig: DataFrame, dash: DataFrame, summary: DataFrame,
                raw: DataFrame | None, specs, keys, now=None) -> list[tuple]:
-    """The data tests of every layer: (test_name, layer, severity, violations)."""
+    """The data tests of every layer, as ``quality.suite`` checks.
+
+    Row-level tests carry (table, predicate) so the suite folds all tests of
+    one table into one pass; uniqueness and reconciliation carry their own
+    violation frames.
+    """
+    Q = quality
     ids = [s.series_id for s in specs]
     tests = [
-        ("observation_id_unique", "staging", "error", quality.unique(staged, "observation_id")),
-        ("observation_id_not_null", "staging", "error", quality.not_null(staged, "observation_id")),
-        ("series_id_accepted", "staging", "error", quality.accepted_values(staged, "series_id", ids)),
-        ("series_id_not_null", "staging", "error", quality.not_null(staged, "series_id")),
-        ("observation_date_not_null", "staging", "error", quality.not_null(staged, "observation_date")),
-        ("value_not_null", "staging", "error", quality.not_null(staged, "value")),
-        ("wide_month_unique", "intermediate", "error", quality.unique(wide, [*keys, MONTH])),
-        ("wide_month_not_null", "intermediate", "error", quality.not_null(wide, MONTH)),
-        ("signals_month_unique", "intermediate", "error", quality.unique(sig, [*keys, MONTH])),
-        ("signals_level_accepted", "intermediate", "error",
-         quality.accepted_values(sig, "recession_risk_level", RISK_LEVELS)),
-        ("sahm_rule_value_in_range", "intermediate", "error", quality.in_range(sig, "sahm_rule_value", 0, 10)),
+        ("observation_id_unique", "staging", "error", Q.unique(staged, "observation_id")),
+        ("observation_id_not_null", "staging", "error", staged, Q.null_rows("observation_id")),
+        ("series_id_accepted", "staging", "error", staged, Q.outside("series_id", ids)),
+        ("series_id_not_null", "staging", "error", staged, Q.null_rows("series_id")),
+        ("observation_date_not_null", "staging", "error", staged, Q.null_rows("observation_date")),
+        ("value_not_null", "staging", "error", staged, Q.null_rows("value")),
+        ("wide_month_unique", "intermediate", "error", Q.unique(wide, [*keys, MONTH])),
+        ("wide_month_not_null", "intermediate", "error", wide, Q.null_rows(MONTH)),
+        ("signals_month_unique", "intermediate", "error", Q.unique(sig, [*keys, MONTH])),
+        ("signals_level_accepted", "intermediate", "error", sig, Q.outside("recession_risk_level", RISK_LEVELS)),
+        ("sahm_rule_value_in_range", "intermediate", "error", sig, Q.out_of_range("sahm_rule_value", 0, 10)),
         ("staging_to_intermediate_row_count", "intermediate", "error",
-         quality.staging_reconcile(staged, wide).filter("failed")),
-        ("dashboard_month_unique", "marts", "error", quality.unique(dash, [*keys, MONTH])),
-        ("dashboard_level_accepted", "marts", "error",
-         quality.accepted_values(dash, "recession_risk_level", RISK_LEVELS)),
-        ("summary_latest_not_null", "marts", "error", quality.not_null(summary, "latest_month")),
-        ("summary_level_accepted", "marts", "error",
-         quality.accepted_values(summary, "current_risk_level", RISK_LEVELS)),
+         Q.staging_reconcile(staged, wide).filter("failed")),
+        ("dashboard_month_unique", "marts", "error", Q.unique(dash, [*keys, MONTH])),
+        ("dashboard_level_accepted", "marts", "error", dash, Q.outside("recession_risk_level", RISK_LEVELS)),
+        ("summary_latest_not_null", "marts", "error", summary, Q.null_rows("latest_month")),
+        ("summary_level_accepted", "marts", "error", summary, Q.outside("current_risk_level", RISK_LEVELS)),
     ]
     if raw is not None and now is not None:
-        tests.append(("observations_freshness", "raw", "warn",
-                      quality.freshness_violations(raw, "ingested_at", now)))
+        tests.append(("observations_freshness", "raw", "warn", Q.freshness_violations(raw, "ingested_at", now)))
     return tests
 
 
@@ -177,10 +179,10 @@ def tests_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
                        raw, cfg.specs, keys, cfg.now)
     report = quality.suite(tests)
     rows = report.collect()                      # one row per test
-    by_name = {name: violations for name, _, _, violations in tests}
+    by_name = {t[0]: t for t in tests}
     failed = [r for r in rows if r.n_failed]
     for r in failed:
-        quality.write_failures(by_name[r.test_name], cfg.root, r.test_name)
+        quality.write_failures(quality.violations_of(by_name[r.test_name]), cfg.root, r.test_name)
     errors = [r.test_name for r in failed if r.severity == "error"]
     if errors:
         raise LayerFailed("data tests failed: " + ", ".join(errors))
