@@ -11,6 +11,8 @@ row per (entity, month) and map task. The forward fill is then one window per
 entity over those rows. Months that exist only on the calendar carry no value,
 so filling over the data rows, with values outside [start, as_of] masked, gives
 the same result as filling over a generated month spine and joining back.
+
+SURVEY §2: F1-F5, P3-P5, P9, A1, W3, W4, J1-J3, J8, M3.
 """
 
 from __future__ import annotations

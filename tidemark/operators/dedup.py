@@ -1,4 +1,7 @@
-"""Latest-load-wins dedup and the two staging models."""
+"""Latest-load-wins dedup and the two staging models.
+
+SURVEY §2: W1, W2, P1, P2, F12, M1, M2.
+"""
 
 from __future__ import annotations
 

@@ -3,6 +3,8 @@
 All steps are keyed joins and aggregates over the whole batch (one job for
 all series), not a per-series driver loop. A bad series is quarantined with a
 left-anti join, so it never blocks the others.
+
+SURVEY §2: S4, S8-S14, J7, P17, A4, A10, A11, F13-F15.
 """
 
 from __future__ import annotations

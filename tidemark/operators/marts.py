@@ -1,4 +1,7 @@
-"""Dashboard mart (one row per entity-month) and the indicator summary."""
+"""Dashboard mart (one row per entity-month) and the indicator summary.
+
+SURVEY §2: J4, J5, P6-P8, P13, A2, A3, M6, M7.
+"""
 
 from __future__ import annotations
 

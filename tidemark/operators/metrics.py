@@ -3,6 +3,8 @@
 Every window is keyed by the entity columns and ordered by month, so Spark
 plans one hash exchange on the keys and evaluates all lags and frames of the
 same spec in one Window node. Lags are positional (rows), like the reference.
+
+SURVEY §2: W5-W8, F7, F8, F11, M4.
 """
 
 from __future__ import annotations

@@ -1,5 +1,8 @@
 """Data-quality checks. Each returns the violating rows (a test passes on 0 rows),
-and ``check_report`` folds many row-level checks on one table into one pass."""
+and ``check_report`` folds many row-level checks on one table into one pass.
+
+SURVEY §2: D1-D11, A5, A6, A12, J6, P15, P16.
+"""
 
 from __future__ import annotations
 

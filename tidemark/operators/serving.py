@@ -3,6 +3,8 @@
 Ranges are month predicates that reach the Parquet scan when the mart is
 read from storage; "latest" picks are ``max_by`` aggregates per entity, so
 nothing is sliced on the driver.
+
+SURVEY §2: V1-V13, P10-P12, A7-A9, F17, F20, O2-O4.
 """
 
 from __future__ import annotations

@@ -1,4 +1,7 @@
-"""Recession-warning signals and the composite risk level (pure projections)."""
+"""Recession-warning signals and the composite risk level (pure projections).
+
+SURVEY §2: G1-G7, P14, F9, F10, M5.
+"""
 
 from __future__ import annotations
 

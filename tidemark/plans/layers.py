@@ -8,6 +8,8 @@ and a lost executor never recomputes from raw. ``RunConfig.views=True`` keeps
 staging and intermediate as temp views (the modelled layout). Marts are
 written, audited, then published. The summary reads the *written* dashboard.
 A failing layer stops the run.
+
+SURVEY §2: S12, S16, S19, D10, and the data tests of §2.10.
 """
 
 from __future__ import annotations

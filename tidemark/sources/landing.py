@@ -3,6 +3,8 @@
 The HTTP client of the modelled loader is replaced by files landed in a
 folder (e.g. by any fetcher); Spark reads them with a fixed schema, one file
 per task, and takes the series id from the file name.
+
+SURVEY §2: S1-S3, F5, F16.
 """
 
 from __future__ import annotations

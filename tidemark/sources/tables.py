@@ -4,6 +4,8 @@ Layout: ``<root>/<layer>/<name>`` as Parquet. Views are temp views (recomputed
 on read, like the staging/intermediate layers); tables are written (marts).
 Every write goes to a fresh path first, so a job never reads its own output
 and a lost executor only re-runs tasks of a written stage.
+
+SURVEY §2: S5, S7, S9 (stored), S16, S18, F18, U1 (counts).
 """
 
 from __future__ import annotations

@@ -7,6 +7,8 @@ it replaces the high-watermark lookup; revised observations still win by
 "latest load" in staging. ``trigger(availableNow=True)`` makes the daily run a
 bounded job that stops when the folder is drained. The upsert is idempotent,
 so a replayed micro-batch after a failure gives the same table.
+
+SURVEY §2.12.
 """
 
 from __future__ import annotations
