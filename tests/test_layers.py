@@ -167,3 +167,20 @@ def test_replayed_micro_batch_changes_nothing(spark, workdir, econ_rows):
 def fx_specs():
     from tidemark.schemas import DEFAULT_SERIES
     return DEFAULT_SERIES
+
+
+def test_run_layers_as_views_with_two_series(spark, workdir, econ_rows):
+    from tidemark.schemas import DEFAULT_SERIES
+
+    specs = [s for s in DEFAULT_SERIES if s.series_id in ("UNRATE", "CPIAUCSL")]
+    land = os.path.join(workdir, "two-series")
+    write_payloads(land, [r for r in econ_rows if r.series_id in ("UNRATE", "CPIAUCSL")])
+    root = os.path.join(workdir, "views-wh")
+    cfg = RunConfig(root=root, landing_obs=land, specs=specs, start=fx.SPINE_START, load_start="1990-01-01",
+                    as_of=fx.AS_OF, thresholds=catalog.FIX_T, now=NOW1, run_id="v-1", views=True)
+    out = run_layers(spark, cfg, ["load", "staging", "intermediate", "marts"])
+    dash = out["marts"]
+    assert dash.count() > 0 and len(dash.columns) == 27
+    assert dash.filter("gdp IS NOT NULL OR treasury_spread_10y2y IS NOT NULL").count() == 0
+    assert spark.catalog.tableExists("staging__observations")        # the view layout
+    assert not os.path.exists(os.path.join(root, "staging"))          # nothing written for views
