@@ -60,6 +60,12 @@ def dedup_latest_observation(spark, sf_dir):
     return dedup.stage_observations(raw, tie_break=[F.col("event_id").desc()])
 
 
+def dedup_hot_keys(spark, sf_dir):
+    """Latest load per key when each series holds a third of all loads."""
+    raw = fx.hot_key_loads(spark, sf_dir)
+    return dedup.stage_observations(raw, tie_break=[F.col("l_orderkey").desc(), F.col("l_linenumber").desc()])
+
+
 def dedup_latest_metadata(spark, sf_dir):
     raw = fx.metadata_loads(spark, sf_dir)
     return dedup.stage_metadata(raw, tie_break=[F.col("o_orderkey").desc()])
@@ -355,7 +361,7 @@ _PANEL_VARIANTS = (monthly_pivot, gdp_forward_fill, month_end_daily, monthly_wid
                    observation_counts, completeness_24m, kpi_table, current_risk, signal_status,
                    month_bounds)
 
-_PLAIN = (dedup_latest_observation, dedup_latest_metadata, clean_missing_marker, series_watermark,
+_PLAIN = (dedup_latest_observation, dedup_hot_keys, dedup_latest_metadata, clean_missing_marker, series_watermark,
           upsert_result, upsert_recent_batch, replace_by_key_result, load_batch, malformed_split, load_log, run_summary,
           raw_row_counts, month_spine, *_PANEL_VARIANTS, supplier_economic_dashboard,
           dq_unique, dq_not_null, dq_accepted_values, dq_range, dq_row_reconcile, dq_freshness,

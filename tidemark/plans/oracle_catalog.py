@@ -217,6 +217,19 @@ def ORACLE() -> dict[str, str]:
 
     out = {
         "dedup_latest_observation": staged + "\nSELECT * FROM staged",
+        "dedup_hot_keys": """WITH raw AS (
+      SELECT l_returnflag AS series_id, CAST(date_trunc('month', CAST(l_shipdate AS DATE)) AS DATE) AS observation_date,
+             CASE WHEN l_discount = 0 THEN NULL ELSE l_extendedprice END AS value, l_shipdate AS ingested_at,
+             'lineitem/' || CAST(l_orderkey AS VARCHAR) || '/' || CAST(l_linenumber AS VARCHAR) AS source_url,
+             l_orderkey, l_linenumber
+      FROM lineitem)
+SELECT md5(concat_ws('-', coalesce(CAST(series_id AS VARCHAR), '_null_'),
+                          coalesce(CAST(observation_date AS VARCHAR), '_null_'))) AS observation_id,
+       series_id, observation_date, value, ingested_at, source_url
+FROM (SELECT *, row_number() OVER (PARTITION BY series_id, observation_date
+                                    ORDER BY ingested_at DESC NULLS FIRST, l_orderkey DESC, l_linenumber DESC) AS rn
+      FROM raw)
+WHERE rn = 1 AND value IS NOT NULL""",
         "dedup_latest_metadata": f"""WITH {_META}
 SELECT series_id, title AS series_title, frequency AS data_frequency, units AS measurement_units,
        seasonal_adj AS seasonal_adjustment, last_updated AS source_last_updated, ingested_at

@@ -166,6 +166,22 @@ def revision_split(spark: SparkSession, sf_dir: str, target_before: str = REV_TA
     return target.drop("event_id"), batch.drop("event_id")
 
 
+def hot_key_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw loads with hot keys, from lineitem: three series (return flags, each
+    holding a third of all rows), one key per ship month, thousands of loads
+    per key. A zero discount makes the load's value NULL (a retraction when it
+    is the latest). Tie-break columns: l_orderkey, l_linenumber (DESC)."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_returnflag").alias("series_id"),
+        F.trunc(F.to_date("l_shipdate"), "MM").alias("observation_date"),
+        F.when(F.col("l_discount") == 0, F.lit(None).cast("double")).otherwise(F.col("l_extendedprice")).alias("value"),
+        F.col("l_shipdate").alias("ingested_at"),
+        F.concat_ws("/", F.lit("lineitem"), F.col("l_orderkey").cast("string"),
+                    F.col("l_linenumber").cast("string")).alias("source_url"),
+        "l_orderkey", "l_linenumber")
+
+
 def metadata_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX-META: metadata reloads from orders; tie-break column ``o_orderkey`` (DESC)."""
     o = table(spark, sf_dir, "orders")
