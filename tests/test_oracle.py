@@ -29,3 +29,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns[0] == "observation_month" and len(df.columns) == 27
+
+
+@pytest.mark.parametrize("key", ["economic_dashboard", "dq_freshness", "load_log", "dedup_latest_observation"])
+def test_results_do_not_depend_on_session_time_zone(spark, key):
+    fn = E.queries()[key]
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        utc = sorted(map(repr, fn(spark, SF_SMOKE).collect()))
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        la = sorted(map(repr, fn(spark, SF_SMOKE).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", tz)
+    assert utc == la
