@@ -41,7 +41,9 @@ def stage_observations(raw: DataFrame, tie_break: Sequence[Column] = (),
     """Staged observations: latest load per ([entity keys,] series_id, observation_date),
     NULL values retracted. The surrogate key hashes the same columns."""
     key_cols = [*keys, "series_id", "observation_date"]
-    picked = latest_per_key(raw, key_cols, latest_load_order(tie_break),
+    # same key set, date first: the sort before the partial WindowGroupLimit
+    # then gets an integer prefix instead of a low-cardinality string
+    picked = latest_per_key(raw, ["observation_date", *keys, "series_id"], latest_load_order(tie_break),
                             keep=F.col("value").isNotNull())
     return picked.select(
         surrogate_key(*key_cols).alias("observation_id"),
