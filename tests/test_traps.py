@@ -337,3 +337,13 @@ def test_suite_folds_row_checks_of_one_table(spark):
     p = rep._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert p.count("Scan ExistingRDD") == 1       # one pass over the table for both tests
     assert quality.violations_of(("lvl", "staging", "error", df, quality.outside("level", ["LOW"]))).count() == 1
+
+
+def test_over_long_series_id_fails_only_its_series(spark):
+    long_id = "X" * 21
+    land = spark.createDataFrame([("A", D(2024, 1, 1), "1"), (long_id, D(2024, 1, 1), "2")],
+                                 "series_id string, observation_date date, raw_value string")
+    dim = spark.createDataFrame([("A",), (long_id,)], "series_id string")
+    batch, log = load.run_load(land, dim, now="2024-02-01 00:00:00", run_id="r")
+    assert {r.series_id: r.status for r in log.collect()} == {"A": "SUCCESS", long_id: "FAILED"}
+    assert [r.series_id for r in batch.collect()] == ["A"]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import is_bad_value, parse_value, truncate_text
-from ..schemas import DEFAULT_SERIES, DEFAULT_START_DATE, SeriesSpec
+from ..schemas import DEFAULT_SERIES, DEFAULT_START_DATE, MAX_LENGTHS, SeriesSpec
 
 OBS_KEYS = ("series_id", "observation_date")
 SOURCE_URL_BASE = "landing://series/observations?series_id="
@@ -121,13 +121,16 @@ def run_load(landing: DataFrame, dim: DataFrame, target: DataFrame | None = None
     rows = (landing.join(per_series_side(starts), "series_id")
                    .filter(date.isNull() | (date >= F.col("start_date")))   # NULL = unparseable date
                    .drop("start_date"))
-    bad_row = is_bad_value("raw_value") | date.isNull()
+    # a row the raw table contract rejects (bad number, bad date, over-long id) fails its series
+    max_id = MAX_LENGTHS["observations"]["series_id"]
+    bad_row = is_bad_value("raw_value") | date.isNull() | (F.length("series_id") > F.lit(max_id))
     # counts are a hash aggregate over all rows; the sample bad text (a string,
     # which needs a sort-based aggregate) is taken from the bad rows only
     counts = rows.groupBy("series_id").agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(bad_row).alias("_bad"))
     bad_text = (rows.filter(bad_row)
                     .groupBy("series_id").agg(F.min(F.when(date.isNull(), F.lit("<bad date>"))
+                                                    .when(F.length("series_id") > F.lit(max_id), F.lit("<series id too long>"))
                                                     .otherwise(F.col("raw_value"))).alias("_bad_text")))
     status = (dim.select("series_id").join(counts, "series_id", "left")
                  .join(bad_text, "series_id", "left"))

@@ -23,9 +23,12 @@ _META = """
 
 _LOG = f"""WITH {O.landing_text_cte()},
     {_DIM},
-    per AS (SELECT series_id, count(*) AS n, count(*) FILTER (WHERE is_bad) AS nbad,
-                   min(raw_value) FILTER (WHERE is_bad) AS bad_text
-            FROM parsed WHERE observation_date >= DATE '{DEFAULT_START_DATE}' GROUP BY series_id),
+    per AS (SELECT series_id, count(*) AS n, count(*) FILTER (WHERE bad_row) AS nbad,
+                   min(CASE WHEN observation_date IS NULL THEN '<bad date>'
+                            WHEN length(series_id) > 20 THEN '<series id too long>'
+                            ELSE raw_value END) FILTER (WHERE bad_row) AS bad_text
+            FROM (SELECT *, (is_bad OR observation_date IS NULL OR length(series_id) > 20) AS bad_row FROM parsed)
+            WHERE observation_date IS NULL OR observation_date >= DATE '{DEFAULT_START_DATE}' GROUP BY series_id),
     st AS (SELECT d.series_id, per.n, per.bad_text, coalesce(per.nbad, 0) > 0 AS failed
            FROM dim d LEFT JOIN per ON d.series_id = per.series_id),
     logq AS (
@@ -38,8 +41,10 @@ _LOG = f"""WITH {O.landing_text_cte()},
       FROM st)"""
 
 _FAILED = f"""WITH {O.landing_text_cte()},
-    failed AS (SELECT series_id FROM parsed WHERE observation_date >= DATE '{DEFAULT_START_DATE}'
-               GROUP BY series_id HAVING count(*) FILTER (WHERE is_bad) > 0)"""
+    failed AS (SELECT series_id FROM parsed
+               WHERE observation_date IS NULL OR observation_date >= DATE '{DEFAULT_START_DATE}'
+               GROUP BY series_id
+               HAVING count(*) FILTER (WHERE is_bad OR observation_date IS NULL OR length(series_id) > 20) > 0)"""
 
 
 def _k(entity):
