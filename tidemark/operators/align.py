@@ -50,9 +50,7 @@ def monthly_values(obs: DataFrame, specs: Sequence[SeriesSpec] = DEFAULT_SERIES,
     sid = F.col("series_id")
     ids = [s.series_id for s in specs]
     monthly_ids = [s.series_id for s in specs if s.align == AS_IS]
-    src = (obs.filter(sid.isin(ids))
-              .select(*keys, "series_id", "observation_date", "value",
-                      month_of("observation_date").alias(MONTH)))
+    src = obs.filter(sid.isin(ids))
     aggs = []
     for s in _ordered(specs):
         if s.align == AS_IS:
@@ -62,7 +60,7 @@ def monthly_values(obs: DataFrame, specs: Sequence[SeriesSpec] = DEFAULT_SERIES,
                                  F.when(sid == s.series_id, F.col("observation_date")))
                         .alias(s.column))
     aggs.append(F.count(F.when(sid.isin(monthly_ids), F.lit(1))).alias(_HAS_MONTHLY))
-    return src.groupBy(*keys, MONTH).agg(*aggs)
+    return src.groupBy(*keys, month_of("observation_date").alias(MONTH)).agg(*aggs)
 
 
 def fill_forward(values: DataFrame, columns: Sequence[str], keys: Sequence[str],
