@@ -69,10 +69,8 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin",          # cross joi
 
 
 def test_no_cross_join_and_no_python_in_any_registered_query(spark):
-    import __spark_entry__ as E
-
     bad = {}
-    for key, fn in E.queries().items():
+    for key, fn in catalog.queries().items():
         p = plan(fn(spark, SF_SMOKE))
         hits = [f for f in FORBIDDEN if f in p]
         if hits:
