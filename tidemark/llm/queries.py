@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_cnn, jaccard_join, pfair_mix, quality_rules, sentence_pieces
+from . import (byte_cnn, html_text, jaccard_join, pfair_mix, preference_chat, quality_rules, sentence_pieces,
+               token_files, topk_search, url_rules)
 
 #: Target weights of the mix: the source with a third of all rows is held at 5 of 24 parts.
 MIX_WEIGHTS, MIX_DEFAULT = {"src0": 5}, 1
@@ -32,10 +33,30 @@ def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode(table(spark, sf_dir, "documents"))
 
 
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op5_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference_chat.preferences(table(spark, sf_dir, "conversations"))
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.documents(token_files.write(table(spark, sf_dir, "documents")))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
@@ -101,9 +122,99 @@ FROM judged
 """
 
 
+URL_RULES_SQL = r"""
+WITH p AS (
+  SELECT *, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (
+  SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1) AS after FROM p),
+f AS (
+  SELECT *, regexp_extract(after, '^[^?#]*') AS path, string_split(host, '.') AS l FROM h),
+g AS (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS seg FROM f),
+t AS (
+  SELECT page_id, host, path, CASE WHEN host = '' THEN [] ELSE list_filter([
+    'scheme=' || lower(substr(url, 1, instr(url, '://') - 1)), 'top=' || l[-1],
+    CASE WHEN len(l) > 1 THEN 'site=' || array_to_string(l[-2:], '.') END,
+    CASE WHEN len(l) > 2 THEN 'name=' || array_to_string(l[-3:], '.') END, 'first=' || l[1],
+    'dir=' || lower(seg[1]), CASE WHEN len(seg) > 0 THEN 'ext=' || regexp_extract(seg[-1], '[.]([A-Za-z0-9]{1,5})$', 1) END,
+    'deep=' || least(len(seg), 9), 'key=' || regexp_extract(after, '^[^?#]*[?]([^=&#]*)', 1),
+    CASE WHEN instr(after, '#') > 0 THEN 'fragment=yes' END], lambda x: x IS NOT NULL AND x NOT LIKE '%=') END AS tokens
+  FROM g),
+b AS (
+  SELECT tokens, bad FROM t JOIN (SELECT doc_id AS page_id, max(quality = 0 OR toxic = 1) AS bad FROM labels GROUP BY 1) USING (page_id)),
+n AS (SELECT count(*) AS n, greatest(20, ceil(0.002 * count(*))) AS least FROM b),
+sets AS (
+  SELECT list_sort([tokens[i] FOR i IN range(1, len(tokens) + 1) IF (m >> (i - 1)) & 1 = 1]) AS s, bad
+  FROM (SELECT tokens, bad, unnest(range(1, 1 << len(tokens))) AS m FROM b)),
+mined AS (
+  SELECT s, count(*) FILTER (bad) / count(*) AS confidence, count(*) FILTER (bad) / (SELECT n FROM n) AS support FROM sets GROUP BY s
+  HAVING count(*) FILTER (bad) >= (SELECT least FROM n) AND count(*) FILTER (bad) >= 0.7 * count(*)),
+match AS (
+  SELECT page_id, max((confidence, support, array_to_string(s, ' '))) AS m
+  FROM (SELECT page_id, list_sort([tokens[i] FOR i IN range(1, len(tokens) + 1) IF (m >> (i - 1)) & 1 = 1]) AS s
+        FROM (SELECT page_id, tokens, unnest(range(1, 1 << len(tokens))) AS m FROM t)) JOIN mined USING (s) GROUP BY 1),
+rules AS (SELECT * FROM (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')) AS r(rh, rp, verdict)),
+listed AS (
+  SELECT page_id, max((length(rh || rp), rh || rp, verdict)) AS r FROM t JOIN rules
+    ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY 1)
+SELECT page_id, host, path, r[2] AS rule, coalesce(r[3], CASE WHEN m IS NULL THEN 'allow' ELSE 'block' END) AS verdict, m[3] AS mined
+FROM t LEFT JOIN listed USING (page_id) LEFT JOIN match USING (page_id)
+"""
+
+TOPK_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+             list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+PREFERENCE_SQL = """
+WITH c AS (
+  SELECT conv_id, list({'role': coalesce(role, 'user'), 'text': coalesce(text, '')} ORDER BY turn, role, text) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+placed AS (
+  SELECT *, (row_number() OVER (PARTITION BY turns[1], floor(conv_id / 32) ORDER BY conv_id) - 1) // 2 AS couple FROM c),
+two AS (SELECT list(conv_id ORDER BY len(turns) DESC, conv_id) AS ids FROM placed GROUP BY turns[1], floor(conv_id / 32), couple),
+replies AS (
+  SELECT conv_id, turns, list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant') AS a FROM c),
+stale AS (
+  SELECT conv_id, CASE WHEN len(a) = 0 THEN turns WHEN len(a) = 1 THEN turns[:a[1] - 1]
+                  ELSE list_concat(turns[:a[-1] - 1], [turns[a[-2]]]) END AS turns FROM replies),
+pair AS (
+  SELECT ids[1] AS chosen_id, ids[2] AS rejected_id, x.turns AS c, coalesce(y.turns, s.turns) AS r
+  FROM two JOIN c x ON x.conv_id = ids[1] LEFT JOIN c y ON y.conv_id = ids[2] JOIN stale s ON s.conv_id = ids[1]),
+cut AS (
+  SELECT *, coalesce(list_min(list_filter(range(1, greatest(len(c), len(r)) + 1),
+            lambda i: i > len(c) OR i > len(r) OR c[i] <> r[i])) - 1, len(c))::INT AS n_common FROM pair),
+said AS (
+  SELECT chosen_id, rejected_id, n_common, list_transform(c, lambda x: '<|im_start|>' || x.role || chr(10) || x.text || '<|im_end|>' || chr(10)) AS ct,
+         list_transform(r, lambda x: '<|im_start|>' || x.role || chr(10) || x.text || '<|im_end|>' || chr(10)) AS rt, c, r FROM cut),
+spans AS (
+  SELECT chosen_id, side, string_agg((pos - n + 12 + length(role) + 1) || ':' || (pos - 1), ',' ORDER BY i) FILTER (role = 'assistant') AS mask
+  FROM (SELECT chosen_id, side, i, role, n, sum(n) OVER (PARTITION BY chosen_id, side ORDER BY i)::BIGINT AS pos
+        FROM (SELECT chosen_id, 1 AS side, i, c[i].role AS role, length(ct[i]) AS n
+              FROM (SELECT *, unnest(range(n_common + 1, len(c) + 1)) AS i FROM said)
+              UNION ALL
+              SELECT chosen_id, 2, i, r[i].role, length(rt[i]) FROM (SELECT *, unnest(range(n_common + 1, len(r) + 1)) AS i FROM said)))
+  GROUP BY ALL)
+SELECT chosen_id, rejected_id, n_common, coalesce(array_to_string(ct[:n_common], ''), '') AS prompt,
+       coalesce(array_to_string(ct[n_common + 1:], ''), '') AS chosen, coalesce(a.mask, '') AS chosen_mask,
+       coalesce(array_to_string(rt[n_common + 1:], ''), '') AS rejected, coalesce(b.mask, '') AS rejected_mask
+FROM said LEFT JOIN (SELECT * FROM spans WHERE side = 1) a USING (chosen_id) LEFT JOIN (SELECT * FROM spans WHERE side = 2) b USING (chosen_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_sentence_pieces, op7_byte_cnn, op9_jaccard_join, op10_pfair_mix)}
+    return {f.__name__: f for f in (
+        op1_quality_rules, op2_sentence_pieces, op3_url_rules, op4_topk_search, op5_preference_chat, op6_html_text,
+        op7_byte_cnn, op8_token_files, op9_jaccard_join, op10_pfair_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": QUALITY_RULES_SQL}
+    return {"op1_quality_rules": QUALITY_RULES_SQL, "op3_url_rules": URL_RULES_SQL, "op4_topk_search": TOPK_SQL,
+            "op5_preference_chat": PREFERENCE_SQL}
