@@ -26,8 +26,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: documents that score below the threshold go."""
-    return byte_cnn.keep_rows(docs, table(spark, sf_dir, "labels"))
+    """Operator 7, fitted on the labelled rows of ``documents``: documents that score below the threshold go."""
+    return byte_cnn.keep_rows(docs, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

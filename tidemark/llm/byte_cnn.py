@@ -259,10 +259,14 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame
     return narrow.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
-def keep_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """The rows of ``docs`` that score THRESHOLD or more, with the columns of ``docs``."""
+def keep_rows(docs: DataFrame, labelled: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """The rows of ``docs`` that score THRESHOLD or more, with the columns of ``docs``.
+
+    The network is fitted on the labelled texts of ``labelled``, the documents
+    that the labels were given for (``docs`` may be what earlier stages left of
+    them, without one of the labels)."""
     prepare(docs.sparkSession)
-    p, share = train(docs, labels, rows)
+    p, share = train(labelled, labels, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
