@@ -45,15 +45,13 @@ Params = dict[str, np.ndarray]
 # ------------------------------------------------------------------ chunks
 
 def repeat_channel(raw: np.ndarray) -> np.ndarray:
-    """1 where the four bytes up to here equal the four bytes a lag of LAGS before.
-
-    Texts lie end to end in ``raw``; the callers clear a text's first bytes."""
-    out = np.zeros(len(raw), bool)
+    """1 where the four bytes up to here equal the four bytes a lag of LAGS before (along the last axis)."""
+    out = np.zeros(raw.shape, bool)
     for lag in LAGS:
-        if len(raw) < lag + 4:
+        if raw.shape[-1] < lag + 4:
             break
-        same = raw[lag:] == raw[:-lag]
-        out[lag + 3:] |= same[3:] & same[2:-1] & same[1:-2] & same[:-3]
+        same = raw[..., lag:] == raw[..., :-lag]
+        out[..., lag + 3:] |= same[..., 3:] & same[..., 2:-1] & same[..., 1:-2] & same[..., :-3]
     return out
 
 
@@ -65,10 +63,10 @@ def chunk_texts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     base = int(offsets[0])
     part = raw[base:int(offsets[-1])]
     repeats = repeat_channel(part)
-    head = (start - base)[:, None] + np.arange(LAGS[-1] + 4)
-    head = head[head < (start - base + size)[:, None]]
-    # the first bytes of a text look back into the text before it
-    repeats[head] = False
+    if len(part):  # the first bytes of a text must not look back into the text before it
+        head = (start - base)[:, None] + np.arange(LAGS[-1] + 3)
+        own = head < (start - base + size)[:, None]
+        repeats[head[own]] = repeat_channel(part[np.where(own, head, 0)])[own]
     n = 1 + np.maximum(0, -(-(size - CHUNK) // STEP))
     owner = np.repeat(np.arange(len(size)), n)
     inside = (np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)) * STEP
@@ -76,7 +74,7 @@ def chunk_texts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     real = at < size[owner][:, None]
     at = np.where(real, at + (start - base)[owner][:, None], 0)
     if len(part):
-        codes, rep = np.where(real, part[at], PAD).astype(np.int16), (real & repeats[at])
+        codes, rep = np.where(real, part[at].astype(np.int16), np.int16(PAD)), real & repeats[at]
     else:
         codes, rep = np.full(at.shape, PAD, np.int16), np.zeros(at.shape, bool)
     return codes, rep, owner

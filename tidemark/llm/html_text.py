@@ -225,10 +225,11 @@ def main_text(page: str | None) -> str:
             why = elements[n][2]
             if why == "tag":
                 return True
-            if why and not (held[n] >= MOST * total and n in titled):
-                # a header inside an article keeps its headings
-                if why == "word" or b.tag not in HEADINGS or not any(elements[a][1] in MAIN for a in b.inside):
-                    return True
+            if why == "word" and not (held[n] >= MOST * total and n in titled):
+                return True
+            # a header inside an article keeps its headings
+            if why == "head" and (b.tag not in HEADINGS or not any(elements[a][1] in MAIN for a in b.inside)):
+                return True
         return False
 
     left = [b for b in blocks if not out(b)]

@@ -68,9 +68,9 @@ def period(spark: SparkSession, weights: tuple[int, ...]) -> list[int]:
 def schedule(spark: SparkSession, sources: list[tuple[str, int, int]]) -> DataFrame:
     """The phases for ``sources`` (name, weight, blocks): a row for each phase and source that takes part.
 
-    source, first_block (blocks the source has used before the phase), n_phase
-    (blocks it uses in it), offsets (slots of its blocks within a period),
-    period (slots), first_slot (slots before the phase). At most one phase per
+    __mix_source, __mix_used (blocks the source has used before the phase), __mix_n
+    (blocks it uses in it), __mix_offsets (slots of its blocks within a period),
+    __mix_period (slots), __mix_first (slots before the phase). At most one phase per
     source, and no more offsets in a phase than the weights' total."""
     left = [(s, w, n, 0) for s, w, n in sorted(sources) if n > 0]
     first_slot, rows, known = 0, [], {}
@@ -89,8 +89,8 @@ def schedule(spark: SparkSession, sources: list[tuple[str, int, int]]) -> DataFr
         rows += [(s, b, u, o, total, first_slot) for (s, _, _, b), u, o in zip(left, used, offsets)]
         first_slot += length
         left = [(s, w, n - u, b + u) for (s, w, n, b), u in zip(left, used) if n > u]
-    return spark.createDataFrame(rows, "__mix_source string, first_block long, n_phase long, offsets array<long>, "
-                                       "period long, first_slot long")
+    return spark.createDataFrame(rows, "__mix_source string, __mix_used long, __mix_n long, __mix_offsets array<long>, "
+                                       "__mix_period long, __mix_first long")
 
 
 def place(docs: DataFrame, weights: dict[str, int], default_weight: int = 1, source: str = "source",
@@ -125,10 +125,10 @@ def place(docs: DataFrame, weights: dict[str, int], default_weight: int = 1, sou
     p = F.broadcast(schedule(spark, [(r[0], weights.get(r[0], default_weight), -(-r[1] // block_rows))
                                      for r in per_source]))
     slotted = ranked.join(p, (ranked["__mix_source"] == p["__mix_source"])
-                          & (ranked["__mix_block"] >= p["first_block"])
-                          & (ranked["__mix_block"] < p["first_block"] + p["n_phase"]))
-    slot = F.expr("first_slot + (__mix_block - first_block) div size(offsets) * period"
-                  " + offsets[int((__mix_block - first_block) % size(offsets))]")
+                          & (ranked["__mix_block"] >= p["__mix_used"])
+                          & (ranked["__mix_block"] < p["__mix_used"] + p["__mix_n"]))
+    slot = F.expr("__mix_first + (__mix_block - __mix_used) div size(__mix_offsets) * __mix_period"
+                  " + __mix_offsets[int((__mix_block - __mix_used) % size(__mix_offsets))]")
     return slotted.select(*(ranked[c] for c in ranked.columns), slot.alias("__mix_slot"))
 
 
