@@ -145,9 +145,13 @@ _ROLLS = ("unemployment_rate_3m_avg", "unemployment_rate_12m_avg", "sentiment_3m
 def _panelable(entity=None) -> dict[str, str]:
     k = _k(entity)
     return {
-        "monthly_pivot": _wide_q("SELECT * FROM pivoted", entity),
-        "gdp_forward_fill": _wide_q(f"SELECT {k}observation_month, gdp_value AS gdp FROM gdp_filled", entity),
-        "month_end_daily": _wide_q(f"SELECT {k}observation_month, spread AS treasury_spread_10y2y FROM spread", entity),
+        "monthly_pivot": _wide_q(f"SELECT {k}observation_month, unemployment_rate, cpi_index, fed_funds_rate, consumer_sentiment "
+                                 "FROM by_month", entity),
+        "gdp_forward_fill": _wide_q(O.carried_gdp(entity), entity),
+        "month_end_daily": _wide_q(
+            f"SELECT {k}{O._month('observation_date')} AS observation_month, "
+            "arg_max_null(value, observation_date) AS treasury_spread_10y2y "
+            "FROM obs WHERE series_id = 'T10Y2Y' GROUP BY ALL", entity),
         "monthly_wide": _wide_q("SELECT * FROM wide", entity),
         "mom_yoy_changes": _metric_q(_CHANGES, entity),
         "pct_changes": _metric_q(_PCTS, entity),
