@@ -19,7 +19,7 @@ def test_parse_value_cases(spark):
     # text a strict float parse rejects is bad, even where Spark's cast would accept it
     for bad in ("not_a_number", "1d", "1f", "1_000"):
         assert got[bad] == (None, True), bad
-    assert got[None] == (None, False)   # an absent value is missing, not bad
+    assert got[None] == (None, True)   # an absent value is no missing marker: it fails its series
 
 
 def test_surrogate_key_matches_duckdb_md5(spark):

@@ -30,7 +30,7 @@ def write_payloads(folder, obs_rows, malformed=()):
             json.dump({"observations": items}, f)
     for sid in malformed:
         with open(os.path.join(folder, f"{sid}.json"), "w") as f:
-            json.dump({"error_code": 400, "error_message": "Bad Request"}, f)
+            json.dump({"error_code": 400, "error_message": "no such series"}, f)
 
 
 def write_metadata(folder):
@@ -56,7 +56,7 @@ def test_landing_readers(spark, workdir):
     with open(os.path.join(obs_dir, "B.json"), "w") as f:
         json.dump({"observations": []}, f)
     with open(os.path.join(obs_dir, "C.json"), "w") as f:
-        json.dump({"error_code": 400, "error_message": "Bad Request"}, f)
+        json.dump({"error_code": 400, "error_message": "no such series"}, f)
     rows, bad = landing.read_observation_landing(spark, obs_dir)
     assert sorted((r.series_id, str(r.observation_date), r.raw_value) for r in rows.collect()) == [
         ("A", "2024-01-01", "3.7"), ("A", "2024-02-01", ".")]
@@ -103,7 +103,7 @@ def test_run_layers_matches_registered_dashboard(spark, workdir, econ_rows):
     assert [m.series_id for m in meta] == ["UNRATE"]
 
     # incremental run: one revised UNRATE value on the watermark date, CPI payload malformed
-    raw = spark.read.parquet(os.path.join(root, "raw", "observations"))
+    raw = tables.read_observations(spark, os.path.join(root, "raw", "observations"))
     last = raw.filter("series_id = 'UNRATE'").agg(F.max("observation_date")).first()[0]
     obs2 = os.path.join(workdir, "landing2")
     revised = [r for r in econ_rows if r.series_id == "UNRATE" and r.observation_date >= last]
@@ -114,7 +114,7 @@ def test_run_layers_matches_registered_dashboard(spark, workdir, econ_rows):
                      thresholds=catalog.FIX_T, now=NOW2, run_id="run-2", incremental=True)
     with pytest.raises(load.LoadFailed):
         run_layers(spark, cfg2, ["load"])
-    raw = spark.read.parquet(os.path.join(root, "raw", "observations"))
+    raw = tables.read_observations(spark, os.path.join(root, "raw", "observations"))
     row = raw.filter((F.col("series_id") == "UNRATE") & (F.col("observation_date") == last)).collect()
     assert len(row) == 1 and row[0].value == 99.0
     assert raw.count() == len(econ_rows)           # revision updated in place, nothing duplicated
@@ -133,15 +133,15 @@ def test_streaming_incremental_load(spark, workdir, econ_rows):
     ckpt = os.path.join(workdir, "stream-ckpt")
     q = start_incremental_load(spark, land, root, ckpt, now=NOW1, load_start="1990-01-01")
     q.awaitTermination(300)
-    raw = spark.read.parquet(os.path.join(root, "raw", "observations"))
+    raw = tables.read_observations(spark, os.path.join(root, "raw", "observations"))
     assert raw.count() == len(monthly)
     # a second file for UNRATE with a revision arrives; replay only picks the new file
-    with open(os.path.join(land, "UNRATE.rev1.json"), "w") as f:
+    with open(os.path.join(land, "UNRATE__rev1.json"), "w") as f:
         first = min(r.observation_date for r in monthly if r.series_id == "UNRATE")
         json.dump({"observations": [{"date": first.isoformat(), "value": "1.25"}]}, f)
     q = start_incremental_load(spark, land, root, ckpt, now=NOW2, load_start="1990-01-01")
     q.awaitTermination(300)
-    raw = spark.read.parquet(os.path.join(root, "raw", "observations"))
+    raw = tables.read_observations(spark, os.path.join(root, "raw", "observations"))
     assert raw.count() == len(monthly)
     assert raw.filter((F.col("series_id") == "UNRATE") & (F.col("observation_date") == first)).first().value == 1.25
 
@@ -156,9 +156,9 @@ def test_replayed_micro_batch_changes_nothing(spark, workdir, econ_rows):
     root = os.path.join(workdir, "replay-wh")
     handle = _micro_batch(root, fx_specs(), NOW1, "1990-01-01")
     handle(payloads, 7)
-    first = sorted(map(tuple, spark.read.parquet(os.path.join(root, "raw", "observations")).collect()))
+    first = sorted(map(tuple, tables.read_observations(spark, os.path.join(root, "raw", "observations")).collect()))
     handle(payloads, 7)
-    again = sorted(map(tuple, spark.read.parquet(os.path.join(root, "raw", "observations")).collect()))
+    again = sorted(map(tuple, tables.read_observations(spark, os.path.join(root, "raw", "observations")).collect()))
     assert first == again and len(first) > 0
     log = spark.read.parquet(os.path.join(root, "raw", "ingestion_log"))
     assert log.count() == log.select("series_id").distinct().count()   # replay wrote no duplicate log rows

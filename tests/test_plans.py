@@ -38,7 +38,13 @@ def test_series_filter_reaches_the_scan(spark, workdir):
 def test_one_scan_per_source_table(spark):
     p = plan(catalog.queries()["economic_dashboard"](spark, SF_SMOKE))
     assert p.count("lineitem.parquet") == 1 and p.count("orders.parquet") == 1
-    assert "Expand" in p   # grouping sets: all grains from one aggregate
+    assert "Expand" not in p   # coarse grains are added up from the fine one, rows are not doubled
+
+
+def test_single_series_read_one_table(spark):
+    for key, used, unused in (("gdp_forward_fill", "orders", "lineitem"), ("month_end_daily", "lineitem", "orders")):
+        p = plan(catalog.queries()[key](spark, SF_SMOKE))
+        assert f"{used}.parquet" in p and f"{unused}.parquet" not in p
 
 
 def test_summary_adds_no_exchange(spark):

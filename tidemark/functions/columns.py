@@ -29,9 +29,9 @@ def parse_value(col) -> Column:
 
 
 def is_bad_value(col) -> Column:
-    """True for text that is neither the missing marker nor a number."""
+    """True for text that is neither the missing marker nor a number; an absent (NULL) value is bad too."""
     c = _c(col)
-    return c.isNotNull() & (c != F.lit(MISSING_MARKER)) & ~c.rlike(_NUMBER)
+    return c.isNull() | ((c != F.lit(MISSING_MARKER)) & ~c.rlike(_NUMBER))
 
 
 def surrogate_key(*cols) -> Column:

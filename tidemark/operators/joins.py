@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows above which a "small" side is not broadcast (shuffle join + AQE skew split instead).
+# Meant for narrow per-series rows (a key and a few values, some 50 bytes); give ``max_rows``
+# for wider ones. Results do not depend on it.
 MAX_BROADCAST_ROWS = 1_000_000
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,29 +43,32 @@ def in_range(df: DataFrame, col: str, lo, hi) -> DataFrame:
     return df.filter(c.isNotNull() & ((c < F.lit(lo)) | (c > F.lit(hi))))
 
 
-def row_ratio(expected: DataFrame, actual: DataFrame, lo: float = 0.5, hi: float = 1.1) -> DataFrame:
-    """Compare two 1-row counts: one row (expected, actual, row_difference, failed).
+def row_ratio(expected: DataFrame, actual: DataFrame, lo: float = 0.5, hi: float = 1.1,
+              keys: Sequence[str] = ()) -> DataFrame:
+    """Compare two counts (per ``keys``): (keys, expected, actual, row_difference, failed).
 
-    The two single values are brought together by a union and one aggregate,
-    not by a join. Fails when actual is 0, above hi x expected or below lo x.
+    The two counts are brought together by a union and one aggregate, not by a
+    join; a key that one side lacks counts 0 there. Fails when actual is 0,
+    above hi x expected or below lo x.
     """
-    e_name, a_name = expected.columns[0], actual.columns[0]
-    both = (expected.select(F.lit(0).alias("_side"), F.col(e_name).cast("long").alias("_v"))
-            .unionByName(actual.select(F.lit(1).alias("_side"), F.col(a_name).cast("long").alias("_v"))))
-    one = both.agg(F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias(e_name),
-                   F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias(a_name))
+    e_name, a_name = ([c for c in df.columns if c not in keys][0] for df in (expected, actual))
+    both = (expected.select(*keys, F.lit(0).alias("_side"), F.col(e_name).cast("long").alias("_v"))
+            .unionByName(actual.select(*keys, F.lit(1).alias("_side"), F.col(a_name).cast("long").alias("_v"))))
+    one = both.groupBy(*keys).agg(
+        F.coalesce(F.max(F.when(F.col("_side") == 0, F.col("_v"))), F.lit(0).cast("long")).alias(e_name),
+        F.coalesce(F.max(F.when(F.col("_side") == 1, F.col("_v"))), F.lit(0).cast("long")).alias(a_name))
     e, a = F.col(e_name), F.col(a_name)
     failed = (a == 0) | (a > e * F.lit(hi)) | (a < e * F.lit(lo))
-    return one.select(e, a, (a - e).alias("row_difference"), failed.alias("failed"))
+    return one.select(*keys, e, a, (a - e).alias("row_difference"), failed.alias("failed"))
 
 
 def staging_reconcile(staged: DataFrame, wide: DataFrame, series_id: str = "UNRATE",
-                      lo: float = 0.5, hi: float = 1.1) -> DataFrame:
-    """Distinct observation dates of one monthly series vs wide rows."""
-    s = (staged.filter(F.col("series_id") == series_id)
+                      lo: float = 0.5, hi: float = 1.1, keys: Sequence[str] = ()) -> DataFrame:
+    """Distinct observation dates of one monthly series vs wide rows, per entity."""
+    s = (staged.filter(F.col("series_id") == series_id).groupBy(*keys)
                .agg(F.countDistinct("observation_date").alias("staging_months")))
-    i = wide.agg(F.count(F.lit(1)).alias("pivoted_rows"))
-    return row_ratio(s, i, lo, hi)
+    i = wide.groupBy(*keys).agg(F.count(F.lit(1)).alias("pivoted_rows"))
+    return row_ratio(s, i, lo, hi, keys)
 
 
 def freshness(df: DataFrame, col: str, now, warn_hours: float = 48, error_hours: float = 96) -> DataFrame:
@@ -115,31 +119,54 @@ def write_failures(violations: DataFrame, root: str, test_name: str) -> str:
     return path
 
 
+@dataclass(frozen=True)
+class Unique:
+    """Suite test: no value of ``cols`` occurs twice (NULL keys ignored)."""
+    cols: list[str]
+
+
 def suite(checks) -> DataFrame:
     """Run many tests as one job: one row per test (test_name, layer, severity, n_failed).
 
-    ``checks``: tuples ``(test_name, layer, severity, violations)`` for tests
-    that need their own grouping (uniqueness, reconciliation), or
-    ``(test_name, layer, severity, table, predicate)`` for row-level tests.
-    Row-level tests on the same table are folded into a single aggregate
-    (one pass over the table, one ``count_if`` per test); all counts are then
-    unioned, so the suite is one action returning one row per test.
+    ``checks``: tuples ``(test_name, layer, severity, table, test)`` where the
+    test is a predicate of failing rows or ``Unique(cols)``, or ``(test_name,
+    layer, severity, violations)`` for tests with a frame of their own. All
+    tests of one table are one pass over it: a table with a uniqueness test is
+    grouped by its key, counting each predicate on the way, and the groups are
+    then added up. Pass materialised tables; the suite reads each once (twice,
+    if it has uniqueness tests on different keys).
     """
     parts, by_table = [], {}
     for check in checks:
-        name, layer, severity, df, *pred = check
-        if pred:
-            by_table.setdefault(id(df), (df, []))[1].append((name, layer, severity, pred[0]))
+        name, layer, severity, df, *test = check
+        if test:
+            by_table.setdefault(id(df), (df, []))[1].append((name, layer, severity, test[0]))
         else:
             parts.append(df.agg(F.count(F.lit(1)).alias("n_failed")).select(
                 F.lit(name).alias("test_name"), F.lit(layer).alias("layer"),
                 F.lit(severity).alias("severity"), "n_failed"))
     for df, tests in by_table.values():
-        rows = F.array(*[F.struct(F.lit(n).alias("test_name"), F.lit(l).alias("layer"),
-                                  F.lit(s).alias("severity"),
-                                  F.count_if(F.coalesce(p, F.lit(False))).alias("n_failed"))
-                         for n, l, s, p in tests])
-        parts.append(df.agg(rows.alias("_r")).select(F.inline("_r")))
+        rules = [t for t in tests if not isinstance(t[3], Unique)]
+        keyed: dict[tuple, list] = {}
+        for t in tests:
+            if isinstance(t[3], Unique):
+                keyed.setdefault(tuple(t[3].cols), []).append(t)
+        for i, (cols, uniques) in enumerate(list(keyed.items()) or [(None, [])]):
+            own = rules if i == 0 else []
+            counts = [F.count_if(F.coalesce(t[3], F.lit(False))).alias(f"_t{j}") for j, t in enumerate(own)]
+            if cols is None:
+                one = df.agg(*counts)
+            else:
+                known = F.lit(True)
+                for c in cols:
+                    known = known & F.col(c).isNotNull()
+                groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"), *counts)
+                one = groups.agg(*[F.coalesce(F.sum(f"_t{j}"), F.lit(0)).alias(f"_t{j}") for j in range(len(own))],
+                                 F.count_if(known & (F.col("_n") > 1)).alias("_u"))
+            rows = F.array(*[F.struct(F.lit(n).alias("test_name"), F.lit(l).alias("layer"), F.lit(s).alias("severity"),
+                                      F.col(c).cast("long").alias("n_failed"))
+                             for (n, l, s, _), c in [(t, f"_t{j}") for j, t in enumerate(own)] + [(t, "_u") for t in uniques]])
+            parts.append(one.select(F.inline(rows)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -148,8 +175,12 @@ def suite(checks) -> DataFrame:
 
 def violations_of(check) -> DataFrame:
     """The failing rows of a suite check."""
-    name, layer, severity, df, *pred = check
-    return df.filter(F.coalesce(pred[0], F.lit(False))) if pred else df
+    name, layer, severity, df, *test = check
+    if not test:
+        return df
+    if isinstance(test[0], Unique):
+        return unique(df, test[0].cols)
+    return df.filter(F.coalesce(test[0], F.lit(False)))
 
 
 def null_rows(col: str) -> Column:

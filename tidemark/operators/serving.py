@@ -130,7 +130,10 @@ def completeness(df: DataFrame, cols: Sequence[str] = (MONTH, *WIDE_COLUMNS), mo
     return counts.unpivot(list(keys), list(cols), "column_name", "missing_values")
 
 
-def recent_runs(log: DataFrame, n: int = 20, tie_break: Sequence[str] = ()) -> DataFrame:
-    """Top-n log rows, newest first (a top-k report: the limit is the feature)."""
-    order = [F.col("started_at").desc(), *[F.col(c).desc() for c in tie_break]]
+def recent_runs(log: DataFrame, n: int = 20, tie_break: Sequence[str] | None = None) -> DataFrame:
+    """Top-n log rows, newest first (a top-k report: the limit is the feature).
+
+    Rows of one start time are ordered by ``tie_break``, by default run and series."""
+    ties = ("run_id", "series_id") if tie_break is None else tie_break
+    order = [F.col("started_at").desc(), *[F.col(c).desc() for c in ties]]
     return log.orderBy(*order).limit(n)

@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import align, dedup, load, marts, metrics, quality, serving, signals
-from ..schemas import DEFAULT_SERIES, MONTH, RISK_LEVELS, Thresholds
+from ..schemas import AS_IS, DEFAULT_SERIES, MAX_LENGTHS, MONTH, OBSERVATIONS, RISK_LEVELS, Thresholds
 from ..sources import fixtures as fx
+from ..sources import landing
+from ..sources.tables import conform
 
 FIX_T = Thresholds(**fx.FIXTURE_THRESHOLDS)
 PANEL = ["entity"]
@@ -21,14 +23,15 @@ RUN_ID = "run-fixture"
 NOW = "2024-02-01 00:00:00"          # load time stamped by the fixture upsert / load
 FRESHNESS_NOW = "2024-02-02 00:00:00"
 RANGE_FROM = "1998-01-01"            # dashboard date-range filter of the fixture
-META_TARGET_BEFORE = "1999-01-01"
-META_BATCH_FROM = "2001-01-01"
+META_BATCH_FROM = "2001-01-01"       # loads from here on, of the series that sort below
+META_BATCH_BELOW = "3"               # this, are the batch; all others are the target
+CONTRACT_URL_LENGTH = 10             # so that some of the fixture's urls break the limit
 
 
 # ---------------------------------------------------------------- builders
 
-def _obs(spark, sf_dir, entity=None):
-    return fx.econ_observations(spark, sf_dir, entity), (PANEL if entity else [])
+def _obs(spark, sf_dir, entity=None, series=None):
+    return fx.econ_observations(spark, sf_dir, entity, series), (PANEL if entity else [])
 
 
 def _wide(spark, sf_dir, entity=None):
@@ -101,13 +104,42 @@ def upsert_recent_batch(spark, sf_dir):
 
 
 def replace_by_key_result(spark, sf_dir):
+    """A batch of fresh metadata of some series replaces them; the other series keep all their loads."""
     raw = fx.metadata_loads(spark, sf_dir)
-    target = raw.filter(F.col("ingested_at") < F.lit(META_TARGET_BEFORE).cast("timestamp_ntz")).drop("o_orderkey")
-    fresh = raw.filter((F.col("ingested_at") >= F.lit(META_BATCH_FROM).cast("timestamp_ntz"))
-                       & (F.col("frequency") == "P"))
-    batch = dedup.latest_per_key(fresh, ["series_id"],
+    in_batch = (F.col("ingested_at") >= F.lit(META_BATCH_FROM).cast("timestamp_ntz")) & (F.col("series_id") < META_BATCH_BELOW)
+    batch = dedup.latest_per_key(raw.filter(in_batch), ["series_id"],
                                  [F.col("ingested_at").desc(), F.col("o_orderkey").desc()]).drop("o_orderkey")
-    return load.replace_by_key(target, batch, ["series_id"])
+    return load.replace_by_key(raw.filter(~in_batch).drop("o_orderkey"), batch, ["series_id"])
+
+
+def merged_rows(spark, sf_dir):
+    """Rows that an upsert of all loads merges: the distinct keys."""
+    return load.merged_count(fx.revised_observations(spark, sf_dir))
+
+
+def contract_violations(spark, sf_dir):
+    """Raw loads that break the raw contract (short id limit), with defaults filled in."""
+    raw = fx.revised_observations(spark, sf_dir).drop("event_id")
+    limits = dict(MAX_LENGTHS["observations"], source_url=CONTRACT_URL_LENGTH)
+    return conform(raw, OBSERVATIONS, {"ingested_at": F.lit(NOW).cast("timestamp_ntz")}, limits)[1]
+
+
+def contract_rows(spark, sf_dir):
+    raw = fx.revised_observations(spark, sf_dir).drop("event_id")
+    limits = dict(MAX_LENGTHS["observations"], source_url=CONTRACT_URL_LENGTH)
+    return conform(raw, OBSERVATIONS, {"ingested_at": F.lit(NOW).cast("timestamp_ntz")}, limits)[0]
+
+
+def landing_rows(spark, sf_dir):
+    """Payload documents of all events through the landing functions: the observation rows."""
+    good, _ = landing.split_malformed(landing.parse_payloads(fx.landing_payloads(spark, sf_dir)))
+    return landing.payload_rows(good)
+
+
+def landing_malformed(spark, sf_dir):
+    """The payload documents without observations, with the error they state."""
+    bad = landing.split_malformed(landing.parse_payloads(fx.landing_payloads(spark, sf_dir)))[1]
+    return bad.select("event_id", "series_id", "error_code", "error_message")
 
 
 def _run(spark, sf_dir):
@@ -136,14 +168,9 @@ def run_summary(spark, sf_dir):
 
 
 def raw_row_counts(spark, sf_dir):
-    parts = [("OBSERVATIONS", fx.revised_observations(spark, sf_dir)),
-             ("SERIES_METADATA", fx.metadata_loads(spark, sf_dir)),
-             ("INGESTION_LOG", fx.run_log(spark, sf_dir))]
-    out = None
-    for name, df in parts:
-        c = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-        out = c if out is None else out.unionByName(c)
-    return out
+    return load.table_counts({"OBSERVATIONS": fx.revised_observations(spark, sf_dir),
+                              "SERIES_METADATA": fx.metadata_loads(spark, sf_dir),
+                              "INGESTION_LOG": fx.run_log(spark, sf_dir)})
 
 
 # ---------------------------------------------------------------- alignment
@@ -157,17 +184,17 @@ def month_spine(spark, sf_dir):
 
 
 def monthly_pivot(spark, sf_dir, entity=None):
-    obs, keys = _obs(spark, sf_dir, entity)
+    obs, keys = _obs(spark, sf_dir, entity, [s.series_id for s in DEFAULT_SERIES if s.align == AS_IS])
     return align.pivot_series(obs, DEFAULT_SERIES, keys)
 
 
 def gdp_forward_fill(spark, sf_dir, entity=None):
-    obs, keys = _obs(spark, sf_dir, entity)
+    obs, keys = _obs(spark, sf_dir, entity, ["GDP"])
     return align.forward_filled(obs, "GDP", "gdp", fx.SPINE_START, fx.AS_OF, keys)
 
 
 def month_end_daily(spark, sf_dir, entity=None):
-    obs, keys = _obs(spark, sf_dir, entity)
+    obs, keys = _obs(spark, sf_dir, entity, ["T10Y2Y"])
     return align.month_end_values(obs, "T10Y2Y", "treasury_spread_10y2y", keys)
 
 
@@ -251,10 +278,10 @@ def dq_range(spark, sf_dir):
     return quality.in_range(sig, "sahm_rule_value", 0, 10).select(MONTH, "sahm_rule_value")
 
 
-def dq_row_reconcile(spark, sf_dir):
-    obs, _ = _obs(spark, sf_dir)
-    wide = align.monthly_wide(obs, start=fx.SPINE_START, as_of=fx.AS_OF)
-    return quality.staging_reconcile(obs, wide)
+def dq_row_reconcile(spark, sf_dir, entity=None):
+    obs, keys = _obs(spark, sf_dir, entity)
+    wide = align.monthly_wide(obs, start=fx.SPINE_START, as_of=fx.AS_OF, keys=keys)
+    return quality.staging_reconcile(obs, wide, keys=keys)
 
 
 def dq_freshness(spark, sf_dir):
@@ -272,16 +299,22 @@ def dq_report(spark, sf_dir):
 
 
 def dq_suite(spark, sf_dir):
-    """Every data test of every layer as one suite over the FX-ECON chain (freshness on FX-REV)."""
+    """Every data test of every layer as one suite over the FX-ECON chain (metadata FX-META, freshness on FX-REV).
+
+    Each layer is written once to the shared folder, as a stored run does; the tests read what was written."""
+    from ..session import cut_lineage
     from .layers import data_tests
 
     obs = fx.econ_observations(spark, sf_dir).withColumns(
         {"ingested_at": F.lit(NOW).cast("timestamp_ntz"), "source_url": F.lit("fixture")})
-    staged = dedup.stage_observations(obs)
-    wide = align.monthly_wide(staged, start=fx.SPINE_START, as_of=fx.AS_OF)
-    m = metrics.derived_metrics(wide)
-    dash = marts.economic_dashboard(m, FIX_T)
-    tests = data_tests(staged, wide, signals.recession_signals(m, FIX_T), dash, marts.indicator_summary(dash),
+    staged = cut_lineage(dedup.stage_observations(obs))
+    wide = cut_lineage(align.monthly_wide(staged, start=fx.SPINE_START, as_of=fx.AS_OF))
+    changes = cut_lineage(metrics.derived_metrics(wide))
+    sig = cut_lineage(signals.recession_signals(changes, FIX_T))
+    dash = cut_lineage(marts.economic_dashboard(changes, FIX_T))
+    summary = cut_lineage(marts.indicator_summary(dash))
+    meta = cut_lineage(dedup_latest_metadata(spark, sf_dir))
+    tests = data_tests(staged, wide, changes, sig, dash, summary, meta,
                        fx.revised_observations(spark, sf_dir), DEFAULT_SERIES, [], FRESHNESS_NOW)
     return quality.suite(tests)
 
@@ -359,12 +392,12 @@ _PANEL_VARIANTS = (monthly_pivot, gdp_forward_fill, month_end_daily, monthly_wid
                    pct_changes, rolling_avgs, rolling_low, derived_metrics, recession_signals,
                    signal_flags, signal_count_level, economic_dashboard, indicator_summary,
                    observation_counts, completeness_24m, kpi_table, current_risk, signal_status,
-                   month_bounds)
+                   month_bounds, dq_row_reconcile)
 
 _PLAIN = (dedup_latest_observation, dedup_hot_keys, dedup_latest_metadata, clean_missing_marker, series_watermark,
           upsert_result, upsert_recent_batch, replace_by_key_result, load_batch, malformed_split, load_log, run_summary,
-          raw_row_counts, month_spine, *_PANEL_VARIANTS, supplier_economic_dashboard,
-          dq_unique, dq_not_null, dq_accepted_values, dq_range, dq_row_reconcile, dq_freshness,
+          raw_row_counts, merged_rows, contract_rows, contract_violations, landing_rows, landing_malformed, month_spine, *_PANEL_VARIANTS, supplier_economic_dashboard,
+          dq_unique, dq_not_null, dq_accepted_values, dq_range, dq_freshness,
           dq_report, dq_suite, recent_runs_top20, range_series, sahm_history, gdp_history)
 
 

@@ -20,9 +20,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import align, dedup, load, marts, metrics, quality, signals
-from ..schemas import DEFAULT_SERIES, DEFAULT_START_DATE, MONTH, RISK_LEVELS, SeriesSpec, Thresholds
+from ..schemas import (DEFAULT_SERIES, DEFAULT_START_DATE, MONTH, RISK_LEVELS, SERIES_METADATA, SeriesSpec, Thresholds,
+                       observations_contract)
+from ..session import cut_lineage
 from ..sources import landing as landing_src
 from ..sources import tables
 
@@ -55,20 +58,25 @@ def _raw(spark, cfg, name):
 
 
 def load_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
-    """Read landed payloads, upsert observations, replace metadata, append the log."""
+    """Read landed payloads, upsert observations, replace metadata, append the log.
+
+    The log is written whatever fails: a series with a bad row, a malformed
+    payload or bad metadata is marked FAILED and the others are loaded."""
+    keys = list(cfg.keys)
     obs_path = _raw(spark, cfg, "observations")
     dim = load.series_dim(spark, cfg.specs)
-    rows, malformed = landing_src.read_observation_landing(spark, cfg.landing_obs)
-    target = spark.read.parquet(obs_path) if tables.exists(spark, obs_path) else None
+    rows, malformed = landing_src.read_observation_landing(spark, cfg.landing_obs, keys)
+    target = tables.read_observations(spark, obs_path, keys) if tables.exists(spark, obs_path) else None
     batch, log = load.run_load(rows, dim, target, cfg.incremental, cfg.now, cfg.run_id, malformed,
-                               cfg.load_start)
-    log = log.checkpoint(eager=True)   # the log decides what is loaded; compute it once
-    tables.upsert_table(spark, obs_path, batch, now=cfg.now)
+                               cfg.load_start, keys, materialise=True)
+    tables.upsert_table(spark, obs_path, batch, keys, now=cfg.now)
     if cfg.landing_meta:
-        meta_path = _raw(spark, cfg, "series_metadata")
+        meta = cut_lineage(landing_src.read_metadata_landing(spark, cfg.landing_meta, cfg.now))
+        bad = meta.filter("bad_metadata").select("series_id", F.lit("metadata: last_updated does not parse").alias("error"))
         good = log.filter(F.col("status") == "SUCCESS").select("series_id")
-        meta = landing_src.read_metadata_landing(spark, cfg.landing_meta, cfg.now).join(good, "series_id", "left_semi")
-        old = tables.read_current(spark, cfg.root, "raw", "series_metadata")
+        meta = meta.filter(~F.col("bad_metadata")).drop("bad_metadata").join(good, "series_id", "left_semi")
+        log = cut_lineage(load.with_failures(log, bad))
+        old = tables.read_current(spark, cfg.root, "raw", "series_metadata", SERIES_METADATA)
         new = meta if old is None else load.replace_by_key(old, meta, ["series_id"])
         tables.publish(new, cfg.root, "raw", "series_metadata")
     tables.append_log(log, _raw(spark, cfg, "ingestion_log"))
@@ -82,14 +90,23 @@ def _mode(cfg: RunConfig) -> str:
 def _read(spark: SparkSession, cfg: RunConfig, layer: str, name: str) -> DataFrame:
     if cfg.views:
         return tables.layer_table(spark, cfg.root, layer, name)
-    return tables.read_current(spark, cfg.root, layer, name)
+    return tables.read_current(spark, cfg.root, layer, name, _staged_contract(cfg) if (layer, name) == STAGED else None)
+
+
+STAGED = ("staging", "observations")
+
+
+def _staged_contract(cfg: RunConfig) -> T.StructType:
+    """Staged observations are partitioned by series id, which must stay text."""
+    fields = observations_contract(cfg.keys).fields
+    return T.StructType([T.StructField("observation_id", T.StringType()), *fields])
 
 
 def staging_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
-    raw = spark.read.parquet(_raw(spark, cfg, "observations"))
+    raw = tables.read_observations(spark, _raw(spark, cfg, "observations"), cfg.keys)
     staged = tables.publish(dedup.stage_observations(raw, keys=list(cfg.keys)), cfg.root, "staging", "observations",
                             as_=_mode(cfg), partition_by=None if cfg.views else ["series_id"])
-    meta = tables.read_current(spark, cfg.root, "raw", "series_metadata")
+    meta = tables.read_current(spark, cfg.root, "raw", "series_metadata", SERIES_METADATA)
     if meta is not None:
         tables.publish(dedup.stage_metadata(meta), cfg.root, "staging", "series_metadata", as_=_mode(cfg))
     return staged
@@ -129,35 +146,44 @@ def marts_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     return written
 
 
-def data_tests(staged: DataFrame, wide: DataFrame, sig: DataFrame, dash: DataFrame, summary: DataFrame,
-               raw: DataFrame | None, specs, keys, now=None) -> list[tuple]:
-    """The data tests of every layer, as ``quality.suite`` checks.
+def data_tests(staged: DataFrame, wide: DataFrame, changes: DataFrame, sig: DataFrame, dash: DataFrame,
+               summary: DataFrame, meta: DataFrame | None, raw: DataFrame | None, specs, keys, now=None) -> list[tuple]:
+    """The 23 data tests of all layers and the freshness of raw, as ``quality.suite`` checks.
 
-    Row-level tests carry (table, predicate) so the suite folds all tests of
-    one table into one pass; uniqueness and reconciliation carry their own
-    violation frames.
+    Row-level and uniqueness tests name their table, so the suite folds all
+    tests of one table into one pass; reconciliation and freshness carry their
+    own violation frames. Without metadata its three tests are left out.
     """
     Q = quality
     ids = [s.series_id for s in specs]
+    month = [*keys, MONTH]
     tests = [
-        ("observation_id_unique", "staging", "error", Q.unique(staged, "observation_id")),
+        ("observation_id_unique", "staging", "error", staged, Q.Unique(["observation_id"])),
         ("observation_id_not_null", "staging", "error", staged, Q.null_rows("observation_id")),
         ("series_id_accepted", "staging", "error", staged, Q.outside("series_id", ids)),
         ("series_id_not_null", "staging", "error", staged, Q.null_rows("series_id")),
         ("observation_date_not_null", "staging", "error", staged, Q.null_rows("observation_date")),
         ("value_not_null", "staging", "error", staged, Q.null_rows("value")),
-        ("wide_month_unique", "intermediate", "error", Q.unique(wide, [*keys, MONTH])),
+        ("wide_month_unique", "intermediate", "error", wide, Q.Unique(month)),
         ("wide_month_not_null", "intermediate", "error", wide, Q.null_rows(MONTH)),
-        ("signals_month_unique", "intermediate", "error", Q.unique(sig, [*keys, MONTH])),
+        ("changes_month_unique", "intermediate", "error", changes, Q.Unique(month)),
+        ("changes_month_not_null", "intermediate", "error", changes, Q.null_rows(MONTH)),
+        ("signals_month_unique", "intermediate", "error", sig, Q.Unique(month)),
+        ("signals_month_not_null", "intermediate", "error", sig, Q.null_rows(MONTH)),
         ("signals_level_accepted", "intermediate", "error", sig, Q.outside("recession_risk_level", RISK_LEVELS)),
         ("sahm_rule_value_in_range", "intermediate", "error", sig, Q.out_of_range("sahm_rule_value", 0, 10)),
         ("staging_to_intermediate_row_count", "intermediate", "error",
-         Q.staging_reconcile(staged, wide).filter("failed")),
-        ("dashboard_month_unique", "marts", "error", Q.unique(dash, [*keys, MONTH])),
+         Q.staging_reconcile(staged, wide, keys=keys).filter("failed")),
+        ("dashboard_month_unique", "marts", "error", dash, Q.Unique(month)),
+        ("dashboard_month_not_null", "marts", "error", dash, Q.null_rows(MONTH)),
         ("dashboard_level_accepted", "marts", "error", dash, Q.outside("recession_risk_level", RISK_LEVELS)),
         ("summary_latest_not_null", "marts", "error", summary, Q.null_rows("latest_month")),
         ("summary_level_accepted", "marts", "error", summary, Q.outside("current_risk_level", RISK_LEVELS)),
     ]
+    if meta is not None:
+        tests += [("metadata_series_id_unique", "staging", "error", meta, Q.Unique(["series_id"])),
+                  ("metadata_series_id_not_null", "staging", "error", meta, Q.null_rows("series_id")),
+                  ("metadata_title_not_null", "staging", "error", meta, Q.null_rows("series_title"))]
     if raw is not None and now is not None:
         tests.append(("observations_freshness", "raw", "warn", Q.freshness_violations(raw, "ingested_at", now)))
     return tests
@@ -172,12 +198,15 @@ def tests_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     """
     keys = list(cfg.keys)
     raw_path = _raw(spark, cfg, "observations")
-    raw = spark.read.parquet(raw_path) if tables.exists(spark, raw_path) else None
+    raw = tables.read_observations(spark, raw_path, keys) if tables.exists(spark, raw_path) else None
+    has_meta = tables.read_current(spark, cfg.root, "raw", "series_metadata") is not None
     tests = data_tests(_read(spark, cfg, "staging", "observations"),
                        _read(spark, cfg, "intermediate", "indicators_wide"),
+                       _read(spark, cfg, "intermediate", "indicators_with_changes"),
                        _read(spark, cfg, "intermediate", "recession_signals"),
                        tables.read_current(spark, cfg.root, "marts", "economic_dashboard"),
                        tables.read_current(spark, cfg.root, "marts", "indicator_summary"),
+                       _read(spark, cfg, "staging", "series_metadata") if has_meta else None,
                        raw, cfg.specs, keys, cfg.now)
     report = quality.suite(tests)
     rows = report.collect()                      # one row per test

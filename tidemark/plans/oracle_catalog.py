@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..schemas import DEFAULT_SERIES, DEFAULT_START_DATE, WIDE_COLUMNS
 from ..sources import fixtures as fx
 from . import oracle as O
-from .catalog import (FRESHNESS_NOW, META_BATCH_FROM, META_TARGET_BEFORE, NOW, OVERVIEW_COLUMNS,
+from .catalog import (FRESHNESS_NOW, META_BATCH_FROM, META_BATCH_BELOW, CONTRACT_URL_LENGTH, NOW, OVERVIEW_COLUMNS,
                       RANGE_FROM, RUN_ID)
 from ..operators.load import SOURCE_URL_BASE
 from ..operators.signals import SIGNAL_FLAGS, SIGNAL_MODEL_COLUMNS
@@ -26,7 +26,7 @@ _LOG = f"""WITH {O.landing_text_cte()},
     per AS (SELECT series_id, count(*) AS n, count(*) FILTER (WHERE bad_row) AS nbad,
                    min(CASE WHEN observation_date IS NULL THEN '<bad date>'
                             WHEN length(series_id) > 20 THEN '<series id too long>'
-                            ELSE raw_value END) FILTER (WHERE bad_row) AS bad_text
+                            ELSE coalesce(raw_value, '<no value>') END) FILTER (WHERE bad_row) AS bad_text
             FROM (SELECT *, (is_bad OR observation_date IS NULL OR length(series_id) > 20) AS bad_row FROM parsed)
             WHERE observation_date IS NULL OR observation_date >= DATE '{DEFAULT_START_DATE}' GROUP BY series_id),
     st AS (SELECT d.series_id, per.n, per.bad_text, coalesce(per.nbad, 0) > 0 AS failed
@@ -145,6 +145,12 @@ _ROLLS = ("unemployment_rate_3m_avg", "unemployment_rate_12m_avg", "sentiment_3m
 def _panelable(entity=None) -> dict[str, str]:
     k = _k(entity)
     return {
+        "dq_row_reconcile": _wide_q(f"""
+SELECT {k}staging_months, pivoted_rows, pivoted_rows - staging_months AS row_difference,
+       pivoted_rows = 0 OR pivoted_rows > staging_months * 1.1 OR pivoted_rows < staging_months * 0.5 AS failed
+FROM (SELECT {k}sum(a)::BIGINT AS staging_months, sum(b)::BIGINT AS pivoted_rows FROM (
+        SELECT {k}count(DISTINCT observation_date) AS a, 0 AS b FROM obs WHERE series_id = 'UNRATE' GROUP BY ALL
+        UNION ALL SELECT {k}0, count(*) FROM wide GROUP BY ALL) GROUP BY ALL)""", entity),
         "monthly_pivot": _wide_q(f"SELECT {k}observation_month, unemployment_rate, cpi_index, fed_funds_rate, consumer_sentiment "
                                  "FROM by_month", entity),
         "gdp_forward_fill": _wide_q(O.carried_gdp(entity), entity),
@@ -185,6 +191,15 @@ def _dq_suite() -> str:
         ("wide_month_unique", "intermediate", "SELECT observation_month FROM wide "
                                               "GROUP BY observation_month HAVING count(*) > 1"),
         ("wide_month_not_null", "intermediate", "SELECT 1 FROM wide WHERE observation_month IS NULL"),
+        ("changes_month_unique", "intermediate", "SELECT observation_month FROM metrics "
+                                                 "GROUP BY observation_month HAVING count(*) > 1"),
+        ("changes_month_not_null", "intermediate", "SELECT 1 FROM metrics WHERE observation_month IS NULL"),
+        ("signals_month_not_null", "intermediate", "SELECT 1 FROM signals WHERE observation_month IS NULL"),
+        ("dashboard_month_not_null", "marts", "SELECT 1 FROM dash WHERE observation_month IS NULL"),
+        ("metadata_series_id_unique", "staging", "SELECT series_id FROM meta WHERE series_id IS NOT NULL "
+                                                 "GROUP BY series_id HAVING count(*) > 1"),
+        ("metadata_series_id_not_null", "staging", "SELECT 1 FROM meta WHERE series_id IS NULL"),
+        ("metadata_title_not_null", "staging", "SELECT 1 FROM meta WHERE title IS NULL"),
         ("signals_month_unique", "intermediate", "SELECT observation_month FROM signals "
                                                  "GROUP BY observation_month HAVING count(*) > 1"),
         ("signals_level_accepted", "intermediate", f"SELECT 1 FROM signals WHERE recession_risk_level NOT IN {levels}"),
@@ -210,7 +225,15 @@ def _dq_suite() -> str:
                                          coalesce(CAST(observation_date AS VARCHAR), '_null_'))) AS observation_id,
                       series_id, observation_date, value FROM obs WHERE value IS NOT NULL),
     summ AS (""" + O.summary_sql().replace("\n", "\n  ") + "),"
-    return (O.dash_ctes() + staged + O.raw_revisions_cte() + "\n" + "\nUNION ALL ".join(parts))
+    meta = _META + """,
+    meta AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY ingested_at DESC, o_orderkey DESC) = 1),"""
+    return (O.dash_ctes() + staged + meta + O.raw_revisions_cte() + "\n" + "\nUNION ALL ".join(parts))
+
+
+def _contract(rev: str, keep: str) -> str:
+    return f"""{rev}
+SELECT series_id, observation_date, value, coalesce(ingested_at, TIMESTAMP '{NOW}') AS ingested_at, source_url
+FROM raw WHERE {keep}"""
 
 
 def ORACLE() -> dict[str, str]:
@@ -265,12 +288,23 @@ WHERE NOT EXISTS (SELECT 1 FROM bat b WHERE b.series_id = t.series_id AND b.obse
 UNION ALL
 SELECT series_id, observation_date, value, TIMESTAMP '{NOW}' AS ingested_at, source_url FROM bat""",
         "replace_by_key_result": f"""WITH {_META},
-    tgt AS (SELECT * EXCLUDE (o_orderkey) FROM m WHERE ingested_at < TIMESTAMP '{META_TARGET_BEFORE}'),
-    bat AS (SELECT * EXCLUDE (o_orderkey, rn) FROM (
-              SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ingested_at DESC, o_orderkey DESC) AS rn
-              FROM m WHERE ingested_at >= TIMESTAMP '{META_BATCH_FROM}' AND frequency = 'P') WHERE rn = 1)
-SELECT * FROM tgt WHERE series_id NOT IN (SELECT series_id FROM bat)
-UNION ALL SELECT * FROM bat""",
+    t AS (SELECT *, ingested_at >= TIMESTAMP '{META_BATCH_FROM}' AND series_id < '{META_BATCH_BELOW}' AS fresh FROM m)
+SELECT * EXCLUDE (o_orderkey, fresh) FROM t WHERE NOT fresh AND series_id NOT IN (SELECT series_id FROM t WHERE fresh)
+UNION ALL
+SELECT * EXCLUDE (o_orderkey, fresh) FROM t WHERE fresh
+QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY ingested_at DESC, o_orderkey DESC) = 1""",
+        "merged_rows": f"""{rev}
+SELECT count(DISTINCT (series_id, observation_date)) AS rows_merged FROM raw""",
+        "contract_rows": _contract(rev, f"length(source_url) <= {CONTRACT_URL_LENGTH} AND length(series_id) <= 20"),
+        "contract_violations": _contract(rev, f"length(source_url) > {CONTRACT_URL_LENGTH} OR length(series_id) > 20"),
+        "landing_rows": f"""WITH {O.landing_text_cte()}
+SELECT event_id, CASE WHEN event_id % 29 = 0 THEN 'own.' || series_id ELSE series_id END AS series_id, observation_date,
+       CASE WHEN event_id % 23 <> 0 THEN raw_value END AS raw_value
+FROM land WHERE event_id % 13 <> 0 AND event_id % 17 <> 0 AND event_id % 19 <> 0""",
+        "landing_malformed": f"""WITH {O.landing_text_cte()}
+SELECT event_id, series_id, CASE WHEN event_id % 17 = 0 THEN 400 END::INT AS error_code,
+       CASE WHEN event_id % 17 = 0 THEN 'no series ' || series_id END AS error_message
+FROM land WHERE event_id % 17 = 0 OR event_id % 19 = 0""",
         "load_batch": f"""{_FAILED}
 SELECT series_id, observation_date, value, '{SOURCE_URL_BASE}' || series_id AS source_url
 FROM parsed WHERE observation_date >= DATE '{DEFAULT_START_DATE}' AND series_id NOT IN (SELECT series_id FROM failed)""",
@@ -300,12 +334,6 @@ SELECT series_id, count(*) AS n_rows FROM staged WHERE series_id NOT IN ({_IDS})
         "dq_range": O.wide_ctes() + O.metrics_cte() + O.signals_cte() + """
 SELECT observation_month, sahm_rule_value FROM signals
 WHERE sahm_rule_value IS NOT NULL AND (sahm_rule_value < 0 OR sahm_rule_value > 10)""",
-        "dq_row_reconcile": O.wide_ctes() + """,
-    s AS (SELECT count(DISTINCT observation_date) AS staging_months FROM obs WHERE series_id = 'UNRATE'),
-    i AS (SELECT count(*) AS pivoted_rows FROM wide)
-SELECT staging_months, pivoted_rows, pivoted_rows - staging_months AS row_difference,
-       (pivoted_rows = 0 OR pivoted_rows > staging_months * 1.1 OR pivoted_rows < staging_months * 0.5) AS failed
-FROM s CROSS JOIN i""",
         "dq_freshness": f"""{rev},
     f AS (SELECT max(ingested_at) AS max_loaded_at,
                  (epoch_us(TIMESTAMP '{FRESHNESS_NOW}') - epoch_us(max(ingested_at))) / 3.6e9 AS age_hours FROM raw)

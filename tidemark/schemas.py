@@ -44,15 +44,28 @@ MAX_LENGTHS = {
                       "error_message": 2000},
 }
 
+def observations_contract(keys=()) -> T.StructType:
+    """The raw observations contract with entity key columns in front."""
+    return T.StructType([T.StructField(k, T.StringType(), False) for k in keys] + OBSERVATIONS.fields)
+
+
 # Landing payload shape: one JSON document per series file.
-OBSERVATION_PAYLOAD = T.StructType([
-    T.StructField("observations", T.ArrayType(T.StructType([
-        T.StructField("date", T.StringType()),
-        T.StructField("value", T.StringType()),
-    ]))),
-    T.StructField("error_code", T.IntegerType()),
-    T.StructField("error_message", T.StringType()),
-])
+def observation_fields(keys=(), with_series: bool = False) -> T.StructType:
+    """One landed observation: date and value as text, and the entity keys."""
+    names = [*(["series_id"] if with_series else []), "date", "value", *keys]
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def observation_payload(keys=()) -> T.StructType:
+    return T.StructType([
+        T.StructField("series_id", T.StringType()),
+        T.StructField("observations", T.ArrayType(observation_fields(keys))),
+        T.StructField("error_code", T.IntegerType()),
+        T.StructField("error_message", T.StringType()),
+    ])
+
+
+OBSERVATION_PAYLOAD = observation_payload()
 
 METADATA_PAYLOAD = T.StructType([
     T.StructField("seriess", T.ArrayType(T.StructType([
@@ -105,6 +118,7 @@ WIDE_COLUMNS = ("unemployment_rate", "cpi_index", "fed_funds_rate",
 # Risk levels, from lowest to highest.
 RISK_LEVELS = ("LOW", "MODERATE", "ELEVATED", "HIGH")
 
+# Fixed value: first date of a full load.
 DEFAULT_START_DATE = "2000-01-01"
 
 

@@ -2,39 +2,58 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: What a local run uses; under spark-submit only what the submitter has left open.
+DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
                 app_name: str = "tidemark") -> SparkSession:
-    """Session for local runs. On a cluster, the submitter's config wins."""
-    spark = (
-        SparkSession.builder.master(master).appName(app_name)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
-        .getOrCreate()
-    )
+    """The session: as submitted, or a local one with the given settings.
+
+    Under spark-submit (which starts the JVM before Python and names its
+    gateway in the environment) master, memory and shuffle partitions are the
+    submitter's, and each of DEFAULTS is set only if the submitter has not.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if "PYSPARK_GATEWAY_PORT" in os.environ:
+        given = SparkConf()
+        for key, value in DEFAULTS.items():
+            if not given.contains(key):
+                builder = builder.config(key, value)
+    else:
+        builder = builder.master(master).config(map=DEFAULTS | {
+            "spark.sql.shuffle.partitions": str(shuffle_partitions), "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """Return the shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``. Only when it is unset (a
-    local test run) do we make one of our own.
+    Only a local session without that setting gets a folder of its own. On a
+    cluster a missing setting is an error: a folder of the driver's machine
+    would hold data that executors and later sessions cannot see.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir is not set on {master}: name a folder that all machines share")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -70,6 +89,8 @@ def size_shuffles(spark: SparkSession, paths, target_bytes: int = TARGET_PARTITI
     of input (at least the default parallelism), so the first shuffle of a
     100 TB job does not squeeze into 200 partitions and spill. AQE then
     coalesces small partitions (the aggregated shuffles are far smaller).
+    ``max_partitions`` bounds the number of shuffle files only: beyond it
+    partitions grow, results stay the same.
     Returns the value set, or None if the setting was already given.
     """
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"

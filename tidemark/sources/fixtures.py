@@ -1,9 +1,9 @@
 """Adapters from the driver's tables to the engine's input shapes.
 
 Every value is an integer sum divided once, so Spark and DuckDB see identical
-doubles. Each source table is scanned and shuffled once: one GROUPING SETS
-aggregate computes every time grain a table feeds (day and month for
-lineitem, month and quarter for orders).
+doubles. Each source table is scanned and shuffled once, by (entity, day) or
+(entity, month); coarser grains are added up from those few rows. Only the
+tables that feed the asked series are read.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from ..functions.columns import month_of
 ENTITY = "entity"
 
 # Fixed values of the FX-ECON fixture.
-DROPPED_MONTH = "1997-06-01"   # removed from the four monthly series
 SPINE_START = "1996-01-01"
 AS_OF = "2001-12-31"
 FIXTURE_THRESHOLDS = dict(sahm_rule=4.0, high_inflation=2.0, low_sentiment=25.3, fed_tightening=0.1)
@@ -45,82 +44,70 @@ def _cents(c: Column) -> Column:
     return F.rint(c * F.lit(100)).cast("bigint")
 
 
-def _grains(df: DataFrame, keys, grains: dict, sums: dict) -> DataFrame:
-    """One aggregate over several time grains at once (GROUPING SETS).
+LINEITEM_SERIES = ("CPIAUCSL", "FEDFUNDS", "UMCSENT", "T10Y2Y")
+ORDERS_SERIES = ("UNRATE", "GDP")
 
-    Spark plans this as one Expand + partial aggregate before a single
-    shuffle, so the table is scanned once and every grain comes out of the
-    same exchange. Output: keys, one column per grain (NULL unless it is the
-    row's grain), n, sums and ``_g_<grain>`` = 0 on the rows of that grain.
-    """
-    names = list(grains)
-    x = df.select(*keys, *[c.alias(g) for g, c in grains.items()], *[v.alias(k) for k, v in sums.items()])
-    return x.groupingSets([[*keys, g] for g in names], *keys, *names).agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(k).alias(k) for k in sums],
-        *[F.grouping(g).alias(f"_g_{g}") for g in names])
 
+def _series(agg: DataFrame, keys, date: str, rows: dict) -> DataFrame:
+    """Aggregated rows of one grain to long (keys, series_id, observation_date, value) rows."""
+    one = F.array(*[F.struct(F.lit(sid).alias("series_id"), F.col(date).alias("observation_date"), v.alias("value"))
+                    for sid, v in rows.items()])
+    return agg.select(*keys, F.inline(one))
 
-def _to_long(agg: DataFrame, keys, rows: dict) -> DataFrame:
-    """Aggregated grains to long (series_id, observation_date, value) rows.
 
-    ``rows`` maps grain -> list of (series_id, value, keep) for that grain;
-    one generator emits them, dropping the entries whose ``keep`` is false.
-    """
-    arr = None
-    for g, items in rows.items():
-        structs = F.array(*[F.when(keep, F.struct(F.lit(sid).alias("series_id"),
-                                                  F.col(g).alias("observation_date"),
-                                                  val.alias("value")))
-                            for sid, val, keep in items])
-        is_g = F.col(f"_g_{g}") == 0
-        arr = F.when(is_g, structs) if arr is None else arr.when(is_g, structs)
-    return agg.select(*keys, F.inline(F.filter(arr, lambda x: x.isNotNull())))
-
-
-def econ_observations(spark: SparkSession, sf_dir: str, entity: str | None = None) -> DataFrame:
+def _rollup(fine: DataFrame, keys, grain: Column, name: str) -> DataFrame:
+    """Counts and sums of a finer grain added up to a coarser one."""
+    sums = [c for c in fine.columns if c == "n" or c.startswith("s_")]
+    return fine.withColumn(name, grain).groupBy(*keys, name).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def econ_observations(spark: SparkSession, sf_dir: str, entity: str | None = None, series=None) -> DataFrame:
     """Six long-format series (FX-ECON, or FX-PANEL with entity='priority',
-    or FX-PANEL-L with entity='supplier').
+    or FX-PANEL-L with entity='supplier', whose order series weigh each order by its lines).
 
+    ``series``: only these ids (default: all); tables that feed none of them are not read.
     Columns: [entity,] series_id, observation_date DATE, value DOUBLE.
     """
     keys = [ENTITY] if entity else []
-    li = table(spark, sf_dir, "lineitem")
-    with_orders = entity in (None, "priority")
+    wanted = [s for s in (*LINEITEM_SERIES, *ORDERS_SERIES) if series is None or s in series]
+    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     if entity == "priority":
-        od = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias(ENTITY))
+        od = o.select("o_orderkey", F.col("o_orderpriority").alias(ENTITY))
         li = li.join(od, li.l_orderkey == od.o_orderkey).drop("o_orderkey")
+        o = o.withColumn(ENTITY, F.col("o_orderpriority"))
     elif entity == "supplier":
         li = li.withColumn(ENTITY, F.col("l_suppkey"))
+        lines = li.select("l_orderkey", ENTITY)
+        o = o.join(lines, o.o_orderkey == lines.l_orderkey).drop("l_orderkey")
     elif entity is not None:
         raise ValueError(f"unknown entity {entity!r}")
-
-    day = F.to_date("l_shipdate")
-    li_agg = _grains(li, keys, {"d": day, "m": month_of(day)}, {
-        "s_price": _cents(F.col("l_extendedprice")),
-        "s_disc": _cents(F.col("l_discount")),
-        "s_qty": F.col("l_quantity").cast("bigint"),
-        "s_spread": _cents(F.col("l_tax") - F.col("l_discount")),
-    })
-    n = F.col("n").cast("double")
-    kept = F.col("m") != F.to_date(F.lit(DROPPED_MONTH))
-    out = _to_long(li_agg, keys, {
-        "m": [("CPIAUCSL", F.col("s_price").cast("double") / n / F.lit(100), kept),
-              ("FEDFUNDS", F.col("s_disc").cast("double") / n, kept),
-              ("UMCSENT", F.col("s_qty").cast("double") / n, kept & (F.month("m") != 5))],
-        "d": [("T10Y2Y", F.col("s_spread").cast("double") / n, F.lit(True))],
-    })
-    if with_orders:
-        o = table(spark, sf_dir, "orders")
-        if entity:
-            o = o.withColumn(ENTITY, F.col("o_orderpriority"))
-        o_agg = _grains(o, keys, {"m": month_of("o_orderdate"), "q": F.trunc("o_orderdate", "quarter")}, {
-            "s_f": F.when(F.col("o_orderstatus") == "F", F.lit(10000)).otherwise(F.lit(0)).cast("bigint"),
-            "s_price": _cents(F.col("o_totalprice")),
-        })
-        out = out.unionByName(_to_long(o_agg, keys, {
-            "m": [("UNRATE", F.col("s_f").cast("double") / n / F.lit(100), kept)],
-            "q": [("GDP", F.col("s_price").cast("double") / F.lit(1e8), F.lit(True))],
-        }))
+    n, parts = F.col("n").cast("double"), []
+
+    if any(s in wanted for s in LINEITEM_SERIES):
+        day = li.groupBy(*keys, F.to_date("l_shipdate").alias("d")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(_cents(F.col("l_extendedprice"))).alias("s_price"),
+            F.sum(_cents(F.col("l_discount"))).alias("s_disc"), F.sum(F.col("l_quantity").cast("bigint")).alias("s_qty"),
+            F.sum(_cents(F.col("l_tax") - F.col("l_discount"))).alias("s_spread"))
+        monthly = {"CPIAUCSL": F.col("s_price").cast("double") / n / F.lit(100),
+                   "FEDFUNDS": F.col("s_disc").cast("double") / n, "UMCSENT": F.col("s_qty").cast("double") / n}
+        monthly = {s: v for s, v in monthly.items() if s in wanted}
+        if "T10Y2Y" in wanted:
+            parts.append(_series(day, keys, "d", {"T10Y2Y": F.col("s_spread").cast("double") / n}))
+        if monthly:
+            parts.append(_series(_rollup(day, keys, month_of("d"), "m"), keys, "m", monthly))
+    if any(s in wanted for s in ORDERS_SERIES):
+        month = o.groupBy(*keys, month_of("o_orderdate").alias("m")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.when(F.col("o_orderstatus") == "F", F.lit(10000)).otherwise(F.lit(0)).cast("bigint")).alias("s_f"),
+            F.sum(_cents(F.col("o_totalprice"))).alias("s_price"))
+        if "UNRATE" in wanted:
+            parts.append(_series(month, keys, "m", {"UNRATE": F.col("s_f").cast("double") / n / F.lit(100)}))
+        if "GDP" in wanted:
+            quarter = _rollup(month, keys, F.trunc("m", "quarter"), "q")
+            parts.append(_series(quarter, keys, "q", {"GDP": F.col("s_price").cast("double") / F.lit(1e8)}))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 
@@ -206,6 +193,22 @@ def landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.to_date("ts").alias("observation_date"), raw.alias("raw_value"))
 
 
+def landing_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX-TEXT as payload documents, one per event: event_id, series_id, payload.
+
+    Every 13th document has no observations, every 17th lacks the key and states
+    an error, every 19th is no JSON, every 23rd has a NULL value and every 29th
+    names its series itself."""
+    land = landing_text(spark, sf_dir)
+    i, obs = F.col("event_id"), F.struct(
+        F.date_format("observation_date", "yyyy-MM-dd").alias("date"),
+        F.when(F.col("event_id") % 23 != 0, F.col("raw_value")).alias("value"))
+    doc = F.to_json(F.struct(F.when(i % 29 == 0, F.concat(F.lit("own."), F.col("series_id"))).alias("series_id"),
+                             F.when(i % 13 == 0, F.filter(F.array(obs), lambda x: F.lit(False))).otherwise(F.array(obs)).alias("observations")))
+    error = F.to_json(F.struct(F.lit(400).alias("error_code"), F.concat(F.lit("no series "), F.col("series_id")).alias("error_message")))
+    return land.select("event_id", "series_id", F.when(i % 17 == 0, error).when(i % 19 == 0, F.lit("<html>")).otherwise(doc).alias("payload"))
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX-LOG: an ingestion log with many runs; tie-break column ``event_id``."""
     e = table(spark, sf_dir, "events")

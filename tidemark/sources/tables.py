@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import MAX_LENGTHS
+from ..schemas import INGESTION_LOG, MAX_LENGTHS, observations_contract
 
 LAYERS = ("raw", "staging", "intermediate", "marts")
 
@@ -83,7 +83,7 @@ def publish(df: DataFrame, root: str, layer: str, name: str, as_: str = "table",
     Tables are written to a fresh versioned folder and then become the
     current version by a pointer file (write, audit, publish): readers never
     see a half-written or failing table, and the writer never reads its own
-    output. ``audit(written_df)`` returns a list of failure messages.
+    output. Versions older than the one before the current are removed. ``audit(written_df)`` returns a list of failure messages.
     """
     spark = df.sparkSession
     if as_ == "view":
@@ -96,26 +96,56 @@ def publish(df: DataFrame, root: str, layer: str, name: str, as_: str = "table",
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(version)
-    written = spark.read.parquet(version)
+    written = spark.read.schema(out.schema).parquet(version)   # partition values keep their type
     if audit is not None:
         failures = audit(written)
         if failures:
             raise AuditFailed(f"{layer}/{name} not published: " + "; ".join(failures))
     _write_pointer(spark, base, version)
+    _drop_old_versions(spark, base, version)
     return written
 
 
+POINTER = "CURRENT"
+#: Versions kept beside the current one, for readers that opened them before the switch.
+KEPT_VERSIONS = 1
+
+
+def _fs(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def _write_pointer(spark: SparkSession, base: str, version: str) -> None:
-    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(
-        os.path.join(base, "_current"))
+    """Make ``version`` the current one: a new pointer file renamed over the old one in one step."""
+    jvm = spark._jvm
+    fs, fresh = _fs(spark, os.path.join(base, f"_pointer-{uuid.uuid4().hex}"))
+    out = fs.create(fresh, False)
+    out.write(bytearray(os.path.basename(version).encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(fresh), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(base, POINTER)), options)
+
+
+def _drop_old_versions(spark: SparkSession, base: str, current: str) -> None:
+    """Remove versions older than the current one and the KEPT_VERSIONS before it."""
+    fs, p = _fs(spark, base)
+    found = sorted((s.getModificationTime(), s.getPath().getName()) for s in fs.listStatus(p)
+                   if s.isDirectory() and s.getPath().getName().startswith("v="))
+    old = [n for _, n in found if n != os.path.basename(current)]
+    for name in old[:len(old) - KEPT_VERSIONS] if len(old) > KEPT_VERSIONS else []:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(base, name), True)
 
 
 def current_version(spark: SparkSession, base: str) -> str | None:
-    ptr = os.path.join(base, "_current")
+    ptr = os.path.join(base, POINTER)
     if not exists(spark, ptr):
         return None
     rows = spark.read.text(ptr).limit(1).collect()
-    return rows[0][0] if rows else None
+    return os.path.join(base, rows[0][0]) if rows else None
 
 
 def read_mart(spark: SparkSession, root: str, name: str, layer: str = "marts",
@@ -137,9 +167,12 @@ def read_mart(spark: SparkSession, root: str, name: str, layer: str = "marts",
     return df
 
 
-def read_current(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame | None:
+def read_current(spark: SparkSession, root: str, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """Current version of a table; ``schema`` where its partition values must keep their types."""
     path = current_version(spark, layer_path(root, layer, name))
-    return None if path is None else spark.read.parquet(path)
+    if path is None:
+        return None
+    return spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
 
 
 def append_log(log: DataFrame, path: str) -> None:
@@ -153,35 +186,55 @@ def append_log(log: DataFrame, path: str) -> None:
         .partitionBy("run_id").parquet(path))
 
 
-def upsert_table(spark: SparkSession, path: str, batch: DataFrame,
-                 keys=("series_id", "observation_date"), partition_by: str = "series_id",
-                 now=None, staging_root: str | None = None) -> int:
-    """Idempotent upsert of ``batch`` into a Parquet table partitioned by ``partition_by``.
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The stored ingestion log under its contract (run ids that look like numbers stay text)."""
+    return spark.read.schema(INGESTION_LOG).parquet(path)
 
-    Only partitions touched by the batch are read (semi-join on the partition
-    column) and rewritten. The merged partitions are first written to a fresh
-    staging folder, then swapped in with dynamic partition overwrite, so the
-    job never reads its own output. Returns the number of rows merged.
-    """
-    from ..operators.load import _ts, dedup_batch, merged_count, upsert
 
-    n = merged_count(batch, keys).first()[0]
+YEAR = "obs_year"
+
+
+def read_observations(spark: SparkSession, path: str, keys=()) -> DataFrame:
+    """Stored raw observations under their contract (series ids such as '001' stay text)."""
+    return spark.read.schema(observations_contract(keys)).parquet(path)
+
+
+def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys=(), now=None,
+                 staging_root: str | None = None) -> int:
+    """Idempotent upsert of ``batch`` into the stored raw observations; returns the rows merged.
+
+    ``keys``: entity key columns. The table is partitioned by series and year of
+    the date; only the pairs that the batch touches are read and rewritten. The
+    batch is written once to the shared folder, the merged partitions to a
+    staging folder (a job never reads what it overwrites), which then replaces
+    the touched partitions and is removed. A partition is swapped whole, but a
+    reader may see some partitions new and others old while a load runs.
+    """
+    from ..operators.joins import broadcast_if_small
+    from ..operators.load import _ts, dedup_batch, upsert
+    from ..session import cut_lineage, ensure_checkpoint_dir
+
+    row_key = [*keys, "series_id", "observation_date"]
+    parts = ["series_id", YEAR]
+    year = F.year("observation_date").alias(YEAR)
+    contract = observations_contract(keys)
+    fresh = cut_lineage(dedup_batch(batch, row_key).select(
+        *[F.col(f.name) if f.name in batch.columns else _ts(now).alias(f.name) for f in contract.fields], year))
+    n = fresh.count()
+    if not n:
+        return 0
     if not exists(spark, path):
-        first = dedup_batch(batch, keys).withColumn("ingested_at", _ts(now))
-        first.write.partitionBy(partition_by).parquet(path)
+        fresh.hint("rebalance", *parts).write.partitionBy(*parts).parquet(path)
         return n
-    from ..operators.joins import broadcast_if_small
-    from ..session import cut_lineage
-
-    target = spark.read.parquet(path)
-    # partitions touched by the batch: one row per series, materialised once and
-    # broadcast after a size check, so the semi/anti joins never shuffle the table
-    touched = broadcast_if_small(cut_lineage(batch.select(partition_by).distinct()))
-    merged = upsert(target.join(touched, partition_by, "left_semi"), batch, keys, now)
-    staging_root = staging_root or spark.conf.get("spark.checkpoint.dir")
-    stage = os.path.join(staging_root, f"upsert-{uuid.uuid4().hex}")
-    merged.write.partitionBy(partition_by).parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic")
-          .partitionBy(partition_by).parquet(path))
+    stored = spark.read.schema(T.StructType([*contract.fields, T.StructField(YEAR, T.IntegerType())])).parquet(path)
+    touched = broadcast_if_small(cut_lineage(fresh.select(*parts).distinct()))
+    merged = upsert(stored.join(touched, parts, "left_semi"), fresh, [*row_key, YEAR], now)
+    root = staging_root or ensure_checkpoint_dir(spark)
+    stage = os.path.join(root, f"upsert-{uuid.uuid4().hex}")
+    # rebalance: a hot series and year is split over tasks, small ones share one
+    merged.hint("rebalance", *parts).write.partitionBy(*parts).parquet(stage)
+    (spark.read.schema(merged.schema).parquet(stage).write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+    fs, p = _fs(spark, stage)
+    fs.delete(p, True)
     return n

@@ -1,63 +1,108 @@
 """Incremental load as a Structured Streaming query over the landing folder.
 
 New payload files are picked up by the file source; each micro-batch runs the
-same load as the batch job (quarantine bad series, upsert good rows, append
-the run log). The stream checkpoint remembers which files were processed, so
-it replaces the high-watermark lookup; revised observations still win by
-"latest load" in staging. ``trigger(availableNow=True)`` makes the daily run a
-bounded job that stops when the folder is drained. The upsert is idempotent,
-so a replayed micro-batch after a failure gives the same table.
+same load as the batch job (isolate bad series, upsert good rows, append the
+run log). The stream checkpoint remembers which files were processed, so rows
+of a series that fails must not be lost with their file: they are kept in the
+quarantine table and loaded again with the series' next files, the latest file
+winning for each key. A series leaves quarantine when all that counts of its
+rows is good. ``run_incremental_load`` drains the folder once and then raises if
+series are left in quarantine or failed in this run; the good ones are stored.
+
+A replayed micro-batch gives the same tables: the upsert is idempotent, the
+quarantine is replaced by what the same rows give again, and the run id follows
+from the stream's id (kept in its checkpoint) and the micro-batch's number.
 
 SURVEY §2.12.
 """
 
 from __future__ import annotations
 
-import os
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import load
-from ..schemas import DEFAULT_SERIES, DEFAULT_START_DATE, OBSERVATION_PAYLOAD
-from ..sources import tables
+from ..schemas import DEFAULT_SERIES, DEFAULT_START_DATE
+from ..session import cut_lineage
+from ..sources import landing, tables
+
+_NAMESPACE = uuid.UUID("5b0e7c1e-3f0b-4f57-9a37-6f3b8d2f9f10")
 
 
-def observation_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame of payload files: series_id, observations, error fields."""
-    reader = spark.readStream.schema(OBSERVATION_PAYLOAD).option("multiLine", True)
+def observation_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
+                       keys: Sequence[str] = ()) -> DataFrame:
+    """Streaming frame of payload files: series_id, observations, error fields, file_time, file_name."""
+    reader = spark.readStream.schema("value string").option("wholetext", True).option("pathGlobFilter", "*.json")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.json(landing_dir)
-    series = F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1)
-    return df.select(series.alias("series_id"), "observations", "error_code", "error_message")
+    raw = reader.text(landing_dir).select(F.col("value").alias("payload"), *landing._file_columns())
+    return landing.parse_payloads(raw.withColumn("series_id", landing.series_of_file("file_name")), "payload", keys)
+
+
+def run_id_of(stream_id: str, epoch_id: int) -> str:
+    """36 characters, the same for a replayed micro-batch and no other."""
+    return str(uuid.uuid5(_NAMESPACE, f"{stream_id}/{epoch_id}"))
+
+
+def quarantine_schema(keys: Sequence[str] = ()) -> T.StructType:
+    return T.StructType([T.StructField("series_id", T.StringType()), *[T.StructField(k, T.StringType()) for k in keys],
+                         T.StructField("observation_date", T.DateType()), T.StructField("raw_value", T.StringType()),
+                         T.StructField("file_time", T.TimestampNTZType()), T.StructField("file_name", T.StringType())])
 
 
-def _micro_batch(root: str, specs, now, load_start):
+def read_quarantine(spark: SparkSession, root: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows of series whose load failed, to be loaded with the series' next files."""
+    kept = tables.read_current(spark, root, "raw", "quarantine", quarantine_schema(keys))
+    return kept if kept is not None else spark.createDataFrame([], quarantine_schema(keys))
+
+
+def _micro_batch(root: str, specs, now, load_start, keys: Sequence[str] = (), stream_id: str | None = None):
     def handle(payloads: DataFrame, epoch_id: int) -> None:
         spark = payloads.sparkSession
-        bad = payloads.filter(F.col("observations").isNull()).select("series_id")
-        rows = (payloads.filter(F.col("observations").isNotNull())
-                        .select("series_id", F.inline("observations"))
-                        .select("series_id", F.try_to_date("date").alias("observation_date"),
-                                F.col("value").alias("raw_value")))
+        own_id = stream_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "unnamed"
+        columns = [f.name for f in quarantine_schema(keys).fields]
+        payloads = cut_lineage(payloads)
+        good, bad = landing.split_malformed(payloads)
         present = payloads.select("series_id").distinct()
+        kept = read_quarantine(spark, root, keys)
+        again = kept.join(present, "series_id", "left_semi")
+        rows = cut_lineage(landing.payload_rows(good, keys).select(*columns).unionByName(again).distinct())
         dim = load.series_dim(spark, specs).join(present, "series_id", "left_semi")
-        batch, log = load.run_load(rows, dim, None, False, now, f"stream-{epoch_id}", bad, load_start)
-        log = log.checkpoint(eager=True)
-        obs_path = tables.layer_path(root, "raw", "observations")
-        tables.upsert_table(spark, obs_path, batch, now=now)
+        batch, log = load.run_load(rows, dim, None, False, now, run_id_of(own_id, epoch_id), bad.select("series_id"),
+                                   load_start, keys, materialise=True)
+        tables.upsert_table(spark, tables.layer_path(root, "raw", "observations"), batch, keys, now=now)
+        failed = log.filter(F.col("status") == "FAILED").select("series_id")
+        tables.publish(kept.join(present, "series_id", "left_anti").unionByName(
+            rows.join(failed, "series_id", "left_semi")), root, "raw", "quarantine")
         tables.append_log(log, tables.layer_path(root, "raw", "ingestion_log"))
     return handle
 
 
-def start_incremental_load(spark: SparkSession, landing_dir: str, root: str, checkpoint_location: str | None = None,
+def start_incremental_load(spark: SparkSession, landing_dir: str, root: str, checkpoint_location: str,
                            specs=DEFAULT_SERIES, now=None, available_now: bool = True,
-                           load_start: str = DEFAULT_START_DATE):
-    """Start the stream; returns the StreamingQuery (call ``awaitTermination()``)."""
-    ckpt = checkpoint_location or os.path.join(spark.conf.get("spark.checkpoint.dir"), "landing-stream")
-    w = (observation_stream(spark, landing_dir).writeStream
-         .foreachBatch(_micro_batch(root, specs, now, load_start))
-         .option("checkpointLocation", ckpt))
+                           load_start: str = DEFAULT_START_DATE, keys: Sequence[str] = ()):
+    """Start the stream; returns the StreamingQuery (call ``awaitTermination()``).
+
+    ``checkpoint_location`` has to be a lasting shared folder: it remembers the
+    files that were processed from session to session."""
+    w = (observation_stream(spark, landing_dir, keys=keys).writeStream
+         .foreachBatch(_micro_batch(root, specs, now, load_start, keys))
+         .option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
     return w.start()
+
+
+def run_incremental_load(spark: SparkSession, landing_dir: str, root: str, checkpoint_location: str, **options) -> None:
+    """Load all new files, then raise ``LoadFailed`` if a series failed in this run or still waits in quarantine."""
+    path = tables.layer_path(root, "raw", "ingestion_log")
+    before = (cut_lineage(tables.read_log(spark, path).select("run_id").distinct()) if tables.exists(spark, path)
+              else spark.createDataFrame([], "run_id string"))
+    start_incremental_load(spark, landing_dir, root, checkpoint_location, **options).awaitTermination()
+    if tables.exists(spark, path):
+        load.raise_if_failed(tables.read_log(spark, path).join(before, "run_id", "left_anti"))
+    waiting = read_quarantine(spark, root, options.get("keys", ())).select("series_id").distinct()
+    load.raise_if_failed(waiting.withColumn("status", F.lit("FAILED")))
