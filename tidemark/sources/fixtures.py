@@ -48,17 +48,27 @@ LINEITEM_SERIES = ("CPIAUCSL", "FEDFUNDS", "UMCSENT", "T10Y2Y")
 ORDERS_SERIES = ("UNRATE", "GDP")
 
 
-def _series(agg: DataFrame, keys, date: str, rows: dict) -> DataFrame:
-    """Aggregated rows of one grain to long (keys, series_id, observation_date, value) rows."""
-    one = F.array(*[F.struct(F.lit(sid).alias("series_id"), F.col(date).alias("observation_date"), v.alias("value"))
-                    for sid, v in rows.items()])
-    return agg.select(*keys, F.inline(one))
+def _series(fine: DataFrame, keys, grains: dict[str, Column], rows: dict[str, dict[str, Column]]) -> DataFrame:
+    """Long (keys, series_id, observation_date, value) rows of an aggregate by (keys, finest grain).
 
-
-def _rollup(fine: DataFrame, keys, grain: Column, name: str) -> DataFrame:
-    """Counts and sums of a finer grain added up to a coarser one."""
+    ``grains``: name -> date expression over ``fine``; ``rows``: grain -> {series: value over its counts and sums}.
+    Grains beyond the first asked for are added up from the few rows of ``fine`` by
+    GROUPING SETS, so the table below is scanned and shuffled once for all of them."""
     sums = [c for c in fine.columns if c == "n" or c.startswith("s_")]
-    return fine.withColumn(name, grain).groupBy(*keys, name).agg(*[F.sum(c).alias(c) for c in sums])
+    used = [g for g in grains if rows.get(g)]
+    x = fine.select(*keys, *[grains[g].alias(g) for g in used], *sums)
+    added = [F.sum(c).alias(c) for c in sums]
+    if len(used) > 1:
+        x = x.groupingSets([[*keys, g] for g in used], *keys, *used).agg(*added, *[F.grouping(g).alias(f"_g_{g}") for g in used])
+    else:
+        x = x.groupBy(*keys, *used).agg(*added, *[F.lit(0).alias(f"_g_{g}") for g in used])
+    one = None
+    for g in used:
+        items = F.array(*[F.struct(F.lit(sid).alias("series_id"), F.col(g).alias("observation_date"), v.alias("value"))
+                          for sid, v in rows[g].items()])
+        of_g = F.col(f"_g_{g}") == 0
+        one = F.when(of_g, items) if one is None else one.when(of_g, items)
+    return x.select(*keys, F.inline(one))
 
 
 def econ_observations(spark: SparkSession, sf_dir: str, entity: str | None = None, series=None) -> DataFrame:
@@ -83,28 +93,26 @@ def econ_observations(spark: SparkSession, sf_dir: str, entity: str | None = Non
         raise ValueError(f"unknown entity {entity!r}")
     n, parts = F.col("n").cast("double"), []
 
+    def asked(values: dict[str, Column]) -> dict[str, Column]:
+        return {sid: v for sid, v in values.items() if sid in wanted}
+
     if any(s in wanted for s in LINEITEM_SERIES):
-        day = li.groupBy(*keys, F.to_date("l_shipdate").alias("d")).agg(
+        day = li.groupBy(*keys, F.to_date("l_shipdate").alias("day")).agg(
             F.count(F.lit(1)).alias("n"), F.sum(_cents(F.col("l_extendedprice"))).alias("s_price"),
             F.sum(_cents(F.col("l_discount"))).alias("s_disc"), F.sum(F.col("l_quantity").cast("bigint")).alias("s_qty"),
             F.sum(_cents(F.col("l_tax") - F.col("l_discount"))).alias("s_spread"))
-        monthly = {"CPIAUCSL": F.col("s_price").cast("double") / n / F.lit(100),
-                   "FEDFUNDS": F.col("s_disc").cast("double") / n, "UMCSENT": F.col("s_qty").cast("double") / n}
-        monthly = {s: v for s, v in monthly.items() if s in wanted}
-        if "T10Y2Y" in wanted:
-            parts.append(_series(day, keys, "d", {"T10Y2Y": F.col("s_spread").cast("double") / n}))
-        if monthly:
-            parts.append(_series(_rollup(day, keys, month_of("d"), "m"), keys, "m", monthly))
+        parts.append(_series(day, keys, {"d": F.col("day"), "m": month_of("day")}, {
+            "d": asked({"T10Y2Y": F.col("s_spread").cast("double") / n}),
+            "m": asked({"CPIAUCSL": F.col("s_price").cast("double") / n / F.lit(100),
+                        "FEDFUNDS": F.col("s_disc").cast("double") / n, "UMCSENT": F.col("s_qty").cast("double") / n})}))
     if any(s in wanted for s in ORDERS_SERIES):
-        month = o.groupBy(*keys, month_of("o_orderdate").alias("m")).agg(
+        month = o.groupBy(*keys, month_of("o_orderdate").alias("month")).agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.when(F.col("o_orderstatus") == "F", F.lit(10000)).otherwise(F.lit(0)).cast("bigint")).alias("s_f"),
             F.sum(_cents(F.col("o_totalprice"))).alias("s_price"))
-        if "UNRATE" in wanted:
-            parts.append(_series(month, keys, "m", {"UNRATE": F.col("s_f").cast("double") / n / F.lit(100)}))
-        if "GDP" in wanted:
-            quarter = _rollup(month, keys, F.trunc("m", "quarter"), "q")
-            parts.append(_series(quarter, keys, "q", {"GDP": F.col("s_price").cast("double") / F.lit(1e8)}))
+        parts.append(_series(month, keys, {"m": F.col("month"), "q": F.trunc("month", "quarter")}, {
+            "m": asked({"UNRATE": F.col("s_f").cast("double") / n / F.lit(100)}),
+            "q": asked({"GDP": F.col("s_price").cast("double") / F.lit(1e8)})}))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
