@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -35,8 +36,13 @@ def test_word_encoder_equals_the_library():
     e, library = T.WordEncoder(T.model_text()), Tokenizer.from_str(T.model_text())
     texts = ["", "a\x01b \x01 c", "Don't STOP  now", "İΣΑΣ é ́x", "日本 語", "\x01", "<|endoftext|> x<|startoftext|>y", "x\x1cy\x85z\u200bw\u3000q",
              "\x00 \x0b\x0c", "ﬁ ﬀ ǆ", "a" * 5000]
-    for t, raw in zip(texts, e.encode(texts)):
-        assert np.frombuffer(raw, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
+    texts += ["It's a-b c.d e, 12½ x²ª µ ÀÉ ŀ", "AB12cd!!*** don't", "<|x|> a<|", None]
+    ids, n = e.encode(pa.array(texts, pa.string()))
+    for t, own in zip(texts, np.split(ids, np.cumsum(n)[:-1])):
+        assert own.tolist() == library.encode(t or "", add_special_tokens=False).ids, t
+    many = ["".join(chr(c) for c in range(lo, lo + 40)) + " x" for lo in range(33, 0x2100, 37)]
+    ids, n = e.encode(pa.array(many).slice(3))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [library.encode(t, add_special_tokens=False).ids for t in many[3:]]
 
 
 def expected(docs):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 
 #: Bounds of the Arrow batches that Python tasks receive (rows and bytes).
-BATCH_ROWS = 2000
+BATCH_ROWS = 4000
 BATCH_BYTES = 16 << 20
 #: Bytes of text that one vectorised pass works on (its temporaries are a few tens of times larger).
 SLICE_BYTES = 1 << 20

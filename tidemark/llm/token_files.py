@@ -28,12 +28,15 @@ documents that repeat an id are ordered by their text; ids of 0 and of
 from __future__ import annotations
 
 import os
+import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,6 +45,8 @@ from .common import prepare, saved
 
 BLOCK, PERCENTILE, SHARD_IDS, END_ID = 128, 90, 1 << 19, 1
 MEMO_WORDS, JOINED = 600_000, 512
+#: A table of file parts of at most so many rows (16 bytes each) is broadcast.
+BROADCAST_PARTS = 500_000
 MAGIC = b"PFOR0001"
 HEADER = struct.Struct("<8sQQQQ")
 
@@ -151,63 +156,113 @@ class Image:
 
 # ------------------------------------------------------------------ encoding
 
+def _latin() -> tuple[re.Pattern, re.Pattern]:
+    """(what a plain run must not hold, the parts of a plain run) for code points under U+0180.
+
+    There the normaliser only lowers letters, one to one, and the
+    pre-tokenizer's classes are letters, single numbers and all else; white
+    space, apostrophes, the dotted capital I and special tokens are not plain."""
+    kinds = {chr(c): unicodedata.category(chr(c))[0] for c in range(0x180)}
+    letters, numbers = ("".join(re.escape(c) for c, k in kinds.items() if k == want) for want in "LN")
+    return re.compile("['\u0130\x85\xa0]|<\\||[^\x00-\u017f]"), re.compile(f"[{letters}]+|[{numbers}]|[^{letters}{numbers}]+")
+
+
 class WordEncoder:
-    """Ids of texts with the tokenizers library, each distinct run of non-space bytes encoded once.
+    """Ids of texts with the tokenizers library, each distinct run of non-space characters encoded once.
 
     The tokenizer drops white space and never joins across it, so the ids of a
     text are those of its runs, one after the other (runs are cut at ASCII white
     space; other white space stays in a run, for the library to drop). New runs
-    are encoded JOINED at a time: runs of letters are one word each, whose last
-    id is that of a word-end piece; between other runs goes a control
-    character. If the ids do not fall into as many parts as there are runs, the
-    runs are encoded alone. The memo holds up to MEMO_WORDS runs, then starts anew."""
-
-    GAP = "\x01"
+    of plain Latin text are lowered and cut into the pre-tokenizer's parts, and
+    new parts are encoded JOINED at a time with the library's model behind a
+    pre-tokenizer that cuts at spaces; all other runs take the whole tokenizer,
+    runs of letters JOINED at a time. Every part ends with the only word-end
+    piece in it, by which joined ids fall apart again; should their number
+    differ, the runs are encoded alone. Both memos hold up to MEMO_WORDS
+    entries, then start anew."""
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_str(model)
-        self.gap = self._ids([self.GAP])[0]
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.whole, self.parts_only = Tokenizer.from_str(model), Tokenizer.from_str(model)
+        self.parts_only.normalizer = None
+        self.parts_only.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.whole.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, runs: list[bytes]) -> None:
-        letters, others = [], []
+        self.odd, self.cut = _latin()
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _joined(self, tokenizer, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text, encoded JOINED at a time."""
+        groups = [texts[lo:lo + JOINED] for lo in range(0, len(texts), JOINED)]
+        found = tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, encoding in zip(groups, found):
+            ids = np.array(encoding.ids, "<u4")
+            highs = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
+            if len(highs) == len(group):
+                raw = ids.tobytes()
+                yield from (raw[a:z] for a, z in zip([0, *highs[:-1].tolist()], highs.tolist()))
+            else:
+                yield from self._alone(group)
+
+    def _alone(self, texts: list[str]) -> Iterator[bytes]:
+        for e in self.whole.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(e.ids, "<u4").tobytes()
+
+    def learn(self, runs: list[str]) -> None:
+        single, several, letters, others = {}, {}, [], []
         for r in runs:
-            (letters if r.decode().isalpha() else others).append(r)
-        for group, gap in ((letters, False), (others, True)):
-            parts = [group[lo:lo + JOINED] for lo in range(0, len(group), JOINED)]
-            glue = f" {self.GAP} " if gap else " "
-            for part, ids in zip(parts, self._ids([glue.join(r.decode() for r in p) for p in parts])):
-                if gap:
-                    at = np.flatnonzero(ids == self.gap[0])
-                    lows, highs = np.append(0, at + 1), np.append(at, len(ids))
-                else:
-                    highs = np.flatnonzero(self.ends_word[ids]) + 1
-                    lows = np.append(0, highs[:-1])
-                if len(highs) == len(part):
-                    raw = ids.tobytes()
-                    self.words.update(zip(part, [raw[a:z] for a, z in zip((4 * lows).tolist(), (4 * highs).tolist())]))
-                else:
-                    self.words.update(zip(part, [x.tobytes() for x in self._ids([r.decode() for r in part])]))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        runs = [t.encode().split() for t in texts]
-        new = set().union(*runs).difference(self.words)
+            if self.odd.search(r):
+                (letters if r.isalpha() else others).append(r)
+            elif r.isalpha():
+                single[r] = r.lower()
+            else:
+                several[r] = self.cut.findall(r.lower())
+        wanted = set(single.values()).union(*several.values())
+        new = list(wanted.difference(self.parts))
+        if len(self.parts) + len(new) > MEMO_WORDS:
+            self.parts.clear()
+            new = list(wanted)
+        self.parts.update(zip(new, self._joined(self.parts_only, new)))
+        get = self.parts.__getitem__
+        self.words.update(zip(single, map(get, single.values())))
+        self.words.update((r, b"".join(map(get, p))) for r, p in several.items())
+        self.words.update(zip(letters, self._joined(self.whole, letters)))
+        self.words.update(zip(others, self._alone(others)))
+
+    def known(self, runs: list[str]) -> list[bytes]:
+        """The ids of each of the distinct ``runs``."""
+        found = list(map(self.words.get, runs))
+        new = [r for r, x in zip(runs, found) if x is None]
         if new:
             if len(self.words) + len(new) > MEMO_WORDS:
                 self.words.clear()
-                new = set().union(*runs)
-            self.learn(list(new))
-        get = self.words.__getitem__
-        return [b"".join(map(get, r)) for r in runs]
+                new = runs
+            self.learn(new)
+            found = list(map(self.words.__getitem__, runs))
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, number of ids of each); null is the empty text.
+
+        Runs are cut and numbered by Arrow; Python sees the batch's distinct runs only."""
+        runs = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+        numbered = runs.flatten().dictionary_encode()
+        # one Python string, cut again at spaces: runs hold none
+        distinct = pa.ListArray.from_arrays(pa.array([0, len(numbered.dictionary)], pa.int32()), numbered.dictionary)
+        found = self.known(pc.binary_join(distinct, " ")[0].as_py().split(" "))
+        pool = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        of = numbered.indices.to_numpy()
+        n = size[of]
+        ends = np.cumsum(n)
+        at = np.repeat((np.cumsum(size) - size)[of] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+        bounds = np.append(0, ends)[runs.offsets.to_numpy() - runs.offsets[0].as_py()]
+        return pool[at], np.diff(bounds)
 
 
 _ENCODERS: dict[int, WordEncoder] = {}
@@ -231,7 +286,7 @@ def model_text(path: str | None = None) -> str:
         return f.read()
 
 
-SHARDS = "part int, shard int, n_docs long, n_ids long, doc_ids array<long>, image binary"
+SHARDS = "part int, shard int, first_in_part long, n_docs long, n_ids long, doc_ids array<long>, image binary"
 
 
 def write(docs: DataFrame, model: str | None = None, path: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -239,31 +294,32 @@ def write(docs: DataFrame, model: str | None = None, path: str | None = None, en
     spark = docs.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast(model or model_text())
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, shard = _encoder(shared.value), TaskContext.get().partitionId(), 0
-        ids, found, size = [], [], 0
+        encoder, part, shard, first = _encoder(shared.value), TaskContext.get().partitionId(), 0, 0
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []  # document ids, their sizes, ids
+        size = 0
 
         def flush() -> pa.RecordBatch:
-            ends = np.cumsum([len(x) // 4 for x in found])
-            image = pack(np.frombuffer(b"".join(found), "<u4"), ends)
+            doc_ids, ends = pa.concat_arrays([h[0] for h in held]), np.cumsum(np.concatenate([h[1] for h in held]))
+            image = pack(np.concatenate([h[2] for h in held]), ends)
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(ids)], pa.int64()),
-                 pa.array([int(ends[-1])], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([image], pa.binary())],
-                names=["part", "shard", "n_docs", "n_ids", "doc_ids", "image"])
+                [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([first], pa.int64()),
+                 pa.array([len(doc_ids)], pa.int64()), pa.array([int(ends[-1])], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array([0, len(doc_ids)], pa.int32()), doc_ids), pa.array([image], pa.binary())],
+                names=["part", "shard", "first_in_part", "n_docs", "n_ids", "doc_ids", "image"])
 
         for b in batches:
-            doc_ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
-            for lo in range(0, len(texts), 256):
-                for d, x in zip(doc_ids[lo:lo + 256], encoder.encode([t or "" for t in texts[lo:lo + 256]])):
-                    ids.append(d)
-                    found.append(x + end)
-                    size += len(x) // 4 + 1
-                    if size >= SHARD_IDS:
-                        yield flush()
-                        ids, found, size, shard = [], [], 0, shard + 1
-        if ids:
+            ids, n = encoder.encode(b.column("text"))
+            ids, n = np.insert(ids, np.cumsum(n), np.uint32(end_id)), n + 1
+            ends, lo, done = np.cumsum(n), 0, 0
+            while lo < len(n):  # fill the shard up with whole documents, one at least
+                hi = max(lo + 1, int(np.searchsorted(ends, done + SHARD_IDS - size, side="right")))
+                held.append((b.column("doc_id").slice(lo, hi - lo), n[lo:hi], ids[done:ends[hi - 1]]))
+                size, lo, done = size + int(ends[hi - 1]) - done, hi, int(ends[hi - 1])
+                if size >= SHARD_IDS or lo < len(n):
+                    yield flush()
+                    held, size, shard, first = [], 0, shard + 1, first + size
+        if held:
             yield flush()
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -283,10 +339,9 @@ def documents(shards: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, from the shards' images."""
     totals = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))  # one row per file part
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
-    inside = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = shards.select("part", "shard", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("inside")).join(
-        parts, "part").select("part", "shard", (F.col("part_start") + F.col("inside")).alias("first"))
+    parts = saved(totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start")), "token-parts")
+    if parts.count() <= BROADCAST_PARTS:
+        parts = F.broadcast(parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -299,5 +354,5 @@ def documents(shards: DataFrame) -> DataFrame:
                      pa.array([zlib.crc32(data[4 * a:4 * z]) for a, z in zip(low.tolist(), image.ends.tolist())], pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    joined = shards.select("part", "shard", "doc_ids", "image").join(starts, ["part", "shard"])
-    return joined.select("first", "doc_ids", "image").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    joined = shards.join(parts, "part").select((F.col("part_start") + F.col("first_in_part")).alias("first"), "doc_ids", "image")
+    return joined.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
