@@ -120,15 +120,13 @@ def forward_filled(obs: DataFrame, series_id: str, column: str, start, as_of,
 
     keys = list(keys)
     as_of = F.current_date() if as_of is None else as_of
-    series = obs.filter(F.col("series_id") == series_id)
-    vals = (series.groupBy(*keys, month_of("observation_date").alias(MONTH))
-                  .agg(F.max_by("value", "observation_date").alias(column)))
-    if keys:
-        entities = series.select(*keys).distinct()
-    else:
-        entities = obs.sparkSession.range(1).select()
-    grid = spine_for(entities, keys, start, as_of).withColumn(column, F.lit(None).cast("double"))
-    rows = vals.unionByName(grid)
-    rows = rows.groupBy(*keys, MONTH).agg(F.max(column).alias(column))
+    vals = (obs.filter(F.col("series_id") == series_id)
+               .groupBy(*keys, month_of("observation_date").alias(MONTH))
+               .agg(F.max_by("value", "observation_date").alias(column)))
+    # an entity's months (at most those of its series) as one map, looked up by its
+    # calendar: the source is read once and no second frame is joined or added
+    known = vals.filter(F.col(MONTH).isNotNull()).groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct(MONTH, column))).alias("_known"))
+    rows = spine_for(known, [*keys, "_known"], start, as_of).withColumn(column, F.col("_known")[F.col(MONTH)]).drop("_known")
     out = fill_forward(rows, [column], keys, start, as_of)
     return out.filter(in_spine(F.col(MONTH), start, as_of))
