@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 
 #: Bounds of the Arrow batches that Python tasks receive (rows and bytes).
-BATCH_ROWS = 4000
+BATCH_ROWS = 2000
 BATCH_BYTES = 16 << 20
 #: Bytes of text that one vectorised pass works on (its temporaries are a few tens of times larger).
 SLICE_BYTES = 1 << 20
@@ -57,15 +57,26 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` once to the shared scratch folder and read it back.
 
     The table lives under ``spark.checkpoint.dir``, so it survives lost
-    executors; what reads it never recomputes ``df``.
+    executors; what reads it never recomputes ``df``. The application's folder
+    there is removed when the application ends.
     """
     spark = df.sparkSession
     root = prepare(spark)
-    path = f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _remove_at_end(spark, folder)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _remove_at_end(spark: SparkSession, folder: str) -> None:
+    sc = spark.sparkContext
+    if not getattr(sc, "_tidemark_scratch", False):
+        p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+        sc._tidemark_scratch = True
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column without Python objects; null is the empty text."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

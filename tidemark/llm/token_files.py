@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from .common import prepare, saved
 
 BLOCK, PERCENTILE, SHARD_IDS, END_ID = 128, 90, 1 << 19, 1
-MEMO_WORDS, JOINED = 600_000, 512
+MEMO_PARTS, JOINED = 600_000, 512
 #: A table of file parts of at most so many rows (16 bytes each) is broadcast.
 BROADCAST_PARTS = 500_000
 MAGIC = b"PFOR0001"
@@ -101,6 +101,7 @@ def pack(ids: np.ndarray, ends: np.ndarray, percentile: float = PERCENTILE) -> b
     size = 6 + BLOCK * width // 8 + 5 * n_over
     start = np.cumsum(size) - size
     area = np.zeros(int(size.sum()), np.uint8)
+    kind = np.int32 if len(area) < 2 ** 31 - 4096 else np.int64  # index type of the block area
     head = np.empty((m, 6), np.uint8)
     head[:, :4] = least.astype("<u4").view(np.uint8).reshape(m, 4)
     head[:, 4], head[:, 5] = width, n_over
@@ -108,7 +109,7 @@ def pack(ids: np.ndarray, ends: np.ndarray, percentile: float = PERCENTILE) -> b
     low = np.where(over, 0, diff)
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
-        area[start[rows, None] + 6 + np.arange(BLOCK * w // 8)] = pack_bits(low[rows], int(w))
+        area[start[rows, None].astype(kind) + 6 + np.arange(BLOCK * w // 8, dtype=kind)] = pack_bits(low[rows], int(w))
     block, at = np.nonzero(over)
     nth = np.arange(len(block)) - np.repeat(np.cumsum(n_over) - n_over, n_over)
     body = start + 6 + BLOCK * width // 8
@@ -172,14 +173,14 @@ class WordEncoder:
 
     The tokenizer drops white space and never joins across it, so the ids of a
     text are those of its runs, one after the other (runs are cut at ASCII white
-    space; other white space stays in a run, for the library to drop). New runs
-    of plain Latin text are lowered and cut into the pre-tokenizer's parts, and
+    space; other white space stays in a run, for the library to drop). Runs of
+    plain Latin text are lowered and cut into the pre-tokenizer's parts, and
     new parts are encoded JOINED at a time with the library's model behind a
     pre-tokenizer that cuts at spaces; all other runs take the whole tokenizer,
     runs of letters JOINED at a time. Every part ends with the only word-end
     piece in it, by which joined ids fall apart again; should their number
-    differ, the runs are encoded alone. Both memos hold up to MEMO_WORDS
-    entries, then start anew."""
+    differ, the runs are encoded alone. The memo holds up to MEMO_PARTS parts
+    (some 100 MB) and those of one batch, then starts anew."""
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core
@@ -193,7 +194,7 @@ class WordEncoder:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.odd, self.cut = _latin()
-        self.words: dict[str, bytes] = {}
+        #: ids of plain parts and of runs that are not plain (which cannot be equal)
         self.parts: dict[str, bytes] = {}
 
     def _joined(self, tokenizer, texts: list[str]) -> Iterator[bytes]:
@@ -213,37 +214,32 @@ class WordEncoder:
         for e in self.whole.encode_batch_fast(texts, add_special_tokens=False):
             yield np.array(e.ids, "<u4").tobytes()
 
-    def learn(self, runs: list[str]) -> None:
-        single, several, letters, others = {}, {}, [], []
-        for r in runs:
-            if self.odd.search(r):
-                (letters if r.isalpha() else others).append(r)
+    def known(self, runs: list[str]) -> list[bytes]:
+        """The ids of each of the distinct ``runs``."""
+        single: list[str | None] = []  # the one part of a run, None for runs of several
+        several, letters, others = {}, set(), set()
+        for n, r in enumerate(runs):
+            if not (r.isascii() and r.isalpha()) and self.odd.search(r):
+                (letters if r.isalpha() else others).add(r)
+                single.append(r)
             elif r.isalpha():
-                single[r] = r.lower()
+                single.append(r.lower())
             else:
-                several[r] = self.cut.findall(r.lower())
-        wanted = set(single.values()).union(*several.values())
-        new = list(wanted.difference(self.parts))
-        if len(self.parts) + len(new) > MEMO_WORDS:
+                several[n] = self.cut.findall(r.lower())
+                single.append(None)
+        odd = letters | others
+        wanted = set().union(single, *several.values()) - odd - {None}
+        if len(self.parts) + len(wanted) + len(odd) > MEMO_PARTS:
             self.parts.clear()
-            new = list(wanted)
-        self.parts.update(zip(new, self._joined(self.parts_only, new)))
+        for tokenizer, group in ((self.parts_only, wanted), (self.whole, letters)):
+            new = list(group.difference(self.parts))
+            self.parts.update(zip(new, self._joined(tokenizer, new)))
+        new = list(others.difference(self.parts))
+        self.parts.update(zip(new, self._alone(new)))
         get = self.parts.__getitem__
-        self.words.update(zip(single, map(get, single.values())))
-        self.words.update((r, b"".join(map(get, p))) for r, p in several.items())
-        self.words.update(zip(letters, self._joined(self.whole, letters)))
-        self.words.update(zip(others, self._alone(others)))
-
-    def known(self, runs: list[str]) -> list[bytes]:
-        """The ids of each of the distinct ``runs``."""
-        found = list(map(self.words.get, runs))
-        new = [r for r, x in zip(runs, found) if x is None]
-        if new:
-            if len(self.words) + len(new) > MEMO_WORDS:
-                self.words.clear()
-                new = runs
-            self.learn(new)
-            found = list(map(self.words.__getitem__, runs))
+        found = list(map(self.parts.get, single))
+        for n, p in several.items():
+            found[n] = b"".join(map(get, p))
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -256,12 +252,12 @@ class WordEncoder:
         distinct = pa.ListArray.from_arrays(pa.array([0, len(numbered.dictionary)], pa.int32()), numbered.dictionary)
         found = self.known(pc.binary_join(distinct, " ")[0].as_py().split(" "))
         pool = np.frombuffer(b"".join(found), "<u4")
-        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        size = np.fromiter(map(len, found), np.int32, len(found)) // 4  # a batch has far less than 2**31 ids
         of = numbered.indices.to_numpy()
         n = size[of]
-        ends = np.cumsum(n)
-        at = np.repeat((np.cumsum(size) - size)[of] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-        bounds = np.append(0, ends)[runs.offsets.to_numpy() - runs.offsets[0].as_py()]
+        ends = np.cumsum(n, dtype=np.int32)
+        at = np.repeat((np.cumsum(size, dtype=np.int32) - size)[of] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+        bounds = np.append(np.int64(0), ends)[runs.offsets.to_numpy() - runs.offsets[0].as_py()]
         return pool[at], np.diff(bounds)
 
 
