@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -23,6 +24,9 @@ def test_ids_equal_the_library(library):
         ids = np.frombuffer(raw, "<i4").tolist()
         assert ids == library.encode(text), text
         assert p.decode(ids) == library.decode(ids)
+    ids, n = p.encode_batch(pa.array([None, *texts, None]).slice(1))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [library.encode(t) for t in texts] + [[]]
+    assert p.encode_batch(pa.array([], pa.string()))[0].tolist() == []
 
 
 def test_results_do_not_depend_on_the_memo(monkeypatch):

@@ -10,7 +10,8 @@ best-ranked of the pair.) Hence each prefix of a word has exactly one admissible
 last piece, and the forward state of a prefix depends on the prefix alone.
 
 Texts are marked as the model says (a leading mark, spaces as marks) and cut
-into words where no piece can reach across. The distinct new words of a batch
+into words where no merge can reach across: before marks, and between signs and
+other characters that are neighbours in no piece. The distinct new words of a batch
 are sorted, which is a depth-first walk over their trie: a word keeps the
 forward states of the prefix that it shares with the word before and only
 extends the rest. Results equal the sentencepiece library's, id for id.
@@ -30,13 +31,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import prepare
 
 MARK = "▁"
-MEMO_WORDS, MEMO_PAIRS = 1_000_000, 1_000_000
+MEMO_WORDS, MEMO_PAIRS = 400_000, 400_000
 
 
 def model_bytes(path: str | None = None) -> bytes:
@@ -66,25 +68,43 @@ class Pieces:
         self.raw = [b"" if sp.is_control(i) else " ⁇ ".encode() if sp.is_unknown(i)
                     else bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i)
                     else sp.id_to_piece(i).replace(MARK, " ").encode() for i in range(size)]
-        if any(MARK in p.lstrip(MARK) for p in self.rank):
-            raise ValueError("a piece reaches across a mark: words cannot be cut at marks")
-        joined = {c for p in self.rank if len(p) > 1 for c in p} - {MARK}
-        cls = "".join(map(re.escape, sorted(joined)))
-        # a word: marks and what can merge after them; any other character stands alone
-        self.word = re.compile(f"{MARK}*[{cls}]+|{MARK}+|.", re.S)
+        # neighbours inside some piece: between any other two characters no merge can reach
+        near: dict[str, set[str]] = {}
+        for p in self.rank:
+            for a, b in zip(p, p[1:]):
+                if b == MARK != a:
+                    raise ValueError("a piece reaches across a mark: runs cannot be cut at spaces")
+                if a != MARK:
+                    near.setdefault(a, set()).add(b)
+                    near.setdefault(b, set()).add(a)
+        # marks and signs that are neighbours of such signs only; anything else is cut from them
+        signs = {c for c in near if not c.isalpha()}
+        while lost := {c for c in signs if not near[c] <= signs}:
+            signs -= lost
+        cls = "".join(map(re.escape, sorted(signs | {"\n"} - near.keys())))
+        self.word = re.compile(f"{MARK}*[^{cls}{MARK}]+|{MARK}*[{cls}]+|{MARK}+")
         # pieces by number (characters without a piece get one when first seen), their ids as bytes
         self.number = {p: n for n, p in enumerate(self.rank)}
         self.name = list(self.rank)
         self.coded = [np.array([self.ids[p]], "<i4").tobytes() for p in self.name]
-        # lengths of the pieces that end in given two characters, longest first
+        # lengths of the pieces that end in given characters (three, or two for shorter prefixes), longest first
         ends: dict[str, set[int]] = {}
         for p in self.name:
             if len(p) > 1:
                 ends.setdefault(p[-2:], set()).add(len(p))
-        self.lengths = {k: (*sorted(v, reverse=True), 1) for k, v in ends.items()}
+            if len(p) > 2:
+                ends.setdefault(p[-3:], {1}).add(len(p))
+        for k in [k for k in ends if len(k) == 3 and 2 in ends.get(k[1:], ())]:
+            ends[k].add(2)
+        self.lengths = {k: tuple(sorted(v | {1}, reverse=True)) for k, v in ends.items()}
+        self.short = {k: (2, 1) for k, v in ends.items() if len(k) == 2 and 2 in v}
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
 
+    def cut(self, text: str) -> list[str]:
+        """The words of a marked text: signs are cut from what no piece joins them to."""
+        return self.word.findall(text)
+
     def merge(self, text: str) -> list[str]:
         """BPE by its definition (best-ranked merge first, leftmost of equals): the judge of short strings."""
         parts, rank = list(text), self.rank
@@ -121,8 +141,13 @@ class Pieces:
     def extend(self, word: str, state: list[int]) -> None:
         """Forward pass: ``state[i]`` is the last piece of the first i characters; extends it to the whole word."""
         lengths, number, pairs = self.lengths, self.number, self.pairs
+        short = self.short
         for end in range(len(state), len(word) + 1):
-            for size in lengths.get(word[end - 2:end], (1,)) if end > 1 else (1,):
+            if end > 2:
+                sizes = lengths.get(word[end - 3:end]) or short.get(word[end - 2:end], (1,))
+            else:
+                sizes = short.get(word[:end], (1,))
+            for size in sizes:
                 if size > end:
                     continue
                 n = number.get(word[end - size:end])
@@ -158,7 +183,10 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit integers."""
-        cut = [self.word.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        return self.joined([self.cut(MARK + t.replace(" ", MARK)) if t else [] for t in texts])
+
+    def joined(self, cut: list[list[str]]) -> list[bytes]:
+        """The ids of texts that are given as words."""
         new = set().union(*cut).difference(self.words)
         if new:
             if len(self.words) + len(new) > MEMO_WORDS:
@@ -168,6 +196,36 @@ class Pieces:
         get = self.words.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, number of ids of each); null is the empty text.
+
+        Arrow cuts at spaces and numbers the runs, so Python sees the batch's
+        distinct runs only. Texts in which spaces meet, lead, end or stand with
+        literal marks (a mark then belongs to more than one run) are cut whole."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        odd = pc.match_substring_regex(texts, f"^ |  | $|{MARK}|^$").to_numpy(zero_copy_only=False)
+        plain = texts.filter(pa.array(~odd))
+        runs = pc.split_pattern(plain, " ")
+        numbered = runs.flatten().dictionary_encode()
+        found = []
+        if len(numbered.dictionary):  # one Python string, cut again at spaces: runs hold none
+            all_runs = pa.ListArray.from_arrays(pa.array([0, len(numbered.dictionary)], pa.int32()), numbered.dictionary)
+            found = self.joined([self.cut(MARK + r) for r in pc.binary_join(all_runs, " ")[0].as_py().split(" ")])
+        whole = self.encode(texts.filter(pa.array(odd)).to_pylist())
+        # the pool: distinct runs, then whole texts; every text is a list of pool entries
+        pool = np.frombuffer(b"".join(found + whole), "<i4")
+        size = np.fromiter(map(len, found + whole), np.int64, len(found) + len(whole)) // 4
+        entries = np.ones(len(texts), np.int64)
+        entries[~odd] = np.diff(runs.offsets.to_numpy())
+        of = np.empty(int(entries.sum()), np.int64)
+        in_odd = np.repeat(odd, entries)
+        of[~in_odd] = numbered.indices.to_numpy()
+        of[in_odd] = len(found) + np.arange(len(whole))
+        n = size[of]
+        ends = np.cumsum(n)
+        at = np.repeat((np.cumsum(size) - size)[of] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+        return pool[at], np.diff(np.append(0, np.append(0, ends)[np.cumsum(entries)]))
+
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode(errors="replace")
         return text[1:] if text.startswith(" ") else text
@@ -185,11 +243,6 @@ def pieces(model: bytes) -> Pieces:
     return _LOADED[key]
 
 
-def _id_lists(found: list[bytes]) -> pa.ListArray:
-    ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<i4")))
-
-
 def encode(docs: DataFrame, model: bytes | None = None, check: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids and (``check``) round_trip: whether the ids decode to the text."""
     spark = docs.sparkSession
@@ -199,16 +252,14 @@ def encode(docs: DataFrame, model: bytes | None = None, check: bool = True) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(shared.value)
         for b in batches:
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            for lo in range(0, len(texts), 256):
-                part = texts[lo:lo + 256]
-                found = p.encode(part)
-                columns = {"doc_id": b.column("doc_id").slice(lo, len(part)),
-                           "n_tokens": pa.array([len(x) // 4 for x in found], pa.int64()), "ids": _id_lists(found)}
-                if check:
-                    columns["round_trip"] = pa.array([p.decode(np.frombuffer(x, "<i4").tolist()) == t
-                                                      for x, t in zip(found, part)], pa.bool_())
-                yield pa.RecordBatch.from_pydict(columns)
+            ids, n = p.encode_batch(b.column("text"))
+            ends = np.append(0, np.cumsum(n))
+            columns = {"doc_id": b.column("doc_id"), "n_tokens": pa.array(n, pa.int64()),
+                       "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))}
+            if check:
+                columns["round_trip"] = pa.array([p.decode(ids[a:z].tolist()) == (t or "") for a, z, t in zip(
+                    ends, ends[1:], b.column("text").to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_pydict(columns)
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return narrow.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>" + ", round_trip boolean" * check)
