@@ -35,7 +35,9 @@ _NAMESPACE = uuid.UUID("5b0e7c1e-3f0b-4f57-9a37-6f3b8d2f9f10")
 
 def observation_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
                        keys: Sequence[str] = ()) -> DataFrame:
-    """Streaming frame of payload files: series_id, observations, error fields, file_time, file_name."""
+    """Streaming frame of payload documents: series_id, observations, error fields, file_time, file_name.
+
+    Line-delimited files (``*.jsonl``) are left to the batch load."""
     reader = spark.readStream.schema("value string").option("wholetext", True).option("pathGlobFilter", "*.json")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
