@@ -21,7 +21,7 @@ def test_boilerplate_of_all_kinds_goes_and_the_article_stays():
 
 
 @pytest.mark.parametrize("page, text", [
-    (None, ""), ("", ""), ("plain  text\n", "plain text"), ("<div><!-- open", ""), ("<p>a<script>x<p>b", "a"),
+    (None, ""), ("", ""), ("plain  text\n", "plain text"), ("<div><!-- open", ""), ("<p>a<script>x<p>b", "a"), ("x<!-- a <b> c", "x"), ("<p>x</p><style>p{}</style>y", "x\ny"), ("<p>x<!-- y -->z", "xz"),
     ("a <b>b</b> c<br>d", "a b c d"), ("<p>x &lt;b&gt; &eacute;&#233;", "x <b> éé"), ("1 < 2 and <3", "1 < 2 and <3"),
     ("<article><header><h1>T</h1><p>by me</p></header><p>x</p>", "T\nx"), ("<p title='>'>q</p>", "q"), ("<p title=it's>q</p>", "q"),
     ("<nav>menu</nav>", ""), ("<article><p>" + "word " * 30000, ("word " * 30000).strip())])
@@ -29,6 +29,16 @@ def test_small_pages(page, text):
     assert H.main_text(page) == text
 
 
+@pytest.mark.parametrize("page", ["<div>x" * 40000, "<b>" * 60000 + "x", "<p>x" * 50000, "<li>" * 50000, "<" * 200000, "<a href='" * 20000,
+                                  "<!--" * 50000, "</div>" * 50000, "<table><tr><td>x" * 20000, "<p title='x>" * 30000])
+def test_strange_pages_take_time_in_proportion(page):
+    import time
+
+    start = time.process_time()
+    H.main_text(page)
+    assert time.process_time() - start < 8
+
+
 def test_text_outside_known_tags_is_found_by_its_path():
     body = "".join(f"<div class=c{i}><span>Sentence {i}, which says something, in so many words.</span></div>" for i in range(5))
     page = f"<body><div class=x><div>{body}</div></div><div class=y><ul>" + "<li><a href=q>go</a></li>" * 9 + "</ul></div></body>"

@@ -70,16 +70,50 @@ P_KEEPS = frozenset(("table", "td", "th", "button", "object", "caption", "html",
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<(script|style)\b[^>]*+>(?:.*?</\1\s*>|.*)|<(/?)([a-z][^\s/>]*+)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+>|[^>]*+>)"
     r"|<[!?/][^>]*+>", re.S | re.I)
+RAW_END = re.compile(r"</(?:script|style)\s*>$", re.I)
 ATTRIBUTE = re.compile(r"([a-z-]+)\s*+(?:=\s*+(\"[^\"]*\"|'[^']*'|[^\s>]*))?", re.I)
 SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：¿¡]")
 
 
 class Block:
-    __slots__ = ("text", "path", "links", "inside", "tag")
+    """Text between two block-level boundaries: its characters in links and its innermost element."""
+    __slots__ = ("text", "links", "element")
 
-    def __init__(self, text: str, path: str, links: int, inside: tuple[int, ...], tag: str):
-        self.text, self.path, self.links, self.inside, self.tag = text, path, links, inside, tag
+    def __init__(self, text: str, links: int, element: int):
+        self.text, self.links, self.element = text, links, element
+
+
+class Tree:
+    """Elements in page order (a parent has a smaller number): parent, tag, why left out, tag path, innermost block tag."""
+
+    def __init__(self):
+        self.parent, self.tag, self.why, self.path, self.block = [-1], [""], [""], [0], [""]
+        self.paths: dict[tuple[int, str], int] = {}
+
+    def add(self, parent: int, tag: str, why: str) -> int:
+        self.parent.append(parent)
+        self.tag.append(tag)
+        self.why.append(why)
+        inline = tag in INLINE  # paths are those of block-level tags
+        self.path.append(self.path[parent] if inline else self.paths.setdefault((self.path[parent], tag), len(self.paths) + 1))
+        self.block.append(self.block[parent] if inline else tag)
+        return len(self.tag) - 1
+
+    def upward(self, own: dict[int, int]) -> list[int]:
+        """Sums over each element and all that lies in it."""
+        total = [0] * len(self.tag)
+        for n, v in own.items():
+            total[n] = v
+        for n in range(len(total) - 1, 0, -1):
+            total[self.parent[n]] += total[n]
+        return total
+
+    def downward(self, own: list[bool]) -> list[bool]:
+        """Whether an element or one around it is marked."""
+        for n in range(1, len(own)):
+            own[n] = own[n] or own[self.parent[n]]
+        return own
 
 
 def left_out(tag: str, attributes: str) -> str:
@@ -98,11 +132,12 @@ def left_out(tag: str, attributes: str) -> str:
     return "word" if words & WORDS else "head" if words & HEADS else ""
 
 
-def read_blocks(page: str) -> tuple[list[Block], dict[int, tuple[int, str, str]]]:
-    """(blocks, elements): an element's number -> (parent, tag, why it is left out)."""
+def read_blocks(page: str) -> tuple[list[Block], Tree]:
+    """Text blocks in page order and the elements; the time is in proportion to the page."""
     blocks: list[Block] = []
-    elements: dict[int, tuple[int, str, str]] = {0: (-1, "", "")}
+    tree = Tree()
     stack: list[tuple[str, int]] = [("", 0)]
+    open_tags: dict[str, int] = defaultdict(int)
     parts: list[str] = []
     links = 0
 
@@ -110,36 +145,47 @@ def read_blocks(page: str) -> tuple[list[Block], dict[int, tuple[int, str, str]]
         nonlocal links
         text = " ".join("".join(parts).split())
         if text:
-            tags = [t for t, _ in stack if t and t not in INLINE]
-            blocks.append(Block(text, "/".join(tags), links, tuple(n for _, n in stack), tags[-1] if tags else ""))
+            blocks.append(Block(text, links, stack[-1][1]))
         parts.clear()
         links = 0
 
     def pop_to(depth: int) -> None:
         if any(t not in INLINE for t, _ in stack[depth:]):
             flush()
+        for t, _ in stack[depth:]:
+            open_tags[t] -= 1
         del stack[depth:]
 
+    def innermost(tags: tuple[str, ...], stops: frozenset | tuple[str, ...]) -> int:
+        """Depth of the innermost open element of ``tags`` inside the innermost of ``stops`` (0: none)."""
+        if any(open_tags[t] for t in tags):
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth][0] in tags:
+                    return depth
+                if stack[depth][0] in stops:
+                    break
+        return 0
+
     def add(text: str) -> None:
         nonlocal links
         text = html.unescape(text)
         parts.append(text)
-        if any(t == "a" for t, _ in stack):
+        if open_tags["a"]:
             links += len(" ".join(text.split()))
 
-    at = 0
-    for m in TOKEN.finditer(page):
+    at, last = 0, page.rfind(">") + 1  # no tag can end beyond
+    for m in TOKEN.finditer(page, 0, last):
         if m.start() > at:
             add(page[at:m.start()])
         at = m.end()
         if not m[3]:
+            if at == last and (not RAW_END.search(m[0]) if m[1] else m[0].startswith("<!--") and not m[0].endswith("-->")):
+                at = len(page)  # an unclosed script, style or comment runs to the end
             continue
         tag = m[3].lower()
         if m[2]:  # end tag
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    pop_to(depth)
-                    break
+            if depth := innermost((tag,), ()):
+                pop_to(depth)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -148,119 +194,92 @@ def read_blocks(page: str) -> tuple[list[Block], dict[int, tuple[int, str, str]]
                 parts.append(" ")
             continue
         if tag not in INLINE:
-            for depth in range(len(stack) - 1, 0, -1):  # a block closes an open paragraph
-                if stack[depth][0] == "p":
-                    pop_to(depth)
-                    break
-                if stack[depth][0] in P_KEEPS:
-                    break
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in IMPLIED.get(tag, ()):
-                    pop_to(depth)
-                    if tag not in ("tr", "tbody", "tfoot", "dt", "dd"):
-                        break
-                elif stack[depth][0] in SCOPES.get(tag, ()):
-                    break
+            if depth := innermost(("p",), P_KEEPS):  # a block closes an open paragraph
+                pop_to(depth)
+            while tag in IMPLIED and (depth := innermost(IMPLIED[tag], SCOPES.get(tag, ()))):
+                pop_to(depth)
             flush()
         if m[4].endswith("/>") and tag in ("svg", "path", "use"):
             continue
         why = left_out(tag, m[4][:-1].strip())
         if why == "word" and tag in INLINE:
             flush()
-        number = len(elements)
-        elements[number] = (stack[-1][1], tag, why)
-        stack.append((tag, number))
+        stack.append((tag, tree.add(stack[-1][1], tag, why)))
+        open_tags[tag] += 1
     if at < len(page):
-        add(page[at:])
+        add(page[at:].partition("<!--")[0])
     flush()
-    return blocks, elements
+    return blocks, tree
 
 
-def path_scores(blocks: list[Block]) -> dict[str, float]:
-    """Fused, smoothed text and punctuation ratio of every tag path."""
-    nodes: dict[str, int] = defaultdict(int)
-    text: dict[str, float] = defaultdict(float)
-    marks: dict[str, float] = defaultdict(float)
-    for b in blocks:
-        nodes[b.path] += 1
-        text[b.path] += max(0, len(b.text) - b.links)
-        marks[b.path] += len(PUNCTUATION.findall(b.text))
-    fused: dict[str, float] = defaultdict(float)
-    series = [[total[b.path] / nodes[b.path] for b in blocks] for total in (text, marks)]
-    smooth = [[sum(w * s[min(max(i + k, 0), len(s) - 1)] for k, w in zip((-1, 0, 1), KERNEL)) for i in range(len(s))]
-              for s in series]
-    mean: list[dict[str, float]] = []
-    for s in smooth:
-        total: dict[str, float] = defaultdict(float)
-        for b, v in zip(blocks, s):
-            total[b.path] += v
-        mean.append({p: total[p] / nodes[p] for p in nodes})
-    for p in nodes:
-        # one more mark than counted, so that texts without punctuation are judged by length
-        fused[p] = math.sqrt(mean[0][p] * (mean[1][p] + 1)) if text[p] else 0.0
-    return fused
+def path_scores(blocks: list[Block], path: list[int]) -> dict[int, float]:
+    """Fused, smoothed text and punctuation ratio of every tag path (``path``: of each block)."""
+    nodes: dict[int, int] = defaultdict(int)
+    text: dict[int, float] = defaultdict(float)
+    marks: dict[int, float] = defaultdict(float)
+    for b, p in zip(blocks, path):
+        nodes[p] += 1
+        text[p] += max(0, len(b.text) - b.links)
+        marks[p] += len(PUNCTUATION.findall(b.text))
+    smooth_mean = []
+    for total in (text, marks):
+        s = [total[p] / nodes[p] for p in path]
+        padded = [s[0], *s, s[-1]]
+        mean: dict[int, float] = defaultdict(float)
+        for i, p in enumerate(path):
+            mean[p] += sum(w * v for w, v in zip(KERNEL, padded[i:i + 3])) / nodes[p]
+        smooth_mean.append(mean)
+    # one more mark than counted, so that texts without punctuation are judged by length
+    return {p: math.sqrt(smooth_mean[0][p] * (smooth_mean[1][p] + 1)) if text[p] else 0.0 for p in nodes}
 
 
 def main_text(page: str | None) -> str:
     """The main text of a page."""
     if not page:
         return ""
-    blocks, elements = read_blocks(page)
-    if not blocks:
-        return ""
+    blocks, tree = read_blocks(page)
+    tags = range(len(tree.tag))
+    never = tree.downward([w == "tag" for w in tree.why])
+    blocks = [b for b in blocks if not never[b.element]]
     held: dict[int, int] = defaultdict(int)
-    titled: set[int] = set()
-    total = 0
     for b in blocks:
-        if any(elements[n][2] == "tag" for n in b.inside):
-            continue
-        total += len(b.text)
-        for n in b.inside:
-            held[n] += len(b.text)
-        if b.tag == "h1" or any(elements[n][1] in MAIN for n in b.inside):
-            titled.update(b.inside)
+        held[b.element] += len(b.text)
+    inside = tree.upward(held)
+    in_main = tree.downward([t in MAIN for t in tree.tag])
+    titled = tree.upward({b.element: 1 for b in blocks if tree.block[b.element] == "h1" or in_main[b.element]})
+    # a class or id word does not count on an element with most of the text and an article, main or h1
+    by_word = tree.downward([tree.why[n] == "word" and not (inside[n] >= MOST * inside[0] and titled[n]) for n in tags])
+    in_head = tree.downward([w == "head" for w in tree.why])
 
     def out(b: Block) -> bool:
-        for n in b.inside:
-            why = elements[n][2]
-            if why == "tag":
-                return True
-            if why == "word" and not (held[n] >= MOST * total and n in titled):
-                return True
-            # a header inside an article keeps its headings
-            if why == "head" and (b.tag not in HEADINGS or not any(elements[a][1] in MAIN for a in b.inside)):
-                return True
-        return False
+        n = b.element  # a header inside an article keeps its headings
+        return by_word[n] or in_head[n] and not (tree.block[n] in HEADINGS and in_main[n])
 
     left = [b for b in blocks if not out(b)]
+    left = [b for b in left if in_main[b.element]] or left
     if not left:
         return ""
-    marked = [b for b in left if any(elements[n][1] in MAIN for n in b.inside)]
-    left = marked or left
-    scores = path_scores(left)
+    path = [tree.path[b.element] for b in left]
+    scores = path_scores(left, path)
     values = list(scores.values())
-    mean = sum(values) / len(values)
-    least = SPREAD * math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))
-    top = max(values)
-    content = [b for b in left if scores[b.path] >= min(top, max(least, 1e-9))]
-    if not content:
-        content = left
-    weight: dict[int, int] = defaultdict(int)
-    for b in content:
-        for n in b.inside:
-            weight[n] += len(b.text)
-    whole = sum(len(b.text) for b in content)
-    region = 0  # the smallest element with SHARE of the content; numbers grow inwards
-    for n in sorted(weight):
-        if weight[n] >= SHARE * whole and elements[n][1] not in INLINE and elements[n][1] not in ("p", "li", *HEADINGS):
-            region = n
+    mean, top = sum(values) / len(values), max(values)
+    least = min(top, max(SPREAD * math.sqrt(sum((v - mean) ** 2 for v in values) / len(values)), 1e-9))
+    content: dict[int, int] = defaultdict(int)
+    for b, p in zip(left, path):
+        if scores[p] >= least:
+            content[b.element] += len(b.text)
+    weight = tree.upward(content)
+    # the smallest element with SHARE of the content (numbers grow inwards), or an article or main around it
+    region = max((n for n in tags if weight[n] >= SHARE * weight[0] and tree.tag[n] not in INLINE
+                  and tree.tag[n] not in HEADINGS and tree.tag[n] not in ("p", "li")), default=0)
     up = region
-    while up > 0:  # an article or main around the region is the region
-        if elements[up][1] in MAIN:
-            region = up
-            break
-        up = elements[up][0]
-    return "\n".join(b.text for b in left if region in b.inside and (b.links <= LINKS * len(b.text) or b.tag in HEADINGS))
+    while up > 0 and tree.tag[up] not in MAIN:
+        up = tree.parent[up]
+    chosen = [False] * len(tree.tag)
+    chosen[up if up > 0 else region] = True
+    within = tree.downward(chosen)
+    return "\n".join(b.text for b in left if within[b.element] and (
+        b.links <= LINKS * len(b.text) or tree.block[b.element] in HEADINGS))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
