@@ -56,7 +56,9 @@ WORDS = frozenset("ad ads adv advert adverts advertisement advertisements advert
                   "breadcrumb breadcrumbs crumbs footer foot masthead topbar comment comments commentlist disqus reply replies "
                   "respond discussion notice notices cookie cookies consent gdpr popup modal overlay lightbox newsletter "
                   "subscribe subscription signup signin login register share sharing social related recommended recommendations "
-                  "widget widgets pagination pager toolbar skip alert alerts copyright search searchbox form poll".split())
+                  "widget widgets pagination pager toolbar skip alert alerts copyright search searchbox form poll "
+                  "topnav sidenav subnav adbox adbanner usercomments feedback disclaimer announcement announcements "
+                  "notification notifications".split())
 MAIN = frozenset(("article", "main"))
 HEADS = frozenset(("header", "head", "heading-bar"))
 #: Start tags that close an open element of the second kind (HTML's implied end tags).
