@@ -1,7 +1,6 @@
 import sys
 from pathlib import Path
 
-import numpy as np
 import sentencepiece
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
