@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that the stage before
 kept and returns a table that is written as Parquet and read again as the next
-stage's ``docs``. All but the last return the columns of ``documents``.
+stage's ``docs``. All but the last return the columns of ``documents``. The
+last returns the mix as ``position``, since rows of several files are read in
+another order than they were written.
 
 SQL cannot express the classifier (a trained network), so ORACLE_SQL is None;
 the tests hold the pipeline against a plain version of its stages. Edge cases
@@ -41,8 +43,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: doc_id, n_tokens, ids and whether the ids decode to the text."""
-    return sentence_pieces.encode(docs)
+    """Operator 2: doc_id, n_tokens, ids, whether the ids decode to the text, and the row's position (from 0) in the mix."""
+    return sentence_pieces.encode(pfair_mix.with_position(docs), carry=("position",))
 
 
 STAGES = [("quality_rules", rules), ("quality_classifier", classifier), ("ngram_jaccard_join", near_duplicates),

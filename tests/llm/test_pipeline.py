@@ -48,6 +48,25 @@ def test_mix_stage_orders_the_rows(spark):
     check(blocks, MIX_WEIGHTS, MIX_DEFAULT, 16, sizes)
 
 
+def test_result_keeps_the_mix_of_several_files(spark, monkeypatch, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    monkeypatch.setattr(C, "STAGES", C.STAGES[-2:])  # all rows reach the mix
+    monkeypatch.setattr(C, "prepare", lambda spark: str(tmp_path))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.files.maxRecordsPerFile")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "60")
+    try:
+        out = C.run(spark, SF).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(list(tmp_path.glob("*/pipeline-*/source_mix/part-*.parquet"))) > 8
+    assert sorted(r.position for r in out) == list(range(docs.count()))
+    want = C.pfair_mix.place(docs, MIX_WEIGHTS, MIX_DEFAULT).select("doc_id", "__mix_slot", "__mix_rank").collect()
+    assert [r.doc_id for r in sorted(out, key=lambda r: r.position)] == [
+        r.doc_id for r in sorted(want, key=lambda r: (r["__mix_slot"], r["__mix_rank"]))]
+
+
 def test_columns_and_empty_tables(spark):
     docs = documents(spark, [])
     for name, stage in C.STAGES:

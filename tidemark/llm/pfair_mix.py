@@ -27,6 +27,8 @@ an empty result. Column names of the input cannot clash: helpers start with
 
 from __future__ import annotations
 
+import re
+from itertools import accumulate
 from math import gcd
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -136,3 +138,27 @@ def mixed(docs: DataFrame, weights: dict[str, int], default_weight: int = 1, **o
     """The rows of ``docs`` in the mixed order (a global sort), with the columns of ``docs``."""
     placed = place(docs, weights, default_weight, **options)
     return placed.orderBy("__mix_slot", "__mix_rank").select(*docs.columns)
+
+
+def _part(name: str) -> tuple[list[int], str]:
+    """Sort key of a part file: its task and file numbers, as numbers (names of over 99,999 tasks do not sort as text)."""
+    found = re.match(r"part-(\d+).*?(?:-c(\d+))?\.", name)
+    return [int(x or 0) for x in found.groups()] if found else [], name
+
+
+def with_position(docs: DataFrame, column: str = "position") -> DataFrame:
+    """``docs`` with the place (from 0) of each row in the order in which the table is stored.
+
+    Spark reads the files of a table longest first, so the order that ``mixed``
+    was written in is that of the part numbers and of the rows in a part, not that
+    of a scan. The driver sees one count per file. A frame that is no stored
+    table has the order of its partitions (``column`` then has gaps)."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        return docs.withColumn(column, F.monotonically_increasing_id())
+    at = docs.select("*", F.col("_metadata.file_path").alias("__mix_file"), F.col("_metadata.file_name").alias("__mix_name"),
+                     F.col("_metadata.row_index").alias("__mix_row"))
+    files = sorted(at.groupBy("__mix_name", "__mix_file").count().collect(), key=lambda r: (_part(r[0]), r[1]))
+    starts = docs.sparkSession.createDataFrame(
+        [(r[1], n) for r, n in zip(files, accumulate((r[2] for r in files), initial=0))], "__mix_file string, __mix_start long")
+    return at.join(F.broadcast(starts), "__mix_file").select(
+        *docs.columns, (F.col("__mix_start") + F.col("__mix_row")).alias(column))

@@ -243,8 +243,8 @@ def pieces(model: bytes) -> Pieces:
     return _LOADED[key]
 
 
-def encode(docs: DataFrame, model: bytes | None = None, check: bool = True) -> DataFrame:
-    """doc_id, n_tokens, ids and (``check``) round_trip: whether the ids decode to the text."""
+def encode(docs: DataFrame, model: bytes | None = None, check: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_tokens, ids and (``check``) round_trip: whether the ids decode to the text; long columns to ``carry`` come last."""
     spark = docs.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast(model or model_bytes())
@@ -259,10 +259,11 @@ def encode(docs: DataFrame, model: bytes | None = None, check: bool = True) -> D
             if check:
                 columns["round_trip"] = pa.array([p.decode(ids[a:z].tolist()) == (t or "") for a, z, t in zip(
                     ends, ends[1:], b.column("text").to_pylist())], pa.bool_())
-            yield pa.RecordBatch.from_pydict(columns)
+            yield pa.RecordBatch.from_pydict(columns | {c: b.column(c) for c in carry})
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>" + ", round_trip boolean" * check)
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+    return narrow.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>" + ", round_trip boolean" * check
+                             + "".join(f", {c} long" for c in carry))
 
 
 def decode(encoded: DataFrame, model: bytes | None = None) -> DataFrame:
