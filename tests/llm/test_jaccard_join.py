@@ -61,6 +61,12 @@ def test_blocks_lose_no_link(spark, monkeypatch):
     assert got(J.join(documents(spark, docs))) == sorted(links_and_classes(docs), key=repr)
 
 
+def test_empty_blocks_count_no_link_twice(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK_SHINGLES", 30)  # more blocks than texts
+    docs = corpus(3, 4, seed=3)
+    assert got(J.join(documents(spark, docs))) == sorted(links_and_classes(docs), key=repr)
+
+
 def test_given_table_matches_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     from tidemark.llm.queries import op9_jaccard_join

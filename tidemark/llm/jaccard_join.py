@@ -77,11 +77,9 @@ def survivors(one: np.ndarray, many: np.ndarray, least: dict[int, int]) -> np.nd
     return alive
 
 
-def forest(sigs: np.ndarray, side: np.ndarray, least: dict[int, int]) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the surviving pairs.
-
-    ``side``: pairs need different sides; all 0 means any two rows."""
-    crossed, edges = bool(side.any()), []
+def forest(sigs: np.ndarray, side: np.ndarray, crossed: bool, least: dict[int, int]) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the surviving pairs (``crossed``: of rows with different sides)."""
+    edges = []
     free = np.ones(len(sigs), bool)
     for root in range(len(sigs)):
         if not free[root]:
@@ -188,18 +186,19 @@ def _bucket_forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     least = least_matches()
     for t, starts in _groups(batches, BUCKET):
         rid, side, sigs = t.column("rid").to_numpy(), t.column("side").to_numpy(), _signatures(t.column("sig"))
+        crossed = t.column("bi").to_numpy() != t.column("bj").to_numpy()
         a, b = [], []
         size = np.diff(starts)
         two = starts[:-1][size == 2]
         if len(two):  # most buckets: all compared at once
-            ok, seen = np.ones(len(two), bool), np.zeros(len(two), np.int32)
+            ok, seen = ~crossed[two] | (side[two] != side[two + 1]), np.zeros(len(two), np.int32)
             for n, m in least.items():
                 seen += (sigs[two, n - LOOK:n] == sigs[two + 1, n - LOOK:n]).sum(1, dtype=np.int32)
                 ok &= seen >= m
             a.append(rid[two[ok]])
             b.append(rid[two[ok] + 1])
         for lo, n in zip(starts[:-1][size > 2], size[size > 2]):
-            e = np.array(forest(sigs[lo:lo + n], side[lo:lo + n], least), np.int64).reshape(-1, 2) + lo
+            e = np.array(forest(sigs[lo:lo + n], side[lo:lo + n], bool(crossed[lo]), least), np.int64).reshape(-1, 2) + lo
             a.append(rid[e[:, 0]])
             b.append(rid[e[:, 1]])
         if a:
@@ -220,9 +219,12 @@ def candidate_edges(reps: DataFrame) -> DataFrame:
 GROUP = ["component", "bi", "bj"]
 
 
-def link_counts(sets: list[np.ndarray], sigs: np.ndarray, side: np.ndarray, weight: np.ndarray,
+def link_counts(sets: list[np.ndarray], sigs: np.ndarray, side: np.ndarray, crossed: bool, weight: np.ndarray,
                 least: dict[int, int]) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Exact links of a group: summed partner weights of each row, and a spanning forest."""
+    """Exact links of a group: summed partner weights of each row, and a spanning forest.
+
+    ``crossed`` (two different blocks): only rows with different sides are compared, and
+    none if one of the blocks is empty; pairs inside a block are those of its own group."""
     n = len(sets)
     vocabulary, ids = np.unique(np.concatenate(sets), return_inverse=True)
     size = np.array([len(s) for s in sets])
@@ -230,7 +232,6 @@ def link_counts(sets: list[np.ndarray], sigs: np.ndarray, side: np.ndarray, weig
     mark = np.zeros(len(vocabulary), bool)
     links, root, edges = np.zeros(n, np.int64), np.arange(n), []
     num, den = THRESHOLD.numerator, THRESHOLD.denominator
-    crossed = bool(side.any())
     for a in range(n - 1):
         rest = np.arange(a + 1, n)
         rest = rest[(np.minimum(size[rest], size[a]) * den >= num * np.maximum(size[rest], size[a]))]
@@ -268,10 +269,11 @@ def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(first) < len(rid):
                 g = g.take(pa.array(np.sort(first)))
                 rid = g.column("rid").to_numpy()
-            if len(rid) < 2:
+            side, crossed = g.column("side").to_numpy(), g.column("bi")[0] != g.column("bj")[0]
+            if len(rid) < 2 or crossed and len(np.unique(side)) < 2:
                 continue
             sets = list(shingle_sets(*text_buffer(g.column("text").combine_chunks()), WORDS))
-            n, edges = link_counts(sets, _signatures(g.column("sig")), g.column("side").to_numpy(),
+            n, edges = link_counts(sets, _signatures(g.column("sig")), side, crossed,
                                    g.column("weight").to_numpy(), least)
             a.extend([rid, rid[[x for x, _ in edges]] if edges else rid[:0]])
             b.extend([pa.nulls(len(rid), pa.int64()), pa.array(rid[[y for _, y in edges]] if edges else rid[:0], pa.int64())])
