@@ -87,6 +87,15 @@ def test_edge_cases(spark):
     assert J.keep_rows(documents(spark, docs)).columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_one_row_of_each_class_stays_with_null_and_repeated_ids(spark):
+    docs = [(5, "a b c d e f"), (5, "other words"), (5, "other words"), (None, "null only"), (None, "null only"), (None, "a b c d e f"),
+            (6, "a b c d e f"), (5, ""), (5, " "), (None, None), (None, "")]
+    out = sorted(((r.doc_id, r.text) for r in J.keep_rows(documents(spark, docs)).collect() if (r.text or "").strip()), key=repr)
+    assert out == sorted([(5, "a b c d e f"), (5, "other words"), (None, "null only")], key=repr)
+    blank = [r.doc_id for r in J.keep_rows(documents(spark, docs)).collect() if not (r.text or "").strip()]
+    assert sorted(blank, key=repr) == [5, None, None]
+
+
 @pytest.mark.parametrize("edges, want", [
     ([], {}), ([(1, 1), (None, 2)], {}), ([(5, 3), (3, 5), (5, 9)], {3: 3, 5: 3, 9: 3}),
     ([(i, i + 1) for i in range(40)] + [(100, 200)], {**{i: 0 for i in range(41)}, 100: 100, 200: 100}),

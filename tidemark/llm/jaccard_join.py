@@ -114,14 +114,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "rid", "n_shingles", "sig"])
 
 
-def text_id() -> Column:
+def text_id(text: Column) -> Column:
     """64-bit identity of a text."""
-    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.length("text"), F.crc32(F.col("text").cast("binary")))
+    return F.xxhash64(F.coalesce(text, F.lit("")), F.length(text), F.crc32(text.cast("binary")))
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select(
-        "doc_id", text_id().alias("rid"), "text")
+        "doc_id", text_id(F.col("text")).alias("rid"), "text")
 
 
 # ------------------------------------------------------------------ blocks
@@ -283,10 +283,10 @@ def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["a", "b", "links"])
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id, n_links (long).
+def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id, rid and n_shingles of every row; rid, class_id, n_links and leader of every text that is not blank.
 
-    ``n_links`` counts the other rows, copies included, at or over the threshold."""
+    The leader is the text (rid) that stands for its class: that of the least id, of several the least rid."""
     prepare(docs.sparkSession)
     narrow = _narrow(docs)
     signed = saved(narrow.mapInArrow(_sign, "doc_id long, rid long, n_shingles long, sig array<long>"), "minhash")
@@ -307,9 +307,18 @@ def join(docs: DataFrame) -> DataFrame:
     member = reps.select("rid", "weight", "doc_id").join(
         classes.withColumnRenamed("node", "rid"), "rid", "left").join(counts, "rid", "left").withColumn(
         "component", F.coalesce("component", "rid"))
-    least_id = member.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    per_text = saved(member.join(least_id, "component").select(
-        "rid", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "classes")
+    least_id = member.groupBy("component").agg(
+        F.min("doc_id").alias("class_id"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))["rid"].alias("leader"))
+    return signed, saved(member.join(least_id, "component").select(
+        "rid", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "leader"), "classes")
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, class_id, n_links (long).
+
+    ``n_links`` counts the other rows, copies included, at or over the threshold."""
+    signed, per_text = classes_of(docs)
     rows = signed.select("doc_id", F.when(F.col("n_shingles") > 0, F.col("rid")).alias("rid"))
     return (rows.where("rid is not null").join(per_text, "rid").select("doc_id", "class_id", "n_links")
             .unionAll(rows.where("rid is null").select("doc_id", F.col("doc_id").alias("class_id"),
@@ -317,11 +326,21 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def keep_rows(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each class: that of the least id (repeated rows: one of them).
-
-    Blank texts are classes of their own and all stay, as do rows with a null
-    id (their classes are not told apart by id). Columns are those of ``docs``."""
-    leaders = join(docs).where("doc_id = class_id").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(leaders, "doc_id", "left_semi")
-    once = known.dropDuplicates(["doc_id"])
-    return once.select(*docs.columns).unionAll(docs.where("doc_id is null"))
+    """One row of ``docs`` for each class: one of the rows with the least id among those of its leader text.
+
+    Rows are matched by text, so ids may be null or repeated. Blank texts are
+    classes of their own and all stay (repeated rows of one id: one of them).
+    Columns are those of ``docs``."""
+    signed, per_text = classes_of(docs)
+    blank = signed.where("n_shingles = 0")
+    heads = per_text.where("rid = leader").select(F.col("rid").alias("__join_rid"), F.col("class_id").alias("__join_id"),
+                                                  F.lit(False).alias("__join_blank"))
+    heads = heads.unionAll(blank.where("doc_id is not null").select("rid", "doc_id", F.lit(True)).distinct())
+    own = docs.withColumns({"__join_own": F.col("doc_id").cast("long"), "__join_text": text_id(F.col("text").cast("string"))})
+    found = own.join(heads, (F.col("__join_text") == F.col("__join_rid")) & F.col("__join_own").eqNullSafe(F.col("__join_id")))
+    once = found.withColumns({"__join_text": F.when(~F.col("__join_blank"), F.col("__join_text")),
+                              "__join_own": F.when(F.col("__join_blank"), F.col("__join_own"))}
+                             ).dropDuplicates(["__join_text", "__join_own"])
+    nameless = blank.where("doc_id is null").select(F.col("rid").alias("__join_text")).distinct()
+    rest = own.where("__join_own is null").join(nameless, "__join_text", "left_semi")
+    return once.select(*docs.columns).unionAll(rest.select(*docs.columns))
