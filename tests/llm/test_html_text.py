@@ -45,6 +45,13 @@ def test_text_outside_known_tags_is_found_by_its_path():
     assert H.main_text(page).split("\n") == [f"Sentence {i}, which says something, in so many words." for i in range(5)]
 
 
+def test_path_scores_select_inside_an_article():
+    text = "A paragraph of the article, which says a lot, and goes on, and on, for many words. " * 4
+    short = "".join(f"<div class=q{i}>{w}</div>" for i, w in enumerate(("5 min", "Tap here", "Print", "A A A", "Top")))
+    page = f"<article><h1>T</h1>{short}<p>{text}</p><ul><li>item</ul><p>{text}</p>{short}</article>"
+    assert H.main_text(page).split("\n") == ["T", text.strip(), "item", text.strip()]
+
+
 def test_whole_table_gives_the_article(spark):
     sf = "/root/testdata/sf0.01"
     pages = spark.read.parquet(f"{sf}/pages.parquet")

@@ -7,16 +7,20 @@ the page these ratios are smoothed with a small Gaussian, averaged again per
 path and fused (geometric mean). Paths over SPREAD standard deviations of the
 fused ratios, and always the best one, hold the content nodes.
 
-Where a page has article or main elements, only their blocks are looked at. The
-content region is the smallest element that holds SHARE of the text of the
-content nodes, or an article or main element around that. Inside the
-region short blocks of other paths (titles, lists, quotes) belong to the text
-unless they are mostly links. Elements that are never article text are left out
-wherever they stand: by tag or role, and by class or id words for menus,
-headers, footers, sidebars, notices, adverts, forms and reader comments. A
-class or id word does not count on an element that holds most of the page's
-text and an article, main or h1 element; a header inside an article keeps its
-headings.
+Blocks of content paths are the text. Where a page has article or main elements,
+only their blocks are scored. Blocks of other paths (titles, lists, quotes)
+stay only as neighbours: headings inside an article or main, or over text that
+stays, in the smallest element that holds all content nodes; lists, quotes, code
+and tables inside an article or main; these and paragraphs between the first and
+last content block. Blocks that are mostly links stay between content blocks or,
+on a content path, inside an article or main; without these, neighbours that are
+mostly links go. Anything else is dropped, also inside an article.
+
+Elements that are never article text are left out wherever they stand: by tag or
+role, and by class or id words for menus, headers, footers, sidebars, notices,
+adverts, forms and reader comments. A class or id word does not count on an
+element that holds most of the page's text and an article, main or h1 element;
+a header inside an article keeps its headings.
 
 Text is unescaped after the markup is split off, white space in a block becomes
 one space, blocks are joined by a line feed in page order; nothing is capped.
@@ -40,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 
-SPREAD, SHARE, LINKS, MOST = 0.5, 0.75, 0.5, 0.7
+SPREAD, LINKS, MOST = 0.5, 0.5, 0.7
 KERNEL = (0.25, 0.5, 0.25)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -59,6 +63,8 @@ WORDS = frozenset("ad ads adv advert adverts advertisement advertisements advert
                   "widget widgets pagination pager toolbar skip alert alerts copyright search searchbox form poll "
                   "topnav sidenav subnav adbox adbanner usercomments feedback disclaimer announcement announcements "
                   "notification notifications".split())
+#: Elements whose text belongs to the content it stands in, however short.
+TEXTS = frozenset("li dt dd blockquote pre table figcaption".split())
 MAIN = frozenset(("article", "main"))
 HEADS = frozenset(("header", "head", "heading-bar"))
 #: Start tags that close an open element of the second kind (HTML's implied end tags).
@@ -265,23 +271,35 @@ def main_text(page: str | None) -> str:
     scores = path_scores(left, path)
     values = list(scores.values())
     mean, top = sum(values) / len(values), max(values)
-    least = min(top, max(SPREAD * math.sqrt(sum((v - mean) ** 2 for v in values) / len(values)), 1e-9))
-    content: dict[int, int] = defaultdict(int)
-    for b, p in zip(left, path):
-        if scores[p] >= least:
-            content[b.element] += len(b.text)
-    weight = tree.upward(content)
-    # the smallest element with SHARE of the content (numbers grow inwards), or an article or main around it
-    region = max((n for n in tags if weight[n] >= SHARE * weight[0] and tree.tag[n] not in INLINE
+    least = max(min(top, SPREAD * math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))), 1e-9)
+    content = [scores[p] >= least for p in path]
+    linked = [b.links > LINKS * len(b.text) for b in left]
+    sure = [i for i, c in enumerate(content) if c and not linked[i]] or [i for i, c in enumerate(content) if c]
+    if not sure:
+        return ""
+    found: dict[int, int] = defaultdict(int)
+    for i in sure:
+        found[left[i].element] += len(left[i].text)
+    weight = tree.upward(found)
+    # the smallest element that holds all content nodes (numbers grow inwards)
+    region = max((n for n in tags if weight[n] >= weight[0] and tree.tag[n] not in INLINE
                   and tree.tag[n] not in HEADINGS and tree.tag[n] not in ("p", "li")), default=0)
-    up = region
-    while up > 0 and tree.tag[up] not in MAIN:
-        up = tree.parent[up]
-    chosen = [False] * len(tree.tag)
-    chosen[up if up > 0 else region] = True
-    within = tree.downward(chosen)
-    return "\n".join(b.text for b in left if within[b.element] and (
-        b.links <= LINKS * len(b.text) or tree.block[b.element] in HEADINGS))
+    within = tree.downward([n == region for n in tags])
+    texts = tree.downward([t in TEXTS for t in tree.tag])
+    kept, follows = [False] * len(left), False
+    for i in range(len(left) - 1, -1, -1):  # backwards: a heading stays with what it stands over
+        n = left[i].element
+        between, main = sure[0] < i < sure[-1], in_main[n]
+        if tree.block[n] in HEADINGS:
+            kept[i] = content[i] or main or within[n] and follows
+            continue
+        if content[i]:
+            kept[i] = main or between or not linked[i] or i in (sure[0], sure[-1])
+        elif within[n] or main:
+            kept[i] = (main if linked[i] else True) and between and (texts[n] or tree.block[n] == "p") or (
+                main and texts[n] and not linked[i])
+        follows = kept[i]
+    return "\n".join(b.text for b, k in zip(left, kept) if k)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
