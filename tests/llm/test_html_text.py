@@ -52,6 +52,18 @@ def test_path_scores_select_inside_an_article():
     assert H.main_text(page).split("\n") == ["T", text.strip(), "item", text.strip()]
 
 
+def test_parts_outside_the_largest_element_and_named_parts_stay():
+    text = "One sentence of it, with marks, and more words."
+    page = f"<body><div class=lead><p>{text}</p></div><div class=body>{f'<p>{text} {text}</p>' * 3}</div></body>"
+    assert H.main_text(page).split("\n") == [text] + [f"{text} {text}"] * 3
+    page = (f"<article><h2 id='related-work'>Related work</h2><p>{text}</p><section id='discussion'><h3>D</h3><p>{text} {text}</p></section>"
+            f"<pre id=form-validation>x = 1</pre><p>{text} <span class=share>ok</span></p><p><a href=a>{text}</a></p></article>")
+    assert H.main_text(page).split("\n") == ["Related work", text, "D", f"{text} {text}", "x = 1", f"{text} ok", text]
+    text = " ".join([text] * 9)
+    page = f"<article><p>{text}</p><section id='related'><div>{'<div>Go on</div>' * 9}</div></section></article>"
+    assert H.main_text(page) == text
+
+
 def test_whole_table_gives_the_article(spark):
     sf = "/root/testdata/sf0.01"
     pages = spark.read.parquet(f"{sf}/pages.parquet")

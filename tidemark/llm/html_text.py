@@ -19,8 +19,9 @@ mostly links go. Anything else is dropped, also inside an article.
 Elements that are never article text are left out wherever they stand: by tag or
 role, and by class or id words for menus, headers, footers, sidebars, notices,
 adverts, forms and reader comments. A class or id word does not count on an
-element that holds most of the page's text and an article, main or h1 element;
-a header inside an article keeps its headings.
+element that holds most of the page's text and an article, main or h1 element,
+on headings, inline elements and pre; an id word does not count on a section
+inside an article or main if content paths hold half of its text; a header inside an article keeps its headings.
 
 Text is unescaped after the markup is split off, white space in a block becomes
 one space, blocks are joined by a line feed in page order; nothing is capped.
@@ -125,7 +126,7 @@ class Tree:
 
 
 def left_out(tag: str, attributes: str) -> str:
-    """'' or why an element is no article text: 'tag', 'word' (class or id) or 'head' (a header)."""
+    """'' or why an element is no article text: 'tag', 'word' (class or id), 'anchor' (a section's id) or 'head' (a header)."""
     if tag in NEVER:
         return "tag"
     if tag == "header":
@@ -136,7 +137,12 @@ def left_out(tag: str, attributes: str) -> str:
     if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in ROLES or re.search(
             r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
         return "tag"
-    words = {w.lower() for k in ("class", "id") for w in SPLIT.findall(found.get(k, ""))}
+    if tag in INLINE or tag in HEADINGS or tag == "pre":  # ids made of titles; parts of a sentence
+        return ""
+    named, called = ({w.lower() for w in SPLIT.findall(found.get(k, ""))} for k in ("class", "id"))
+    if tag == "section" and called & WORDS and not named & WORDS:
+        return "anchor"
+    words = named | called
     return "word" if words & WORDS else "head" if words & HEADS else ""
 
 
@@ -210,8 +216,6 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
         if m[4].endswith("/>") and tag in ("svg", "path", "use"):
             continue
         why = left_out(tag, m[4][:-1].strip())
-        if why == "word" and tag in INLINE:
-            flush()
         stack.append((tag, tree.add(stack[-1][1], tag, why)))
         open_tags[tag] += 1
     if at < len(page):
@@ -241,6 +245,16 @@ def path_scores(blocks: list[Block], path: list[int]) -> dict[int, float]:
     return {p: math.sqrt(smooth_mean[0][p] * (smooth_mean[1][p] + 1)) if text[p] else 0.0 for p in nodes}
 
 
+def _selected(blocks: list[Block], tree: Tree) -> list[bool]:
+    """Whether the score of each block's path reaches the threshold."""
+    path = [tree.path[b.element] for b in blocks]
+    scores = path_scores(blocks, path)
+    values = list(scores.values())
+    mean, top = sum(values) / len(values), max(values)
+    least = max(min(top, SPREAD * math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))), 1e-9)
+    return [scores[p] >= least for p in path]
+
+
 def main_text(page: str | None) -> str:
     """The main text of a page."""
     if not page:
@@ -256,7 +270,9 @@ def main_text(page: str | None) -> str:
     in_main = tree.downward([t in MAIN for t in tree.tag])
     titled = tree.upward({b.element: 1 for b in blocks if tree.block[b.element] == "h1" or in_main[b.element]})
     # a class or id word does not count on an element with most of the text and an article, main or h1
-    by_word = tree.downward([tree.why[n] == "word" and not (inside[n] >= MOST * inside[0] and titled[n]) for n in tags])
+    anchors = [tree.why[n] == "anchor" and n > 0 and in_main[tree.parent[n]] for n in tags]
+    by_word = tree.downward([(tree.why[n] == "word" or tree.why[n] == "anchor" and not anchors[n])
+                             and not (inside[n] >= MOST * inside[0] and titled[n]) for n in tags])
     in_head = tree.downward([w == "head" for w in tree.why])
 
     def out(b: Block) -> bool:
@@ -267,12 +283,15 @@ def main_text(page: str | None) -> str:
     left = [b for b in left if in_main[b.element]] or left
     if not left:
         return ""
-    path = [tree.path[b.element] for b in left]
-    scores = path_scores(left, path)
-    values = list(scores.values())
-    mean, top = sum(values) / len(values), max(values)
-    least = max(min(top, SPREAD * math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))), 1e-9)
-    content = [scores[p] >= least for p in path]
+    content = _selected(left, tree)
+    if any(anchors):  # a section that is named like boilerplate stays if its text is mostly content
+        held, good = defaultdict(int), defaultdict(int)
+        for b, c in zip(left, content):
+            held[b.element] += len(b.text)
+            good[b.element] += len(b.text) * c
+        all_text, all_good = tree.upward(held), tree.upward(good)
+        gone = tree.downward([a and 2 * all_good[n] < all_text[n] for n, a in enumerate(anchors)])
+        left, content = [b for b in left if not gone[b.element]], [c for b, c in zip(left, content) if not gone[b.element]]
     linked = [b.links > LINKS * len(b.text) for b in left]
     sure = [i for i, c in enumerate(content) if c and not linked[i]] or [i for i, c in enumerate(content) if c]
     if not sure:
