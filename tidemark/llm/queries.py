@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_cnn, html_text, jaccard_join, pfair_mix, preference_chat, quality_rules, sentence_pieces,
-               token_files, topk_search, url_rules)
+from . import (byte_cnn, centroid_clusters, html_text, jaccard_join, pfair_mix, preference_chat, quality_rules,
+               sentence_pieces, token_files, topk_search, url_rules)
 
 #: Target weights of the mix: the source with a third of all rows is held at 5 of 24 parts.
 MIX_WEIGHTS, MIX_DEFAULT = {"src0": 5}, 1
@@ -68,6 +68,10 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__mix_rank").alias("rank"))
 
 
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUALITY_RULES_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
@@ -209,12 +213,35 @@ FROM said LEFT JOIN (SELECT * FROM spans WHERE side = 1) a USING (chosen_id) LEF
 """
 
 
+def _centroid_sql(k: int = 16, rounds: int = 3) -> str:
+    """Lloyd's rounds by comparing every vector with all centroids; floor division for sums of either sign."""
+    nearest = """
+SELECT r, vec_id, min({{'d': list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i]))), 'c': c.c}}) AS m
+FROM v, c{0} c GROUP BY r, vec_id"""
+    step = """
+a{0} AS (""" + nearest + """),
+s{0} AS (SELECT m.c AS c, i, sum(x[i])::HUGEINT AS s, count(*) AS n FROM (SELECT r, m, unnest(range(1, 65)) AS i FROM a{0}) JOIN v USING (r) GROUP BY ALL),
+f{0} AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS x FROM s{0} GROUP BY c),
+c{1} AS (SELECT c.c, coalesce(f.x, c.x) AS x FROM c{0} c LEFT JOIN f{0} f USING (c)),"""
+    return """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT (row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR) NULLS LAST, x))::INT - 1 AS c, x FROM v QUALIFY c < %d),
+""" % k + "".join(step.format(i, i + 1) for i in range(rounds)) + """
+a AS (""" + nearest.format(rounds) + """)
+SELECT vec_id, m.c AS cluster, m.d::BIGINT AS distance, sum(m.d) OVER (PARTITION BY m.c)::BIGINT AS cluster_inertia,
+       sum(m.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a JOIN c{0} c ON c.c = m.c
+""".format(rounds)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_sentence_pieces, op3_url_rules, op4_topk_search, op5_preference_chat, op6_html_text,
-        op7_byte_cnn, op8_token_files, op9_jaccard_join, op10_pfair_mix)}
+        op7_byte_cnn, op8_token_files, op9_jaccard_join, op10_pfair_mix, op12_centroid_clusters)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_quality_rules": QUALITY_RULES_SQL, "op3_url_rules": URL_RULES_SQL, "op4_topk_search": TOPK_SQL,
-            "op5_preference_chat": PREFERENCE_SQL}
+            "op5_preference_chat": PREFERENCE_SQL, "op12_centroid_clusters": _centroid_sql()}
