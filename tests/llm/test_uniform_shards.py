@@ -1,0 +1,128 @@
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import documents
+from tidemark.llm import queries
+from tidemark.llm import uniform_shards as U
+from tidemark.llm.common import saved
+
+
+def brute(starts, places, seed):
+    """The whole matrix by the same draws, split from the top: every node of the block tree once."""
+    out = {}
+
+    def down(lo, hi, counts):
+        if hi - lo == 1:
+            out[lo] = counts
+            return
+        mid = (lo + hi) // 2
+        left = U.split(counts, int(starts[mid] - starts[lo]), np.random.default_rng([seed, 1, lo, hi]))
+        down(lo, mid, left)
+        down(mid, hi, counts - left)
+
+    down(0, len(starts) - 1, places)
+    return np.array([out[b] for b in sorted(out)])
+
+
+def test_rows_of_the_matrix_agree_with_all_of_it():
+    starts, places = np.cumsum([0, 7, 1, 9, 4, 4, 20]), np.array([10, 10, 10, 15])
+    whole = brute(starts, places, 3)
+    for order in (range(6), (5, 0, 3, 3, 1, 4, 2)):  # in any order, with the path of the one before kept
+        matrix = U.Matrix(starts, places, 3)
+        for b in order:
+            assert (matrix.row(b) == whole[b]).all()
+    assert (whole.sum(axis=0) == places).all() and (whole.sum(axis=1) == np.diff(starts)).all() and (whole >= 0).all()
+
+
+def test_draws_have_the_hypergeometric_law(monkeypatch):
+    """Both samplers against the exact probabilities (chi-square, generous bound)."""
+    from math import comb
+
+    good, bad, draws, n = 7, 11, 6, 20_000
+    p = [comb(good, k) * comb(bad, draws - k) / comb(good + bad, draws) for k in range(draws + 1)]
+
+    def chi(sample):
+        seen = Counter(sample)
+        return sum((seen[k] - n * q) ** 2 / (n * q) for k, q in enumerate(p))
+
+    rng = np.random.default_rng(11)
+    assert chi(U._large(rng, good, bad, draws) for _ in range(n)) < 25
+    assert chi(int(U.split(np.array([good, bad]), draws, rng)[0]) for _ in range(n)) < 25
+    three = Counter(tuple(U.split(np.array([2, 1, 2]), 2, rng).tolist()) for _ in range(n))
+    exact = {(a, b, c): comb(2, a) * comb(1, b) * comb(2, c) / comb(5, 2) for a in range(3) for b in range(2)
+             for c in range(3) if a + b + c == 2}
+    assert three.keys() == exact.keys() and sum((three[k] - n * q) ** 2 / (n * q) for k, q in exact.items()) < 25
+    monkeypatch.setattr(U, "POPULATION", 1)
+    assert U.split(np.array([5, 0, 3, 2]), 10, rng).tolist() == [5, 0, 3, 2]
+    huge = U._large(rng, 3 * 10 ** 11, 10 ** 11, 2 * 10 ** 11)
+    assert abs(huge - 15 * 10 ** 10) < 10 * 1.4e5
+
+
+def check(placed, n, shards):
+    got = placed.select("__shard_no", "__shard_slot").collect()
+    slots = {}
+    for no, slot in got:
+        slots.setdefault(no, []).append(slot)
+    assert len(got) == n
+    for j in range(shards):
+        assert sorted(slots.get(j, [])) == list(range(n // shards + (j < n % shards)))
+
+
+@pytest.mark.parametrize("n, shards, block, cell", [(0, 8, 4, 4), (3, 8, 4, 4), (100, 8, 7, 5), (101, 3, 100, 1), (64, 8, 1, 100)])
+def test_sizes_are_exact_and_slots_gapless(spark, n, shards, block, cell):
+    docs = documents(spark, [(i % 5 if i % 7 else None, f"t{i % 3}" if i % 4 else None) for i in range(n)])
+    table = saved(docs.repartition(3), "shard-test")
+    placed = U.place(table, shards, block_rows=block, cell_rows=cell)
+    check(placed, n, shards)
+    count = lambda df: Counter(map(tuple, df.select(docs.columns).collect()))
+    assert count(placed) == count(docs)                                         # no row lost or repeated
+    where = lambda df: Counter(map(tuple, df.collect()))
+    assert where(placed) == where(U.place(table, shards, block_rows=block, cell_rows=cell))
+
+
+def test_same_rows_however_the_scan_is_split(spark):
+    """A retried or differently planned scan gives every row the same slot."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = {r[0]: r[1:] for r in U.place(docs, block_rows=64).select("doc_id", "__shard_no", "__shard_slot").collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        got = {r[0]: r[1:] for r in U.place(docs, block_rows=64).select("doc_id", "__shard_no", "__shard_slot").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == want
+
+
+def test_every_place_is_equally_likely():
+    """Over many seeds: the cells of the 12 rows of three blocks."""
+    seen = np.zeros((12, 4))
+    for seed in range(400):
+        matrix = U.Matrix(np.array([0, 4, 8, 12]), np.array([3, 3, 3, 3]), seed)
+        for b in range(3):
+            order, ends = np.random.default_rng([seed, 2, b]).permutation(4), np.cumsum(matrix.row(b))
+            for i in range(4):
+                seen[4 * b + i, np.searchsorted(ends, order[i], side="right")] += 1
+    assert ((seen - 100) ** 2 / 100).sum() < 75  # 33 degrees of freedom
+
+
+def test_frames_clashing_names_and_files(spark, workdir):
+    docs = documents(spark, [(i, f"text {i}") for i in range(50)]).withColumns({c: F.lit(1) for c in ("shard_no", "cell", "f", "h", "n")})
+    check(U.place(docs.where("doc_id >= 10"), 8, block_rows=8), 40, 8)  # no stored table: written once
+    back = U.write(docs, f"{workdir}/shards", 3, cell_rows=5)
+    got = sorted((r["shard"], r["slot"], r["doc_id"]) for r in back.collect())
+    want = sorted((r["__shard_no"], r["__shard_slot"], r["doc_id"]) for r in U.place(docs, 3, cell_rows=5).collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want] and sorted(g[2] for g in got) == list(range(50))
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.001"
+    import zlib
+
+    docs = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = queries.queries()["op13_uniform_shards"](spark, sf).collect()
+    assert {(r["doc_id"], r["size"], r["text_crc32"]) for r in got} == {(d, len(t) + 1, zlib.crc32(t)) for d, t in docs.items()}
+    assert len(got) == len(docs) and {(r["law"], r["grown_shard"]) for r in got} == {("rows", None)}
+    sizes = Counter(r["shard"] for r in got)
+    assert set(sizes) == set(range(8)) and max(sizes.values()) - min(sizes.values()) <= 1

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (byte_cnn, centroid_clusters, html_text, jaccard_join, pfair_mix, preference_chat, quality_rules,
-               sentence_pieces, token_files, topk_search, url_rules)
+               sentence_pieces, token_files, topk_search, uniform_shards, url_rules)
 
 #: Target weights of the mix: the source with a third of all rows is held at 5 of 24 parts.
 MIX_WEIGHTS, MIX_DEFAULT = {"src0": 5}, 1
@@ -72,6 +72,14 @@ def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op13_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return uniform_shards.place(table(spark, sf_dir, "documents")).select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), F.col("__shard_no").alias("shard"), F.col("__shard_slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUALITY_RULES_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
@@ -239,7 +247,8 @@ FROM a JOIN c{0} c ON c.c = m.c
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_sentence_pieces, op3_url_rules, op4_topk_search, op5_preference_chat, op6_html_text,
-        op7_byte_cnn, op8_token_files, op9_jaccard_join, op10_pfair_mix, op12_centroid_clusters)}
+        op7_byte_cnn, op8_token_files, op9_jaccard_join, op10_pfair_mix, op12_centroid_clusters,
+        op13_uniform_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
