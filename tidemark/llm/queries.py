@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_cnn, centroid_clusters, html_text, jaccard_join, pfair_mix, preference_chat, quality_rules,
+from . import (byte_cnn, centroid_clusters, conversation_trie, html_text, jaccard_join, pfair_mix, preference_chat, quality_rules,
                sentence_pieces, token_files, topk_search, uniform_shards, url_rules)
 
 #: Target weights of the mix: the source with a third of all rows is held at 5 of 24 parts.
@@ -68,6 +68,10 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__mix_rank").alias("rank"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters.cluster(table(spark, sf_dir, "embeddings"))
 
@@ -221,6 +225,39 @@ FROM said LEFT JOIN (SELECT * FROM spans WHERE side = 1) a USING (chosen_id) LEF
 """
 
 
+TRIE_SQL = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+         lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+own AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (
+  SELECT conv_id, turns, xor(list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 4 AS h FROM own, crc),
+r AS (
+  SELECT h.conv_id, list_concat(coalesce(b.turns[:h], []), coalesce(h.turns[h + 1:], [])) AS turns
+  FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 20),
+p AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM r),
+n AS (
+  SELECT CASE WHEN d = 0 THEN [] ELSE turns[:d] END AS path, d, min(conv_id) AS conv_id, count(*) AS n,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(turns) = d), '')) AS ends
+  FROM p GROUP BY ALL),
+w AS (
+  SELECT *, CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(path[-1].text, '[^\x20\x09-\x0D]+')) END AS words,
+         md5(d || path::VARCHAR) AS id, CASE WHEN d = 1 THEN md5('0[]') WHEN d > 1 THEN md5((d - 1) || path[:d - 1]::VARCHAR) END AS up FROM n),
+k AS (SELECT up AS id, count(*) AS n FROM w WHERE up IS NOT NULL GROUP BY up),
+below AS (
+  SELECT md5(e || CASE WHEN e = 0 THEN '[]' ELSE path[:e]::VARCHAR END) AS id, sum((n - 1) * words)::BIGINT AS saved,
+         count(*) FILTER (leaf) AS leaves
+  FROM (SELECT w.*, k.id IS NULL AS leaf, unnest(range(0, d + 1)) AS e FROM w LEFT JOIN k USING (id)) GROUP BY 1)
+SELECT w.conv_id, w.d AS depth, u.conv_id AS parent_conv_id, w.n AS n_convs, coalesce(k.n, 0) AS n_children,
+       leaves AS n_leaves, saved AS saved_tokens, w.ends AS ends_sha256
+FROM w LEFT JOIN w u ON u.id = w.up LEFT JOIN k ON k.id = w.id JOIN below ON below.id = w.id
+"""
+
+
 def _centroid_sql(k: int = 16, rounds: int = 3) -> str:
     """Lloyd's rounds by comparing every vector with all centroids; floor division for sums of either sign."""
     nearest = """
@@ -247,10 +284,11 @@ FROM a JOIN c{0} c ON c.c = m.c
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_sentence_pieces, op3_url_rules, op4_topk_search, op5_preference_chat, op6_html_text,
-        op7_byte_cnn, op8_token_files, op9_jaccard_join, op10_pfair_mix, op12_centroid_clusters,
-        op13_uniform_shards)}
+        op7_byte_cnn, op8_token_files, op9_jaccard_join, op10_pfair_mix, op11_conversation_trie,
+        op12_centroid_clusters, op13_uniform_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_quality_rules": QUALITY_RULES_SQL, "op3_url_rules": URL_RULES_SQL, "op4_topk_search": TOPK_SQL,
-            "op5_preference_chat": PREFERENCE_SQL, "op12_centroid_clusters": _centroid_sql()}
+            "op5_preference_chat": PREFERENCE_SQL, "op11_conversation_trie": TRIE_SQL,
+            "op12_centroid_clusters": _centroid_sql()}
