@@ -191,11 +191,12 @@ def run_load(landing: DataFrame, dim: DataFrame, target: DataFrame | None = None
 
 
 def with_failures(log: DataFrame, failures: DataFrame) -> DataFrame:
-    """``log`` with the series of ``failures`` (series_id, error) marked FAILED; earlier errors stay."""
+    """``log`` with the series of ``failures`` (series_id, error) marked FAILED with 0 records; earlier errors stay."""
     f = failures.groupBy("series_id").agg(F.min("error").alias("_error"))
     hit = F.col("_error").isNotNull() & (F.col("status") == "SUCCESS")
     return log.join(f, "series_id", "left").select(
-        "run_id", "series_id", "records_fetched", F.when(hit, F.lit("FAILED")).otherwise(F.col("status")).alias("status"),
+        "run_id", "series_id", F.when(hit, F.lit(0)).otherwise(F.col("records_fetched")).alias("records_fetched"),
+        F.when(hit, F.lit("FAILED")).otherwise(F.col("status")).alias("status"),
         "started_at", "completed_at", F.when(hit, truncate_text("_error", 2000)).otherwise(F.col("error_message")).alias("error_message"))
 
 

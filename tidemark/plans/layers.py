@@ -66,7 +66,7 @@ def load_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     obs_path = _raw(spark, cfg, "observations")
     dim = load.series_dim(spark, cfg.specs)
     rows, malformed = landing_src.read_observation_landing(spark, cfg.landing_obs, keys)
-    target = tables.read_observations(spark, obs_path, keys) if tables.exists(spark, obs_path) else None
+    target = tables.read_observations(spark, obs_path, keys) if tables.has_observations(spark, obs_path) else None
     batch, log = load.run_load(rows, dim, target, cfg.incremental, cfg.now, cfg.run_id, malformed,
                                cfg.load_start, keys, materialise=True)
     tables.upsert_table(spark, obs_path, batch, keys, now=cfg.now)
@@ -198,7 +198,7 @@ def tests_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     """
     keys = list(cfg.keys)
     raw_path = _raw(spark, cfg, "observations")
-    raw = tables.read_observations(spark, raw_path, keys) if tables.exists(spark, raw_path) else None
+    raw = tables.read_observations(spark, raw_path, keys) if tables.has_observations(spark, raw_path) else None
     has_meta = tables.read_current(spark, cfg.root, "raw", "series_metadata") is not None
     tests = data_tests(_read(spark, cfg, "staging", "observations"),
                        _read(spark, cfg, "intermediate", "indicators_wide"),

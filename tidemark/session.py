@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
@@ -56,14 +57,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError(f"spark.checkpoint.dir is not set on {master}: name a folder that all machines share")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_checkpoints", None) != path:  # every call makes a folder: once an application
+        sc.setCheckpointDir(path)
+        sc._tidemark_checkpoints = path
     return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared folder and read it back (survives executor loss).
+
+    The table lies in the application's folder below ``spark.checkpoint.dir``,
+    which goes when the application ends: a load leaves no copy of its rows."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{sc.applicationId}"
+    path = f"{folder}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not getattr(sc, "_tidemark_cuts", False):
+        p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+        sc._tidemark_cuts = True
+    return spark.read.schema(df.schema).parquet(path)
 
 
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import INGESTION_LOG, MAX_LENGTHS, observations_contract
+from .snapshots import SnapshotTable
 
 LAYERS = ("raw", "staging", "intermediate", "marts")
 
@@ -191,50 +192,46 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INGESTION_LOG).parquet(path)
 
 
-YEAR = "obs_year"
+#: Partitions of the stored raw observations: what a batch touches is replaced, the rest stays.
+RAW_PARTS = {"series_id": "series_id", "obs_year": "year(observation_date)"}
+
+
+def observations_table(spark: SparkSession, path: str, keys=()) -> SnapshotTable:
+    return SnapshotTable(spark, path, observations_contract(keys), RAW_PARTS)
+
+
+def has_observations(spark: SparkSession, path: str) -> bool:
+    """True once a load has committed (a crashed first load leaves folders, not a table)."""
+    return observations_table(spark, path).version() is not None
 
 
 def read_observations(spark: SparkSession, path: str, keys=()) -> DataFrame:
-    """Stored raw observations under their contract (series ids such as '001' stay text)."""
-    return spark.read.schema(observations_contract(keys)).parquet(path)
+    """Stored raw observations of the last commit, with the columns of their contract (series ids such as '001' stay text)."""
+    return observations_table(spark, path, keys).read()
 
 
-def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys=(), now=None,
-                 staging_root: str | None = None) -> int:
+def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys=(), now=None) -> int:
     """Idempotent upsert of ``batch`` into the stored raw observations; returns the rows merged.
 
     ``keys``: entity key columns. The table is partitioned by series and year of
-    the date; only the pairs that the batch touches are read and rewritten. The
-    batch is written once to the shared folder, the merged partitions to a
-    staging folder (a job never reads what it overwrites), which then replaces
-    the touched partitions and is removed. A partition is swapped whole, but a
-    reader may see some partitions new and others old while a load runs.
+    the date; only the pairs that the batch touches are read and rewritten, and all
+    of them change with one commit: a reader sees the version before or after. A load
+    that another one has overtaken raises ``Conflict`` and changes nothing; run again,
+    it starts from the newer version.
     """
-    from ..operators.joins import broadcast_if_small
     from ..operators.load import _ts, dedup_batch, upsert
-    from ..session import cut_lineage, ensure_checkpoint_dir
+    from ..session import cut_lineage
 
     row_key = [*keys, "series_id", "observation_date"]
-    parts = ["series_id", YEAR]
-    year = F.year("observation_date").alias(YEAR)
     contract = observations_contract(keys)
+    table = observations_table(spark, path, keys)
+    base = table.version()
     fresh = cut_lineage(dedup_batch(batch, row_key).select(
-        *[F.col(f.name) if f.name in batch.columns else _ts(now).alias(f.name) for f in contract.fields], year))
+        *[F.col(f.name) if f.name in batch.columns else _ts(now).alias(f.name) for f in contract.fields]))
     n = fresh.count()
     if not n:
         return 0
-    if not exists(spark, path):
-        fresh.hint("rebalance", *parts).write.partitionBy(*parts).parquet(path)
-        return n
-    stored = spark.read.schema(T.StructType([*contract.fields, T.StructField(YEAR, T.IntegerType())])).parquet(path)
-    touched = broadcast_if_small(cut_lineage(fresh.select(*parts).distinct()))
-    merged = upsert(stored.join(touched, parts, "left_semi"), fresh, [*row_key, YEAR], now)
-    root = staging_root or ensure_checkpoint_dir(spark)
-    stage = os.path.join(root, f"upsert-{uuid.uuid4().hex}")
-    # rebalance: a hot series and year is split over tasks, small ones share one
-    merged.hint("rebalance", *parts).write.partitionBy(*parts).parquet(stage)
-    (spark.read.schema(merged.schema).parquet(stage).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
-    fs, p = _fs(spark, stage)
-    fs.delete(p, True)
+    touched = cut_lineage(table.values(fresh))
+    merged = fresh if base is None else upsert(table.read(touched, base), fresh, row_key, now)
+    table.replace(merged, touched, base)
     return n
