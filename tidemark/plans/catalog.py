@@ -251,6 +251,23 @@ def supplier_economic_dashboard(spark, sf_dir):
     return economic_dashboard(spark, sf_dir, "supplier")
 
 
+def _revised_panel(spark, sf_dir):
+    """A stored supplier panel: a first load, then the batch applied to what it touches."""
+    from ..session import scratch_path
+    from .incremental import Panel
+
+    first, batch = fx.panel_revision(spark, sf_dir)
+    panel = Panel(spark, scratch_path(spark, "panel"), PANEL, thresholds=FIX_T, start=fx.SPINE_START, buckets=16)
+    panel.load(first, fx.AS_OF, NOW)
+    panel.load(batch, fx.AS_OF, NOW)
+    return panel
+
+
+def incremental_dashboard(spark, sf_dir):
+    """The dashboard of a stored panel after an incremental load."""
+    return _revised_panel(spark, sf_dir).dashboard()
+
+
 def indicator_summary(spark, sf_dir, entity=None):
     d, keys = _dashboard(spark, sf_dir, entity)
     return marts.indicator_summary(d, keys)
@@ -396,7 +413,7 @@ _PANEL_VARIANTS = (monthly_pivot, gdp_forward_fill, month_end_daily, monthly_wid
 
 _PLAIN = (dedup_latest_observation, dedup_hot_keys, dedup_latest_metadata, clean_missing_marker, series_watermark,
           upsert_result, upsert_recent_batch, replace_by_key_result, load_batch, malformed_split, load_log, run_summary,
-          raw_row_counts, merged_rows, contract_rows, contract_violations, landing_rows, landing_malformed, month_spine, *_PANEL_VARIANTS, supplier_economic_dashboard,
+          raw_row_counts, merged_rows, contract_rows, contract_violations, landing_rows, landing_malformed, month_spine, *_PANEL_VARIANTS, supplier_economic_dashboard, incremental_dashboard,
           dq_unique, dq_not_null, dq_accepted_values, dq_range, dq_freshness,
           dq_report, dq_suite, recent_runs_top20, range_series, sahm_history, gdp_history)
 

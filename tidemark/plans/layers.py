@@ -62,6 +62,11 @@ def load_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
 
     The log is written whatever fails: a series with a bad row, a malformed
     payload or bad metadata is marked FAILED and the others are loaded."""
+    return load_batch(spark, cfg)[0]
+
+
+def load_batch(spark: SparkSession, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
+    """``load_layer``'s work; returns the log and the batch that was merged."""
     keys = list(cfg.keys)
     obs_path = _raw(spark, cfg, "observations")
     dim = load.series_dim(spark, cfg.specs)
@@ -80,7 +85,7 @@ def load_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
         new = meta if old is None else load.replace_by_key(old, meta, ["series_id"])
         tables.publish(new, cfg.root, "raw", "series_metadata")
     tables.append_log(log, _raw(spark, cfg, "ingestion_log"))
-    return log
+    return log, batch
 
 
 def _mode(cfg: RunConfig) -> str:
@@ -124,7 +129,7 @@ def intermediate_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     return m
 
 
-def _mart_audit(keys):
+def mart_audit(keys):
     def audit(df: DataFrame) -> list[str]:
         dup = quality.unique(df, [*keys, MONTH]).limit(1).count()
         report = quality.check_report(df, [
@@ -140,7 +145,7 @@ def marts_layer(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     m = _read(spark, cfg, "intermediate", "indicators_with_changes")
     dash = marts.economic_dashboard(m, cfg.thresholds, keys)
     written = tables.publish(dash, cfg.root, "marts", "economic_dashboard",
-                             sort_within=[*keys, MONTH], audit=_mart_audit(keys))
+                             sort_within=[*keys, MONTH], audit=mart_audit(keys))
     summary = marts.indicator_summary(written, keys)
     tables.publish(summary, cfg.root, "marts", "indicator_summary")
     return written

@@ -324,6 +324,7 @@ FROM (SELECT o_orderpriority AS entity,
              max(CAST(date_trunc('month', o_orderdate) AS TIMESTAMP)) AS hi
       FROM orders GROUP BY o_orderpriority)""",
         "supplier_economic_dashboard": O.dashboard_sql("supplier"),
+        "incremental_dashboard": O.revised_dashboard_sql(),
         "dq_unique": f"""{rev}
 SELECT series_id, observation_date, count(*) AS n_rows FROM raw
 WHERE series_id IS NOT NULL AND observation_date IS NOT NULL

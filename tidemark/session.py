@@ -64,21 +64,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back (survives executor loss).
-
-    The table lies in the application's folder below ``spark.checkpoint.dir``,
-    which goes when the application ends: a load leaves no copy of its rows."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the application's folder below ``spark.checkpoint.dir``, which goes when the application ends."""
     sc = spark.sparkContext
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{sc.applicationId}"
-    path = f"{folder}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     if not getattr(sc, "_tidemark_cuts", False):
         p = spark._jvm.org.apache.hadoop.fs.Path(folder)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
         sc._tidemark_cuts = True
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back (survives executor loss); a load leaves no copy of its rows."""
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024

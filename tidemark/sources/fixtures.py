@@ -230,3 +230,23 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("completed_at"),
         F.when(failed, F.lit("load failed")).alias("error_message"),
         "event_id")
+
+
+# Fixed values of the panel revision: every tenth supplier, late months and revised months.
+PANEL_REVISED_EVERY, PANEL_LATE_FROM, PANEL_REVISED_FROM = 10, "2001-07-01", "2001-01-01"
+
+
+def panel_revision(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """FX-PANEL-L split into a first load and a batch of every tenth supplier.
+
+    The batch revises values from PANEL_REVISED_FROM on (times 1.5), brings the rows from
+    PANEL_LATE_FROM on that the first load lacks, and retracts sentiment in March."""
+    obs = econ_observations(spark, sf_dir, "supplier")
+    some = F.col(ENTITY) % PANEL_REVISED_EVERY == 0
+    day = F.col("observation_date")
+    first = obs.where(~(some & (day >= F.lit(PANEL_LATE_FROM).cast("date"))))
+    gone = (F.col("series_id") == "UMCSENT") & (F.month(day) == 3)
+    batch = obs.where(some & (day >= F.lit(PANEL_REVISED_FROM).cast("date"))).withColumn(
+        "value", F.when(~gone, F.col("value") * 1.5))
+    text = F.col(ENTITY).cast("string")
+    return first.withColumn(ENTITY, text), batch.withColumn(ENTITY, text)

@@ -2,7 +2,7 @@
 
 ::
 
-    <path>/_commits/00000000000000000007   names one manifest; creating this file is the commit
+    <path>/_commits/00000000000000000007   names one manifest, and a note; creating this file is the commit
     <path>/_manifests/<id>/                Parquet: partition values, folder, rows
     <path>/data/<id>/<part>=<value>/...    Parquet files with all columns of the table
 
@@ -43,6 +43,10 @@ class Conflict(RuntimeError):
     """Another writer committed after this one had read the table; nothing of this write is visible."""
 
 
+class AuditFailed(RuntimeError):
+    """A written table failed its audit and was not published."""
+
+
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, parts: dict[str, str]):
         """``parts``: partition name -> SQL expression over the table's columns."""
@@ -65,7 +69,7 @@ class SnapshotTable:
         """The last committed version; None before the first."""
         return max(self.versions(), default=None)
 
-    def _manifest_name(self, version: int) -> str:
+    def _read_commit(self, version: int) -> str:
         fs, p = self._fs(os.path.join(self.path, "_commits", f"{version:020d}"))
         stream = fs.open(p)
         try:
@@ -73,11 +77,18 @@ class SnapshotTable:
         finally:
             stream.close()
 
-    def _commit(self, manifest: str, version: int) -> None:
+    def _manifest_name(self, version: int) -> str:
+        return self._read_commit(version).split("\n", 1)[0]
+
+    def note(self, version: int) -> str:
+        """What the writer of a version has put down beside it."""
+        return self._read_commit(version).split("\n", 1)[1]
+
+    def _commit(self, manifest: str, version: int, note: str = "") -> None:
         jvm = self.spark._jvm
         fs, fresh = self._fs(os.path.join(self.path, "_commits", f"_fresh-{uuid.uuid4().hex}"))
         out = fs.create(fresh, False)
-        out.write(bytearray(manifest.encode()))
+        out.write(bytearray(f"{manifest}\n{note}".encode()))
         out.close()
         target = jvm.org.apache.hadoop.fs.Path(os.path.join(self.path, "_commits", f"{version:020d}"))
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
@@ -127,12 +138,15 @@ class SnapshotTable:
 
     # ------------------------------------------------------------ writing
 
-    def replace(self, rows: DataFrame, touched: DataFrame | None = None, base: int | None = None) -> DataFrame:
+    def replace(self, rows: DataFrame, touched: DataFrame | None = None, base: int | None = None, note: str = "",
+                audit=None) -> DataFrame:
         """Commit a version in which the ``touched`` partitions (default: all) hold ``rows``; returns what was written.
 
         ``base``: the version that ``rows`` were made from (None: there was none).
         Rows outside the touched partitions are an error of the caller. A partition
-        that has no rows any more goes. Raises ``Conflict`` if ``base`` is no longer the last."""
+        that has no rows any more goes. ``audit(written rows)`` returns a list of failure
+        messages; any failure keeps the version from being committed. Raises ``Conflict``
+        if ``base`` is no longer the last."""
         name = uuid.uuid4().hex
         data = os.path.join("data", name)
         marks = {f"_p_{n}": F.expr(e) for n, e in self.parts.items()}
@@ -140,6 +154,9 @@ class SnapshotTable:
         out = rows.select(*[f.name for f in self.schema.fields]).withColumns(marks)
         # rebalance: a hot partition is split over tasks, small ones share one
         out.hint("rebalance", *marks).write.partitionBy(*marks).parquet(full)
+        failures = audit(self.spark.read.schema(self.schema).option("recursiveFileLookup", True).parquet(full)) if audit else []
+        if failures:
+            raise AuditFailed(f"{self.path}: version not committed: " + "; ".join(failures))
         values = [T.StructField(f"_p_{f.name}", f.dataType) for f in self._part_schema().fields]
         stored = self.spark.read.schema(T.StructType([*self.schema.fields, *values])).parquet(full)
         folder = F.concat(F.lit(data), F.regexp_extract(F.col("_metadata.file_path"), f"/{name}(/.*)/[^/]*$", 1))
@@ -152,7 +169,7 @@ class SnapshotTable:
         self._fs(self.path)[0].mkdirs(self._fs(os.path.join(self.path, "_commits"))[1])
         if self.version() != base:
             raise Conflict(f"{self.path}: version {self.version()} was committed after version {base} was read")
-        self._commit(name, (base or 0) + 1 if base is not None else 1)
+        self._commit(name, 1 if base is None else base + 1, note)
         self._drop_old()
         return self.spark.read.schema(self.manifest().schema).parquet(both).where(F.col(FOLDER).startswith(data))
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import INGESTION_LOG, MAX_LENGTHS, observations_contract
-from .snapshots import SnapshotTable
+from .snapshots import AuditFailed, SnapshotTable
 
 LAYERS = ("raw", "staging", "intermediate", "marts")
 
@@ -72,10 +72,6 @@ def layer_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFr
     return spark.read.parquet(layer_path(root, layer, name))
 
 
-class AuditFailed(RuntimeError):
-    """A written table failed its audit and was not published."""
-
-
 def publish(df: DataFrame, root: str, layer: str, name: str, as_: str = "table",
             partition_by: list[str] | None = None, sort_within: list[str] | None = None,
             audit=None) -> DataFrame:
