@@ -273,6 +273,50 @@ def indicator_summary(spark, sf_dir, entity=None):
     return marts.indicator_summary(d, keys)
 
 
+# ---------------------------------------------------------------- hot keys, as-of
+
+def hot_rolling(spark, sf_dir):
+    """Lags, growth and rolling frames over keys that hold a third of all rows each, cut into ranges."""
+    from ..functions.columns import lag_diff, pct_change, rolling
+    from ..operators.split_windows import RangeSplit
+
+    columns = {"change_1": lambda w: lag_diff("cents", 1, w), "change_12": lambda w: lag_diff("cents", 12, w),
+               "avg_3": lambda w: rolling("cents", "avg", 3, w), "low_12": lambda w: rolling("cents", "min", 12, w),
+               "growth_3": lambda w: pct_change("cents", 3, 100, w)}
+    out = RangeSplit(fx.hot_lines(spark, sf_dir), ["l_returnflag"], fx.HOT_ORDER).apply(columns, back=12)
+    return out.select("l_returnflag", "l_orderkey", "l_linenumber", "l_shipdate", "cents", *columns)
+
+
+def hot_forward_fill(spark, sf_dir):
+    """The last price without a discount carried over each hot key's lines."""
+    from ..operators.split_windows import RangeSplit
+
+    lines = fx.hot_lines(spark, sf_dir).withColumn("full_price", F.when(F.col("l_discount") == 0, F.col("cents")))
+    out = RangeSplit(lines, ["l_returnflag"], fx.HOT_ORDER).fill(["full_price"])
+    return out.select("l_returnflag", "l_orderkey", "l_linenumber", "l_shipdate", "cents", "full_price")
+
+
+def asof_daily_quarterly(spark, sf_dir):
+    """Every daily value with the last quarterly report of its entity, if it is recent enough."""
+    from ..operators.asof import asof_join
+
+    daily = fx.econ_observations(spark, sf_dir, "priority", ["T10Y2Y"]).select("entity", "observation_date", "value")
+    return asof_join(daily, fx.quarterly_reports(spark, sf_dir), ["entity"], "observation_date", "reported",
+                     {"reported": "reported", "gdp": "level"}, within=F.expr(f"INTERVAL {fx.ASOF_DAYS} DAY"), tie=["revision"])
+
+
+def asof_events(spark, sf_dir):
+    """Errors with the user's purchase before, after and nearest to them (within two days); times are unaligned."""
+    from ..operators.asof import asof_join
+
+    e = fx.table(spark, sf_dir, "events")
+    errors = e.where("event_type = 'error'").select("event_id", "user_id", "ts")
+    bought = e.where("event_type = 'purchase'").select("user_id", F.col("ts").alias("at"), F.col("event_id").alias("purchase"))
+    out = asof_join(errors, bought, ["user_id"], "ts", "at", {"last_purchase": "purchase"})
+    out = asof_join(out, bought, ["user_id"], "ts", "at", {"next_purchase": "purchase"}, "forward", F.expr("INTERVAL 5 DAY"))
+    return asof_join(out, bought, ["user_id"], "ts", "at", {"nearest_purchase": "purchase"}, "nearest", F.expr("INTERVAL 2 DAY"))
+
+
 # ---------------------------------------------------------------- data quality
 
 def dq_unique(spark, sf_dir):
@@ -414,6 +458,7 @@ _PANEL_VARIANTS = (monthly_pivot, gdp_forward_fill, month_end_daily, monthly_wid
 _PLAIN = (dedup_latest_observation, dedup_hot_keys, dedup_latest_metadata, clean_missing_marker, series_watermark,
           upsert_result, upsert_recent_batch, replace_by_key_result, load_batch, malformed_split, load_log, run_summary,
           raw_row_counts, merged_rows, contract_rows, contract_violations, landing_rows, landing_malformed, month_spine, *_PANEL_VARIANTS, supplier_economic_dashboard, incremental_dashboard,
+          hot_rolling, hot_forward_fill, asof_daily_quarterly, asof_events,
           dq_unique, dq_not_null, dq_accepted_values, dq_range, dq_freshness,
           dq_report, dq_suite, recent_runs_top20, range_series, sahm_history, gdp_history)
 

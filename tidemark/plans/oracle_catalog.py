@@ -325,6 +325,31 @@ FROM (SELECT o_orderpriority AS entity,
       FROM orders GROUP BY o_orderpriority)""",
         "supplier_economic_dashboard": O.dashboard_sql("supplier"),
         "incremental_dashboard": O.revised_dashboard_sql(),
+        "hot_rolling": f"""SELECT l_returnflag, l_orderkey, l_linenumber, l_shipdate, cents,
+       cents - lag(cents, 1) OVER w AS change_1, cents - lag(cents, 12) OVER w AS change_12,
+       avg(cents) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS avg_3,
+       min(cents) OVER (w ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS low_12,
+       {O.round2("(cents - lag(cents, 3) OVER w) / nullif(CAST(lag(cents, 3) OVER w AS DOUBLE), 0) * 100")} AS growth_3
+FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)
+WINDOW w AS (PARTITION BY l_returnflag ORDER BY {", ".join(fx.HOT_ORDER)})""",
+        "hot_forward_fill": f"""SELECT l_returnflag, l_orderkey, l_linenumber, l_shipdate, cents,
+       last_value(CASE WHEN l_discount = 0 THEN cents END IGNORE NULLS) OVER (PARTITION BY l_returnflag ORDER BY {", ".join(fx.HOT_ORDER)}
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS full_price
+FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)""",
+        "asof_daily_quarterly": f"""WITH {O.econ_obs_cte("priority")},
+    r AS (SELECT entity, observation_date AS reported, max(value + CASE WHEN quarter(observation_date) = {fx.ASOF_TWICE_QUARTER} THEN 1 ELSE 0 END) AS level
+          FROM obs WHERE series_id = 'GDP' AND year(observation_date) <> {fx.ASOF_GAP_YEAR} GROUP BY ALL)
+SELECT d.entity, d.observation_date, d.value, CASE WHEN near THEN reported END AS reported, CASE WHEN near THEN level END AS gdp
+FROM (SELECT d.*, r.reported, r.level, d.observation_date - r.reported <= {fx.ASOF_DAYS} AS near
+      FROM (SELECT * FROM obs WHERE series_id = 'T10Y2Y') d ASOF LEFT JOIN r ON d.entity = r.entity AND d.observation_date >= r.reported) d""",
+        "asof_events": """WITH l AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'error'),
+    r AS (SELECT user_id, ts AS at, max(event_id) AS purchase FROM events WHERE event_type = 'purchase' GROUP BY ALL),
+    b AS (SELECT l.*, r.at AS b_at, r.purchase AS b FROM l ASOF LEFT JOIN r ON l.user_id = r.user_id AND l.ts >= r.at),
+    a AS (SELECT b.*, r.at AS a_at, r.purchase AS a FROM b ASOF LEFT JOIN r ON b.user_id = r.user_id AND b.ts <= r.at)
+SELECT event_id, user_id, ts, b AS last_purchase, CASE WHEN a_at - ts <= INTERVAL 5 DAY THEN a END AS next_purchase,
+       CASE WHEN b_at IS NOT NULL AND ts - b_at <= INTERVAL 2 DAY AND (a_at IS NULL OR ts - b_at <= a_at - ts) THEN b
+            WHEN a_at IS NOT NULL AND a_at - ts <= INTERVAL 2 DAY THEN a END AS nearest_purchase
+FROM a""",
         "dq_unique": f"""{rev}
 SELECT series_id, observation_date, count(*) AS n_rows FROM raw
 WHERE series_id IS NOT NULL AND observation_date IS NOT NULL

@@ -250,3 +250,25 @@ def panel_revision(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         "value", F.when(~gone, F.col("value") * 1.5))
     text = F.col(ENTITY).cast("string")
     return first.withColumn(ENTITY, text), batch.withColumn(ENTITY, text)
+
+
+HOT_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cents", "l_quantity", "l_discount", "l_tax")
+
+
+def hot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines keyed by return flag (each key a third of all rows), in the order HOT_ORDER; amounts in whole cents."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_returnflag", *[c for c in HOT_ORDER if c != "cents"], _cents(F.col("l_extendedprice")).alias("cents"))
+
+
+# Fixed values of the as-of fixture: quarters that are missing, quarters with a second row, tolerance in days.
+ASOF_GAP_YEAR, ASOF_TWICE_QUARTER, ASOF_DAYS = 1999, 2, 120
+
+
+def quarterly_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GDP per entity (priority) as reports: entity, reported, revision, level; a year is missing, second quarters come twice."""
+    gdp = econ_observations(spark, sf_dir, "priority", ["GDP"]).select(
+        ENTITY, F.col("observation_date").alias("reported"), F.col("value").alias("level"))
+    twice = F.explode(F.when(F.quarter("reported") == ASOF_TWICE_QUARTER, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return (gdp.where(F.year("reported") != ASOF_GAP_YEAR).select("*", twice.alias("revision"))
+            .withColumn("level", F.col("level") + F.col("revision")))
