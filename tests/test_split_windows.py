@@ -42,6 +42,13 @@ def test_windows_equal_unsplit_windows(spark, ranges, keys):
         assert content(split.fill(["v"], backward), want.columns) == content(want)
 
 
+@pytest.mark.parametrize("ranges", [1, 5, 60])
+def test_places_in_a_key(spark, ranges):
+    df = frame(spark, 40 + ranges)
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("t", "i")) - 1)
+    assert content(RangeSplit(df, ["k"], ["t", "i"], ranges).numbered("n")) == content(want)
+
+
 def test_empty_frames_and_all_null_keys(spark):
     df = frame(spark, 1).limit(0)
     split = RangeSplit(df, ["k"], ["t", "i"], 5)

@@ -8,6 +8,7 @@ range), and what crosses a boundary is handed over:
 * ``apply``: frames and lags that reach a fixed number of rows back or ahead get
   these rows of the neighbouring ranges as a halo. The halo is found by position in
   the key, so it also crosses ranges that are shorter than the reach;
+* ``numbered``: a row's place in its key is its place in the range after the rows before;
 * ``fill``: the last known value of every range is scanned over the key's ranges
   (a prefix scan over one row a range) and seeds the next one.
 
@@ -99,6 +100,14 @@ class RangeSplit:
         return (rows.select(*self.columns, HALO, *[f(w).alias(n) for n, f in columns.items()])
                 .where(~F.col(HALO)).drop(HALO))
 
+    def numbered(self, name: str) -> DataFrame:
+        """The rows with their place (from 0) among the rows of their key, in order."""
+        spans = self._spans().select(*[F.col(k).alias(f"_k_{k}") for k in self.keys], F.col(RANGE).alias("_r"), "_first")
+        inside = F.row_number().over(self._window()) - 1
+        return (self.rows.withColumn("_in", inside)
+                .join(broadcast_if_small(cut_lineage(spans)), self._here() & (F.col(RANGE) == F.col("_r")), "left")
+                .select(*self.columns, (F.coalesce("_first", F.lit(0)) + F.col("_in")).alias(name)))
+
     def fill(self, columns: Sequence[str], backward: bool = False) -> DataFrame:
         """The rows with NULLs in ``columns`` replaced by the key's last known value (``backward``: the next one)."""
         known = {c: F.when(F.col(c).isNotNull(), F.col(ROW)) for c in columns}
