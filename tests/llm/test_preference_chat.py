@@ -25,7 +25,7 @@ def brute(rows):
         convs.setdefault(c, []).append((r or "user", t or ""))
     groups, out = {}, []
     for c in sorted(convs):
-        groups.setdefault((convs[c][0], c // 32), []).append(c)
+        groups.setdefault(convs[c][0], []).append(c)
     for ids in groups.values():
         for k in range(0, len(ids), 2):
             two = sorted(ids[k:k + 2], key=lambda c: (-len(convs[c]), c))
@@ -39,12 +39,13 @@ def brute(rows):
             while n < min(len(a), len(b)) and a[n] == b[n]:
                 n += 1
             out.append((two[0], two[1] if len(two) == 2 else None, n, render(a[:n]), render(a[n:]), spans(a[n:]), render(b[n:]), spans(b[n:])))
-    return sorted(out)
+    return sorted(out, key=repr)
 
 
 def run(spark, rows):
     out = P.preferences(spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as turns", "2 as chosen", "3 as block"))
-    return sorted((r.chosen_id, r.rejected_id, r.n_common, r.prompt, r.chosen, r.chosen_mask, r.rejected, r.rejected_mask) for r in out.collect())
+    return sorted(((r.chosen_id, r.rejected_id, r.n_common, r.prompt, r.chosen, r.chosen_mask, r.rejected, r.rejected_mask)
+                   for r in out.collect()), key=repr)
 
 
 def test_random_conversations_with_common_openings(spark):
@@ -56,6 +57,23 @@ def test_random_conversations_with_common_openings(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_siblings_are_paired_however_far_their_ids_are_apart(spark):
+    """31 and 32, 5 and 5000: one opening leaves at most one conversation without a sibling."""
+    rows = [(c, t, ("user", "assistant")[t], f"{'hello' if t == 0 else c}") for c in (31, 32) for t in range(2)]
+    assert [r[:2] for r in run(spark, rows)] == [(31, 32)]
+    rng, rows = random.Random(4), []
+    for c in rng.sample(range(10 ** 12), 301):
+        rows += [(c, 0, "user", "hello"), *[(c, t + 1, "assistant", "x") for t in range(rng.randint(0, 3))]]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        got = run(spark, rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == brute(rows) and sum(r[1] is None for r in got) == 1
+
+
 def test_edge_cases(spark):
     rows = [(1, None, None, None), (1, 0, "assistant", None), (2, 0, "assistant", "x"), (2, 0, "assistant", "x"), (None, 0, "user", "lost"),
             (3, 0, "user", "only"), (40, 0, "user", "same"), (41, 0, "user", "same"), (-5, 0, "user", "y" * 50000), (-5, 1, "assistant", "z")]

@@ -9,12 +9,14 @@ and end mark of its assistant turns. Rendering is one block a turn:
 whole conversation; nothing is truncated. Only DataFrame functions are used.
 
 ``pairs`` derives pairs from a table of conversations: conversations with the
-same opening turn are siblings; within blocks of SIBLING_BLOCK consecutive ids
-(so a very common opening is spread over many groups) they are paired in order
-of their ids, the longer of two being the chosen one (ties: the smaller id). A
-conversation left over is the chosen one against itself with a stale last reply:
-its last assistant turn replaced by the assistant turn before it, or dropped if
-there is none, and later turns dropped.
+same opening turn are siblings and are paired in order of their ids, the longer
+of two being the chosen one (ties: the smaller id). At most one conversation of
+an opening is left over: it is the chosen one against itself with a stale last
+reply: its last assistant turn replaced by the assistant turn before it, or dropped
+if there is none, and later turns dropped. A conversation's place among its siblings
+comes from ranges of (opening, id) and the counts of the ranges before, so an
+opening with a third of all conversations is in no single task; only openings
+(their MD5) and ids are moved for it.
 
 Edge cases: null roles are "user", null texts are empty; turns with a null
 conversation are dropped, as they belong to none; turns that repeat a position
@@ -26,12 +28,12 @@ columns do not reach the result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.split_windows import RangeSplit
 from .common import saved
 
-SIBLING_BLOCK = 32
 START, END = "<|im_start|>", "<|im_end|>"
 
 
@@ -47,12 +49,10 @@ def conversations(turns: DataFrame) -> DataFrame:
 
 def pairs(convs: DataFrame) -> DataFrame:
     """chosen_id, rejected_id (null: the stale copy), chosen and rejected (arrays of turns)."""
-    opening = F.xxhash64(F.get("turns", F.lit(0)))
-    group = Window.partitionBy("opening", "block").orderBy("conv_id")
-    placed = convs.select("conv_id", F.size("turns").alias("n"), opening.alias("opening"), F.get("turns", F.lit(0)).alias("first"),
-                          F.floor(F.col("conv_id") / SIBLING_BLOCK).alias("block")).withColumn(
-        "nth", F.row_number().over(group) - 1)
-    couple = placed.groupBy("opening", "block", "first", F.floor(F.col("nth") / 2).alias("c")).agg(
+    first = F.get("turns", F.lit(0))
+    opening = F.md5(F.concat(F.length(first["role"]).cast("string"), F.lit(":"), first["role"], first["text"]).cast("binary"))
+    placed = RangeSplit(convs.select("conv_id", F.size("turns").alias("n"), opening.alias("opening")), ["opening"], ["conv_id"]).numbered("nth")
+    couple = placed.groupBy("opening", F.floor(F.col("nth") / 2).alias("c")).agg(
         F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("shorter"), "conv_id"))).alias("two"))
     ids = couple.select(F.col("two")[0]["conv_id"].alias("chosen_id"),
                         F.get("two", F.lit(1))["conv_id"].alias("rejected_id"))

@@ -194,8 +194,8 @@ WITH c AS (
   SELECT conv_id, list({'role': coalesce(role, 'user'), 'text': coalesce(text, '')} ORDER BY turn, role, text) AS turns
   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
 placed AS (
-  SELECT *, (row_number() OVER (PARTITION BY turns[1], floor(conv_id / 32) ORDER BY conv_id) - 1) // 2 AS couple FROM c),
-two AS (SELECT list(conv_id ORDER BY len(turns) DESC, conv_id) AS ids FROM placed GROUP BY turns[1], floor(conv_id / 32), couple),
+  SELECT *, (row_number() OVER (PARTITION BY turns[1] ORDER BY conv_id) - 1) // 2 AS couple FROM c),
+two AS (SELECT list(conv_id ORDER BY len(turns) DESC, conv_id) AS ids FROM placed GROUP BY turns[1], couple),
 replies AS (
   SELECT conv_id, turns, list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant') AS a FROM c),
 stale AS (
