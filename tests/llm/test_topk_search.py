@@ -1,5 +1,6 @@
 import math
 import random
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
@@ -8,18 +9,20 @@ from tidemark.llm import topk_search as K
 SCHEMA = "vec_id long, embedding array<double>, label int"
 
 
+def whole(v):
+    return [math.floor(Fraction(x) * 1024) for x in v]
+
+
 def brute(rows, k=10):
-    ok = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows
-          if i is not None and v and all(x is not None and math.isfinite(x) and abs(math.floor(1024 * x)) <= K.LARGEST for x in v)]
+    ok = [(i, whole(v)) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     queries = {}
-    for i, v in sorted(((i, v) for i, v in rows if (i, [math.floor(1024 * x) for x in v] if v and all(
-            x is not None and math.isfinite(x) for x in v) else None) in ok), key=lambda r: r[1]):
+    for i, v in sorted(ok, key=lambda r: r[1]):
         if i % 100 == 0:
-            queries.setdefault(i, [math.floor(1024 * x) for x in v])
+            queries.setdefault(i, v)
     out = []
     for q, v in queries.items():
         scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in ok if i != q and len(w) == len(v))[:k]
-        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+        out += [(q, n + 1, i, -s if -(1 << 63) <= -s < 1 << 63 else None) for n, (s, i) in enumerate(scored)]
     return sorted(out)
 
 
@@ -40,6 +43,19 @@ def test_edge_cases(spark):
             (500, []), (600, [1e300, 1.0]), (1, [0.5, -3.0]), (1, [0.5, -3.0]), (2, [1.0, 1.0, 1.0]), (700, [2.0, 2.0, 2.0]),
             (800, [-0.0001, 0.0001]), (3, [2e5, -2e5])]
     assert run(spark, rows) == brute(rows)
+    assert run(spark, [(0, [1.0]), (1, [3e5])]) == [(0, 1, 1, 314_572_800_000)]
     assert run(spark, []) == []
     assert run(spark, [(0, [1.0])]) == []
     assert run(spark, [(1, [1.0]), (2, [1.0])]) == []
+
+
+def test_large_integers_as_queries_and_candidates(spark):
+    rng = random.Random(9)
+    size = lambda: 10.0 ** rng.choice([-2, 0, 3, 5, 6, 9, 30, 300])
+    vectors = [(i, [rng.choice([-1, 1]) * rng.random() * size() for _ in range(3)]) for i in range(60)]
+    vectors += [(100 * i, [rng.choice([-1, 1]) * rng.random() * size() for _ in range(3)]) for i in range(1, 9)]
+    vectors += [(100 * i, [rng.random() for _ in range(3)]) for i in range(9, 14)] + [(7, vectors[3][1]), (200, [1.0, 2.0, 3.0]), (900, [4e6, 0., 0.])]
+    assert run(spark, vectors) == brute(vectors)
+    small = [(i, [rng.uniform(-1, 1)] * 2) for i in range(300)]
+    assert run(spark, small + [(1, [5e5, -3.0])]) == brute(small + [(1, [5e5, -3.0])])
+    assert run(spark, [(100, [1e8, 1.0])] + small) == brute([(100, [1e8, 1.0])] + small)

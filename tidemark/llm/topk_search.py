@@ -22,9 +22,14 @@ meets a chunk by an equality join on a slot number, so chunks stay spread out
 and nothing is broadcast or collected. No cap: whatever the cutoffs leave is
 resolved.
 
-Edge cases: vectors that are null or empty, hold a null or non-finite component
-or one over LARGEST in magnitude (scores would not fit 64 bits), and rows with
-a null id take no part; only vectors of the query's length are candidates; ties
+Vectors with an integer over LARGEST in magnitude have a branch of their own: as
+queries against all rows, and as candidates of all queries, they are scored
+block by block in Python's integers; the K best of both branches are ranked
+together by a text that sorts as the whole numbers do. A score that does not fit
+64 bits keeps its rank and is null.
+
+Edge cases: vectors that are null or empty or hold a null or non-finite component,
+and rows with a null id take no part; only vectors of the query's length are candidates; ties
 go to the smaller id; rows with the query's id are its own and no candidates;
 an id that repeats is one query (its least vector) but as many candidates as
 rows; fewer than K candidates give fewer rows; an empty table gives no rows.
@@ -32,6 +37,7 @@ rows; fewer than K candidates give fewer rows; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,13 +50,21 @@ from .common import prepare, saved
 
 #: Few lists make a strong cutoff: T is an equal share of the score, and shares grow as lists get fewer.
 K, LISTS, CHUNK, QUERIES, SCALE = 10, 2, 2048, 512, 1024
+#: Integers up to here: scores of 64-bit sums (of fewer than 2**6 such components; longer vectors: ``_product`` checks).
 LARGEST = 1 << 28
+#: Vectors a block of the exact branch holds.
+WIDE_ROWS = 256
 NONE = np.iinfo(np.int64).min // 4
 
 
 def usable(vec_id: str, vector: str) -> Column:
-    ok = F.forall(vector, lambda x: x.isNotNull() & (F.abs(F.floor(x * SCALE).cast("double")) <= LARGEST) & ~F.isnan(x))
-    return F.col(vec_id).isNotNull() & F.col(vector).isNotNull() & (F.size(vector) > 0) & F.coalesce(ok, F.lit(False))
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.col(vec_id).isNotNull() & F.col(vector).isNotNull() & (F.size(vector) > 0) & F.coalesce(finite, F.lit(False))
+
+
+def _wide(vector: str) -> Column:
+    """The vector has an integer over LARGEST."""
+    return F.exists(vector, lambda x: F.abs(x) * SCALE > F.lit(float(LARGEST)))
 
 
 def _pack(rows: int, id_name: str):
@@ -196,9 +210,17 @@ def search(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector:
     prepare(spark)
     rows = (vectors.select(F.col(vec_id).cast("long").alias("id"), is_query.alias("asks"),
                            F.col(vector).cast("array<double>").alias("v")).where(usable("id", "v")))
+    large = saved(rows.where(_wide("v")), "topk-large")
+    if large.limit(1).count():
+        return _with_large(rows, large)
+    return _narrow(rows, rows.where("asks").groupBy("id").agg(F.min("v").alias("v")))
+
+
+def _narrow(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """The K best of every query among vectors without a large integer."""
+    spark = rows.sparkSession
     chunks = saved(rows.select("id", "v").mapInArrow(
         _pack(CHUNK, "ck"), "ck long, dim int, ck_ids binary, ck_rows binary"), "topk-chunks")
-    asked = rows.where("asks").groupBy("id").agg(F.min("v").alias("v"))
     blocks = saved(asked.mapInArrow(_pack(QUERIES, "qb"), "qb long, dim int, qb_ids binary, qb_rows binary"), "topk-queries")
     slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
     held = chunks.withColumn("slot", F.pmod(F.xxhash64("ck"), F.lit(slots)).cast("int"))
@@ -230,6 +252,73 @@ def search(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector:
     return found.withColumn("rank", rank).where(F.col("rank") <= K).select("query_id", "rank", "vec_id", "score")
 
 
+def _text_key(score: int) -> str:
+    """A text that sorts as whole numbers of up to 9,999 digits do."""
+    digits = str(abs(score))
+    text = f"{len(digits):04d}{digits}"
+    return "1" + text if score >= 0 else "0" + text.translate(str.maketrans("0123456789", "9876543210"))
+
+
+def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The K best of a block of candidates for every query of a block, in Python's integers."""
+    def whole(raw: bytes, dim: int) -> np.ndarray:
+        v = np.frombuffer(raw, "<f8").reshape(-1, dim)
+        return np.array([[int(x) * SCALE if abs(x) >= 2.0 ** 53 else math.floor(x * SCALE) for x in r] for r in v.tolist()], dtype=object)
+
+    for r in _rows(batches):
+        qid, vid = np.frombuffer(r["qb_ids"], "<i8"), np.frombuffer(r["ck_ids"], "<i8")
+        scores = whole(r["qb_rows"], r["dim"]) @ whole(r["ck_rows"], r["dim"]).T
+        out = []
+        for i, q in enumerate(qid.tolist()):
+            best = sorted((-s, v) for s, v in zip(scores[i].tolist(), vid.tolist()) if v != q)[:K]
+            out += [(q, v, -s if -(1 << 63) <= -s < 1 << 63 else None, _text_key(-s)) for s, v in best]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int64(), pa.int64(), pa.int64(), pa.string()])],
+                                             names=["query_id", "vec_id", "score", "key"])
+
+
+def _raw_blocks(vectors: DataFrame, name: str, rows: int) -> DataFrame:
+    """(id, v) as blocks of vectors of one length: no, dim, ids, rows (doubles)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, n = TaskContext.get().partitionId() << 32, 0
+        for b in batches:
+            by: dict[int, list[int]] = {}
+            vs, ids = b.column("v").to_pylist(), b.column("id").to_pylist()
+            for i, v in enumerate(vs):
+                by.setdefault(len(v), []).append(i)
+            for dim, at in by.items():
+                for lo in range(0, len(at), rows):
+                    i = at[lo:lo + rows]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([base + n]), pa.array([dim], pa.int32()), pa.array([np.array([ids[x] for x in i], "<i8").tobytes()], pa.binary()),
+                         pa.array([np.array([vs[x] for x in i], "<f8").tobytes()], pa.binary())], names=[name, "dim", f"{name}_ids", f"{name}_rows"])
+                    n += 1
+    return vectors.select("id", "v").mapInArrow(run, f"{name} long, dim int, {name}_ids binary, {name}_rows binary")
+
+
+def _with_large(rows: DataFrame, large: DataFrame) -> DataFrame:
+    """The K best of every query, where some vectors have large integers."""
+    asked = saved(rows.where("asks").groupBy("id").agg(F.min("v").alias("v")), "topk-asked")
+    small = rows.where(~_wide("v"))
+    slots = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def scored(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+        """Blocks meet slot by slot; candidates stay spread out."""
+        held = _raw_blocks(candidates, "ck", WIDE_ROWS).withColumn("slot", F.pmod(F.xxhash64("ck"), F.lit(slots)).cast("int"))
+        asks = _raw_blocks(queries, "qb", WIDE_ROWS).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+        return held.join(asks, ["dim", "slot"]).select("dim", "qb_ids", "qb_rows", "ck_ids", "ck_rows").mapInArrow(
+            _exact, "query_id long, vec_id long, score long, key string")
+
+    text = F.abs(F.col("score").cast("decimal(20,0)")).cast("string")
+    text = F.concat(F.lpad(F.length(text).cast("string"), 4, "0"), text)
+    key = F.when(F.col("score") >= 0, F.concat(F.lit("1"), text)).otherwise(
+        F.concat(F.lit("0"), F.translate(text, "0123456789", "9876543210")))
+    found = (_narrow(small, asked.where(~_wide("v"))).select("query_id", "vec_id", "score", key.alias("key"))
+             .unionByName(scored(asked, large)).unionByName(scored(asked.where(_wide("v")), small)))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("key"), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= K).select("query_id", "rank", "vec_id", "score")
+
+
 def _ids(column: str) -> Column:
     """The 64-bit ids packed in a binary column."""
     n = (F.length(column) / 8).cast("int")
