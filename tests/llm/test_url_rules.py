@@ -24,6 +24,28 @@ def test_listed_rules_and_parts(spark):
                    ("u@example.org:80", "/es/", None, "allow")]
 
 
+def brute(frame, labels):
+    """(verdict, mined?) of every page by counting all token sets of up to RULE_TOKENS tokens."""
+    tokens = {r.page_id: r.tokens for r in U.with_parts(frame).collect()}
+    bad = {r.doc_id: r.quality == 0 for r in labels.collect() if r.doc_id in tokens}
+    n, b = {}, {}
+    for i, is_bad in bad.items():
+        for k in range(1, U.RULE_TOKENS + 1):
+            for s in itertools.combinations(sorted(tokens[i]), k):
+                n[s] = n.get(s, 0) + 1
+                b[s] = b.get(s, 0) + is_bad
+    rules = {s: (b[s] / n[s], b[s]) for s in n if b[s] >= max(U.MIN_COUNT, U.MIN_SUPPORT * len(bad)) and b[s] >= U.MIN_CONFIDENCE * n[s]}
+    out = {}
+    for i, t in tokens.items():
+        hits = [(*rules[s], " ".join(s)) for s in rules if set(s) <= set(t)]
+        out[i] = ("block", max(hits)[2]) if hits else ("allow", None)
+    return out, rules
+
+
+def judged(frame, labels):
+    return {r.page_id: (r.verdict, r.mined) for r in U.judge(frame, labels).collect()}
+
+
 def test_mined_rules_match_counting_all_token_sets(spark):
     rng = random.Random(5)
     urls = [f"https://{rng.choice(['a', 'b', 'spam'])}.{rng.choice(['one', 'two'])}.net/{rng.choice(['x', 'win', 'z'])}/{i}"
@@ -31,21 +53,37 @@ def test_mined_rules_match_counting_all_token_sets(spark):
     labels = spark.createDataFrame([(i, 0 if ("spam" in u and "/win/" in u and rng.random() < 0.95) or rng.random() < 0.05 else 1, 0)
                                     for i, u in enumerate(urls) if i % 3], LABELS)
     frame = pages(spark, list(enumerate(urls)))
-    out = U.judge(frame, labels).collect()
-    tokens = {r.page_id: r.tokens for r in U.with_parts(frame).collect()}
-    bad = {r.doc_id: r.quality == 0 for r in labels.collect()}
-    n, b = {}, {}
-    for i, is_bad in bad.items():
-        for k in range(1, len(tokens[i]) + 1):
-            for s in itertools.combinations(sorted(tokens[i]), k):
-                n[s] = n.get(s, 0) + 1
-                b[s] = b.get(s, 0) + is_bad
-    rules = {s for s in n if b[s] >= max(U.MIN_COUNT, U.MIN_SUPPORT * len(bad)) and b[s] >= U.MIN_CONFIDENCE * n[s]}
-    assert rules
-    for r in out:
-        hit = any(set(s) <= set(tokens[r.page_id]) for s in rules)
-        assert r.verdict == ("block" if hit else "allow") and (r.mined is not None) == hit
-    assert any(r.verdict == "block" for r in out)
+    want, rules = brute(frame, labels)
+    assert rules and judged(frame, labels) == want and any(v == "block" for v, _ in want.values())
+
+
+def test_patterns_anywhere_in_the_url_are_mined(spark):
+    """Later path segments, later keys, values and middle labels are tokens as well as first ones."""
+    rng = random.Random(6)
+    for pattern in ("https://h{i}.net/en/casino/{i}", "https://h{i}.net/a/b/c/win/{i}", "https://h{i}.net/p?page={i}&ref=spam&x=1",
+                    "https://w{i}.ads.h.net/{i}", "https://h{i}.net/{i}/x.exe"):
+        other = "https://g{i}.net/en/news/{i}?page={i}&ref=ok"
+        urls = [(i, (pattern if i % 4 == 0 else other).format(i=i)) for i in range(600)]
+        labels = spark.createDataFrame([(i, 0 if i % 4 == 0 else int(rng.random() > 0.05), 0) for i, _ in urls], LABELS)
+        frame = pages(spark, urls)
+        got = judged(frame, labels)
+        assert all((got[i][0] == "block") == (i % 4 == 0) for i, _ in urls), pattern
+        assert got == brute(frame, labels)[0]
+
+
+def test_large_baskets_are_cut_and_give_the_same_rules(spark, monkeypatch):
+    """URLs with 30 frequent segments: FP-growth sees small sub-baskets, rules are those of all sets."""
+    rng = random.Random(7)
+    names = [f"s{k}" for k in range(40)]
+    urls = [(i, f"https://h.net/{'/'.join(rng.sample(names, 30))}/") for i in range(60)]
+    labels = spark.createDataFrame([(i, 0 if ("/s1/" in u and "/s2/" in u) or rng.random() < 0.1 else 1, 0) for i, u in urls], LABELS)
+    frame = pages(spark, urls)
+    assert judged(frame, labels) == brute(frame, labels)[0]
+    monkeypatch.setattr(U, "BASKET_TOKENS", 4)
+    some = pages(spark, [(i, f"https://h.net/{'/'.join(rng.sample(names[:8], 4))}/{i}") for i in range(200)])
+    labels = spark.createDataFrame([(i, int(rng.random() < 0.3), 0) for i in range(200)], LABELS)
+    want, rules = brute(some, labels)
+    assert rules and judged(some, labels) == want
 
 
 def test_edge_cases(spark):

@@ -144,38 +144,44 @@ WITH p AS (
 h AS (
   SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1) AS after FROM p),
-f AS (
-  SELECT *, regexp_extract(after, '^[^?#]*') AS path, string_split(host, '.') AS l FROM h),
-g AS (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS seg FROM f),
+g AS (
+  SELECT *, regexp_extract(after, '^[^?#]*') AS path, string_split(host, '.') AS l,
+         list_filter(string_split(regexp_extract(after, '^[^?#]*'), '/'), lambda x: x <> '') AS seg,
+         list_filter(string_split(regexp_extract(after, '^[^?#]*[?]([^#]*)', 1), '&'), lambda x: x <> '') AS q FROM h),
 t AS (
-  SELECT page_id, host, path, CASE WHEN host = '' THEN [] ELSE list_filter([
-    'scheme=' || lower(substr(url, 1, instr(url, '://') - 1)), 'top=' || l[-1],
-    CASE WHEN len(l) > 1 THEN 'site=' || array_to_string(l[-2:], '.') END,
-    CASE WHEN len(l) > 2 THEN 'name=' || array_to_string(l[-3:], '.') END, 'first=' || l[1],
-    'dir=' || lower(seg[1]), CASE WHEN len(seg) > 0 THEN 'ext=' || regexp_extract(seg[-1], '[.]([A-Za-z0-9]{1,5})$', 1) END,
-    'deep=' || least(len(seg), 9), 'key=' || regexp_extract(after, '^[^?#]*[?]([^=&#]*)', 1),
-    CASE WHEN instr(after, '#') > 0 THEN 'fragment=yes' END], lambda x: x IS NOT NULL AND x NOT LIKE '%=') END AS tokens
+  SELECT row_number() OVER () AS r, page_id, host, path, CASE WHEN host = '' THEN [] ELSE list_distinct(list_filter(list_concat(
+    ['scheme=' || lower(substr(url, 1, instr(url, '://') - 1))],
+    list_transform(range(1, len(l) + 1), lambda i: 'host=' || array_to_string(l[i:], '.')),
+    list_transform(seg, lambda x: 'seg=' || lower(x)),
+    [CASE WHEN len(seg) > 0 THEN 'ext=' || regexp_extract(seg[-1], '[.]([A-Za-z0-9]{1,5})$', 1) END, 'deep=' || len(seg)],
+    list_transform(q, lambda x: 'key=' || regexp_extract(x, '^[^=]*')),
+    list_transform(q, lambda x: CASE WHEN contains(x, '=') THEN 'param=' || x END),
+    [CASE WHEN instr(after, '#') > 0 THEN 'fragment=yes' END]),
+    lambda x: x IS NOT NULL AND x NOT IN ('scheme=', 'host=', 'ext=', 'key='))) END AS tokens
   FROM g),
 b AS (
-  SELECT tokens, bad FROM t JOIN (SELECT doc_id AS page_id, max(quality = 0 OR toxic = 1) AS bad FROM labels GROUP BY 1) USING (page_id)),
+  SELECT r, tokens, bad FROM t JOIN (SELECT doc_id AS page_id, max(quality = 0 OR toxic = 1) AS bad FROM labels GROUP BY 1) USING (page_id)),
 n AS (SELECT count(*) AS n, greatest(20, ceil(0.002 * count(*))) AS least FROM b),
-sets AS (
-  SELECT list_sort([tokens[i] FOR i IN range(1, len(tokens) + 1) IF (m >> (i - 1)) & 1 = 1]) AS s, bad
-  FROM (SELECT tokens, bad, unnest(range(1, 1 << len(tokens))) AS m FROM b)),
+often AS (
+  SELECT coalesce(list(token), []) AS often FROM (SELECT token FROM (SELECT unnest(tokens) AS token FROM b WHERE bad) GROUP BY token
+  HAVING count(*) >= (SELECT least FROM n))),
+few AS (SELECT r, page_id, list_sort(list_filter(tokens, lambda x: list_contains(often, x))) AS k FROM t, often),
+one AS (SELECT *, unnest(range(1, len(k) + 1)) AS i1 FROM few),
+two AS (SELECT *, unnest(range(i1, len(k) + 1)) AS i2 FROM one),
+three AS (SELECT *, unnest(range(i2, len(k) + 1)) AS i3 FROM two),
+sets AS (SELECT DISTINCT r, page_id, list_sort(list_distinct([k[i1], k[i2], k[i3]])) AS s FROM three),
 mined AS (
-  SELECT s, count(*) FILTER (bad) / count(*) AS confidence, count(*) FILTER (bad) / (SELECT n FROM n) AS support FROM sets GROUP BY s
+  SELECT s, count(*) FILTER (bad) / count(*) AS confidence, count(*) FILTER (bad) / (SELECT n FROM n) AS support
+  FROM sets JOIN b USING (r) GROUP BY s
   HAVING count(*) FILTER (bad) >= (SELECT least FROM n) AND count(*) FILTER (bad) >= 0.7 * count(*)),
-match AS (
-  SELECT page_id, max((confidence, support, array_to_string(s, ' '))) AS m
-  FROM (SELECT page_id, list_sort([tokens[i] FOR i IN range(1, len(tokens) + 1) IF (m >> (i - 1)) & 1 = 1]) AS s
-        FROM (SELECT page_id, tokens, unnest(range(1, 1 << len(tokens))) AS m FROM t)) JOIN mined USING (s) GROUP BY 1),
+match AS (SELECT r, max((confidence, support, array_to_string(s, ' '))) AS m FROM sets JOIN mined USING (s) GROUP BY r),
 rules AS (SELECT * FROM (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
   ('com', '/fr/', 'allow'), ('com', '/de/', 'block')) AS r(rh, rp, verdict)),
 listed AS (
-  SELECT page_id, max((length(rh || rp), rh || rp, verdict)) AS r FROM t JOIN rules
+  SELECT r, max((length(rh || rp), rh || rp, verdict)) AS best FROM t JOIN rules
     ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY 1)
-SELECT page_id, host, path, r[2] AS rule, coalesce(r[3], CASE WHEN m IS NULL THEN 'allow' ELSE 'block' END) AS verdict, m[3] AS mined
-FROM t LEFT JOIN listed USING (page_id) LEFT JOIN match USING (page_id)
+SELECT page_id, host, path, best[2] AS rule, coalesce(best[3], CASE WHEN m IS NULL THEN 'allow' ELSE 'block' END) AS verdict, m[3] AS mined
+FROM t LEFT JOIN listed USING (r) LEFT JOIN match USING (r)
 """
 
 TOPK_SQL = """
