@@ -64,6 +64,83 @@ def test_parts_outside_the_largest_element_and_named_parts_stay():
     assert H.main_text(page) == text
 
 
+TEXT = "One sentence of it, with marks, and more words that go on. And a second one, which is as long."
+
+
+def test_articles_inside_forms_and_named_wrappers_stay():
+    body = f"<p>{TEXT}</p>" * 3
+    want = "\n".join([TEXT] * 3)
+    controls = "<select><option>One, two.<option>Three</select><label>Mail</label><input type=text><button>Send it, now</button>"
+    assert H.main_text(f"<body><form action=x><div>{body}</div>{controls}</form></body>") == want
+    assert H.main_text(f"<body><div>{body}</div><form>Write to us, please, and soon.{controls}</form></body>") == want
+    assert H.main_text(f'<body><div id=page class="has-sidebar">{body}</div></body>') == want
+    assert H.main_text(f'<body><div id=page class="has-sidebar">{body}<div class=sidebar><p>Side text, with marks.</p></div></div></body>') == want
+
+
+def test_names_inside_an_article_are_no_veto():
+    page = (f"<article><header><h1>T</h1><p>{TEXT}</p></header><p>{TEXT}</p><p class='related'>{TEXT}</p><div class=reply>{TEXT} {TEXT}</div>"
+            f"<p role=status>{TEXT}</p><div class=ad>Buy</div><h2>References</h2><ul><li><a href=a>Smith, J., A title of some length, 2010.</a>"
+            f"<li><a href=b>Home</a></ul></article>")
+    assert H.main_text(page).split("\n") == ["T", TEXT, TEXT, TEXT, f"{TEXT} {TEXT}", TEXT, "References", "Smith, J., A title of some length, 2010."]
+
+
+def test_parts_of_a_sentence_do_not_split_it():
+    page = (f"<article><p>Press <button>Save</button> and then, as x<math><mi>y</mi><mo>=</mo><mn>2</mn></math> holds, "
+            f"<select><option>a<option>b</select>go <svg><text>icon</text></svg>on.</p><p>{TEXT}</p></article>")
+    assert H.main_text(page) == f"Press Save and then, as xy=2 holds, go on.\n{TEXT}"
+
+
+def test_articles_compete_by_score():
+    main = f"<article><h1>T</h1>{f'<p>{TEXT}</p>' * 4}</article>"
+    teaser = "<article class=teaser><h3>Next</h3><p>A short one, to click.</p></article>"
+    assert H.main_text(f"<body>{main}{teaser}</body>").split("\n") == ["T", *[TEXT] * 4]
+    plain = f"<div><h1>T</h1>{f'<p>{TEXT}</p>' * 4}</div>"
+    assert H.main_text(f"<body>{plain}{teaser}{teaser}</body>").split("\n")[:5] == ["T", *[TEXT] * 4]  # prose outside wins the scope
+    thread = f"<section id=comments>{'<article class=comment><p>I like it, a lot, and more.</p></article>' * 9}</section>"
+    assert H.main_text(f"<body>{main}{thread}</body>").split("\n") == ["T", *[TEXT] * 4]
+    assert H.main_text(f"<body>{plain}{thread}</body>").split("\n") == ["T", *[TEXT] * 4]
+
+
+def plain_scores(blocks, path):
+    """The path ratios by their definition, path by path, with plain lists."""
+    def mean(p, value):
+        own = [value(b) for b, q in zip(blocks, path) if q == p]
+        return sum(own) / len(own)
+
+    out = {}
+    for p in set(path):
+        fused = []
+        for value in (lambda b: max(0, len(b.text) - b.links), lambda b: sum(c in ".,;:!?…。、，！？；：¿¡" for c in b.text)):
+            at = [mean(q, value) for q in path]
+            smooth = [0.25 * at[max(i - 1, 0)] + 0.5 * at[i] + 0.25 * at[min(i + 1, len(at) - 1)] for i in range(len(at))]
+            own = [s for s, q in zip(smooth, path) if q == p]
+            fused.append(sum(own) / len(own))
+        has_text = any(len(b.text) > b.links for b, q in zip(blocks, path) if q == p)
+        out[p] = (fused[0] * (fused[1] + 1)) ** 0.5 if has_text else 0.0
+    return out
+
+
+def test_path_scores_match_their_definition():
+    import random
+
+    rng = random.Random(3)
+    for n in (1, 2, 9, 40):
+        blocks = [H.Block("".join(rng.choice("ab ,.;?") for _ in range(rng.randint(1, 60))), rng.choice([0, 0, 5, 60]), 0) for _ in range(n)]
+        path = [rng.randint(0, 6) for _ in range(n)]
+        got, want = H.path_scores(blocks, path), plain_scores(blocks, path)
+        assert got.keys() == want.keys() and all(got[p] == pytest.approx(want[p]) for p in want)
+
+
+def test_disabling_the_scores_changes_the_result(monkeypatch):
+    """On pages without names or semantic tags only the path ratios tell text from the rest."""
+    page = (f"<body><div><div>{'<div>Go on</div>' * 6}</div></div><div><div><h1>T</h1>{f'<p>{TEXT}</p>' * 4}</div></div>"
+            f"<div><table><tr>{'<td>12 px</td>' * 8}</tr></table></div></body>")
+    want = "\n".join(["T", *[TEXT] * 4])
+    assert H.main_text(page) == want
+    monkeypatch.setattr(H, "path_scores", lambda blocks, path: {p: 1.0 for p in path})
+    assert H.main_text(page) != want
+
+
 def test_whole_table_gives_the_article(spark):
     sf = "/root/testdata/sf0.01"
     pages = spark.read.parquet(f"{sf}/pages.parquet")

@@ -7,21 +7,25 @@ the page these ratios are smoothed with a small Gaussian, averaged again per
 path and fused (geometric mean). Paths over SPREAD standard deviations of the
 fused ratios, and always the best one, hold the content nodes.
 
-Blocks of content paths are the text. Where a page has article or main elements,
-only their blocks are scored. Blocks of other paths (titles, lists, quotes)
-stay only as neighbours: headings inside an article or main, or over text that
-stays, in the smallest element that holds all content nodes; lists, quotes, code
-and tables inside an article or main; these and paragraphs between the first and
-last content block. Blocks that are mostly links stay between content blocks or,
-on a content path, inside an article or main; without these, neighbours that are
-mostly links go. Anything else is dropped, also inside an article.
-
-Elements that are never article text are left out wherever they stand: by tag or
-role, and by class or id words for menus, headers, footers, sidebars, notices,
-adverts, forms and reader comments. A class or id word does not count on an
-element that holds most of the page's text and an article, main or h1 element,
-on headings, inline elements and pre; an id word does not count on a section
-inside an article or main if content paths hold half of its text; a header inside an article keeps its headings.
+Scripts, controls, hidden parts, menus, asides and footers (by tag or role) hold no
+article text. Everything else competes by score, names only weigh:
+
+* a form around most of the text is looked through, any other is left out;
+* article and main elements are the scope if they hold at least half of the prose of
+  the page; of several articles those with a third of the prose of the best stay;
+* a class or id word for menus, sidebars, notices, adverts, comments and the like lowers
+  the score of the element's blocks (OUTER, inside article or main INNER), unless the
+  element is a wrapper: it holds half of the prose, and the title or all prose but
+  little. A name alone drops nothing that scores like content inside the scope.
+
+Blocks that reach the threshold are the text. Others stay only as neighbours, and only
+unnamed: headings inside an article or main, or over text that stays, in the smallest
+element that holds all content nodes; lists, quotes, code and tables inside an
+article or main; these and paragraphs between the first and last content block. A header
+inside an article keeps its headings and sentences. Blocks that are mostly links stay
+between content blocks or, on a content path, inside an article or main; closing
+references there stay if they read like entries (marks and five words); elsewhere
+neighbours that are mostly links go.
 
 Text is unescaped after the markup is split off, white space in a block becomes
 one space, blocks are joined by a line feed in page order; nothing is capped.
@@ -45,17 +49,29 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 
-SPREAD, LINKS, MOST = 0.5, 0.5, 0.7
+SPREAD, LINKS = 0.5, 0.5
+#: What a name leaves of a block's score outside and inside an article or main.
+OUTER, INNER = 0.05, 0.35
+#: A wrapper holds this share of the prose; without the title, at most REST of it lies outside. An article competes from RIVAL of the best on.
+MOST, REST, RIVAL = 0.5, 0.1, 1 / 3
 KERNEL = (0.25, 0.5, 0.25)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var nobr center-inline".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
+                   "small span strike strong sub sup time tt u var nobr center-inline math mi mn mo ms mtext mrow mfrac msup msub "
+                   "msqrt msubsup".split())
+#: Parts of a paragraph that do not end it; the text of those that are not SAYING is no part of a sentence.
+PARTS = frozenset("button label select textarea svg iframe object canvas audio video template noscript".split())
+SAYING = frozenset(("button", "label"))
+#: Start tags that end a paragraph whatever is open in it.
+BLOCKS = frozenset("p div h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th section article main header footer nav aside blockquote "
+                   "pre figure figcaption form hr body html".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-NEVER = frozenset("head title nav footer aside form fieldset button select option textarea noscript template iframe svg math "
+NEVER = frozenset("head title nav footer aside button label legend select option optgroup datalist textarea noscript template iframe svg "
                   "object canvas audio video menu dialog script style".split())
-ROLES = frozenset("navigation banner complementary contentinfo search form alert alertdialog dialog menu menubar toolbar "
-                  "tablist status".split())
+ROLES = frozenset("navigation banner complementary contentinfo search alertdialog dialog menu menubar toolbar "
+                  "tablist".split())
+NOTES = frozenset(("alert", "status", "note"))
 WORDS = frozenset("ad ads adv advert adverts advertisement advertisements advertising adsense adslot sponsor sponsored sponsors "
                   "promo promos promotion promoted banner banners sidebar sidebars rail menu menus nav navbar navigation "
                   "breadcrumb breadcrumbs crumbs footer foot masthead topbar comment comments commentlist disqus reply replies "
@@ -64,6 +80,8 @@ WORDS = frozenset("ad ads adv advert adverts advertisement advertisements advert
                   "widget widgets pagination pager toolbar skip alert alerts copyright search searchbox form poll "
                   "topnav sidenav subnav adbox adbanner usercomments feedback disclaimer announcement announcements "
                   "notification notifications".split())
+#: Names of reader comments: these weigh as much inside an article as outside.
+SAID = frozenset("comment comments commentlist disqus respond usercomments".split())
 #: Elements whose text belongs to the content it stands in, however short.
 TEXTS = frozenset("li dt dd blockquote pre table figcaption".split())
 MAIN = frozenset(("article", "main"))
@@ -85,6 +103,10 @@ SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：¿¡]")
 
 
+#: Element number of a part of a paragraph.
+PART = -1
+
+
 class Block:
     """Text between two block-level boundaries: its characters in links and its innermost element."""
     __slots__ = ("text", "links", "element")
@@ -126,24 +148,28 @@ class Tree:
 
 
 def left_out(tag: str, attributes: str) -> str:
-    """'' or why an element is no article text: 'tag', 'word' (class or id), 'anchor' (a section's id) or 'head' (a header)."""
+    """'' or how an element counts: 'tag' (never article text), 'form', 'head' (a header), 'word' or 'said' (named like boilerplate or comments)."""
     if tag in NEVER:
         return "tag"
+    if tag in ("form", "fieldset"):
+        return "form"
     if tag == "header":
         return "head"
-    if not attributes or tag in ("html", "body", "main", "article"):
+    if not attributes or tag in ("html", "body", "main"):
         return ""
     found = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
-    if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in ROLES or re.search(
+    role = found.get("role", "").lower()
+    if "hidden" in found or found.get("aria-hidden") == "true" or role in ROLES or re.search(
             r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
         return "tag"
+    if role == "form":
+        return "form"
     if tag in INLINE or tag in HEADINGS or tag == "pre":  # ids made of titles; parts of a sentence
         return ""
-    named, called = ({w.lower() for w in SPLIT.findall(found.get(k, ""))} for k in ("class", "id"))
-    if tag == "section" and called & WORDS and not named & WORDS:
-        return "anchor"
-    words = named | called
-    return "word" if words & WORDS else "head" if words & HEADS else ""
+    words = {w.lower() for k in ("class", "id") for w in SPLIT.findall(found.get(k, ""))}
+    if words & SAID:
+        return "said"
+    return "word" if words & WORDS or role in NOTES else "head" if words & HEADS else ""
 
 
 def read_blocks(page: str) -> tuple[list[Block], Tree]:
@@ -154,17 +180,18 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
     open_tags: dict[str, int] = defaultdict(int)
     parts: list[str] = []
     links = 0
+    unsaid: set[str] = set()  # parts of the open paragraph whose text is no sentence
 
     def flush() -> None:
         nonlocal links
         text = " ".join("".join(parts).split())
         if text:
-            blocks.append(Block(text, links, stack[-1][1]))
+            blocks.append(Block(text, links, next(n for _, n in reversed(stack) if n != PART)))
         parts.clear()
         links = 0
 
     def pop_to(depth: int) -> None:
-        if any(t not in INLINE for t, _ in stack[depth:]):
+        if any(t not in INLINE and not (t in PARTS and n == PART) for t, n in stack[depth:]):
             flush()
         for t, _ in stack[depth:]:
             open_tags[t] -= 1
@@ -182,6 +209,8 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
 
     def add(text: str) -> None:
         nonlocal links
+        if unsaid and any(open_tags[t] for t in unsaid):
+            return
         text = html.unescape(text)
         parts.append(text)
         if open_tags["a"]:
@@ -197,6 +226,8 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
                 at = len(page)  # an unclosed script, style or comment runs to the end
             continue
         tag = m[3].lower()
+        if unsaid and tag not in BLOCKS and tag not in unsaid and any(open_tags[t] for t in unsaid):
+            continue  # inside a list of options, a drawing
         if m[2]:  # end tag
             if depth := innermost((tag,), ()):
                 pop_to(depth)
@@ -207,6 +238,13 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
             elif tag == "br":
                 parts.append(" ")
             continue
+        if tag in PARTS and open_tags["p"]:  # inside a sentence
+            if not m[4].endswith("/>"):
+                stack.append((tag, PART))
+                open_tags[tag] += 1
+                if tag not in SAYING:
+                    unsaid.add(tag)
+            continue
         if tag not in INLINE:
             if depth := innermost(("p",), P_KEEPS):  # a block closes an open paragraph
                 pop_to(depth)
@@ -216,7 +254,8 @@ def read_blocks(page: str) -> tuple[list[Block], Tree]:
         if m[4].endswith("/>") and tag in ("svg", "path", "use"):
             continue
         why = left_out(tag, m[4][:-1].strip())
-        stack.append((tag, tree.add(stack[-1][1], tag, why)))
+        around = next(n for _, n in reversed(stack) if n != PART)
+        stack.append((tag, tree.add(around, tag, why)))
         open_tags[tag] += 1
     if at < len(page):
         add(page[at:].partition("<!--")[0])
@@ -245,14 +284,70 @@ def path_scores(blocks: list[Block], path: list[int]) -> dict[int, float]:
     return {p: math.sqrt(smooth_mean[0][p] * (smooth_mean[1][p] + 1)) if text[p] else 0.0 for p in nodes}
 
 
-def _selected(blocks: list[Block], tree: Tree) -> list[bool]:
-    """Whether the score of each block's path reaches the threshold."""
+def _selected(blocks: list[Block], tree: Tree, weight: list[float]) -> list[bool]:
+    """Whether the score of each block's path reaches the threshold of the page's paths.
+
+    A named block counts by its own text if that scores less than its path, lowered by its name."""
     path = [tree.path[b.element] for b in blocks]
     scores = path_scores(blocks, path)
     values = list(scores.values())
-    mean, top = sum(values) / len(values), max(values)
-    least = max(min(top, SPREAD * math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))), 1e-9)
-    return [scores[p] >= least for p in path]
+    mean = sum(values) / len(values)
+    own = [scores[p] if w == 1 else w * min(scores[p], math.sqrt(max(0, len(b.text) - b.links) * (len(PUNCTUATION.findall(b.text)) + 1)))
+           for b, p, w in zip(blocks, path, weight)]
+    least = max(min(max(own), SPREAD * math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))), 1e-9)
+    return [s >= least for s in own]
+
+
+def _sentence(text: str) -> bool:
+    return bool(PUNCTUATION.search(text)) and text.count(" ") >= 4
+
+
+def _prose(b: Block) -> int:
+    """Characters of a block that reads like text: not mostly links, with a mark or many words."""
+    return len(b.text) if b.links <= LINKS * len(b.text) and (PUNCTUATION.search(b.text) or b.text.count(" ") >= 9) else 0
+
+
+def _sums(tree: Tree, blocks: list[Block], values: list[float]) -> list[float]:
+    own: dict[int, float] = defaultdict(float)
+    for b, v in zip(blocks, values):
+        own[b.element] += v
+    return tree.upward(own)
+
+
+def _weights(tree: Tree, blocks: list[Block], in_main: list[bool]) -> list[float]:
+    """What the names of the elements around it leave of each block's score."""
+    tags = range(len(tree.tag))
+    prose = [float(_prose(b)) for b in blocks]
+    held = _sums(tree, blocks, prose)
+    titled = _sums(tree, blocks, [float(tree.block[b.element] == "h1" or in_main[b.element]) for b in blocks])
+    headed = tree.downward([w == "head" for w in tree.why])
+    free = held[0] - sum(p for p, b in zip(prose, blocks) if headed[b.element])  # page headers are no rival of a wrapper
+
+    def wrapper(n: int) -> bool:
+        if not held[n] or held[n] < MOST * held[0]:
+            return False
+        return bool(titled[n]) or tree.why[n] != "said" and free - held[n] <= REST * held[0]
+
+    named = [w in ("word", "said") and not wrapper(n) for n, w in enumerate(tree.why)]
+    outer = tree.downward([n_ and (not in_main[n] or tree.why[n] == "said" or tree.tag[n] == "article") for n, n_ in zip(tags, named)])
+    inner = tree.downward(list(named))
+    return [OUTER if outer[b.element] else INNER if inner[b.element] else 1.0 for b in blocks]
+
+
+def _scope(tree: Tree, blocks: list[Block], weight: list[float], in_main: list[bool]) -> list[bool]:
+    """Whether each block lies in the articles (or main) that hold most of the prose; all blocks if none do."""
+    tags = range(len(tree.tag))
+    mass = [_prose(b) * w for b, w in zip(blocks, weight)]
+    held = _sums(tree, blocks, mass)
+    within = tree.downward([t == "article" for t in tree.tag])
+    tops = [n for n in tags if tree.tag[n] == "article" and not within[tree.parent[n]]]
+    best = max((held[n] for n in tops), default=0.0)
+    lost = tree.downward([n in set(tops) and held[n] < RIVAL * best for n in tags])
+    inside = [in_main[b.element] and not lost[b.element] for b in blocks]
+    total = sum(mass)
+    if not any(inside) or sum(m for m, i in zip(mass, inside) if i) < MOST * total:
+        return [True] * len(blocks)
+    return inside
 
 
 def main_text(page: str | None) -> str:
@@ -263,35 +358,22 @@ def main_text(page: str | None) -> str:
     tags = range(len(tree.tag))
     never = tree.downward([w == "tag" for w in tree.why])
     blocks = [b for b in blocks if not never[b.element]]
-    held: dict[int, int] = defaultdict(int)
-    for b in blocks:
-        held[b.element] += len(b.text)
-    inside = tree.upward(held)
+    text = _sums(tree, blocks, [float(len(b.text)) for b in blocks])
+    form = tree.downward([w == "form" and 2 * text[n] < text[0] for n, w in enumerate(tree.why)])
     in_main = tree.downward([t in MAIN for t in tree.tag])
-    titled = tree.upward({b.element: 1 for b in blocks if tree.block[b.element] == "h1" or in_main[b.element]})
-    # a class or id word does not count on an element with most of the text and an article, main or h1
-    anchors = [tree.why[n] == "anchor" and n > 0 and in_main[tree.parent[n]] for n in tags]
-    by_word = tree.downward([(tree.why[n] == "word" or tree.why[n] == "anchor" and not anchors[n])
-                             and not (inside[n] >= MOST * inside[0] and titled[n]) for n in tags])
     in_head = tree.downward([w == "head" for w in tree.why])
 
     def out(b: Block) -> bool:
-        n = b.element  # a header inside an article keeps its headings
-        return by_word[n] or in_head[n] and not (tree.block[n] in HEADINGS and in_main[n])
+        n = b.element  # a header inside an article keeps its headings and sentences
+        return form[n] or in_head[n] and not (in_main[n] and (tree.block[n] in HEADINGS or _sentence(b.text)))
 
-    left = [b for b in blocks if not out(b)]
-    left = [b for b in left if in_main[b.element]] or left
+    left = [b for b in blocks if not out(b)] or [b for b in blocks if not form[b.element]]
+    weight = _weights(tree, left, in_main)
+    scope = _scope(tree, left, weight, in_main)
+    left, weight = [b for b, s in zip(left, scope) if s], [w for w, s in zip(weight, scope) if s]
     if not left:
         return ""
-    content = _selected(left, tree)
-    if any(anchors):  # a section that is named like boilerplate stays if its text is mostly content
-        held, good = defaultdict(int), defaultdict(int)
-        for b, c in zip(left, content):
-            held[b.element] += len(b.text)
-            good[b.element] += len(b.text) * c
-        all_text, all_good = tree.upward(held), tree.upward(good)
-        gone = tree.downward([a and 2 * all_good[n] < all_text[n] for n, a in enumerate(anchors)])
-        left, content = [b for b in left if not gone[b.element]], [c for b, c in zip(left, content) if not gone[b.element]]
+    content = _selected(left, tree, weight)
     linked = [b.links > LINKS * len(b.text) for b in left]
     sure = [i for i, c in enumerate(content) if c and not linked[i]] or [i for i, c in enumerate(content) if c]
     if not sure:
@@ -299,25 +381,29 @@ def main_text(page: str | None) -> str:
     found: dict[int, int] = defaultdict(int)
     for i in sure:
         found[left[i].element] += len(left[i].text)
-    weight = tree.upward(found)
+    total = tree.upward(found)
     # the smallest element that holds all content nodes (numbers grow inwards)
-    region = max((n for n in tags if weight[n] >= weight[0] and tree.tag[n] not in INLINE
+    region = max((n for n in tags if total[n] >= total[0] and tree.tag[n] not in INLINE
                   and tree.tag[n] not in HEADINGS and tree.tag[n] not in ("p", "li")), default=0)
     within = tree.downward([n == region for n in tags])
     texts = tree.downward([t in TEXTS for t in tree.tag])
-    kept, follows = [False] * len(left), False
+    kept, follows = [False] * len(left), None  # the block after, if it stays
     for i in range(len(left) - 1, -1, -1):  # backwards: a heading stays with what it stands over
         n = left[i].element
-        between, main = sure[0] < i < sure[-1], in_main[n]
+        between, main, named = sure[0] < i < sure[-1], in_main[n], weight[i] < 1
         if tree.block[n] in HEADINGS:
-            kept[i] = content[i] or main or within[n] and follows
+            over = follows is not None and (not named or weight[follows] < 1)
+            kept[i] = content[i] and not named or main and not named or within[n] and over
+            follows = i if kept[i] else None
             continue
         if content[i]:
             kept[i] = main or between or not linked[i] or i in (sure[0], sure[-1])
-        elif within[n] or main:
-            kept[i] = (main if linked[i] else True) and between and (texts[n] or tree.block[n] == "p") or (
-                main and texts[n] and not linked[i])
-        follows = kept[i]
+        elif in_head[n]:
+            kept[i] = main and not named
+        elif not named and (within[n] or main):
+            entry = main and texts[n] and (not linked[i] or _sentence(left[i].text))
+            kept[i] = (main if linked[i] else True) and between and (texts[n] or tree.block[n] == "p") or entry
+        follows = i if kept[i] else None
     return "\n".join(b.text for b, k in zip(left, kept) if k)
 
 
