@@ -73,3 +73,17 @@ def test_edge_cases(spark, workdir, monkeypatch):
     assert got(T.documents(shards)) == expected(docs)
     assert got(T.documents(T.read(spark, f"{workdir}/files"))) == expected(docs)
     assert T.documents(T.write(documents(spark, []))).count() == 0
+
+
+def test_many_null_ids_are_spread(spark):
+    """A third of all rows without an id: they lie in several parts, still in the order of their texts."""
+    docs = documents(spark, [(None, f"text {i:05d}") for i in range(3000)] + [(i, f"doc {i}") for i in range(6000)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shards = T.write(docs)
+        per = {r.part: (sum(d is None for d in r.doc_ids), r.n_docs) for r in shards.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(n for n, _ in per.values()) == 3000 and sum(n > 0 for n, _ in per.values()) >= 2
+    got = sorted(T.documents(shards).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None] * 3000 + list(range(6000))

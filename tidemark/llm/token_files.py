@@ -15,7 +15,7 @@ ids, at least one document) as one self-contained image:
   that of the PERCENTILE-th percentile of the block's differences; differences
   that need more bits are the exceptions.
 
-Documents are dealt to partitions by ranges of ids, so the order over the files
+Documents are dealt to partitions by ranges of ids and beginnings of texts, so the order over the files
 is that of (part, shard) and nothing passes through one task; only one row per
 part (its number of ids) is summed up over all parts. Results do not depend on
 the partitioning.
@@ -282,6 +282,8 @@ def model_text(path: str | None = None) -> str:
         return f.read()
 
 
+#: Characters of a text that deal out documents of one id.
+ORDER_CHARS = 256
 SHARDS = "part int, shard int, first_in_part long, n_docs long, n_ids long, doc_ids array<long>, image binary"
 
 
@@ -319,7 +321,9 @@ def write(docs: DataFrame, model: str | None = None, path: str | None = None, en
             yield flush()
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id (nulls) are spread by the beginnings of their texts, which sort as the texts do
+    ordered = narrow.withColumn("begins", F.substring("text", 1, ORDER_CHARS)).repartitionByRange("doc_id", "begins").drop(
+        "begins").sortWithinPartitions("doc_id", "text")
     shards = ordered.mapInArrow(run, SHARDS)
     if path is None:
         return saved(shards, "token-files")
