@@ -9,9 +9,10 @@ max-pooled over the chunk; a small dense layer turns a chunk into a log-odds
 value, and the mean over the document's chunks, through the logistic function,
 is the probability of label 1.
 
-Fitting reads labels only: at most ``FIT_ROWS`` texts per label (those with the
-smallest hashes, a fixed choice) and at most ``FIT_CHUNKS`` evenly spaced
-chunks of each; both bounds are parameters. Scoring reads whole texts.
+Fitting reads labels only and learns from all chunks of a bounded sample of
+labelled rows: per label the ``FIT_ROWS`` rows with the smallest hashes (a fixed
+choice), less those that would take their texts past ``FIT_BYTES`` in all, in that
+order; both bounds are parameters. Scoring reads whole texts.
 
 Edge cases: a null or empty text is one chunk of padding and gets that chunk's
 score; without both labels in the sample every text gets the share of label 1
@@ -34,7 +35,7 @@ from .common import prepare, slices, text_buffer
 CHUNK, STEP = 512, 448
 DIM, WIDTH, STRIDE, FILTERS, HIDDEN = 7, 8, 4, 32, 16
 LAGS = range(2, 25)
-FIT_ROWS, FIT_CHUNKS, EPOCHS, RATE, SEED = 1500, 3, 6, 0.004, 7
+FIT_ROWS, FIT_BYTES, EPOCHS, RATE, SEED = 1500, 8 << 20, 6, 0.004, 7
 THRESHOLD = 0.3
 PAD = 256
 HOLD_OUT_FOLDS = 5
@@ -170,14 +171,21 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[li
     ids = known.select("doc_id").join(label, "doc_id")
     counts = {r.y: r.n for r in ids.groupBy("y").agg(F.count("*").alias("n")).collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    picked = [ids.where(F.col("y") == y).dropDuplicates(["doc_id"]).orderBy(*order).limit(rows) for y in counts]
-    if not picked:
-        return [], np.zeros(0), {}
-    chosen = picked[0] if len(picked) == 1 else picked[0].unionByName(picked[1])
+    sized = known.groupBy("doc_id").agg(F.min("text").alias("text")).join(label, "doc_id").select(
+        "doc_id", "y", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
+    chosen = []
+    for y in counts:
+        left = FIT_BYTES
+        for r in sized.where(F.col("y") == y).orderBy(*order).limit(rows).collect():  # ``rows`` ids at most
+            if r.bytes <= left:
+                left -= r.bytes
+                chosen.append((r.doc_id, r.y))
+    if not chosen:
+        return [], np.zeros(0), counts
+    chosen = docs.sparkSession.createDataFrame(chosen, "doc_id long, y int")
     got = known.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("text").alias("text"))
-    # only the chunks that are learned from leave the executors
     rows_out = sorted(got.mapInArrow(_fit_chunks, "doc_id long, y int, chunk int, code binary, rep binary").collect(),
-                      key=lambda r: (r.doc_id, r.chunk))
+                      key=lambda r: (r.doc_id, r.chunk))  # texts of FIT_BYTES a label at most
     return rows_out, np.array([r.y for r in rows_out], np.float32), counts
 
 
@@ -188,13 +196,10 @@ def _fit_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codes, rep, owner = chunk_texts(raw, at[lo:hi + 1])
             n = np.bincount(owner, minlength=hi - lo)
             k = np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
-            every = np.maximum(1, -(-n // FIT_CHUNKS))[owner]
-            keep = np.flatnonzero(k % every == 0)
-            rows = pa.array(owner[keep] + lo)
+            rows = pa.array(owner + lo)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(rows), b.column("y").take(rows), pa.array(k[keep].astype(np.int32)),
-                 pa.array([codes[i].tobytes() for i in keep], pa.binary()),
-                 pa.array([rep[i].tobytes() for i in keep], pa.binary())],
+                [b.column("doc_id").take(rows), b.column("y").take(rows), pa.array(k.astype(np.int32)),
+                 pa.array([c.tobytes() for c in codes], pa.binary()), pa.array([r.tobytes() for r in rep], pa.binary())],
                 names=["doc_id", "y", "chunk", "code", "rep"])
 
 
@@ -203,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[Par
     chunks, y, counts = sample(docs, labels, rows)
     total = sum(counts.values())
     share = counts.get(1, 0) / total if total else 0.5
-    if len(counts) < 2:
+    if len(counts) < 2 or len(set(y.tolist())) < 2:
         return None, share
     codes = np.stack([np.frombuffer(r.code, np.int16) for r in chunks])
     rep = np.stack([np.frombuffer(r.rep, bool) for r in chunks])
