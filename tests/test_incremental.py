@@ -140,6 +140,49 @@ def test_no_keys_and_empty_batches(spark, workdir):
     assert content(panel.dashboard()) == content(full(spark, state, ()), panel.dashboard().columns) and panel.months.version() == version + 1
 
 
+def test_states_merge_to_the_summary_and_counts(spark):
+    """Whatever is missing: latest months in January, gaps, NULL unemployment, entities without a predecessor."""
+    from tidemark.operators import quality, serving, states
+
+    rng = random.Random(11)
+    rows = some_rows(rng, "abcdefgh", MONTHS, 0.5)
+    rows += [("j", s, f"{y}-01-01", 3.0) for s in MONTHLY for y in (2001, 2002)] + [("k", s, d, 4.0) for s in MONTHLY for d in ("2001-12-01", "2002-01-01")]
+    rows += [("l", "UMCSENT", "2001-05-01", 1.0), ("m", "UNRATE", "2001-05-03", 1.0), ("m", "UNRATE", "2001-05-07", 2.0), ("n", "T10Y2Y", "2001-05-07", 2.0)]
+    obs = frame(spark, rows)
+    state = {r[:3]: r[3] for r in rows}
+    dash = full(spark, state)
+    per = states.summary_states(dash, ["entity"])
+    want = marts.indicator_summary(dash, ["entity"])
+    assert content(states.summary_of(per, ["entity"]), want.columns) == content(want) and any(r.entity == "k" for r in want.collect())
+    want = serving.observation_counts(dash, keys=["entity"])
+    assert content(states.counts_of(per, ["entity"]), want.columns) == content(want)
+    values = align.monthly_values(obs, keys=["entity"], dates_of="UNRATE")
+    wide = align.monthly_wide(obs, start=START, as_of=AS_OF, keys=["entity"])
+    want = quality.staging_reconcile(obs, wide, keys=["entity"])
+    assert content(states.reconcile(values, align.DATES, "_n_monthly", keys=["entity"]), want.columns) == content(want)
+    one = obs.where("entity = 'a'").drop("entity")
+    values, wide = align.monthly_values(one, dates_of="UNRATE"), align.monthly_wide(one, start=START, as_of=AS_OF)
+    assert content(states.reconcile(values, align.DATES, "_n_monthly")) == content(quality.staging_reconcile(one, wide))
+
+
+def test_states_of_a_load_that_stopped_are_made_good(spark, workdir, monkeypatch):
+    rng = random.Random(12)
+    rows = some_rows(rng, "abc", MONTHS[12:40], 0.9)
+    state = {r[:3]: r[3] for r in rows}
+    panel = Panel(spark, os.path.join(workdir, "p"), ["entity"], thresholds=T, start=START, buckets=4)
+    panel.load(frame(spark, rows), AS_OF, "2024-01-01")
+    version = panel.states.version()
+    for r, fails in ((("a", "UNRATE", "2001-02-01", 77.0), True), (("b", "UNRATE", "2002-02-01", 66.0), False)):
+        state[r[:3]] = r[3]
+        with monkeypatch.context() as m:
+            if fails:
+                m.setattr(Panel, "_refresh_states", lambda *a: None)
+            panel.load(frame(spark, [r]), AS_OF, "2024-01-01")
+        want = marts.indicator_summary(full(spark, state), ["entity"])
+        assert content(panel.summary(), want.columns) == content(want)
+    assert panel.states.version() == version + 1 and panel.states.note(version + 1) == str(panel.months.version())
+
+
 def payloads(folder, rows):
     os.makedirs(folder, exist_ok=True)
     by = {}

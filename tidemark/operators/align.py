@@ -26,7 +26,7 @@ from ..functions.calendar import _as_date
 from ..functions.columns import month_of
 from ..schemas import AS_IS, DEFAULT_SERIES, DEFAULT_START_DATE, FFILL, LAST_OF_MONTH, MONTH, SeriesSpec
 
-_HAS_MONTHLY = "_n_monthly"
+_HAS_MONTHLY, DATES = "_n_monthly", "_dates"
 
 
 def _ordered(specs: Sequence[SeriesSpec]) -> list[SeriesSpec]:
@@ -40,11 +40,12 @@ def in_spine(month: Column, start, as_of) -> Column:
 
 
 def monthly_values(obs: DataFrame, specs: Sequence[SeriesSpec] = DEFAULT_SERIES,
-                   keys: Sequence[str] = ()) -> DataFrame:
+                   keys: Sequence[str] = (), dates_of: str | None = None) -> DataFrame:
     """One row per (keys, month) with any data; one column per series, not yet filled.
 
     ``_n_monthly`` counts rows of ``as_is`` series: the wide table keeps only
-    months where a monthly series has data.
+    months where a monthly series has data. ``dates_of``: a series whose distinct dates
+    in the month come as bits of the number ``_dates`` (exact, and merged by ``bit_or``).
     """
     keys = list(keys)
     sid = F.col("series_id")
@@ -60,6 +61,9 @@ def monthly_values(obs: DataFrame, specs: Sequence[SeriesSpec] = DEFAULT_SERIES,
                                  F.when(sid == s.series_id, F.col("observation_date")))
                         .alias(s.column))
     aggs.append(F.count(F.when(sid.isin(monthly_ids), F.lit(1))).alias(_HAS_MONTHLY))
+    if dates_of is not None:
+        day = F.call_function("shiftleft", F.lit(1).cast("long"), F.dayofmonth("observation_date") - 1)
+        aggs.append(F.bit_or(F.when(sid == dates_of, day)).alias(DATES))
     return src.groupBy(*keys, month_of("observation_date").alias(MONTH)).agg(*aggs)
 
 

@@ -34,6 +34,8 @@ from .metrics import derived_metrics
 #: Rows that the longest lag (12) and rolling frame (12 with the current row) reach back.
 HALO = 12
 COUNT = "_n_monthly"
+#: The monthly series whose dates the month rows are reconciled with.
+RECONCILED = "UNRATE"
 
 
 def reported(column: str) -> str:
@@ -47,8 +49,8 @@ def change_set(batch: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def month_values(obs: DataFrame, specs: Sequence[SeriesSpec] = DEFAULT_SERIES, keys: Sequence[str] = ()) -> DataFrame:
-    """Reported values per (entity, month) of the observations that are not retracted."""
-    return align.monthly_values(obs.where("value is not null"), specs, keys).withColumnsRenamed(
+    """Reported values per (entity, month) of the observations that are not retracted, and the dates of RECONCILED."""
+    return align.monthly_values(obs.where("value is not null"), specs, keys, RECONCILED).withColumnsRenamed(
         {s.column: reported(s.column) for s in specs})
 
 
@@ -80,7 +82,7 @@ def updated(stored: DataFrame, obs: DataFrame, batch: DataFrame, specs: Sequence
     mine = batch.where(F.col("series_id").isin([s.series_id for s in specs]))
     cells = mine.select(*keys, month_of("observation_date").alias(MONTH)).distinct()
     since = change_set(mine, keys).groupBy(*keys).agg(F.min("since").alias(_SINCE))
-    columns = [*keys, MONTH, *[reported(s.column) for s in specs], COUNT]
+    columns = [*keys, MONTH, *[reported(s.column) for s in specs], COUNT, align.DATES]
 
     again = month_values(obs.withColumn(MONTH, month_of("observation_date")).join(cells, [*keys, MONTH], "left_semi").drop(MONTH),
                          specs, keys).select(*columns)

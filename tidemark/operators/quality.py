@@ -57,9 +57,15 @@ def row_ratio(expected: DataFrame, actual: DataFrame, lo: float = 0.5, hi: float
     one = both.groupBy(*keys).agg(
         F.coalesce(F.max(F.when(F.col("_side") == 0, F.col("_v"))), F.lit(0).cast("long")).alias(e_name),
         F.coalesce(F.max(F.when(F.col("_side") == 1, F.col("_v"))), F.lit(0).cast("long")).alias(a_name))
-    e, a = F.col(e_name), F.col(a_name)
+    return row_ratio_of(one, e_name, a_name, lo, hi, keys)
+
+
+def row_ratio_of(counts: DataFrame, expected: str, actual: str, lo: float = 0.5, hi: float = 1.1,
+                 keys: Sequence[str] = ()) -> DataFrame:
+    """``row_ratio`` of two counts that stand side by side already."""
+    e, a = F.col(expected), F.col(actual)
     failed = (a == 0) | (a > e * F.lit(hi)) | (a < e * F.lit(lo))
-    return one.select(*keys, e, a, (a - e).alias("row_difference"), failed.alias("failed"))
+    return counts.select(*keys, e, a, (a - e).alias("row_difference"), failed.alias("failed"))
 
 
 def staging_reconcile(staged: DataFrame, wide: DataFrame, series_id: str = "UNRATE",

@@ -268,6 +268,16 @@ def incremental_dashboard(spark, sf_dir):
     return _revised_panel(spark, sf_dir).dashboard()
 
 
+def summary_from_states(spark, sf_dir):
+    """The summary of the stored panel, merged from its states per supplier and year."""
+    return _revised_panel(spark, sf_dir).summary()
+
+
+def reconcile_from_bitmaps(spark, sf_dir):
+    """Distinct observation dates (date bits) against month rows of the stored panel, per supplier."""
+    return _revised_panel(spark, sf_dir).reconciliation()
+
+
 def indicator_summary(spark, sf_dir, entity=None):
     d, keys = _dashboard(spark, sf_dir, entity)
     return marts.indicator_summary(d, keys)
@@ -340,9 +350,11 @@ def dq_range(spark, sf_dir):
 
 
 def dq_row_reconcile(spark, sf_dir, entity=None):
+    from ..operators import states
+
     obs, keys = _obs(spark, sf_dir, entity)
-    wide = align.monthly_wide(obs, start=fx.SPINE_START, as_of=fx.AS_OF, keys=keys)
-    return quality.staging_reconcile(obs, wide, keys=keys)
+    values = align.monthly_values(obs, keys=keys, dates_of="UNRATE")
+    return states.reconcile(values, align.DATES, "_n_monthly", keys=keys)
 
 
 def dq_freshness(spark, sf_dir):
@@ -457,7 +469,7 @@ _PANEL_VARIANTS = (monthly_pivot, gdp_forward_fill, month_end_daily, monthly_wid
 
 _PLAIN = (dedup_latest_observation, dedup_hot_keys, dedup_latest_metadata, clean_missing_marker, series_watermark,
           upsert_result, upsert_recent_batch, replace_by_key_result, load_batch, malformed_split, load_log, run_summary,
-          raw_row_counts, merged_rows, contract_rows, contract_violations, landing_rows, landing_malformed, month_spine, *_PANEL_VARIANTS, supplier_economic_dashboard, incremental_dashboard,
+          raw_row_counts, merged_rows, contract_rows, contract_violations, landing_rows, landing_malformed, month_spine, *_PANEL_VARIANTS, supplier_economic_dashboard, incremental_dashboard, summary_from_states, reconcile_from_bitmaps,
           hot_rolling, hot_forward_fill, asof_daily_quarterly, asof_events,
           dq_unique, dq_not_null, dq_accepted_values, dq_range, dq_freshness,
           dq_report, dq_suite, recent_runs_top20, range_series, sahm_history, gdp_history)

@@ -13,7 +13,10 @@ commits) first recomputes the buckets whose folders differ between the two
 versions, or all if the older one is gone. A later ``as_of`` adds the entities
 that have months after the old one to the change.
 
-SURVEY §2: S14, S16, S19, M3-M7.
+A third table holds the states per entity and year from which the summary is merged
+(``operators.states``); its commit notes the version of the month rows.
+
+SURVEY §2: S14, S16, S19, M3-M7, D5.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import incremental as inc
-from ..operators import load, marts
+from ..operators import align, load, marts, states
 from ..schemas import DEFAULT_SERIES, DEFAULT_START_DATE, MONTH, SeriesSpec, Thresholds, observations_contract
 from ..session import cut_lineage
 from ..sources import tables
@@ -56,6 +59,8 @@ class Panel:
         if self.observations is None:
             self.observations = SnapshotTable(self.spark, os.path.join(self.root, "observations"), observations_contract(self.keys), part)
         self.months = SnapshotTable(self.spark, os.path.join(self.root, "months"), self._month_schema(), part)
+        self.states = SnapshotTable(self.spark, os.path.join(self.root, "states"), self._states(
+            self.spark.createDataFrame([], self.months.schema)).schema, part)
 
     def _month_schema(self) -> T.StructType:
         empty = self.spark.createDataFrame([], observations_contract(self.keys))
@@ -94,6 +99,7 @@ class Panel:
         if note is None or note["start"] != str(self.start) or str(as_of) < note["as_of"]:
             self.months.replace(self._full(self.observations.read(version=version), as_of), None, base, marks,
                                 mart_audit(list(self.keys)))
+            self._refresh_states(None)
             return
         change = batch.select(*self.keys, "series_id", "observation_date")
         if note["observations"] not in (before, version):  # a load ended between its two commits
@@ -107,6 +113,17 @@ class Panel:
         rows = inc.updated(self.months.read(touched, base), self._cells(change, touched, version), change, self.specs,
                            self.start, as_of, self.thresholds, self.keys)
         self.months.replace(rows, touched, base, marks, mart_audit(list(self.keys)))
+        self._refresh_states(touched, base)
+
+    def _states(self, months: DataFrame) -> DataFrame:
+        return states.summary_states(months.where(F.col(inc.COUNT) > 0), self.keys)
+
+    def _refresh_states(self, touched: DataFrame | None, before: int | None = None) -> None:
+        """States of the touched buckets, or of all if they were not those of the month rows ``before``."""
+        base, version = self.states.version(), self.months.version()
+        if base is None or self.states.note(base) != str(before):
+            touched = None
+        self.states.replace(self._states(self.months.read(touched, version)), touched, base, str(version))
 
     def _cells(self, change: DataFrame, touched: DataFrame, version: int) -> DataFrame:
         """Observations of all series in the months of ``change``: of its buckets, or of its years."""
@@ -129,8 +146,20 @@ class Panel:
         """The dashboard mart: months with a monthly series."""
         return self.months.read(version=version).where(F.col(inc.COUNT) > 0).select(*self.keys, MONTH, *marts.DASHBOARD_COLUMNS)
 
+    def current_states(self) -> DataFrame:
+        """States per (entity, year) of the last version of the month rows (made anew if a load stopped before them)."""
+        base, version = self.states.version(), self.months.version()
+        if base is not None and self.states.note(base) == str(version):
+            return self.states.read(version=base)
+        return self._states(self.months.read(version=version))
+
     def summary(self) -> DataFrame:
-        return marts.indicator_summary(self.dashboard(), self.keys)
+        """The indicator summary, from one state a year."""
+        return states.summary_of(self.current_states(), self.keys)
+
+    def reconciliation(self) -> DataFrame:
+        """Distinct dates of the reconciled series against month rows, per entity, in one pass over two columns."""
+        return states.reconcile(self.months.read(), align.DATES, inc.COUNT, keys=self.keys)
 
 
 def run_incremental(spark: SparkSession, cfg: RunConfig) -> Panel:

@@ -325,6 +325,13 @@ FROM (SELECT o_orderpriority AS entity,
       FROM orders GROUP BY o_orderpriority)""",
         "supplier_economic_dashboard": O.dashboard_sql("supplier"),
         "incremental_dashboard": O.revised_dashboard_sql(),
+        "summary_from_states": O.summary_sql("supplier", obs_cte=O.revised_panel_cte()),
+        "reconcile_from_bitmaps": O.wide_ctes("supplier", obs_cte=O.revised_panel_cte()) + """
+SELECT entity, staging_months, pivoted_rows, pivoted_rows - staging_months AS row_difference,
+       pivoted_rows = 0 OR pivoted_rows > staging_months * 1.1 OR pivoted_rows < staging_months * 0.5 AS failed
+FROM (SELECT entity, sum(a)::BIGINT AS staging_months, sum(b)::BIGINT AS pivoted_rows FROM (
+        SELECT entity, count(DISTINCT observation_date) AS a, 0 AS b FROM obs WHERE series_id = 'UNRATE' GROUP BY ALL
+        UNION ALL SELECT entity, 0, count(*) FROM wide GROUP BY ALL) GROUP BY ALL)""",
         "hot_rolling": f"""SELECT l_returnflag, l_orderkey, l_linenumber, l_shipdate, cents,
        cents - lag(cents, 1) OVER w AS change_1, cents - lag(cents, 12) OVER w AS change_12,
        avg(cents) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS avg_3,
