@@ -171,8 +171,8 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[li
     ids = known.select("doc_id").join(label, "doc_id")
     counts = {r.y: r.n for r in ids.groupBy("y").agg(F.count("*").alias("n")).collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    sized = known.groupBy("doc_id").agg(F.min("text").alias("text")).join(label, "doc_id").select(
-        "doc_id", "y", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
+    sized = known.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes")).join(label, "doc_id").groupBy(
+        "doc_id", "y").agg(F.max("bytes").alias("bytes"))
     chosen = []
     for y in counts:
         left = FIT_BYTES
