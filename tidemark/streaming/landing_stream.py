@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import load
-from ..schemas import DEFAULT_SERIES, DEFAULT_START_DATE
+from ..schemas import DEFAULT_SERIES, DEFAULT_START_DATE, observation_fields
 from ..session import cut_lineage
 from ..sources import landing, tables
 
@@ -37,12 +37,20 @@ def observation_stream(spark: SparkSession, landing_dir: str, max_files_per_trig
                        keys: Sequence[str] = ()) -> DataFrame:
     """Streaming frame of payload documents: series_id, observations, error fields, file_time, file_name.
 
-    Line-delimited files (``*.jsonl``) are left to the batch load."""
-    reader = spark.readStream.schema("value string").option("wholetext", True).option("pathGlobFilter", "*.json")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.text(landing_dir).select(F.col("value").alias("payload"), *landing._file_columns())
-    return landing.parse_payloads(raw.withColumn("series_id", landing.series_of_file("file_name")), "payload", keys)
+    A line of a line-delimited file (``*.jsonl``) is a document of one observation: both
+    forms are sources of one stream, and large files are split over tasks."""
+    def reader(fmt_schema, pattern: str):
+        r = spark.readStream.schema(fmt_schema).option("pathGlobFilter", pattern)
+        return r.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else r
+
+    raw = reader("value string", "*.json").option("wholetext", True).text(landing_dir).select(
+        F.col("value").alias("payload"), *landing._file_columns())
+    documents = landing.parse_payloads(raw.withColumn("series_id", landing.series_of_file("file_name")), "payload", keys)
+    lines = reader(observation_fields(keys, with_series=True), "*.jsonl*").json(landing_dir).select(
+        F.coalesce("series_id", landing.series_of_file(F.col("_metadata.file_name"))).alias("series_id"),
+        F.array(F.struct("date", "value", *keys)).alias("observations"), F.lit(None).cast("int").alias("error_code"),
+        F.lit(None).cast("string").alias("error_message"), *landing._file_columns())
+    return documents.unionByName(lines)
 
 
 def run_id_of(stream_id: str, epoch_id: int) -> str:
