@@ -19,7 +19,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.select("u", "v")
     if large:
         both = both.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # written, so that the join is a stage of its own: a node with a third of all edges is split there
+    least = saved(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "star-least")
     joined = both.join(least, "u")
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
