@@ -78,3 +78,14 @@ def test_edge_cases(spark):
     check(placed(out), {"": 2}, 1, 2, {"": 2, "s": 3})
     assert M.mixed(frame, {}).columns == frame.columns and M.mixed(frame, {}).count() == 5
     assert M.mixed(documents(spark, []), {}).count() == 0
+
+
+def test_weights_and_frames_that_have_no_meaning_are_refused(spark):
+    import pytest
+
+    docs = documents(spark, [(1, "x", "en", "a")])
+    for weights, default in (({"a": 0}, 1), ({"a": -3}, 1), ({}, 0), ({"a": 1.5}, 1)):
+        with pytest.raises(ValueError, match="weights"):
+            M.place(docs, weights, default)
+    with pytest.raises(ValueError, match="stored table"):
+        M.with_position(docs)

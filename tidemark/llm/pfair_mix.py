@@ -19,7 +19,7 @@ Ranks within a source come from per-bucket counts, so a source with a third of
 all rows is spread over its buckets; no task holds a source.
 
 Edge cases: null sources form the source ``""``; sources without a weight get
-the default weight; weights are positive integers; repeated rows keep their
+the default weight; a weight that is no positive integer is refused; repeated rows keep their
 multiplicity; rows with null ids are ordered by their text; an empty table gives
 an empty result. Column names of the input cannot clash: helpers start with
 ``__mix_``.
@@ -101,6 +101,8 @@ def place(docs: DataFrame, weights: dict[str, int], default_weight: int = 1, sou
 
     The mixed order is by (__mix_slot, __mix_rank); both are unique together."""
     spark = docs.sparkSession
+    if any(not isinstance(w, int) or w < 1 for w in [*weights.values(), default_weight]):
+        raise ValueError("weights are whole numbers from 1 on")
     key = F.xxhash64("doc_id")
     if "text" in docs.columns:
         key = F.when(F.col("doc_id").isNotNull(), key).otherwise(F.xxhash64("text"))
@@ -152,9 +154,9 @@ def with_position(docs: DataFrame, column: str = "position") -> DataFrame:
     Spark reads the files of a table longest first, so the order that ``mixed``
     was written in is that of the part numbers and of the rows in a part, not that
     of a scan. The driver sees one count per file. A frame that is no stored
-    table has the order of its partitions (``column`` then has gaps)."""
+    table has no order and is refused."""
     if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
-        return docs.withColumn(column, F.monotonically_increasing_id())
+        raise ValueError("positions are those of a stored table: write the frame and read it again")
     at = docs.select("*", F.col("_metadata.file_path").alias("__mix_file"), F.col("_metadata.file_name").alias("__mix_name"),
                      F.col("_metadata.row_index").alias("__mix_row"))
     files = sorted(at.groupBy("__mix_name", "__mix_file").count().collect(), key=lambda r: (_part(r[0]), r[1]))
