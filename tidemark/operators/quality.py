@@ -7,10 +7,11 @@ SURVEY §2: D1-D11, A5, A6, A12, J6, P15, P16.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -92,13 +93,8 @@ def freshness(df: DataFrame, col: str, now, warn_hours: float = 48, error_hours:
                                      .otherwise(F.lit("PASS")))
 
 
-def check_report(df: DataFrame, checks: Sequence[tuple]) -> DataFrame:
-    """Many row-level checks over one table in a single aggregate.
-
-    ``checks``: tuples (name, kind, column, *args) with kind in
-    ``not_null``, ``accepted_values`` (values), ``in_range`` (lo, hi).
-    Output: one row per check (check_name, n_failed).
-    """
+def _check_counts(checks: Sequence[tuple]) -> list[Column]:
+    """One count of failing rows per check."""
     preds = []
     for name, kind, col, *args in checks:
         c = F.col(col)
@@ -111,7 +107,46 @@ def check_report(df: DataFrame, checks: Sequence[tuple]) -> DataFrame:
         else:
             raise ValueError(f"unknown check kind {kind!r}")
         preds.append(F.count_if(F.coalesce(p, F.lit(False))).alias(name))
-    wide = df.agg(*preds)
+    return preds
+
+
+class Watch:
+    """Checks of a table that the job which writes it collects on its way: no second pass over what was written.
+
+    ``checks`` as in ``check_report``; ``unique``: columns that no two rows share. Its window
+    needs equal rows in one partition, as the metric windows or a range partitioning by
+    these columns have them, so it adds no shuffle there. The numbers tell failing from not:
+    a stage that runs again after a lost executor adds its rows twice, a zero stays a zero.
+    """
+
+    def __init__(self, checks: Sequence[tuple] = (), unique: Sequence[str] = ()):
+        self.checks, self.unique, self._seen = list(checks), list(unique), None
+
+    def on(self, df: DataFrame) -> DataFrame:
+        """``df`` with the checks attached; the first action over it fills them in."""
+        self._seen = Observation(f"watch-{uuid.uuid4().hex}")
+        counts = [F.count(F.lit(1)).alias("_rows"), *_check_counts(self.checks)]
+        if not self.unique:
+            return df.observe(self._seen, *counts)
+        again = F.row_number().over(Window.partitionBy(*self.unique).orderBy(*self.unique)) > 1
+        counts.append(F.count_if("_again").alias("_repeated"))
+        return df.withColumn("_again", again).observe(self._seen, *counts).drop("_again")
+
+    def failures(self) -> list[str]:
+        """What failed, once the job that writes the rows has run."""
+        seen = dict(self._seen.get)
+        repeated = [f"{', '.join(self.unique)} not unique: {seen['_repeated']}"] if self.unique and seen["_repeated"] else []
+        return repeated + [f"{c[0]}: {seen[c[0]]}" for c in self.checks if seen[c[0]]]
+
+
+def check_report(df: DataFrame, checks: Sequence[tuple]) -> DataFrame:
+    """Many row-level checks over one table in a single aggregate.
+
+    ``checks``: tuples (name, kind, column, *args) with kind in
+    ``not_null``, ``accepted_values`` (values), ``in_range`` (lo, hi).
+    Output: one row per check (check_name, n_failed).
+    """
+    wide = df.agg(*_check_counts(checks))
     names = [c[0] for c in checks]
     return wide.unpivot([], names, "check_name", "n_failed")
 

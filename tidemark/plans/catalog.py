@@ -103,6 +103,17 @@ def upsert_recent_batch(spark, sf_dir):
     return load.upsert(target, batch, now=NOW)
 
 
+def upsert_colocated(spark, sf_dir):
+    """The upsert of a half batch into a table stored in buckets of its key: only the batch is shuffled."""
+    from ..session import scratch_path
+    from ..sources.bucketed import BucketedTable
+
+    target, batch = fx.revision_split(spark, sf_dir)
+    table = BucketedTable(spark, scratch_path(spark, "bucketed"), OBSERVATIONS, ["series_id", "observation_date"], 16)
+    table.write(target)
+    return table.merged(batch, NOW)
+
+
 def replace_by_key_result(spark, sf_dir):
     """A batch of fresh metadata of some series replaces them; the other series keep all their loads."""
     raw = fx.metadata_loads(spark, sf_dir)
@@ -130,6 +141,43 @@ def contract_rows(spark, sf_dir):
     return conform(raw, OBSERVATIONS, {"ingested_at": F.lit(NOW).cast("timestamp_ntz")}, limits)[0]
 
 
+def _two_contracts(spark, sf_dir):
+    """A stored table whose partitions were written under two contracts, read under the later one."""
+    from pyspark.sql import types as T
+
+    from ..session import scratch_path
+    from ..sources.snapshots import SnapshotTable
+
+    first, second = fx.contract_loads(spark, sf_dir)
+    fields = [T.StructField("series_id", T.StringType(), False), T.StructField("event_id", T.LongType(), False),
+              T.StructField("observation_date", T.DateType(), False)]
+    old = T.StructType([*fields, T.StructField("value", T.IntegerType())])
+    new = T.StructType([*fields, T.StructField("value", T.DoubleType()), T.StructField("unit", T.StringType(), False)])
+    path, part = scratch_path(spark, "contracts"), {"series_id": "series_id"}
+    SnapshotTable(spark, path, old, part).replace(first)
+    table = SnapshotTable(spark, path, new, part, [old], {"unit": "'count'"})
+    table.replace(second, table.values(second), 1)
+    return table.read_checked({"unit": fx.CONTRACT_UNIT_LENGTH})
+
+
+def contract_upgrade_rows(spark, sf_dir):
+    return _two_contracts(spark, sf_dir)[0]
+
+
+def contract_upgrade_violations(spark, sf_dir):
+    return _two_contracts(spark, sf_dir)[1]
+
+
+def dashboard_month_range(spark, sf_dir):
+    """Serving read of a range of months from a published panel mart, opening only the files of these months."""
+    from ..session import scratch_path
+    from ..sources import tables
+
+    root = scratch_path(spark, "serving")
+    tables.publish(_dashboard(spark, sf_dir, "supplier")[0], root, "marts", "economic_dashboard", cluster_by=[MONTH, *PANEL], lookups=PANEL)
+    return tables.read_mart(spark, root, "economic_dashboard", lo=fx.SERVE_FROM, hi=fx.SERVE_TO)
+
+
 def landing_rows(spark, sf_dir):
     """Payload documents of all events through the landing functions: the observation rows."""
     good, _ = landing.split_malformed(landing.parse_payloads(fx.landing_payloads(spark, sf_dir)))
@@ -468,8 +516,9 @@ _PANEL_VARIANTS = (monthly_pivot, gdp_forward_fill, month_end_daily, monthly_wid
                    month_bounds, dq_row_reconcile)
 
 _PLAIN = (dedup_latest_observation, dedup_hot_keys, dedup_latest_metadata, clean_missing_marker, series_watermark,
-          upsert_result, upsert_recent_batch, replace_by_key_result, load_batch, malformed_split, load_log, run_summary,
-          raw_row_counts, merged_rows, contract_rows, contract_violations, landing_rows, landing_malformed, month_spine, *_PANEL_VARIANTS, supplier_economic_dashboard, incremental_dashboard, summary_from_states, reconcile_from_bitmaps,
+          upsert_result, upsert_recent_batch, upsert_colocated, replace_by_key_result, load_batch, malformed_split, load_log, run_summary,
+          raw_row_counts, merged_rows, contract_rows, contract_violations, landing_rows, landing_malformed, month_spine, *_PANEL_VARIANTS, supplier_economic_dashboard, contract_upgrade_rows, contract_upgrade_violations, dashboard_month_range,
+          incremental_dashboard, summary_from_states, reconcile_from_bitmaps,
           hot_rolling, hot_forward_fill, asof_daily_quarterly, asof_events,
           dq_unique, dq_not_null, dq_accepted_values, dq_range, dq_freshness,
           dq_report, dq_suite, recent_runs_top20, range_series, sahm_history, gdp_history)

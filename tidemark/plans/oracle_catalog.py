@@ -15,6 +15,18 @@ _ID_ROWS = ", ".join(f"('{s.series_id}')" for s in DEFAULT_SERIES)
 _DIM = (f"dim AS (SELECT series_id FROM (VALUES {_ID_ROWS}) t(series_id)"
         " UNION SELECT DISTINCT event_type FROM events)")
 
+
+
+def _two_contracts(where: str) -> str:
+    new = ", ".join(f"'{x}'" for x in fx.CONTRACT_NEW_SERIES)
+    return f"""
+SELECT series_id, event_id, observation_date, value, unit FROM (
+  SELECT event_type AS series_id, event_id, CAST(ts AS DATE) AS observation_date,
+         CASE WHEN event_type IN ({new}) THEN value ELSE floor(value) END AS value,
+         CASE WHEN event_type NOT IN ({new}) THEN 'count' WHEN event_id % 7 = 0 THEN 'far too long' ELSE 'points' END AS unit
+  FROM events) WHERE {where.format(n=fx.CONTRACT_UNIT_LENGTH)}"""
+
+
 _META = """
     m AS (SELECT o_orderpriority AS series_id, 'order ' || CAST(o_orderkey AS VARCHAR) AS title,
                  o_orderstatus AS frequency, CAST(NULL AS VARCHAR) AS units, CAST(NULL AS VARCHAR) AS seasonal_adj,
@@ -324,6 +336,11 @@ FROM (SELECT o_orderpriority AS entity,
              max(CAST(date_trunc('month', o_orderdate) AS TIMESTAMP)) AS hi
       FROM orders GROUP BY o_orderpriority)""",
         "supplier_economic_dashboard": O.dashboard_sql("supplier"),
+        "contract_upgrade_rows": _two_contracts("length(unit) <= {n}"),
+        "contract_upgrade_violations": _two_contracts("length(unit) > {n}"),
+        "dashboard_month_range": O.dash_ctes("supplier") + f"""
+SELECT * REPLACE (CAST(observation_month AS TIMESTAMP) AS observation_month) FROM dash
+WHERE observation_month BETWEEN DATE '{fx.SERVE_FROM}' AND DATE '{fx.SERVE_TO}'""",
         "incremental_dashboard": O.revised_dashboard_sql(),
         "summary_from_states": O.summary_sql("supplier", obs_cte=O.revised_panel_cte()),
         "reconcile_from_bitmaps": O.wide_ctes("supplier", obs_cte=O.revised_panel_cte()) + """
@@ -402,6 +419,7 @@ FROM events ORDER BY ts DESC, event_id DESC LIMIT 20""",
         out[f"chart_{c}"] = _dash_q(f"SELECT observation_month, {', '.join(cols)} FROM dash "
                                     f"WHERE observation_month >= DATE '{RANGE_FROM}'{nn}")
     out["dq_suite"] = _dq_suite()
+    out["upsert_colocated"] = out["upsert_result"]  # the same merge over another layout
     out.update(_panelable())
     out.update({f"panel_{k}": v for k, v in _panelable("priority").items()})
     return out

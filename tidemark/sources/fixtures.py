@@ -272,3 +272,19 @@ def quarterly_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = F.explode(F.when(F.quarter("reported") == ASOF_TWICE_QUARTER, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     return (gdp.where(F.year("reported") != ASOF_GAP_YEAR).select("*", twice.alias("revision"))
             .withColumn("level", F.col("level") + F.col("revision")))
+
+
+SERVE_FROM, SERVE_TO = "1998-03-01", "1998-08-01"   # months that the serving query asks for
+
+# Fixed values of the contract fixture: series loaded anew under the later contract, its text limit.
+CONTRACT_NEW_SERIES, CONTRACT_UNIT_LENGTH = ("click", "view"), 8
+
+
+def contract_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events under two contracts: whole numbers without a unit, then (two series) numbers with one, some too long."""
+    e = table(spark, sf_dir, "events")
+    key = [F.col("event_type").alias("series_id"), F.col("event_id"), F.to_date("ts").alias("observation_date")]
+    first = e.select(*key, F.floor("value").cast("int").alias("value"))
+    unit = F.when(F.col("event_id") % 7 == 0, F.lit("far too long")).otherwise(F.lit("points"))
+    second = e.where(F.col("event_type").isin(*CONTRACT_NEW_SERIES)).select(*key, F.col("value"), unit.alias("unit"))
+    return first, second

@@ -15,6 +15,11 @@ number exists: of two loads that start from one version the second fails with
 ``Conflict`` and leaves nothing that a reader sees. A crash at any time leaves
 folders that no manifest names (``vacuum`` removes them), never a partial table.
 
+A table may have been written under earlier contracts (``history``): a manifest tells
+the contract of each folder, and a read brings older folders up to the current one,
+with defaults for added columns and widened types, beside the newer ones. Nothing is
+rewritten; a partition takes the current contract when a load replaces it.
+
 Partitions are expressions over the table's columns, so a table has exactly the
 columns of its contract. Readers that touch few partitions open only these
 folders: the manifest is filtered, not the data. The driver holds the folder
@@ -28,6 +33,7 @@ from __future__ import annotations
 import os
 import time
 import uuid
+from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +42,7 @@ from pyspark.sql import types as T
 
 #: Versions kept beside the current one, for readers that opened them.
 KEPT_VERSIONS = 1
-FOLDER, ROWS = "_folder", "_rows"
+FOLDER, ROWS, CONTRACT = "_folder", "_rows", "_contract"
 
 
 class Conflict(RuntimeError):
@@ -47,10 +53,45 @@ class AuditFailed(RuntimeError):
     """A written table failed its audit and was not published."""
 
 
+class ContractError(ValueError):
+    """A contract that rows of an earlier one cannot be brought up to."""
+
+
+#: Types that hold all values of another.
+_WIDER = {("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"), ("smallint", "int"), ("smallint", "bigint"),
+          ("int", "bigint"), ("int", "double"), ("smallint", "double"), ("tinyint", "double"), ("float", "double"),
+          ("date", "timestamp_ntz"), ("int", "string"), ("bigint", "string"), ("date", "string")}
+
+
+def _widens(old: T.DataType, new: T.DataType) -> bool:
+    if old == new or (old.simpleString(), new.simpleString()) in _WIDER:
+        return True
+    return (isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType) and new.scale >= old.scale
+            and new.precision - new.scale >= old.precision - old.scale)
+
+
+def check_upgrade(old: T.StructType, new: T.StructType, defaults: dict[str, str]) -> None:
+    """Raise unless every row of ``old`` has a place in ``new``: types widen, added NOT NULL columns have a default."""
+    before = {f.name: f for f in old.fields}
+    for f in new.fields:
+        if f.name not in before:
+            if not f.nullable and f.name not in defaults:
+                raise ContractError(f"column {f.name} is new and NOT NULL, without a default for earlier rows")
+        elif not _widens(before[f.name].dataType, f.dataType):
+            raise ContractError(f"column {f.name}: {before[f.name].dataType.simpleString()} does not widen to {f.dataType.simpleString()}")
+
+
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, parts: dict[str, str]):
-        """``parts``: partition name -> SQL expression over the table's columns."""
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, parts: dict[str, str],
+                 history: Sequence[T.StructType] = (), defaults: dict[str, str] | None = None):
+        """``parts``: partition name -> SQL expression over the table's columns.
+
+        ``history``: earlier contracts, oldest first; ``defaults``: column -> SQL expression
+        for rows that were written before the column was there (without one: NULL)."""
         self.spark, self.path, self.schema, self.parts = spark, path, schema, parts
+        self.contracts, self.defaults = [*history, schema], defaults or {}
+        for old, new in zip(self.contracts, self.contracts[1:]):
+            check_upgrade(old, new, self.defaults)
 
     # ------------------------------------------------------------ files
 
@@ -108,9 +149,10 @@ class SnapshotTable:
         return empty.select(*[F.expr(e).alias(n) for n, e in self.parts.items()]).schema
 
     def manifest(self, version: int | None = None) -> DataFrame:
-        """Partition values, _folder (below the table's path) and _rows of a version (default: the last)."""
+        """Partition values, _folder (below the table's path), _rows and _contract of a version (default: the last)."""
         version = self.version() if version is None else version
-        fields = [*self._part_schema().fields, T.StructField(FOLDER, T.StringType()), T.StructField(ROWS, T.LongType())]
+        fields = [*self._part_schema().fields, T.StructField(FOLDER, T.StringType()), T.StructField(ROWS, T.LongType()),
+                  T.StructField(CONTRACT, T.IntegerType())]
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
         if version is None:
             return self.spark.createDataFrame([], schema)
@@ -121,11 +163,28 @@ class SnapshotTable:
         m = self.manifest(version)
         if touched is not None:
             m = self._of(m, touched, "left_semi")
-        folders = sorted(os.path.join(self.path, r[0]) for r in m.select(FOLDER).collect())  # one a partition
-        if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        reader = self.spark.read.schema(self.schema).option("recursiveFileLookup", True)
-        return reader.parquet(*folders)
+        out = None
+        found = [(r[1] or 0, os.path.join(self.path, r[0])) for r in m.select(FOLDER, CONTRACT).collect()]  # one a partition
+        for n, contract in enumerate(self.contracts):
+            folders = sorted(f for c, f in found if c == n)
+            if folders:
+                df = self._upgraded(self.spark.read.schema(contract).option("recursiveFileLookup", True).parquet(*folders), contract)
+                out = df if out is None else out.unionByName(df)
+        return self.spark.createDataFrame([], self.schema) if out is None else out
+
+    def _upgraded(self, df: DataFrame, contract: T.StructType) -> DataFrame:
+        """Rows of an earlier contract under the current one."""
+        if contract == self.schema:
+            return df
+        names = {f.name for f in contract.fields}
+        return df.select(*[(F.col(f.name) if f.name in names else F.expr(self.defaults.get(f.name, "NULL"))).cast(f.dataType).alias(f.name)
+                           for f in self.schema.fields])
+
+    def read_checked(self, max_lengths: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
+        """The last version's rows that keep the current contract, and those that break it (NULLs, over-long texts)."""
+        from .tables import conform
+
+        return conform(self.read(), self.schema, None, max_lengths)
 
     def values(self, df: DataFrame) -> DataFrame:
         """The distinct partition values of ``df``'s rows."""
@@ -144,24 +203,25 @@ class SnapshotTable:
 
         ``base``: the version that ``rows`` were made from (None: there was none).
         Rows outside the touched partitions are an error of the caller. A partition
-        that has no rows any more goes. ``audit(written rows)`` returns a list of failure
-        messages; any failure keeps the version from being committed. Raises ``Conflict``
+        that has no rows any more goes. ``audit``: a ``quality.Watch``, collected by the job
+        that writes; any failure keeps the version from being committed. Raises ``Conflict``
         if ``base`` is no longer the last."""
         name = uuid.uuid4().hex
         data = os.path.join("data", name)
         marks = {f"_p_{n}": F.expr(e) for n, e in self.parts.items()}
         full = os.path.join(self.path, data)
-        out = rows.select(*[f.name for f in self.schema.fields]).withColumns(marks)
+        out = rows.select(*[f.name for f in self.schema.fields])
+        out = (audit.on(out) if audit is not None else out).withColumns(marks)
         # rebalance: a hot partition is split over tasks, small ones share one
         out.hint("rebalance", *marks).write.partitionBy(*marks).parquet(full)
-        failures = audit(self.spark.read.schema(self.schema).option("recursiveFileLookup", True).parquet(full)) if audit else []
+        failures = audit.failures() if audit is not None else []
         if failures:
             raise AuditFailed(f"{self.path}: version not committed: " + "; ".join(failures))
         values = [T.StructField(f"_p_{f.name}", f.dataType) for f in self._part_schema().fields]
         stored = self.spark.read.schema(T.StructType([*self.schema.fields, *values])).parquet(full)
         folder = F.concat(F.lit(data), F.regexp_extract(F.col("_metadata.file_path"), f"/{name}(/.*)/[^/]*$", 1))
         written = (stored.select(*[F.col(f"_p_{n}").alias(n) for n in self.parts], F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))).alias(FOLDER))
-                   .groupBy(*self.parts, FOLDER).agg(F.count(F.lit(1)).alias(ROWS)))
+                   .groupBy(*self.parts, FOLDER).agg(F.count(F.lit(1)).alias(ROWS), F.lit(len(self.contracts) - 1).alias(CONTRACT)))
         kept = self.manifest(base) if base is not None else self.manifest(None).limit(0)
         kept = kept.limit(0) if touched is None else self._of(kept, touched, "left_anti")
         both = os.path.join(self.path, "_manifests", name)

@@ -74,13 +74,18 @@ def layer_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFr
 
 def publish(df: DataFrame, root: str, layer: str, name: str, as_: str = "table",
             partition_by: list[str] | None = None, sort_within: list[str] | None = None,
-            audit=None) -> DataFrame:
+            audit=None, cluster_by: list[str] | None = None, lookups: list[str] = ()) -> DataFrame:
     """Materialise a layer: a temp view (recomputed on read) or a written table.
 
     Tables are written to a fresh versioned folder and then become the
     current version by a pointer file (write, audit, publish): readers never
     see a half-written or failing table, and the writer never reads its own
-    output. Versions older than the one before the current are removed. ``audit(written_df)`` returns a list of failure messages.
+    output. Versions older than the one before the current are removed.
+    ``audit``: a ``quality.Watch``, collected by the job that writes; any failure keeps
+    the version from being published. ``cluster_by``: deal rows to files by ranges of
+    these columns, and store the range of the first in every file beside the version,
+    so that ``read_mart`` opens only the files that a range of it needs; ``lookups`` get
+    bloom filters.
     """
     spark = df.sparkSession
     if as_ == "view":
@@ -88,22 +93,35 @@ def publish(df: DataFrame, root: str, layer: str, name: str, as_: str = "table",
         return df
     base = layer_path(root, layer, name)
     version = os.path.join(base, f"v={uuid.uuid4().hex}")
-    out = df.sortWithinPartitions(*sort_within) if sort_within else df
+    out = df
+    if cluster_by:
+        out = out.repartitionByRange(*cluster_by)
+        sort_within = sort_within or cluster_by
+    if audit is not None:
+        out = audit.on(out)   # after the exchange, whose sampling runs what lies before it
+    out = out.sortWithinPartitions(*sort_within) if sort_within else out
     w = out.write.mode("overwrite")
+    for c in lookups:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(version)
     written = spark.read.schema(out.schema).parquet(version)   # partition values keep their type
     if audit is not None:
-        failures = audit(written)
+        failures = audit.failures()
         if failures:
             raise AuditFailed(f"{layer}/{name} not published: " + "; ".join(failures))
+    if cluster_by:
+        first = F.col(cluster_by[0])
+        written.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+            F.min(first).alias("lo"), F.max(first).alias("hi"), F.count_if(first.isNull()).alias("nulls")).write.parquet(
+            os.path.join(version, FILE_RANGES))  # a name that readers of the version pass over
     _write_pointer(spark, base, version)
     _drop_old_versions(spark, base, version)
     return written
 
 
-POINTER = "CURRENT"
+POINTER, FILE_RANGES = "CURRENT", "_ranges"
 #: Versions kept beside the current one, for readers that opened them before the switch.
 KEPT_VERSIONS = 1
 
@@ -146,17 +164,31 @@ def current_version(spark: SparkSession, base: str) -> str | None:
 
 
 def read_mart(spark: SparkSession, root: str, name: str, layer: str = "marts",
-              sort: bool = False) -> DataFrame:
+              sort: bool = False, lo=None, hi=None) -> DataFrame:
     """Serving read: current version, lower-case column names, month as timestamp.
 
-    ``sort=True`` returns the rows ordered by month (the serving order of a
-    single-entity mart; a range shuffle, so leave it off for large panels).
+    ``lo``, ``hi``: only months from and up to these (inclusive). Of a table that is
+    clustered by month only the files whose months overlap are opened. ``sort=True``
+    returns the rows ordered by month (the serving order of a single-entity mart; a
+    range shuffle, so leave it off for large panels).
     """
     path = current_version(spark, layer_path(root, layer, name))
     if path is None:
         raise FileNotFoundError(f"no published table {layer}/{name}")
-    df = spark.read.parquet(path)
+    df, bounded = spark.read.parquet(path), lo is not None or hi is not None
+    if bounded and exists(spark, os.path.join(path, FILE_RANGES)):
+        ranges = spark.read.parquet(os.path.join(path, FILE_RANGES))
+        if lo is not None:
+            ranges = ranges.where(F.col("hi") >= F.lit(str(lo)).cast("date"))
+        if hi is not None:
+            ranges = ranges.where(F.col("lo") <= F.lit(str(hi)).cast("date"))
+        files = sorted(os.path.join(path, r[0]) for r in ranges.select("file").collect())  # names of the files that are read
+        df = spark.read.schema(df.schema).parquet(*files) if files else spark.createDataFrame([], df.schema)
     df = df.toDF(*[c.lower() for c in df.columns])
+    if bounded:
+        month = F.col("observation_month")
+        df = df.where((month >= F.lit(str(lo)).cast("date")) if lo is not None else F.lit(True)).where(
+            (month <= F.lit(str(hi)).cast("date")) if hi is not None else F.lit(True))
     if "observation_month" in df.columns:
         df = df.withColumn("observation_month", F.col("observation_month").cast("timestamp_ntz"))
         if sort:
