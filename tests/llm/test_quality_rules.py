@@ -85,3 +85,22 @@ def test_edge_cases(spark):
     assert Q.judge(empty, labels).count() == 0 and Q.keep_rows(empty, labels).count() == 0
     none = spark.createDataFrame([(None, 1, 0), (1, None, 0)], LABEL_SCHEMA)
     assert Q.judge(documents(spark, docs), none).where("kept").count() == len(docs)  # no labels: base rules only
+
+
+def test_tail_is_exact_and_fast():
+    """Against whole-number arithmetic, and at sizes where a sum of all terms takes seconds."""
+    import time
+    from fractions import Fraction
+    from math import comb
+
+    from tidemark.llm.quality_rules import binomial_tail
+
+    for n in (1, 7, 40, 300):
+        for p in (0.025, 0.5, 0.9):
+            q = Fraction(p)
+            for k in {0, n // 40, n // 3, n - 1, n}:
+                exact = float(sum(comb(n, i) * q ** i * (1 - q) ** (n - i) for i in range(k + 1)))
+                assert abs(binomial_tail(k, n, p) - exact) <= 1e-9 * exact + 1e-12
+    start = time.process_time()
+    tails = [binomial_tail(k, 90_000_000, 0.025) for k in (2_240_000, 2_249_000, 2_250_000, 2_251_000, 2_260_000)]
+    assert tails == sorted(tails) and 0.4 < tails[2] < 0.6 and time.process_time() - start < 5

@@ -112,6 +112,8 @@ def _percent(part: str, whole: str) -> Column:
     return F.expr(f"int(least(100, (100 * {part}) div greatest({whole}, 1)))")
 
 
+#: Labelled ids (8 bytes each) go out to the documents up to this number; beyond it all documents are counted.
+BROADCAST_LABELS = 1_000_000
 LEVELS = {"symbols": ("n_symbols", "n_words"), "capitals": ("n_capitals", "word_chars"),
           "repeats": ("n_repeat_words", "n_words"), "dup_lines": ("n_dup_lines", "n_lines")}
 
@@ -121,10 +123,23 @@ def with_levels(measured: DataFrame) -> DataFrame:
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(Bin(n, p) <= k), summed exactly term by term."""
+    """P(Bin(n, p) <= k), summed from the greatest term outwards until the terms vanish.
+
+    Below the mean the terms fall from k downwards, above it those of the other tail from
+    k + 1 upwards: some standard deviations of terms at any n, the rest is under 1e-18 of the sum."""
+    if k >= n:
+        return 1.0
     log = lambda i: (math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1)
                      + i * math.log(p) + (n - i) * math.log1p(-p))
-    return min(1.0, math.fsum(math.exp(log(i)) for i in range(k + 1)))
+    lower = k < n * p
+    terms, total = [], 0.0
+    for i in range(k, -1, -1) if lower else range(k + 1, n + 1):
+        terms.append(math.exp(log(i)))
+        total += terms[-1]
+        if terms[-1] <= 1e-18 * total:
+            break
+    tail = math.fsum(terms)
+    return min(1.0, tail) if lower else max(0.0, 1.0 - tail)
 
 
 def choose_cutoff(levels: np.ndarray, good: np.ndarray, bad: np.ndarray, risk: float, level: float,
@@ -203,7 +218,11 @@ def keep_rows(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     The verdict depends on text and stratum alone, so the cutoffs (at most one
     row per rule for each stratum that has some hundred labels) go to the documents and the counts are taken in the same pass: no join on
     document ids, hence null or repeated ids are no special case."""
-    measured = saved(measure(docs, options.get("stratum", "lang")), "rule-counts")
+    # cutoffs need the counts of labelled rows only: others are read once, by the filter
+    ids = labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").cast("long").alias("__rule_id")).distinct()
+    few = ids.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS
+    held = docs.join(F.broadcast(ids), F.col("doc_id").cast("long") == F.col("__rule_id"), "left_semi") if few else docs
+    measured = saved(measure(held, options.get("stratum", "lang")), "rule-counts")
     params = {k: options[k] for k in ("alpha", "delta", "cost") if k in options}
     cut = {(r.stratum, r.rule): r.cutoff for r in cutoffs(measured, labels, **params).where("cutoff is not null").collect()}
     stratum = options.get("stratum", "lang")
