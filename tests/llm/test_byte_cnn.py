@@ -74,3 +74,31 @@ def test_edge_cases(spark):
     assert {r.score for r in B.score(documents(spark, rows), one).collect()} == {1.0}
     assert {r.score for r in B.score(documents(spark, rows), one.limit(0)).collect()} == {0.5}
     assert B.keep_rows(documents(spark, rows), documents(spark, rows), labels).count() == 100
+
+
+def test_log_odds_match_a_plain_loop():
+    """The forward pass against its definition, byte by byte, chunk by chunk, for whole texts."""
+    rng = np.random.default_rng(9)
+    p = B.fit(rng.integers(0, 257, (4, B.CHUNK)).astype(np.int16), rng.random((4, B.CHUNK)) < 0.2, np.array([0, 1, 1, 0], np.float32), np.ones(4, np.float32))
+    p = {k: v + rng.normal(0, 0.05, v.shape).astype(np.float32) for k, v in p.items()}
+
+    def plain(text):
+        data, odds, start = text.encode(), [], 0
+        while True:
+            codes = [data[start + i] if start + i < len(data) else B.PAD for i in range(B.CHUNK)]
+            rep = [start + i < len(data) and start + i >= 3 and any(
+                start + i - lag - 3 >= 0 and data[start + i - 3:start + i + 1] == data[start + i - 3 - lag:start + i + 1 - lag] for lag in B.LAGS)
+                for i in range(B.CHUNK)]
+            x = [[*p["embed"][c], float(r)] for c, r in zip(codes, rep)]
+            best = [max(sum(float(v) for v in (np.array(x[i:i + B.WIDTH]).ravel() * p["conv"][:, f])) for i in range(0, B.CHUNK - B.WIDTH + 1, B.STRIDE))
+                    for f in range(B.FILTERS)]
+            pooled = [max(0.0, b + float(c)) for b, c in zip(best, p["conv_b"])]
+            hidden = [np.tanh(sum(a * float(w) for a, w in zip(pooled, p["dense"][:, h])) + float(p["dense_b"][h])) for h in range(B.HIDDEN)]
+            odds.append(sum(a * float(w) for a, w in zip(hidden, p["out"])) + float(p["out_b"][0]))
+            if start + B.CHUNK >= len(data):
+                return 1 / (1 + np.exp(-sum(odds) / len(odds)))
+            start += B.STEP
+
+    texts = ["", "short", "abcabcabcabc " * 30, "é" * 300, "".join(map(chr, rng.integers(32, 127, 1200)))]
+    raw, at = text_buffer(pa.array(texts))
+    assert np.allclose(B.scores(raw, at, p, 0.5), [plain(t) for t in texts], atol=1e-4)

@@ -80,12 +80,27 @@ def test_edge_cases(spark):
     assert M.mixed(documents(spark, []), {}).count() == 0
 
 
-def test_weights_and_frames_that_have_no_meaning_are_refused(spark):
+def test_weights_without_a_meaning_are_refused(spark):
     import pytest
 
     docs = documents(spark, [(1, "x", "en", "a")])
     for weights, default in (({"a": 0}, 1), ({"a": -3}, 1), ({}, 0), ({"a": 1.5}, 1)):
         with pytest.raises(ValueError, match="weights"):
             M.place(docs, weights, default)
-    with pytest.raises(ValueError, match="stored table"):
-        M.with_position(docs)
+
+
+def test_positions_of_a_frame_have_no_gaps(spark):
+    docs = documents(spark, [(i, f"t{i}", "en", "a") for i in range(40)]).repartition(5)
+    assert sorted(r.position for r in M.with_position(docs.where("doc_id > 9")).collect()) == list(range(30))
+
+
+def test_period_equals_a_plain_simulation(spark):
+    """Earliest deadline first over the released blocks, one slot after the other."""
+    for weights in ((1,), (3, 5), (5,) + (1,) * 19, (7, 7, 2, 11), (2, 3, 4, 5, 6)):
+        total, given, plain = sum(weights), [0] * len(weights), []
+        for t in range(total):
+            ready = [(math.ceil((given[i] + 1) * total / w), i) for i, w in enumerate(weights) if given[i] * total // w <= t]
+            i = min(ready)[1]
+            given[i] += 1
+            plain.append(i)
+        assert M.period(spark, weights) == plain

@@ -154,9 +154,9 @@ def with_position(docs: DataFrame, column: str = "position") -> DataFrame:
     Spark reads the files of a table longest first, so the order that ``mixed``
     was written in is that of the part numbers and of the rows in a part, not that
     of a scan. The driver sees one count per file. A frame that is no stored
-    table has no order and is refused."""
+    table is written first and has the order of its partitions."""
     if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
-        raise ValueError("positions are those of a stored table: write the frame and read it again")
+        docs = saved(docs, "mix-positions")
     at = docs.select("*", F.col("_metadata.file_path").alias("__mix_file"), F.col("_metadata.file_name").alias("__mix_name"),
                      F.col("_metadata.row_index").alias("__mix_row"))
     files = sorted(at.groupBy("__mix_name", "__mix_file").count().collect(), key=lambda r: (_part(r[0]), r[1]))
