@@ -283,7 +283,7 @@ def model_text(path: str | None = None) -> str:
 
 
 #: Characters of a text that deal out documents of one id.
-ORDER_CHARS = 256
+ORDER_CHARS = 32
 SHARDS = "part int, shard int, first_in_part long, n_docs long, n_ids long, doc_ids array<long>, image binary"
 
 
