@@ -113,7 +113,7 @@ def _percent(part: str, whole: str) -> Column:
 
 
 #: Labelled ids (8 bytes each) go out to the documents up to this number; beyond it all documents are counted.
-BROADCAST_LABELS = 1_000_000
+BROADCAST_LABELS = 100_000
 LEVELS = {"symbols": ("n_symbols", "n_words"), "capitals": ("n_capitals", "word_chars"),
           "repeats": ("n_repeat_words", "n_words"), "dup_lines": ("n_dup_lines", "n_lines")}
 
