@@ -48,6 +48,14 @@ def content(df, columns=None):
     return sorted(map(tuple, df.select(*(columns or df.columns)).collect()), key=repr)
 
 
+def same_summary(got, want):
+    """Equal rows; means may differ by one in the last digit (a sum of sums rounds a tie another way)."""
+    a, b = content(got, want.columns), content(want)
+    mean = [c.endswith("_avg") for c in want.columns]
+    return len(a) == len(b) and all(x == y or m and None not in (x, y) and abs(x - y) < 0.0101
+                                    for p, q in zip(a, b) for x, y, m in zip(p, q, mean))
+
+
 MONTHS = [(y, m) for y in range(1999, 2006) for m in range(1, 13)]
 
 
@@ -69,7 +77,7 @@ def test_random_batches_equal_a_full_recompute(spark, workdir, seed):
     state |= {r[:3]: r[3] for r in batches[1]}
     want = full(spark, state)
     assert content(panel.dashboard(), want.columns) == content(want) and panel.months.version() == version + 1
-    assert content(panel.summary()) == content(marts.indicator_summary(want, ["entity"]), panel.summary().columns)
+    assert same_summary(panel.summary(), marts.indicator_summary(want, ["entity"]))
 
 
 def test_only_touched_partitions_are_read_and_written(spark, workdir):
@@ -153,7 +161,7 @@ def test_states_merge_to_the_summary_and_counts(spark):
     dash = full(spark, state)
     per = states.summary_states(dash, ["entity"])
     want = marts.indicator_summary(dash, ["entity"])
-    assert content(states.summary_of(per, ["entity"]), want.columns) == content(want) and any(r.entity == "k" for r in want.collect())
+    assert same_summary(states.summary_of(per, ["entity"]), want) and any(r.entity == "k" for r in want.collect())
     want = serving.observation_counts(dash, keys=["entity"])
     assert content(states.counts_of(per, ["entity"]), want.columns) == content(want)
     values = align.monthly_values(obs, keys=["entity"], dates_of="UNRATE")
@@ -179,7 +187,7 @@ def test_states_of_a_load_that_stopped_are_made_good(spark, workdir, monkeypatch
                 m.setattr(Panel, "_refresh_states", lambda *a: None)
             panel.load(frame(spark, [r]), AS_OF, "2024-01-01")
         want = marts.indicator_summary(full(spark, state), ["entity"])
-        assert content(panel.summary(), want.columns) == content(want)
+        assert same_summary(panel.summary(), want)
     assert panel.states.version() == version + 1 and panel.states.note(version + 1) == str(panel.months.version())
 
 
@@ -210,7 +218,7 @@ def test_incremental_run_equals_the_layered_run(spark, workdir):
         want = tables.read_current(spark, cfg["full"].root, "marts", "economic_dashboard")
         assert content(panel.dashboard(), want.columns) == content(want) and want.count() > 0
         summary = [tables.read_current(spark, c.root, "marts", "indicator_summary") for c in cfg.values()]
-        assert content(summary[0]) == content(summary[1], summary[0].columns)
+        assert same_summary(*summary)
     raw = tables.read_observations(spark, os.path.join(cfg["inc"].root, "raw", "observations"), ["entity"])
     assert raw.columns == [f.name for f in observations_contract(["entity"]).fields]
     payloads(os.path.join(workdir, "land2"), [("a", "UNRATE", "2001-01-01", "bad")])
