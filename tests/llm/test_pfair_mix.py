@@ -104,3 +104,84 @@ def test_period_equals_a_plain_simulation(spark):
             given[i] += 1
             plain.append(i)
         assert M.period(spark, weights) == plain
+
+
+def many_sources(m, most, seed):
+    rng = random.Random(seed)
+    return [(f"h{i:04d}", rng.choice([1, 1, 1, 1, 2, 3, 7]), rng.randint(0, most)) for i in range(m)]
+
+
+def plain_order(sources):
+    """(source, block) slot by slot: earliest deadline first over the groups of equal weight, turns by falling block counts."""
+    groups = {}
+    for s, w, n in sorted(sources):
+        if n:
+            groups.setdefault(w, []).append((-n, s))
+    queues = []
+    for w, g in groups.items():
+        g.sort()
+        queues.append((w, [(s, j) for j in range(-g[0][0]) for n, s in g if j < -n]))
+    size = {s: n for s, _, n in sources}
+    out = []
+    live = [len(groups[w]) for w, _ in queues]
+    while any(live):
+        weights = [w * k for (w, _), k in zip(queues, live)]
+        total, given, t = sum(weights), [0] * len(live), 0
+        while True:
+            ready = [(math.ceil((given[i] + 1) * total / w), i) for i, w in enumerate(weights) if w and given[i] * total // w <= t]
+            i = min(ready)[1]
+            s, j = queues[i][1].pop(0)
+            out.append((s, j))
+            given[i] += 1
+            t += 1
+            if j == size[s] - 1:
+                live[i] -= 1
+                break
+    return out
+
+
+def slots_of(sources):
+    """(source, block) slot by slot, from the tables that the rows are joined with."""
+    members, steps, ends = M.turns(sources)
+    at = {}
+    for g, used, n, offsets, total, first in M.phases(ends):
+        for p in range(n):
+            at[g, used + p] = first + p // len(offsets) * total + offsets[p % len(offsets)]
+    size, out = {s: n for s, _, n in sources}, {}
+    for s, g, r in members:
+        for j in range(size[s]):
+            (lo, k, base), = [(lo, k, base) for h, lo, hi, k, base in steps if h == g and lo <= j < hi]
+            out[at[g, base + (j - lo) * k + r]] = (s, j)
+    assert sorted(out) == list(range(len(out)))
+    return [out[t] for t in range(len(out))]
+
+
+def test_turns_and_phases_equal_a_plain_simulation():
+    for m, most, seed in ((1, 5, 0), (2, 9, 1), (7, 40, 2), (40, 12, 3), (40, 3, 4), (12, 300, 5)):
+        sources = many_sources(m, most, seed)
+        assert slots_of(sources) == plain_order(sources)
+    alike = [(f"s{i}", 1, 4) for i in range(9)]
+    assert slots_of(alike) == plain_order(alike)
+
+
+def test_a_thousand_sources_are_planned_within_seconds():
+    import time
+
+    sources, start = many_sources(1000, 400, 6), time.time()
+    _, steps, ends = M.turns(sources)
+    plan = list(M.phases(ends))
+    assert time.time() - start < 10
+    assert len(steps) <= 1000 and len(plan) <= 1000 * len(ends)
+    assert sum(n for _, _, n, *_ in plan) == sum(n for *_, n in sources)
+
+
+def test_many_sources_without_a_broadcast(spark, monkeypatch):
+    sources = [x for x in many_sources(150, 9, 7) if x[2]]
+    docs = [(i, f"t{i}", "en", s) for i, s in enumerate(s for s, _, n in sources for _ in range(2 * n - 1))]
+    weights = {s: w for s, w, _ in sources}
+    sizes = {s: 2 * n - 1 for s, _, n in sources}
+    out = placed(M.place(documents(spark, docs), weights, block_rows=2))
+    check(out, weights, 1, 2, sizes)
+    monkeypatch.setattr(M, "BROADCAST_NUMBERS", 0)
+    monkeypatch.setattr(M, "BROADCAST_ROWS", 0)
+    assert placed(M.place(documents(spark, docs), weights, block_rows=2)) == out
