@@ -103,3 +103,48 @@ def test_one_row_of_each_class_stays_with_null_and_repeated_ids(spark):
 def test_components(spark, edges, want):
     out = components(spark.createDataFrame(edges, "a long, b long"), "test")
     assert {r.node: r.component for r in out.collect()} == want
+
+
+def test_bands_hold_all_that_links():
+    edges = J.band_edges(most=5000)
+    for small in range(1, 4000):
+        large = small * 5 // 4  # the largest size that can link
+        bands = np.searchsorted(edges, [small, large], side="right") - 1
+        assert 0 <= bands[0] <= bands[1] <= bands[0] + 1
+
+
+@pytest.mark.parametrize("block", [3, 7, 1000])
+def test_pairs_of_blocks_in_bands_lose_no_link(spark, monkeypatch, block):
+    """Groups over several parts, bands and blocks: chains of texts that grow past several bands, and near copies."""
+    monkeypatch.setattr(J, "BLOCK", 4)
+    monkeypatch.setattr(J, "PAIR_BLOCK", block)
+    rng = random.Random(block)
+    words = [f"g{i}" for i in range(400)]
+    docs = [(i, " ".join(words[:20 + 6 * i])) for i in range(50)]
+    docs += [(100 + i, " ".join([*words[:60], *(rng.choice(words) for _ in range(i % 9))])) for i in range(30)]
+    docs += [(200 + i, " ".join(rng.choices(words, k=40))) for i in range(5)]
+    assert got(J.join(documents(spark, docs))) == sorted(links_and_classes(docs), key=repr)
+
+
+def test_texts_of_one_first_hash_are_told_apart(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    whole = J.text_ids
+    monkeypatch.setattr(J, "text_ids", lambda text: {**whole(text), "hash": F.pmod(whole(text)["hash"], F.lit(7))})
+    docs = corpus(5, 6, seed=8)
+    assert got(J.join(documents(spark, docs))) == sorted(links_and_classes(docs), key=repr)
+    ids = sorted(r.doc_id for r in J.keep_rows(documents(spark, docs)).collect())
+    assert ids == sorted({c for _, c, _ in links_and_classes(docs)})
+
+
+def test_differences_give_the_exact_links():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (40, 45, 50, 200, 200, 210, 3, 1)]
+    sets += [sets[3][:-1], sets[3], sets[0][2:]]
+    lead, size = sets[3], np.array([len(s) for s in sets])
+    least = {J.LOOK: 0}  # nothing pruned
+    links, _ = J.link_counts([np.setxor1d(s, lead) for s in sets], size, np.zeros((len(sets), J.HASHES), np.uint16),
+                             np.zeros(len(sets), np.int32), False, np.ones(len(sets), np.int64), least)
+    for i, s in enumerate(sets):
+        both = [(len(np.intersect1d(s, o)), len(np.union1d(s, o))) for j, o in enumerate(sets) if j != i]
+        assert links[i] == sum(5 * a >= 4 * b for a, b in both)

@@ -13,15 +13,24 @@ the threshold (0.8 of 5-word shingles). The steps:
    the threshold after m of n agreements is P(Bin(n + 1, t) <= m); the pair is
    dropped as soon as it falls under TOLERANCE. A bucket yields a spanning
    forest of what survives, never its pairs.
-3. Connected components of those forests are groups that no link leaves. The
-   texts of a group meet once; in it all pairs are pruned in the same way and
-   the rest are verified exactly on the full shingle sets. A task returns link
-   counts and a spanning forest of the verified links.
+3. Connected components of those forests are groups that no link leaves. Each
+   text of a group is read once more and becomes its size and its difference: the
+   shingles that it does not share with the text that leads the group. Since
+   A ^ B = (A ^ L) ^ (B ^ L) for any L, sizes and differences give the exact
+   similarity of two texts. In a group all pairs are pruned in the same way as in
+   2 and the rest are verified exactly. A task returns link counts and a spanning
+   forest of the verified links.
 4. Components of the verified links are the classes.
 
-Buckets and groups over BLOCK members (or BLOCK_SHINGLES shingles) are dealt
-out as pairs of blocks, so no task holds a whole hot group and no link is lost;
-nothing is capped.
+Buckets over BLOCK members are dealt out as pairs of blocks. Groups over BLOCK
+members (or BLOCK_SHINGLES shingles) make their differences in several tasks, each
+with a copy of the leading text, and are then cut into length bands, of which only
+neighbours can link, and bands into blocks of PAIR_BLOCK members that meet in
+pairs. What is copied to the pairs is signatures and differences, never texts. So
+no task holds a whole hot group and no link is lost; nothing is capped.
+
+Texts are told apart by two 64-bit hashes. Nodes have 64 bits: a text whose first
+hash another text has too (some three pairs among 10**10 texts) gets another node.
 
 Edge cases: a null or blank text has no shingles, is in a class of its own and
 has no link; a text of 1 to 4 words is one shingle; null and repeated ids are
@@ -38,9 +47,10 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_small
 from .common import prepare, saved, text_buffer
 from .components import components
 from .shingles import minhashes, shingle_sets
@@ -50,6 +60,8 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 LOOK, TOLERANCE = 16, 1e-8
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+#: Members of a block of a group too large for one task: a pair of blocks is one task.
+PAIR_BLOCK = 2048
 
 
 def least_matches(threshold: Fraction = THRESHOLD, tolerance: float = TOLERANCE) -> dict[int, int]:
@@ -109,19 +121,29 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sigs[i] = minhashes(s, HASHES)
         bands = sigs.view(np.int64)  # ROWS values of 16 bits are one 64-bit band
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), b.column("rid"), pa.array(sizes),
+            [b.column("doc_id"), b.column("hash"), b.column("hash2"), pa.array(sizes),
              pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel()))],
-            names=["doc_id", "rid", "n_shingles", "sig"])
+            names=["doc_id", "hash", "hash2", "n_shingles", "sig"])
+
+
+TEXT = ["hash", "hash2"]
 
 
-def text_id(text: Column) -> Column:
-    """64-bit identity of a text."""
-    return F.xxhash64(F.coalesce(text, F.lit("")), F.length(text), F.crc32(text.cast("binary")))
+def text_ids(text: Column) -> dict[str, Column]:
+    """Two independent 64-bit hashes, which together are the identity of a text."""
+    whole = F.coalesce(text, F.lit(""))
+    return {"hash": F.xxhash64(whole), "hash2": F.xxhash64(F.lit(20231), whole, F.length(whole), F.crc32(whole.cast("binary")))}
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select(
-        "doc_id", text_id(F.col("text")).alias("rid"), "text")
+        "doc_id", "text", *(c.alias(n) for n, c in text_ids(F.col("text")).items()))
+
+
+def with_node(texts: DataFrame) -> DataFrame:
+    """``texts`` (one row of each) with ``rid``, their 64-bit node: the first hash, or another one where that is taken."""
+    taken = F.row_number().over(Window.partitionBy("hash").orderBy("hash2")) > 1
+    return texts.withColumn("rid", F.when(taken, F.xxhash64("hash2", "hash")).otherwise(F.col("hash")))
 
 
 # ------------------------------------------------------------------ blocks
@@ -216,19 +238,31 @@ def candidate_edges(reps: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ exact links
 
-GROUP = ["component", "bi", "bj"]
+PART, GROUP = ["component", "part"], ["component", "bi", "bj"]
+
 
+def band_edges(threshold: Fraction = THRESHOLD, most: int = 1 << 40) -> np.ndarray:
+    """First size of each length band; texts that link are of one band or of neighbours.
 
-def link_counts(sets: list[np.ndarray], sigs: np.ndarray, side: np.ndarray, crossed: bool, weight: np.ndarray,
-                least: dict[int, int]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    A size s links up to floor(s / threshold); with edges e' = floor(e / threshold) + 1 that of a size
+    under e' is under the edge after it."""
+    edges = [1]
+    while edges[-1] < most:
+        edges.append(edges[-1] * threshold.denominator // threshold.numerator + 1)
+    return np.array(edges, np.int64)
+
+
+def link_counts(deltas: list[np.ndarray], size: np.ndarray, sigs: np.ndarray, side: np.ndarray, crossed: bool,
+                weight: np.ndarray, least: dict[int, int]) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Exact links of a group: summed partner weights of each row, and a spanning forest.
 
+    ``deltas``: the symmetric difference of each set with one set, the same for all; ``size``: sizes of the sets.
     ``crossed`` (two different blocks): only rows with different sides are compared, and
     none if one of the blocks is empty; pairs inside a block are those of its own group."""
-    n = len(sets)
-    vocabulary, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    size = np.array([len(s) for s in sets])
-    starts = np.cumsum(size) - size
+    n = len(deltas)
+    vocabulary, ids = np.unique(np.concatenate(deltas), return_inverse=True)
+    differ = np.array([len(d) for d in deltas])
+    starts = np.cumsum(differ) - differ
     mark = np.zeros(len(vocabulary), bool)
     links, root, edges = np.zeros(n, np.int64), np.arange(n), []
     num, den = THRESHOLD.numerator, THRESHOLD.denominator
@@ -242,12 +276,16 @@ def link_counts(sets: list[np.ndarray], sigs: np.ndarray, side: np.ndarray, cros
         rest = rest[survivors(sigs[a], sigs[rest], least)]
         if not len(rest):
             continue
-        own = ids[starts[a]:starts[a] + size[a]]
+        own = ids[starts[a]:starts[a] + differ[a]]
         mark[own] = True
-        where = np.repeat(starts[rest] - (np.cumsum(size[rest]) - size[rest]), size[rest]) + np.arange(size[rest].sum())
-        inter = np.add.reduceat(mark[ids[where]].astype(np.int64), np.cumsum(size[rest]) - size[rest])
+        ends = np.cumsum(differ[rest])
+        where = np.repeat(starts[rest] - (ends - differ[rest]), differ[rest]) + np.arange(ends[-1])
+        before = np.concatenate([[0], np.cumsum(mark[ids[where]])])
+        both = before[ends] - before[ends - differ[rest]]
         mark[own] = False
-        hit = rest[inter * den >= num * (size[rest] + size[a] - inter)]
+        total = size[rest] + size[a]
+        inter = (total - (differ[rest] + differ[a] - 2 * both)) // 2
+        hit = rest[inter * den >= num * (total - inter)]
         links[a] += weight[hit].sum()
         links[hit] += weight[a]
         new = hit[root[hit] != root[a]]
@@ -258,60 +296,137 @@ def link_counts(sets: list[np.ndarray], sigs: np.ndarray, side: np.ndarray, cros
     return links, edges
 
 
-def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    least = least_matches()
-    for t, starts in _groups(batches, GROUP):
-        a, b, links = [], [], []
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
+MEMBERS = pa.schema([*LINKS, ("component", pa.int64()), ("weight", pa.int64()), ("sig", pa.list_(pa.int64())),
+                     ("size", pa.int64()), ("band", pa.int32()), ("delta", pa.list_(pa.int64()))])
+LINKS_SQL = "a long, b long, links long"
+MEMBERS_SQL = LINKS_SQL + ", component long, weight long, sig array<long>, size long, band int, delta array<long>"
+
+
+def _batch(columns: dict, n: int, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type)
+                                       for f in schema], schema=schema)
+
+
+def _found(rid: np.ndarray, links: np.ndarray, edges: list[tuple[int, int]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows (a, null, links) of the counts and (a, b, 0) of the forest."""
+    yield _batch({"a": rid, "links": links}, len(rid), schema)
+    if edges:
+        e = np.array(edges, np.int64)
+        yield _batch({"a": rid[e[:, 0]], "b": rid[e[:, 1]], "links": np.zeros(len(e), np.int64)}, len(e), schema)
+
+
+def _each(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups one by one, rows that are repeated (of one rid) once, in their order."""
+    for t, starts in _groups(batches, keys):
         for lo, hi in zip(starts[:-1], starts[1:]):
             g = t.slice(lo, hi - lo)
-            rid = g.column("rid").to_numpy()
-            _, first = np.unique(rid, return_index=True)  # a document row that is repeated counts once
-            if len(first) < len(rid):
-                g = g.take(pa.array(np.sort(first)))
-                rid = g.column("rid").to_numpy()
-            side, crossed = g.column("side").to_numpy(), g.column("bi")[0] != g.column("bj")[0]
-            if len(rid) < 2 or crossed and len(np.unique(side)) < 2:
-                continue
-            sets = list(shingle_sets(*text_buffer(g.column("text").combine_chunks()), WORDS))
-            n, edges = link_counts(sets, _signatures(g.column("sig")), side, crossed,
-                                   g.column("weight").to_numpy(), least)
-            a.extend([rid, rid[[x for x, _ in edges]] if edges else rid[:0]])
-            b.extend([pa.nulls(len(rid), pa.int64()), pa.array(rid[[y for _, y in edges]] if edges else rid[:0], pa.int64())])
-            links.extend([n, np.zeros(len(edges), np.int64)])
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.concat_arrays(b), pa.array(np.concatenate(links))],
-                                             names=["a", "b", "links"])
+            _, first = np.unique(g.column("rid").to_numpy(), return_index=True)
+            yield g.take(pa.array(np.sort(first))) if len(first) < g.num_rows else g
+
+
+def _part_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of the groups that are whole in a part; members with their differences of the others."""
+    least, edges_of = least_matches(), band_edges()
+    for g in _each(batches, PART):
+        sets = list(shingle_sets(*text_buffer(g.column("text").combine_chunks()), WORDS))
+        lead = sets[0]  # the leading text comes first
+        own = np.flatnonzero(~g.column("guest").to_numpy())
+        deltas = [np.setxor1d(sets[i], lead, assume_unique=True) for i in own]
+        size = np.array([len(sets[i]) for i in own], np.int64)
+        members = g.take(pa.array(own))
+        if not members.num_rows:
+            continue
+        rid, weight, sig = members.column("rid").to_numpy(), members.column("weight").to_numpy(), members.column("sig")
+        if g.column("k")[0].as_py() == 1:
+            side = np.zeros(len(rid), np.int32)
+            yield from _found(rid, *link_counts(deltas, size, _signatures(sig), side, False, weight, least), MEMBERS)
+            continue
+        at = np.concatenate([[0], np.cumsum([len(d) for d in deltas])]).astype(np.int32)
+        columns = {"a": rid, "component": members.column("component").to_numpy(), "weight": weight, "size": size,
+                   "band": (np.searchsorted(edges_of, size, side="right") - 1).astype(np.int32)}
+        out = {f.name: pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(len(rid), f.type) for f in MEMBERS}
+        out["sig"] = sig.combine_chunks().cast(MEMBERS.field("sig").type)
+        out["delta"] = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(deltas).view(np.int64))).cast(
+            MEMBERS.field("delta").type)
+        yield pa.RecordBatch.from_arrays([out[f.name] for f in MEMBERS], schema=MEMBERS)
+
+
+def _pair_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each pair of blocks."""
+    least = least_matches()
+    for g in _each(batches, GROUP):
+        side, crossed = g.column("side").to_numpy(), g.column("bi")[0] != g.column("bj")[0]
+        if g.num_rows < 2 or crossed and len(np.unique(side)) < 2:
+            continue
+        delta = g.column("delta").combine_chunks()
+        at, values = delta.offsets.to_numpy(), delta.values.to_numpy(zero_copy_only=False).astype(np.int64)
+        deltas = [values[lo:hi] for lo, hi in zip(at[:-1], at[1:])]
+        yield from _found(g.column("rid").to_numpy(), *link_counts(
+            deltas, g.column("size").to_numpy(), _signatures(g.column("sig")), side, crossed,
+            g.column("weight").to_numpy(), least), LINKS)
+
+
+def parts(members: DataFrame) -> DataFrame:
+    """Members dealt to the ``k`` parts of their group, the leading text (a ``guest`` but in its own) to all of them, first."""
+    own = F.pmod(F.xxhash64("rid", F.lit(5)), F.col("k")).cast("int")
+    leads = F.col("rid") == F.col("component")
+    dealt = (members.withColumn("part", F.explode(F.when(leads, F.sequence(F.lit(0), F.col("k") - 1)).otherwise(F.array(own))))
+             .withColumn("guest", leads & (F.col("part") != own)))
+    return dealt.repartition(*PART).sortWithinPartitions(*PART, (~leads).cast("int"))
+
+
+def band_pairs(members: DataFrame) -> DataFrame:
+    """Members dealt to the pairs of blocks (bi, bj) of their own and the neighbouring length bands.
+
+    A block is its band and a number under the band's count of blocks. ``side`` tells the two blocks of a pair apart."""
+    bands = members.groupBy("component", "band").agg(F.greatest(
+        F.ceil(F.count("*") / PAIR_BLOCK), F.ceil(F.sum(F.size("delta")) / BLOCK_SHINGLES), F.lit(1)).cast("long").alias("n"))
+    near = (bands.select("component", "band", "n", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("of"))
+            .groupBy("component", F.col("of").alias("band"))
+            .agg(F.collect_list(F.struct("band", "n")).alias("near"), F.max(F.when(F.col("of") == F.col("band"), F.col("n"))).alias("n")))
+    near = broadcast_if_small(saved(near.where("n is not null"), "bands"))
+    own = F.shiftleft(F.col("band").cast("long"), 32) + F.pmod(F.xxhash64("rid", F.lit(7)), F.col("n"))
+    others = F.flatten(F.transform("near", lambda x: F.transform(
+        F.sequence(F.lit(0).cast("long"), x["n"] - 1), lambda i: F.shiftleft(x["band"].cast("long"), 32) + i)))
+    dealt = (members.join(near, ["component", "band"]).withColumn("own", own).withColumn("other", F.explode(others))
+             .withColumns({"bi": F.least("own", "other"), "bj": F.greatest("own", "other")})
+             .withColumn("side", ((F.col("own") == F.col("bj")) & (F.col("bi") != F.col("bj"))).cast("int"))
+             .select(*GROUP, "side", "rid", "weight", "sig", "size", "delta"))
+    return dealt.repartition(*GROUP).sortWithinPartitions(*GROUP)
 
 
 def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """doc_id, rid and n_shingles of every row; rid, class_id, n_links and leader of every text that is not blank.
+    """doc_id, hash, hash2 and n_shingles of every row; hash, hash2, rid, class_id, n_links and leader of every text that is not blank.
 
     The leader is the text (rid) that stands for its class: that of the least id, of several the least rid."""
     prepare(docs.sparkSession)
     narrow = _narrow(docs)
-    signed = saved(narrow.mapInArrow(_sign, "doc_id long, rid long, n_shingles long, sig array<long>"), "minhash")
-    reps = saved(signed.where("n_shingles > 0").groupBy("rid").agg(
-        F.count("*").alias("weight"), F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"),
-        F.min("sig").alias("sig")), "texts")
+    signed = saved(narrow.mapInArrow(_sign, "doc_id long, hash long, hash2 long, n_shingles long, sig array<long>"), "minhash")
+    reps = saved(with_node(signed.where("n_shingles > 0").groupBy(*TEXT).agg(
+        F.count("*").alias("weight"), F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n_shingles"),
+        F.min("sig").alias("sig"))), "texts")
     group = saved(components(candidate_edges(reps), "candidates"), "groups")
     info = group.join(reps, group.node == reps.rid).drop("node")
     blocks = info.groupBy("component").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("k"))
-    held = (info.join(blocks, "component")
-            .select("component", "rid", F.col("doc_id").alias("first_id"), "weight", "sig", "k"))
-    texts = narrow.join(held, (narrow.rid == held.rid) & narrow.doc_id.eqNullSafe(held.first_id)).select(
-        "component", held.rid, "weight", "sig", "k", "text")
-    links = saved(blocked(texts, ["component"]).mapInArrow(_group_links, "a long, b long, links long"), "links")
+    held = info.join(blocks, "component").select("component", *TEXT, "rid", "first_id", "weight", "sig", "k")
+    texts = narrow.join(held, [narrow[c] == held[c] for c in TEXT] + [narrow.doc_id.eqNullSafe(held.first_id)]).select(
+        "component", "rid", "weight", "sig", "k", "text")
+    parted = saved(parts(texts).mapInArrow(_part_links, MEMBERS_SQL), "parts")
+    members = parted.where("component is not null").drop("b", "links").withColumnRenamed("a", "rid")
+    paired = saved(band_pairs(members).mapInArrow(_pair_links, LINKS_SQL), "links")
+    links = parted.where("component is null").select("a", "b", "links").unionAll(paired)
     classes = components(links.where("b is not null").select("a", "b"), "classes")
     counts = links.where("b is null").groupBy(F.col("a").alias("rid")).agg(F.sum("links").alias("links"))
-    member = reps.select("rid", "weight", "doc_id").join(
+    member = reps.select("rid", *TEXT, "weight", F.col("first_id").alias("doc_id")).join(
         classes.withColumnRenamed("node", "rid"), "rid", "left").join(counts, "rid", "left").withColumn(
         "component", F.coalesce("component", "rid"))
     least_id = member.groupBy("component").agg(
         F.min("doc_id").alias("class_id"),
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))["rid"].alias("leader"))
     return signed, saved(member.join(least_id, "component").select(
-        "rid", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "leader"), "classes")
+        *TEXT, "rid", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "leader"), "classes")
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -319,10 +434,13 @@ def join(docs: DataFrame) -> DataFrame:
 
     ``n_links`` counts the other rows, copies included, at or over the threshold."""
     signed, per_text = classes_of(docs)
-    rows = signed.select("doc_id", F.when(F.col("n_shingles") > 0, F.col("rid")).alias("rid"))
-    return (rows.where("rid is not null").join(per_text, "rid").select("doc_id", "class_id", "n_links")
-            .unionAll(rows.where("rid is null").select("doc_id", F.col("doc_id").alias("class_id"),
-                                                       F.lit(0).cast("long").alias("n_links"))))
+    rows = signed.where("n_shingles > 0").select("doc_id", *TEXT)
+    return (rows.join(per_text, TEXT).select("doc_id", "class_id", "n_links")
+            .unionAll(signed.where("n_shingles = 0").select("doc_id", F.col("doc_id").alias("class_id"),
+                                                            F.lit(0).cast("long").alias("n_links"))))
+
+
+_HELPERS = {c: f"__join_{c}" for c in TEXT}
 
 
 def keep_rows(docs: DataFrame) -> DataFrame:
@@ -333,14 +451,15 @@ def keep_rows(docs: DataFrame) -> DataFrame:
     Columns are those of ``docs``."""
     signed, per_text = classes_of(docs)
     blank = signed.where("n_shingles = 0")
-    heads = per_text.where("rid = leader").select(F.col("rid").alias("__join_rid"), F.col("class_id").alias("__join_id"),
-                                                  F.lit(False).alias("__join_blank"))
-    heads = heads.unionAll(blank.where("doc_id is not null").select("rid", "doc_id", F.lit(True)).distinct())
-    own = docs.withColumns({"__join_own": F.col("doc_id").cast("long"), "__join_text": text_id(F.col("text").cast("string"))})
-    found = own.join(heads, (F.col("__join_text") == F.col("__join_rid")) & F.col("__join_own").eqNullSafe(F.col("__join_id")))
-    once = found.withColumns({"__join_text": F.when(~F.col("__join_blank"), F.col("__join_text")),
-                              "__join_own": F.when(F.col("__join_blank"), F.col("__join_own"))}
-                             ).dropDuplicates(["__join_text", "__join_own"])
-    nameless = blank.where("doc_id is null").select(F.col("rid").alias("__join_text")).distinct()
-    rest = own.where("__join_own is null").join(nameless, "__join_text", "left_semi")
+    heads = per_text.where("rid = leader").select(*TEXT, F.col("class_id").alias("__join_id"), F.lit(False).alias("__join_blank"))
+    heads = heads.unionAll(blank.where("doc_id is not null").select(*TEXT, "doc_id", F.lit(True)).distinct())
+    heads = heads.withColumnsRenamed(_HELPERS)
+    own = docs.withColumns({"__join_own": F.col("doc_id").cast("long"),
+                            **{_HELPERS[n]: c for n, c in text_ids(F.col("text").cast("string")).items()}})
+    found = own.join(heads, [own[c] == heads[c] for c in _HELPERS.values()] + [own["__join_own"].eqNullSafe(heads["__join_id"])])
+    once = found.select(*(own[c] for c in docs.columns), *(
+        F.when(~F.col("__join_blank"), own[c]).alias(c) for c in _HELPERS.values()),
+        F.when(F.col("__join_blank"), own["__join_own"]).alias("__join_own")).dropDuplicates([*_HELPERS.values(), "__join_own"])
+    nameless = blank.where("doc_id is null").select(*TEXT).distinct().withColumnsRenamed(_HELPERS)
+    rest = own.where("__join_own is null").join(nameless, list(_HELPERS.values()), "left_semi")
     return once.select(*docs.columns).unionAll(rest.select(*docs.columns))
