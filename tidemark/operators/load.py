@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import is_bad_value, parse_value, truncate_text
 from ..schemas import DEFAULT_SERIES, DEFAULT_START_DATE, INGESTION_LOG, MAX_LENGTHS, SeriesSpec
@@ -38,7 +39,11 @@ def dedup_batch(batch: DataFrame, keys: Sequence[str], order: Sequence[Column] |
     from .dedup import latest_per_key
 
     if order is None:
-        order = [F.col(c).desc_nulls_last() for c in batch.columns if c not in keys]
+        rest = [c for c in batch.columns if c not in keys]
+        if len(rest) == 1 and isinstance(batch.schema[rest[0]].dataType, T.NumericType):
+            # the greatest row of a key is its greatest number: a hash aggregate, no sort
+            return batch.groupBy(*keys).agg(F.max(rest[0]).alias(rest[0])).select(*batch.columns)
+        order = [F.col(c).desc_nulls_last() for c in rest]
     return latest_per_key(batch, list(keys), list(order))
 
 

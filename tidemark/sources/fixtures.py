@@ -9,7 +9,7 @@ tables that feed the asked series are read.
 from __future__ import annotations
 
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import month_of
@@ -71,11 +71,31 @@ def _series(fine: DataFrame, keys, grains: dict[str, Column], rows: dict[str, di
     return x.select(*keys, F.inline(one))
 
 
-def econ_observations(spark: SparkSession, sf_dir: str, entity: str | None = None, series=None) -> DataFrame:
+def _placed_series(fine: DataFrame, keys, grains: dict[str, Column], rows: dict[str, dict[str, Column]]) -> DataFrame:
+    """``_series`` of two grains, finer first, of rows that lie together by (keys, coarser grain) already.
+
+    The coarser sums come from a window over the finer rows and stand with the first of them: no second shuffle."""
+    (lo, lo_at), (hi, hi_at) = grains.items()
+    sums = [c for c in fine.columns if c == "n" or c.startswith("s_")]
+    w = Window.partitionBy(*keys, hi).orderBy(lo)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def items(g: str) -> Column:
+        return F.array(*[F.struct(F.lit(sid).alias("series_id"), F.col(g).alias("observation_date"), v.alias("value"))
+                         for sid, v in rows[g].items()])
+
+    x = fine.select(*keys, lo_at.alias(lo), hi_at.alias(hi), *sums)
+    x = x.select("*", F.row_number().over(w).alias("_rank"), *[F.sum(c).over(whole).alias(f"_all_{c}") for c in sums])
+    x = x.select(*keys, hi, "_rank", items(lo).alias("_fine"), *[F.col(f"_all_{c}").alias(c) for c in sums])
+    return x.select(*keys, F.inline(F.when(F.col("_rank") == 1, F.concat("_fine", items(hi))).otherwise(F.col("_fine"))))
+
+
+def econ_observations(spark: SparkSession, sf_dir: str, entity: str | None = None, series=None, of: Column | None = None) -> DataFrame:
     """Six long-format series (FX-ECON, or FX-PANEL with entity='priority',
     or FX-PANEL-L with entity='supplier', whose order series weigh each order by its lines).
 
     ``series``: only these ids (default: all); tables that feed none of them are not read.
+    ``of``: a condition on the entity; lines of other suppliers are left out before they are shuffled.
     Columns: [entity,] series_id, observation_date DATE, value DOUBLE.
     """
     keys = [ENTITY] if entity else []
@@ -87,6 +107,7 @@ def econ_observations(spark: SparkSession, sf_dir: str, entity: str | None = Non
         o = o.withColumn(ENTITY, F.col("o_orderpriority"))
     elif entity == "supplier":
         li = li.withColumn(ENTITY, F.col("l_suppkey"))
+        li = li if of is None else li.where(of)
         lines = li.select("l_orderkey", ENTITY)
         o = o.join(lines, o.o_orderkey == lines.l_orderkey).drop("l_orderkey")
     elif entity is not None:
@@ -97,14 +118,18 @@ def econ_observations(spark: SparkSession, sf_dir: str, entity: str | None = Non
         return {sid: v for sid, v in values.items() if sid in wanted}
 
     if any(s in wanted for s in LINEITEM_SERIES):
-        day = li.groupBy(*keys, F.to_date("l_shipdate").alias("day")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum(_cents(F.col("l_extendedprice"))).alias("s_price"),
-            F.sum(_cents(F.col("l_discount"))).alias("s_disc"), F.sum(F.col("l_quantity").cast("bigint")).alias("s_qty"),
-            F.sum(_cents(F.col("l_tax") - F.col("l_discount"))).alias("s_spread"))
-        parts.append(_series(day, keys, {"d": F.col("day"), "m": month_of("day")}, {
-            "d": asked({"T10Y2Y": F.col("s_spread").cast("double") / n}),
-            "m": asked({"CPIAUCSL": F.col("s_price").cast("double") / n / F.lit(100),
-                        "FEDFUNDS": F.col("s_disc").cast("double") / n, "UMCSENT": F.col("s_qty").cast("double") / n})}))
+        rows = {"d": asked({"T10Y2Y": F.col("s_spread").cast("double") / n}),
+                "m": asked({"CPIAUCSL": F.col("s_price").cast("double") / n / F.lit(100),
+                            "FEDFUNDS": F.col("s_disc").cast("double") / n, "UMCSENT": F.col("s_qty").cast("double") / n})}
+        amounts = {"s_price": _cents(F.col("l_extendedprice")), "s_disc": _cents(F.col("l_discount")),
+                   "s_qty": F.col("l_quantity").cast("bigint"), "s_spread": _cents(F.col("l_tax") - F.col("l_discount"))}
+        lines, grain = li.select(*keys, F.to_date("l_shipdate").alias("day"), *[v.alias(c) for c, v in amounts.items()]), ["day"]
+        placed = entity == "supplier" and all(rows.values())
+        if placed:  # a supplier has about a line a day: adding up before the shuffle saves nothing, so it is the only one
+            lines, grain = lines.withColumn("month", month_of("day")).repartition(*keys, "month"), ["month", "day"]
+        day = lines.groupBy(*keys, *grain).agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in amounts])
+        parts.append(_placed_series(day, keys, {"d": F.col("day"), "m": F.col("month")}, rows) if placed else
+                     _series(day, keys, {"d": F.col("day"), "m": month_of("day")}, rows))
     if any(s in wanted for s in ORDERS_SERIES):
         month = o.groupBy(*keys, month_of("o_orderdate").alias("month")).agg(
             F.count(F.lit(1)).alias("n"),
@@ -241,12 +266,12 @@ def panel_revision(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
     The batch revises values from PANEL_REVISED_FROM on (times 1.5), brings the rows from
     PANEL_LATE_FROM on that the first load lacks, and retracts sentiment in March."""
-    obs = econ_observations(spark, sf_dir, "supplier")
     some = F.col(ENTITY) % PANEL_REVISED_EVERY == 0
+    obs, of_some = econ_observations(spark, sf_dir, "supplier"), econ_observations(spark, sf_dir, "supplier", of=some)
     day = F.col("observation_date")
     first = obs.where(~(some & (day >= F.lit(PANEL_LATE_FROM).cast("date"))))
     gone = (F.col("series_id") == "UMCSENT") & (F.month(day) == 3)
-    batch = obs.where(some & (day >= F.lit(PANEL_REVISED_FROM).cast("date"))).withColumn(
+    batch = of_some.where(some & (day >= F.lit(PANEL_REVISED_FROM).cast("date"))).withColumn(
         "value", F.when(~gone, F.col("value") * 1.5))
     text = F.col(ENTITY).cast("string")
     return first.withColumn(ENTITY, text), batch.withColumn(ENTITY, text)
