@@ -115,26 +115,33 @@ class Watch:
 
     ``checks`` as in ``check_report``; ``unique``: columns that no two rows share. Its window
     needs equal rows in one partition, as the metric windows or a range partitioning by
-    these columns have them, so it adds no shuffle there. The numbers tell failing from not:
+    these columns have them, so it adds no shuffle there. Where the rows come otherwise, ``on``
+    leaves it out and ``failures`` looks it up in these columns of what was written. The numbers tell failing from not:
     a stage that runs again after a lost executor adds its rows twice, a zero stays a zero.
     """
 
     def __init__(self, checks: Sequence[tuple] = (), unique: Sequence[str] = ()):
         self.checks, self.unique, self._seen = list(checks), list(unique), None
 
-    def on(self, df: DataFrame) -> DataFrame:
-        """``df`` with the checks attached; the first action over it fills them in."""
+    def on(self, df: DataFrame, unique: bool = True) -> DataFrame:
+        """``df`` with the checks attached (``unique``: that of equal rows too); the first action over it fills them in."""
         self._seen = Observation(f"watch-{uuid.uuid4().hex}")
         counts = [F.count(F.lit(1)).alias("_rows"), *_check_counts(self.checks)]
-        if not self.unique:
+        if not (self.unique and unique):
             return df.observe(self._seen, *counts)
         again = F.row_number().over(Window.partitionBy(*self.unique).orderBy(*self.unique)) > 1
         counts.append(F.count_if("_again").alias("_repeated"))
         return df.withColumn("_again", again).observe(self._seen, *counts).drop("_again")
 
-    def failures(self) -> list[str]:
-        """What failed, once the job that writes the rows has run."""
-        seen = dict(self._seen.get)
+    def failures(self, written: DataFrame | None = None) -> list[str]:
+        """What failed, once the job that writes the rows has run; ``written``: its rows, if ``on`` left out the equal ones."""
+        found = {}
+        if self.unique and written is not None:
+            n, found["_repeated"] = written.groupBy(*self.unique).agg(F.count(F.lit(1)).alias("n")).agg(
+                F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).first()
+            if n == 0:  # a plan without rows may lose its observation; no row, no failure
+                return []
+        seen = dict(self._seen.get) | found
         repeated = [f"{', '.join(self.unique)} not unique: {seen['_repeated']}"] if self.unique and seen["_repeated"] else []
         return repeated + [f"{c[0]}: {seen[c[0]]}" for c in self.checks if seen[c[0]]]
 

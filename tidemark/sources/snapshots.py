@@ -158,8 +158,12 @@ class SnapshotTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(os.path.join(self.path, "_manifests", self._manifest_name(version)))
 
+    def manifest_columns(self, version: int) -> list[str]:
+        """The columns that a version's manifest was written with."""
+        return self.spark.read.parquet(os.path.join(self.path, "_manifests", self._manifest_name(version))).columns
+
     def read(self, touched: DataFrame | None = None, version: int | None = None) -> DataFrame:
-        """The rows of a version (default: the last); ``touched``: only of these partition values."""
+        """The rows of a version (default: the last); ``touched``: only of these values of all or some of the partitions' parts."""
         m = self.manifest(version)
         if touched is not None:
             m = self._of(m, touched, "left_semi")
@@ -191,47 +195,54 @@ class SnapshotTable:
         return df.select(*[F.expr(e).alias(n) for n, e in self.parts.items()]).distinct()
 
     def _of(self, manifest: DataFrame, touched: DataFrame, how: str) -> DataFrame:
-        t = touched.select(*[F.col(n).alias(f"_t_{n}") for n in self.parts])
-        same = [F.col(n).eqNullSafe(F.col(f"_t_{n}")) for n in self.parts]
+        named = [n for n in self.parts if n in touched.columns]
+        t = touched.select(*[F.col(n).alias(f"_t_{n}") for n in named])
+        same = [F.col(n).eqNullSafe(F.col(f"_t_{n}")) for n in named]
         return manifest.join(t, same, how)
 
     # ------------------------------------------------------------ writing
 
     def replace(self, rows: DataFrame, touched: DataFrame | None = None, base: int | None = None, note: str = "",
-                audit=None) -> DataFrame:
+                audit=None, keep_empty: bool = True) -> DataFrame:
         """Commit a version in which the ``touched`` partitions (default: all) hold ``rows``; returns what was written.
 
         ``base``: the version that ``rows`` were made from (None: there was none).
         Rows outside the touched partitions are an error of the caller. A partition
         that has no rows any more goes. ``audit``: a ``quality.Watch``, collected by the job
-        that writes; any failure keeps the version from being committed. Raises ``Conflict``
-        if ``base`` is no longer the last."""
+        that writes; any failure keeps the version from being committed. ``keep_empty``: whether
+        a version is committed if nothing was written. Raises ``Conflict`` if ``base`` is no longer the last."""
         name = uuid.uuid4().hex
         data = os.path.join("data", name)
         marks = {f"_p_{n}": F.expr(e) for n, e in self.parts.items()}
         full = os.path.join(self.path, data)
         out = rows.select(*[f.name for f in self.schema.fields])
-        out = (audit.on(out) if audit is not None else out).withColumns(marks)
+        out = (audit.on(out, unique=False) if audit is not None else out).withColumns(marks)
         # rebalance: a hot partition is split over tasks, small ones share one
         out.hint("rebalance", *marks).write.partitionBy(*marks).parquet(full)
-        failures = audit.failures() if audit is not None else []
-        if failures:
-            raise AuditFailed(f"{self.path}: version not committed: " + "; ".join(failures))
         values = [T.StructField(f"_p_{f.name}", f.dataType) for f in self._part_schema().fields]
         stored = self.spark.read.schema(T.StructType([*self.schema.fields, *values])).parquet(full)
-        folder = F.concat(F.lit(data), F.regexp_extract(F.col("_metadata.file_path"), f"/{name}(/.*)/[^/]*$", 1))
-        written = (stored.select(*[F.col(f"_p_{n}").alias(n) for n in self.parts], F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))).alias(FOLDER))
-                   .groupBy(*self.parts, FOLDER).agg(F.count(F.lit(1)).alias(ROWS), F.lit(len(self.contracts) - 1).alias(CONTRACT)))
+        failures = audit.failures(stored) if audit is not None else []
+        if failures:
+            raise AuditFailed(f"{self.path}: version not committed: " + "; ".join(failures))
+        # rows are counted by file, so that names are taken apart once a file and not once a row
+        files = (stored.select(*[F.col(f"_p_{n}").alias(n) for n in self.parts], F.col("_metadata.file_path").alias("_file"))
+                 .groupBy(*self.parts, "_file").agg(F.count(F.lit(1)).alias(ROWS)))
+        folder = F.concat(F.lit(data), F.regexp_extract("_file", f"/{name}(/.*)/[^/]*$", 1))
+        written = (files.withColumn(FOLDER, F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))))
+                   .groupBy(*self.parts, FOLDER).agg(F.sum(ROWS).alias(ROWS), F.lit(len(self.contracts) - 1).alias(CONTRACT)))
         kept = self.manifest(base) if base is not None else self.manifest(None).limit(0)
         kept = kept.limit(0) if touched is None else self._of(kept, touched, "left_anti")
         both = os.path.join(self.path, "_manifests", name)
         kept.select(written.columns).unionByName(written).write.parquet(both)
+        new = self.spark.read.schema(self.manifest(None).schema).parquet(both).where(F.col(FOLDER).startswith(data))
+        if not keep_empty and new.isEmpty():
+            return new
         self._fs(self.path)[0].mkdirs(self._fs(os.path.join(self.path, "_commits"))[1])
         if self.version() != base:
             raise Conflict(f"{self.path}: version {self.version()} was committed after version {base} was read")
         self._commit(name, 1 if base is None else base + 1, note)
         self._drop_old()
-        return self.spark.read.schema(self.manifest().schema).parquet(both).where(F.col(FOLDER).startswith(data))
+        return new
 
     def _drop_old(self) -> None:
         """Remove versions beyond the kept ones, and the folders that only they name."""
