@@ -225,3 +225,94 @@ def test_incremental_run_equals_the_layered_run(spark, workdir):
     cfg["inc"].landing_obs, cfg["inc"].run_id = os.path.join(workdir, "land2"), "run-2"
     with pytest.raises(load.LoadFailed):
         run_incremental(spark, cfg["inc"])
+
+
+def test_late_months_leave_earlier_years_of_the_observations(spark, workdir):
+    rng = random.Random(13)
+    rows = some_rows(rng, "abcdef", MONTHS[12:60], 0.8)
+    state = {r[:3]: r[3] for r in rows}
+    panel = Panel(spark, os.path.join(workdir, "p"), ["entity"], thresholds=T, start=START, buckets=2)
+    assert panel.load(frame(spark, rows), AS_OF, "2024-01-01") == len(state)
+    before = {(r.bucket, r.year): (r._folder, r._rows) for r in panel.observations.manifest().collect()}
+    assert sum(n for _, n in before.values()) == len(state) and len({y for _, y in before}) == 4
+    late = [(e, "UNRATE", "2003-11-01", 5.0 + i) for i, e in enumerate("abcdef")]
+    state |= {r[:3]: r[3] for r in late}
+    panel.load(frame(spark, late), AS_OF, "2024-01-02")
+    after = {(r.bucket, r.year): (r._folder, r._rows) for r in panel.observations.manifest().collect()}
+    assert {y for (b, y) in after if after[b, y] != before.get((b, y))} == {2003}
+    assert content(panel.dashboard()) == content(full(spark, state), panel.dashboard().columns)
+
+
+def test_observations_stored_in_buckets_alone_stay_so(spark, workdir):
+    from tidemark.sources.snapshots import SnapshotTable
+
+    rng = random.Random(14)
+    rows, late = some_rows(rng, "abc", MONTHS[12:40], 0.8), [("b", "UNRATE", "2002-11-01", 5.0), ("b", "GDP", "2001-04-01", None)]
+    state = {r[:3]: r[3] for r in rows + late}
+    path, contract = os.path.join(workdir, "p", "observations"), observations_contract(["entity"])
+    stored = SnapshotTable(spark, path, contract, {"bucket": "pmod(xxhash64(`entity`), 4)"})
+    stored.replace(frame(spark, rows).selectExpr("entity", "series_id", "observation_date", "value", "cast(null as timestamp_ntz) ingested_at",
+                                                 "cast(null as string) source_url"))
+    panel = Panel(spark, os.path.join(workdir, "p"), ["entity"], thresholds=T, start=START, buckets=4)
+    assert panel.load(frame(spark, late), AS_OF, "2024-01-01") == 2
+    assert panel.observations.read().count() == len(state) and "year" not in panel.observations.parts
+    assert content(panel.dashboard()) == content(full(spark, state), panel.dashboard().columns)
+
+
+def test_repeated_months_are_not_committed(spark, workdir):
+    """The uniqueness check reads two columns of what was written; the wide rows are not shuffled for it."""
+    from tidemark.plans.layers import mart_audit
+    from tidemark.sources.snapshots import AuditFailed
+
+    rng = random.Random(15)
+    panel = Panel(spark, os.path.join(workdir, "p"), ["entity"], thresholds=T, start=START, buckets=2)
+    panel.load(frame(spark, some_rows(rng, "ab", MONTHS[12:20], 0.9)), AS_OF, "2024-01-01")
+    rows, version = panel.months.read(), panel.months.version()
+    with pytest.raises(AuditFailed, match="not unique: 1"):
+        panel.months.replace(rows.unionByName(rows.limit(1)), None, version, "", mart_audit(["entity"]))
+    assert panel.months.version() == version
+    plan = mart_audit(["entity"]).on(rows, unique=False)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_greatest_number_of_a_key_is_picked_without_a_sort(spark):
+    rows = [("a", "X", "2001-01-01", v) for v in (None, 1.0, float("nan"), -5.0)] + [("a", "X", "2001-02-01", None), (None, None, None, 2.0), (None, None, None, 3.0)]
+    batch, key = frame(spark, rows), ["entity", "series_id", "observation_date"]
+    got = load.dedup_batch(batch, key)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert got.columns == batch.columns and "Sort" not in plan and "Window" not in plan
+    want = load.dedup_batch(batch, key, [F.col("value").desc_nulls_last()])
+    assert list(map(repr, content(got))) == list(map(repr, content(want))) and got.count() == 3   # NaN is the greatest, and no equal of itself
+
+
+def test_supplier_series_of_one_shuffle(spark, workdir):
+    """Days, months and quarters per supplier: plain sums; lines are shuffled once, those of other suppliers not at all."""
+    from datetime import datetime
+
+    from tidemark.sources import fixtures as fx
+
+    rng = random.Random(16)
+    day = lambda: rng.choice([None] + [datetime(2001, m, d) for m in (1, 2, 5) for d in (1, 9, 30 if m > 2 else 28)])
+    money = lambda: rng.choice([None, round(rng.uniform(0, 900), 2)])
+    orders = [(i, rng.choice("FO"), money(), day()) for i in range(20)]
+    lines = [(rng.randrange(22), rng.choice([None, 10, 11, 20]), money(), money(), money(), money(), day()) for _ in range(200)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz").write.parquet(
+        os.path.join(workdir, "orders.parquet"))
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                          "l_shipdate timestamp_ntz").write.parquet(os.path.join(workdir, "lineitem.parquet"))
+    li = spark.read.parquet(os.path.join(workdir, "lineitem.parquet"))
+    cents = lambda c: F.sum(F.rint(c * 100).cast("bigint")).cast("double")
+    n, c = F.count(F.lit(1)).cast("double"), F.col
+    want = []
+    for sid, at, v in (("T10Y2Y", F.to_date("l_shipdate"), cents(c("l_tax") - c("l_discount")) / n),
+                       ("CPIAUCSL", F.trunc("l_shipdate", "MM"), cents(c("l_extendedprice")) / n / F.lit(100)),
+                       ("FEDFUNDS", F.trunc("l_shipdate", "MM"), cents(c("l_discount")) / n),
+                       ("UMCSENT", F.trunc("l_shipdate", "MM"), F.sum(c("l_quantity").cast("bigint")).cast("double") / n)):
+        want += content(li.groupBy(c("l_suppkey").alias("entity"), at.alias("observation_date")).agg(v.alias("value")).select(
+            "entity", F.lit(sid).alias("series_id"), "observation_date", "value"))
+    obs = fx.econ_observations(spark, workdir, "supplier")
+    assert content(obs.where(c("series_id").isin(*fx.LINEITEM_SERIES))) == sorted(want, key=repr)
+    assert obs._jdf.queryExecution().executedPlan().toString().count("Expand") == 1       # quarters of orders alone
+    some = fx.econ_observations(spark, workdir, "supplier", of=c("entity") % 10 == 0)
+    assert content(some) == content(obs.where(c("entity") % 10 == 0)) and some.count() > 0
+    assert some._jdf.queryExecution().optimizedPlan().toString().count("% 10") >= 2

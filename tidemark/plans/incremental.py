@@ -1,6 +1,7 @@
 """A stored panel that a load brings up to date: raw observations, and one table of month rows.
 
-Both are snapshot tables, the month rows in buckets of entities. A load merges its
+Both are snapshot tables, the month rows in buckets of entities, the observations in
+buckets and years: a batch of late months leaves the years before as they are. A load merges its
 batch into the touched partitions of the observations (one commit), then recomputes the
 touched entities' months from their first change on (``operators.incremental``)
 and replaces the touched buckets of the month rows (one commit, audited first).
@@ -36,7 +37,7 @@ from ..operators import align, load, marts, states
 from ..schemas import DEFAULT_SERIES, DEFAULT_START_DATE, MONTH, SeriesSpec, Thresholds, observations_contract
 from ..session import cut_lineage
 from ..sources import tables
-from ..sources.snapshots import FOLDER, SnapshotTable
+from ..sources.snapshots import FOLDER, ROWS, SnapshotTable
 from .layers import RunConfig, load_batch, mart_audit
 
 BUCKETS = 64
@@ -57,11 +58,20 @@ class Panel:
         names = ", ".join(f"`{k}`" for k in self.keys)
         part = {"bucket": f"pmod(xxhash64({names}), {self.buckets})" if self.keys else "0"}
         if self.observations is None:
-            self.observations = SnapshotTable(self.spark, os.path.join(self.root, "observations"), observations_contract(self.keys), part)
+            self.observations = self._own_observations(part)
         self.months = SnapshotTable(self.spark, os.path.join(self.root, "months"), self._month_schema(), part)
         self.states = SnapshotTable(self.spark, os.path.join(self.root, "states"), self._states(
             self.spark.createDataFrame([], self.months.schema)).schema, part)
 
+    def _own_observations(self, part: dict[str, str]) -> SnapshotTable:
+        """In buckets and years; a table that was stored in buckets alone stays so."""
+        path, contract = os.path.join(self.root, "observations"), observations_contract(self.keys)
+        by_bucket = SnapshotTable(self.spark, path, contract, part)
+        old = by_bucket.version()
+        if old is not None and "year" not in by_bucket.manifest_columns(old):
+            return by_bucket
+        return SnapshotTable(self.spark, path, contract, part | {"year": "year(observation_date)"})
+
     def _month_schema(self) -> T.StructType:
         empty = self.spark.createDataFrame([], observations_contract(self.keys))
         return self._full(empty, "2000-01-01").schema
@@ -78,14 +88,19 @@ class Panel:
         row_key = [*self.keys, "series_id", "observation_date"]
         contract = observations_contract(self.keys)
         base = self.observations.version()
-        fresh = cut_lineage(load.dedup_batch(batch, row_key).select(
+        fresh = load.dedup_batch(batch, row_key).select(
             *[F.col(f.name).cast(f.dataType) if f.name in batch.columns else
-              (load._ts(now) if f.name == "ingested_at" else F.lit(None).cast(f.dataType)).alias(f.name) for f in contract.fields]))
+              (load._ts(now) if f.name == "ingested_at" else F.lit(None).cast(f.dataType)).alias(f.name) for f in contract.fields])
+        if base is None:  # the first load: its rows are the table, written once
+            written = self.observations.replace(fresh, keep_empty=False)
+            n = written.agg(F.coalesce(F.sum(ROWS), F.lit(0))).first()[0]
+            self.refresh(self.observations.read(), as_of, base)
+            return n
+        fresh = cut_lineage(fresh)
         n = fresh.count()
         if n:
             touched = self.observations.values(fresh)
-            merged = fresh if base is None else load.upsert(self.observations.read(touched, base), fresh, row_key, now)
-            self.observations.replace(merged, touched, base)
+            self.observations.replace(load.upsert(self.observations.read(touched, base), fresh, row_key, now), touched, base)
         self.refresh(fresh, as_of, base)
         return n
 
