@@ -102,3 +102,30 @@ def test_entry_registers_queries_and_pipeline():
     names = set(E.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert set(E.oracle_sql()) <= names
+
+
+def test_a_worker_gives_free_memory_back_after_a_task():
+    """Small arrays freed below one that lives stay with the C library unless it is told to return them."""
+    import numpy as np
+    import pyarrow as pa
+    from tidemark.llm.common import released
+
+    def held() -> float:
+        with open("/proc/self/status") as f:
+            return next(int(x.split()[1]) / 1024 for x in f if x.startswith("RssAnon"))
+
+    kept = []
+
+    def run(batches):
+        for b in batches:
+            some = [np.ones(12_000) for _ in range(2_000)]      # 96 KB each, from the heap
+            kept.append(some[-1])
+            yield b
+
+    batch, before = pa.RecordBatch.from_pydict({"x": [1]}), held()
+    assert [b.num_rows for b in released(run)([batch])] == [1]
+    assert held() - before < 100                                 # of 190 MB
+    plain = released(run)([batch, batch])
+    next(plain)
+    plain.close()                                                # a task that is not read to its end
+    assert held() - before < 100

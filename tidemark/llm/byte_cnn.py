@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, slices, text_buffer
+from .common import prepare, released, slices, text_buffer
 
 CHUNK, STEP = 512, 448
 DIM, WIDTH, STRIDE, FILTERS, HIDDEN = 7, 8, 4, 32, 16
@@ -184,7 +184,7 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[li
         return [], np.zeros(0), counts
     chosen = docs.sparkSession.createDataFrame(chosen, "doc_id long, y int")
     got = known.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("text").alias("text"))
-    rows_out = sorted(got.mapInArrow(_fit_chunks, "doc_id long, y int, chunk int, code binary, rep binary").collect(),
+    rows_out = sorted(got.mapInArrow(released(_fit_chunks), "doc_id long, y int, chunk int, code binary, rep binary").collect(),
                       key=lambda r: (r.doc_id, r.chunk))  # texts of FIT_BYTES a label at most
     return rows_out, np.array([r.y for r in rows_out], np.float32), counts
 
@@ -259,7 +259,7 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                          F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return narrow.mapInArrow(released(run), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_rows(docs: DataFrame, labelled: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
@@ -275,7 +275,7 @@ def keep_rows(docs: DataFrame, labelled: DataFrame, labels: DataFrame, rows: int
         for b in batches:
             yield b.filter(pa.array(scores(*text_buffer(b.column("text")), p, share) >= THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def held_out(doc_id: int) -> bool:

@@ -51,7 +51,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_small
-from .common import prepare, saved, text_buffer
+from .common import prepare, released, saved, text_buffer
 from .components import components
 from .shingles import minhashes, shingle_sets
 
@@ -233,7 +233,7 @@ def candidate_edges(reps: DataFrame) -> DataFrame:
     shared = light.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     rows = (light.join(shared, ["band", "key"]).join(reps.select("rid", "sig"), "rid")
             .select("band", "key", "rid", "sig", F.ceil(F.col("n") / BLOCK).cast("int").alias("k")))
-    return blocked(rows, ["band", "key"]).mapInArrow(_bucket_forests, "a long, b long")
+    return blocked(rows, ["band", "key"]).mapInArrow(released(_bucket_forests), "a long, b long")
 
 
 # ------------------------------------------------------------------ exact links
@@ -402,7 +402,7 @@ def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     The leader is the text (rid) that stands for its class: that of the least id, of several the least rid."""
     prepare(docs.sparkSession)
     narrow = _narrow(docs)
-    signed = saved(narrow.mapInArrow(_sign, "doc_id long, hash long, hash2 long, n_shingles long, sig array<long>"), "minhash")
+    signed = saved(narrow.mapInArrow(released(_sign), "doc_id long, hash long, hash2 long, n_shingles long, sig array<long>"), "minhash")
     reps = saved(with_node(signed.where("n_shingles > 0").groupBy(*TEXT).agg(
         F.count("*").alias("weight"), F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n_shingles"),
         F.min("sig").alias("sig"))), "texts")
@@ -413,9 +413,9 @@ def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     held = info.join(blocks, "component").select("component", *TEXT, "rid", "first_id", "weight", "sig", "k")
     texts = narrow.join(held, [narrow[c] == held[c] for c in TEXT] + [narrow.doc_id.eqNullSafe(held.first_id)]).select(
         "component", "rid", "weight", "sig", "k", "text")
-    parted = saved(parts(texts).mapInArrow(_part_links, MEMBERS_SQL), "parts")
+    parted = saved(parts(texts).mapInArrow(released(_part_links), MEMBERS_SQL), "parts")
     members = parted.where("component is not null").drop("b", "links").withColumnRenamed("a", "rid")
-    paired = saved(band_pairs(members).mapInArrow(_pair_links, LINKS_SQL), "links")
+    paired = saved(band_pairs(members).mapInArrow(released(_pair_links), LINKS_SQL), "links")
     links = parted.where("component is null").select("a", "b", "links").unionAll(paired)
     classes = components(links.where("b is not null").select("a", "b"), "classes")
     counts = links.where("b is null").groupBy(F.col("a").alias("rid")).agg(F.sum("links").alias("links"))

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, saved
+from .common import prepare, released, saved
 
 ALPHA, DELTA, COST = 0.10, 0.05, 5
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
@@ -100,7 +100,7 @@ def measure(docs: DataFrame, stratum: str | None = "lang") -> DataFrame:
     strata = F.coalesce(F.col(stratum).cast("string"), F.lit("")) if stratum else F.lit("")
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), strata.alias("stratum"),
                          F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(_count_batches, "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
+    return narrow.mapInArrow(released(_count_batches), "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def base_failed() -> Column:
@@ -233,7 +233,7 @@ def keep_rows(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
             strata = b.column(stratum).cast(pa.string()).to_pylist() if stratum else [""] * len(texts)
             yield b.filter(pa.array([_kept(t or "", s or "", cut) for t, s in zip(texts, strata)], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(released(keep), docs.schema)
 
 
 def _kept(text: str, stratum: str, cut: dict[tuple[str, str], int]) -> bool:

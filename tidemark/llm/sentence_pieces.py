@@ -35,10 +35,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, released, slices, text_buffer
 
 MARK = "▁"
-MEMO_WORDS, MEMO_PAIRS = 400_000, 400_000
+MEMO_WORDS, MEMO_PAIRS = 200_000, 200_000
+#: Bytes of text that are encoded at a time (the temporaries are some ten times larger).
+SLICE_BYTES = 2 << 20
 
 
 def model_bytes(path: str | None = None) -> bytes:
@@ -251,7 +253,7 @@ def encode(docs: DataFrame, model: bytes | None = None, check: bool = True, carr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(shared.value)
-        for b in batches:
+        for b in (b.slice(lo, hi - lo) for b in batches for lo, hi in slices(text_buffer(b.column("text"))[1], SLICE_BYTES)):
             ids, n = p.encode_batch(b.column("text"))
             ends = np.append(0, np.cumsum(n))
             columns = {"doc_id": b.column("doc_id"), "n_tokens": pa.array(n, pa.int64()),
@@ -262,7 +264,7 @@ def encode(docs: DataFrame, model: bytes | None = None, check: bool = True, carr
             yield pa.RecordBatch.from_pydict(columns | {c: b.column(c) for c in carry})
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
-    return narrow.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>" + ", round_trip boolean" * check
+    return narrow.mapInArrow(released(run), "doc_id long, n_tokens long, ids array<int>" + ", round_trip boolean" * check
                              + "".join(f", {c} long" for c in carry))
 
 
