@@ -59,3 +59,29 @@ def test_large_integers_as_queries_and_candidates(spark):
     small = [(i, [rng.uniform(-1, 1)] * 2) for i in range(300)]
     assert run(spark, small + [(1, [5e5, -3.0])]) == brute(small + [(1, [5e5, -3.0])])
     assert run(spark, [(100, [1e8, 1.0])] + small) == brute([(100, [1e8, 1.0])] + small)
+
+
+def test_no_join_sends_queries_to_the_driver(spark, monkeypatch):
+    """Copies of the queries for every slot are not broadcast, however small the queries are (also beside large integers)."""
+    plans, saved = [], K.saved
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(K, "saved", lambda df, name: (plans.append(plan(df)), saved(df, name))[1])
+    rng = random.Random(4)
+    vectors = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(200)]
+    for rows in (vectors, vectors + [(300, [5e5, 1.0, 1.0, 1.0])]):
+        out = K.search(spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA), F.col("vec_id") % 100 == 0)
+        plans.append(plan(out))
+        assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in out.collect()) == brute(rows)
+    assert any("SortMergeJoin" in p for p in plans)
+    assert not [p for p in plans if "Broadcast" in p]
+
+
+def test_many_chunks_and_blocks_with_sums_of_every_size(spark, monkeypatch):
+    """Chunks and blocks of a few rows meet in each task; sums fit 32-bit floats, 64-bit floats or 64-bit integers only."""
+    monkeypatch.setattr(K, "CHUNK", 16)
+    monkeypatch.setattr(K, "QUERIES", 3)
+    rng = random.Random(5)
+    for size in (1, 900, 2e5):
+        vectors = [(rng.choice([i, 100 * i]), [rng.uniform(-1, 1) * size for _ in range(rng.choice([1, 2, 5]))]) for i in range(260)]
+        vectors += [(7000 + i % 3, vectors[9][1]) for i in range(25)] + vectors[:4]
+        assert run(spark, vectors) == brute(vectors)

@@ -5,22 +5,27 @@ runs; for a query each run is a score list, a vector's score is the sum of its
 entries in the lists. A list's scores are taken relative to the list's least
 score, so they are not negative.
 
-1. Gather: each chunk of vectors returns, per query, the least entry of every
-   list and the K highest entries of every list, with the full scores of their
-   vectors (a chunk holds all lists of its vectors). The K-th best of those
-   scores over all chunks, tau1, is reached by the final K-th score.
+1. Gather: each chunk of vectors gives, per query, the least entry of every
+   list and the K highest entries of every list (and what ties with the K-th),
+   with the full scores of their vectors (a chunk holds all lists of its
+   vectors). A task returns the least entries and the K best scores of its
+   chunks. The K-th best of the scores over all chunks, tau1, is reached by the
+   final K-th score.
 2. Cutoff: a vector whose score reaches tau1 has an entry of at least
    T = ceil((tau1 - sum of least scores) / LISTS) over the least score in some
    list. T goes out to the chunks, which collect all entries that reach it:
    with an unknown entry between the list's least score and T - 1 they bound
    each such vector's score from both sides, and the K-th best lower bound is a
-   better cutoff tau2.
-3. Resolve: vectors with an upper bound of at least tau2 are scored exactly.
+   better cutoff tau2. A task returns the K best lower bounds of its chunks.
+3. Resolve: the entries that reach T are collected again, as they would take
+   more room than the vectors, and vectors with an upper bound of at least tau2
+   are scored exactly.
 
 Vectors are held in chunks of CHUNK rows, queries in blocks of QUERIES; a block
 meets a chunk by an equality join on a slot number, so chunks stay spread out
-and nothing is broadcast or collected. No cap: whatever the cutoffs leave is
-resolved.
+and nothing is broadcast or collected: every join is hinted to shuffle, as
+Spark's size estimates leave out the copies of the queries. No cap: whatever
+the cutoffs leave is resolved.
 
 Vectors with an integer over LARGEST in magnitude have a branch of their own: as
 queries against all rows, and as candidates of all queries, they are scored
@@ -50,11 +55,14 @@ from .common import prepare, saved
 
 #: Few lists make a strong cutoff: T is an equal share of the score, and shares grow as lists get fewer.
 K, LISTS, CHUNK, QUERIES, SCALE = 10, 2, 2048, 512, 1024
-#: Integers up to here: scores of 64-bit sums (of fewer than 2**6 such components; longer vectors: ``_product`` checks).
+#: Integers up to here: scores of 64-bit sums (of fewer than 2**6 such components).
 LARGEST = 1 << 28
 #: Vectors a block of the exact branch holds.
 WIDE_ROWS = 256
-NONE = np.iinfo(np.int64).min // 4
+#: Candidates that are scored at a time.
+SCORED = 1 << 15
+#: Less than any score.
+NONE = np.iinfo(np.int64).min + 1
 
 
 def usable(vec_id: str, vector: str) -> Column:
@@ -68,7 +76,7 @@ def _wide(vector: str) -> Column:
 
 
 def _pack(rows: int, id_name: str):
-    """Vectors of one length, ``rows`` at a time, as one row: no, dim, ids, matrix (64-bit integers)."""
+    """Vectors of one length, ``rows`` at a time, as one row: no, dim, ids, matrix (integers of 16 or 32 bits)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, n = TaskContext.get().partitionId() << 32, 0
         for b in batches:
@@ -81,6 +89,7 @@ def _pack(rows: int, id_name: str):
                 for lo in range(0, len(of), rows):
                     i = of[lo:lo + rows]
                     matrix = values[first[i, None] + np.arange(dim)]
+                    matrix = matrix.astype("<i2" if matrix.min() >= -1 << 15 and matrix.max() < 1 << 15 else "<i4")
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([base + n]), pa.array([int(dim)], pa.int32()), pa.array([ids[i].tobytes()], pa.binary()),
                          pa.array([matrix.tobytes()], pa.binary())], names=[id_name, "dim", f"{id_name}_ids", f"{id_name}_rows"])
@@ -93,30 +102,61 @@ def _lists(dim: int) -> list[slice]:
     return [slice(a, b) for a, b in zip(edges[:-1], edges[1:])]
 
 
-def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact a @ b.T of 64-bit integers (through doubles where no sum can reach 2**53)."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
-    if most < 2 ** 53:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+def _parts(q: np.ndarray, v: np.ndarray) -> list[np.ndarray]:
+    """Exact entries of every list, queries by vectors (in floats where no sum can leave their whole numbers)."""
+    norms = [math.sqrt(np.square(x, dtype=np.float64).sum(axis=1).max()) for x in (q, v)]
+    most = 2 * norms[0] * norms[1]  # bounds every partial sum, with room for the rounding of the norms
+    kind = np.float32 if most < 2 ** 24 else np.float64 if most < 2 ** 53 else np.int64
+    q, v = q.astype(kind), v.astype(kind)
+    return [q[:, dims] @ v[:, dims].T for dims in _lists(q.shape[1])]
 
 
-def _sides(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(query ids, query rows, vector ids, vector rows, own): own marks a query's own id."""
-    dim = r["dim"]
-    qid, vid = np.frombuffer(r["qb_ids"], "<i8"), np.frombuffer(r["ck_ids"], "<i8")
-    q, v = (np.frombuffer(r[c], "<i8").reshape(-1, dim) for c in ("qb_rows", "ck_rows"))
-    return qid, q, vid, v, qid[:, None] == vid[None]
+def _reach(part: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """The entries of at least their query's level."""
+    if part.dtype.kind == "f":
+        most = 1 << np.finfo(part.dtype).nmant + 1
+        level = np.clip(level, -most, most).astype(part.dtype)
+    return part >= level[:, None]
 
 
-def _highest(score: np.ndarray, vid: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k highest scores, ties to the smaller id."""
-    if len(score) > k:
-        least = np.partition(score, -k)[-k]
-        at = np.flatnonzero(score >= least)
-    else:
-        at = np.arange(len(score))
-    return at[np.lexsort((vid[at], -score[at]))[:k]]
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(row, query ids, query rows, vector ids, vector rows, own) of each block and chunk: own are the entries of a query's own id."""
+    for b in batches:
+        for i in range(b.num_rows):
+            r = {c: b.column(c)[i] for c in b.schema.names}
+            dim = r["dim"].as_py()
+            qid, vid = (np.frombuffer(r[c].as_buffer(), "<i8") for c in ("qb_ids", "ck_ids"))
+            q, v = (_matrix(r[c].as_buffer(), n, dim) for c, n in (("qb_rows", len(qid)), ("ck_rows", len(vid))))
+            at = np.flatnonzero(np.isin(vid, qid))
+            own = np.nonzero(qid[:, None] == vid[None, at])
+            yield r, qid, q, vid, v, (own[0], at[own[1]])
+
+
+def _matrix(raw: pa.Buffer, n: int, dim: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<i{raw.size // (n * dim)}").reshape(n, dim)
+
+
+class _Best:
+    """The K best scores, with their ids, of each query of a block; ties to the smaller id."""
+
+    def __init__(self, queries: int):
+        self.score, self.id = np.full((queries, K), NONE, np.int64), np.zeros((queries, K), np.int64)
+
+    def add(self, i: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        """Scores and ids of the queries ``i``."""
+        last, last_id = self.score[i, -1], self.id[i, -1]
+        better = (score > last) | (score == last) & (ids < last_id)
+        i, score, ids = i[better], score[better], ids[better]
+        rows = np.unique(i)
+        i = np.concatenate([np.repeat(rows, K), i])
+        score, ids = np.concatenate([self.score[rows].ravel(), score]), np.concatenate([self.id[rows].ravel(), ids])
+        order = np.lexsort((ids, -score, i))
+        i = i[order]
+        first = order[np.arange(len(i)) - np.searchsorted(i, i) < K]
+        self.score[rows], self.id[rows] = score[first].reshape(-1, K), ids[first].reshape(-1, K)
+
+    def scores(self) -> list[list[int]]:
+        return [s[s > NONE].tolist() for s in self.score]
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -126,82 +166,105 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Phase 1: the least entry of every list of a chunk, and the vectors of the K highest entries."""
-    for r in _rows(batches):
-        qid, q, vid, v, own = _sides(r)
-        parts = [_product(q[:, dims], v[:, dims]) for dims in _lists(r["dim"])]
-        whole, out = sum(parts), []
-        for i in range(len(qid)):
-            at = np.flatnonzero(~own[i])
-            if len(at):
-                top = np.unique(np.concatenate([at[_highest(p[i, at], vid[at], K)] for p in parts]))
-                out.append((r["dim"], int(qid[i]), [int(p[i, at].min()) for p in parts], whole[i, top].tolist()))
-        if out:
-            dims, ids, least, scores = zip(*out)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(dims, pa.int32()), pa.array(ids, pa.int64()), pa.array(least, pa.list_(pa.int64())),
-                 pa.array(scores, pa.list_(pa.int64()))], names=["dim", "query_id", "least", "scores"])
+    """Phase 1: the least entry of every list, and the K best scores of the vectors of the chunks' K highest entries."""
+    most, blocks = np.iinfo(np.int64).max, {}
+    for r, qid, q, _, v, own in _pairs(batches):
+        parts = _parts(q, v)
+        _, _, least, best = blocks.setdefault(r["qb"].as_py(), (
+            r["dim"].as_py(), qid.copy(), np.full((len(q), len(parts)), most), _Best(len(q))))
+        heads = np.zeros(parts[0].shape, bool)
+        lo, hi = (-np.inf, np.inf) if parts[0].dtype.kind == "f" else (NONE, most)
+        for n, p in enumerate(parts):
+            p[own] = hi
+            low = p.min(axis=1)
+            at = np.flatnonzero(low < hi)
+            least[at, n] = np.minimum(least[at, n], low[at].astype(np.int64))
+            p[own] = lo
+            heads |= p >= np.partition(p, -K, axis=1)[:, -K, None] if len(v) > K else True
+        heads[own] = False
+        i, j = np.nonzero(heads)
+        best.add(i, sum(p[i, j].astype(np.int64) for p in parts), np.zeros(len(i), np.int64))
+    for qb, (dim, ids, least, best) in blocks.items():
+        asks = np.flatnonzero(least[:, 0] < most)
+        scores = best.scores()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([dim] * len(asks), pa.int32()), pa.array([qb] * len(asks), pa.int64()), pa.array(ids[asks]),
+             pa.array(least[asks].tolist(), pa.list_(pa.int64())), pa.array([scores[i] for i in asks], pa.list_(pa.int64()))],
+            names=["dim", "qb", "query_id", "least", "scores"])
 
 
 def cutoffs(gathered: DataFrame) -> DataFrame:
-    """query_id, dim, least (per list), tau1 (null if fewer than K scores) and cut (T) of each query."""
-    key = ["dim", "query_id"]
+    """dim, qb, query_id, least (per list), tau1 (null if fewer than K scores) and cut (T) of each query."""
+    key = ["dim", "qb", "query_id"]
     least = (gathered.select(*key, F.posexplode("least").alias("list", "least")).groupBy(*key, "list").agg(F.min("least").alias("least"))
              .groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("list", "least"))).alias("l"), F.sum("least").alias("sum")))
     scores = gathered.select(*key, F.explode("scores").alias("tau1"))
     nth = scores.withColumn("n", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("tau1")))).where(F.col("n") == K)
-    share = F.ceil((F.col("tau1") - F.col("sum")) / F.size("l"))
-    return least.join(nth.drop("n"), key, "left").select(
+    share = F.expr("(tau1 - `sum`) div size(l) + if((tau1 - `sum`) % size(l) > 0, 1, 0)")  # rounded up; a double would lose units over 2**53
+    return least.join(nth.drop("n").hint("merge"), key, "left").select(
         *key, F.col("l.least").alias("least"), "tau1", F.coalesce(share.cast("long"), F.lit(0)).alias("cut"))
 
 
-def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Phase 2: the entries that reach the cutoff, as candidates with bounds on their scores."""
-    for r in _rows(batches):
-        qid, q, vid, v, own = _sides(r)
-        known = {x["query_id"]: (x["least"], x["cut"]) for x in r["cuts"]}
-        lists = _lists(r["dim"])
-        least = np.array([known.get(i, ([0] * len(lists), 0))[0] for i in qid.tolist()], np.int64).reshape(-1, len(lists))
-        cut = np.array([known.get(i, (None, 0))[1] for i in qid.tolist()], np.int64)[:, None]
-        low = np.zeros(own.shape, np.int64)
-        seen, unseen = np.zeros(own.shape, bool), np.zeros(own.shape, np.int64)
-        for n, dims in enumerate(lists):
-            part = _product(q[:, dims], v[:, dims])
-            reach = part - least[:, n:n + 1] >= cut
-            low += np.where(reach, part, least[:, n:n + 1])
-            unseen += ~reach
-            seen |= reach
-        seen &= ~own
-        high = low + unseen * np.maximum(cut - 1, 0)
-        at = [np.flatnonzero(s) for s in seen]
-        tops = [_highest(low[i, a], vid[a], K) for i, a in enumerate(at)]
+def _known(r: dict, qid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Least entries (per list), cutoff and tau of a block's queries."""
+    of, lists = {x["query_id"]: x for x in r["cuts"].as_py()}, len(_lists(r["dim"].as_py()))
+    none = {"least": [0] * lists, "cut": 0, "tau": None}
+    of = [of.get(i, none) for i in qid.tolist()]
+    tau = [NONE if x["tau"] is None else x["tau"] for x in of]
+    return np.array([x["least"] for x in of], np.int64), np.array([x["cut"] for x in of], np.int64), np.array(tau, np.int64)
+
+
+def _collect(q: np.ndarray, v: np.ndarray, own: tuple, least: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The entries that reach the cutoff: query, vector, and bounds on the score from both sides."""
+    parts = _parts(q, v)
+    seen = np.zeros(parts[0].shape, bool)
+    for n, p in enumerate(parts):
+        seen |= _reach(p, least[:, n] + cut)
+    seen[own] = False
+    i, j = np.nonzero(seen)
+    low, high = np.zeros(len(i), np.int64), np.zeros(len(i), np.int64)
+    for n, p in enumerate(parts):
+        part, floor = p[i, j].astype(np.int64), least[i, n]
+        reach = part - floor >= cut[i]
+        low += np.where(reach, part, floor)
+        high += np.where(reach, part, floor + np.maximum(cut[i] - 1, 0))
+    return i, j, low, high
+
+
+def _bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Phase 2: the K best lower bounds of the entries that reach the cutoff."""
+    blocks = {}
+    for r, qid, q, _, v, own in _pairs(batches):
+        qb = r["qb"].as_py()
+        if qb not in blocks:
+            blocks[qb] = qid.copy(), _known(r, qid), _Best(len(q))
+        _, (least, cut, _), best = blocks[qb]
+        i, _, low, _ = _collect(q, v, own, least, cut)
+        best.add(i, low, np.zeros(len(i), np.int64))
+    for qb, (ids, _, best) in blocks.items():
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r["dim"]], pa.int32()), pa.array([r["qb"]], pa.int64()), pa.array([r["ck"]], pa.int64()),
-             pa.array([np.concatenate(at).astype("<i4").tobytes()], pa.binary()),
-             pa.array([np.concatenate([high[i, a] for i, a in enumerate(at)]).astype("<i8").tobytes()], pa.binary()),
-             pa.array([[len(a) for a in at]], pa.list_(pa.int64())),
-             pa.array([qid.tolist()], pa.list_(pa.int64())),
-             pa.array([[low[i, a[t]].tolist() for i, (a, t) in enumerate(zip(at, tops))]], pa.list_(pa.list_(pa.int64())))],
-            names=["dim", "qb", "ck", "at", "high", "sizes", "queries", "lows"])
+            [pa.array([qb] * len(ids), pa.int64()), pa.array(ids), pa.array(best.scores(), pa.list_(pa.int64()))],
+            names=["qb", "query_id", "lows"])
 
 
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Phase 3: exact scores of the candidates that can still be among the K best of their query."""
-    for r in _rows(batches):
-        qid, q, vid, v, _ = _sides(r)
-        tau = {x["query_id"]: x["tau"] for x in r["taus"]}
-        ends = np.cumsum([0, *r["sizes"]])
-        at, high = np.frombuffer(r["at"], "<i4"), np.frombuffer(r["high"], "<i8")
-        out = []
-        for i, (lo, hi) in enumerate(zip(ends[:-1], ends[1:])):
-            left = at[lo:hi][high[lo:hi] >= tau.get(int(qid[i]), NONE)]
-            if len(left):
-                score = _product(q[i:i + 1], v[left])[0]
-                top = _highest(score, vid[left], K)
-                out.append((np.full(len(top), qid[i]), vid[left][top], score[top], np.full(len(top), len(left))))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out)],
-                                             names=["query_id", "vec_id", "score", "n_resolved"])
+    blocks = {}
+    for r, qid, q, vid, v, own in _pairs(batches):
+        qb = r["qb"].as_py()
+        if qb not in blocks:
+            blocks[qb] = qid.copy(), _known(r, qid), _Best(len(q)), np.zeros(len(q), np.int64)
+        _, (least, cut, tau), best, resolved = blocks[qb]
+        i, j, _, high = _collect(q, v, own, least, cut)
+        left = np.flatnonzero(high >= tau[i])
+        resolved += np.bincount(i[left], minlength=len(q))
+        for lo in range(0, len(left), SCORED):
+            a, b = i[left[lo:lo + SCORED]], j[left[lo:lo + SCORED]]
+            best.add(a, np.einsum("ij,ij->i", q[a].astype(np.int64), v[b].astype(np.int64)), vid[b])
+    for ids, _, best, resolved in blocks.values():
+        i, n = np.nonzero(best.score > NONE)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids[i], best.id[i, n], best.score[i, n], resolved[i])],
+                                         names=["query_id", "vec_id", "score", "n_resolved"])
 
 
 def search(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -227,27 +290,24 @@ def _narrow(rows: DataFrame, asked: DataFrame) -> DataFrame:
 
     def meet(queries: DataFrame) -> DataFrame:
         """Every query block with every chunk of its vector length, slot by slot."""
-        return held.join(queries.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))), ["dim", "slot"])
-
-    gathered = meet(blocks).select("dim", "qb_ids", "qb_rows", "ck_ids", "ck_rows").mapInArrow(
-        _gather, "dim int, query_id long, least array<long>, scores array<long>")
-    owner = blocks.select("qb", F.explode(_ids("qb_ids")).alias("query_id"))
-    cut = saved(cutoffs(saved(gathered, "topk-lists")).join(owner, "query_id"), "topk-cutoffs")
-    cuts = cut.groupBy("qb").agg(F.collect_list(F.struct("query_id", "least", "cut")).alias("cuts"))  # at most QUERIES rows a block
-    known = blocks.join(cuts, "qb")
-    bounded = saved(meet(known).select("dim", "qb", "qb_ids", "qb_rows", "ck", "ck_ids", "ck_rows", "cuts").mapInArrow(
-        _collect, "dim int, qb long, ck long, at binary, high binary, sizes array<long>, queries array<long>,"
-                  " lows array<array<long>>"), "topk-bounds")
-    lows = bounded.select("qb", F.explode(F.arrays_zip("queries", "lows")).alias("x")).select(
-        "qb", F.col("x.queries").alias("query_id"), F.explode("x.lows").alias("low"))
+        return held.join(_copies(queries, slots), ["dim", "slot"])
+
+    def told(facts: DataFrame) -> DataFrame:
+        """The query blocks with what is known of their queries (at most QUERIES rows a block)."""
+        cuts = facts.groupBy("qb").agg(F.collect_list(F.struct("query_id", "least", "cut", "tau")).alias("cuts"))
+        return blocks.join(cuts.hint("merge"), "qb")
+
+    gathered = meet(blocks).select("dim", "qb", "qb_ids", "qb_rows", "ck_ids", "ck_rows").mapInArrow(
+        _gather, "dim int, qb long, query_id long, least array<long>, scores array<long>")
+    cut = saved(cutoffs(saved(gathered, "topk-lists")), "topk-cutoffs")
+    both = ["dim", "qb", "qb_ids", "qb_rows", "ck_ids", "ck_rows", "cuts"]
+    bounded = saved(meet(told(cut.withColumn("tau", F.col("tau1")))).select(both).mapInArrow(
+        _bound, "qb long, query_id long, lows array<long>"), "topk-bounds")
+    lows = bounded.select("qb", "query_id", F.explode("lows").alias("low"))
     nth = lows.withColumn("n", F.row_number().over(Window.partitionBy("qb", "query_id").orderBy(F.desc("low")))).where(F.col("n") == K)
-    tau2 = cut.join(nth.select("query_id", "low"), "query_id", "left").select("qb", "query_id", F.greatest("low", "tau1").alias("tau"))
-    taus = tau2.where("tau is not null").groupBy("qb").agg(F.collect_list(F.struct("query_id", "tau")).alias("taus"))
-    last = (bounded.select("qb", "ck", "at", "high", "sizes").join(taus, "qb", "left")
-            .withColumn("taus", F.coalesce("taus", F.array().cast("array<struct<query_id:bigint,tau:bigint>>")))
-            .join(blocks, "qb").join(chunks.drop("dim"), "ck"))
-    found = last.select("dim", "qb_ids", "qb_rows", "ck_ids", "ck_rows", "at", "high", "sizes", "taus").mapInArrow(
-        _resolve, "query_id long, vec_id long, score long, n_resolved long")
+    tau2 = saved(cut.join(nth.select("qb", "query_id", "low").hint("merge"), ["qb", "query_id"], "left").withColumn(
+        "tau", F.greatest("low", "tau1")), "topk-taus")
+    found = meet(told(tau2)).select(both).mapInArrow(_resolve, "query_id long, vec_id long, score long, n_resolved long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= K).select("query_id", "rank", "vec_id", "score")
 
@@ -305,7 +365,7 @@ def _with_large(rows: DataFrame, large: DataFrame) -> DataFrame:
     def scored(queries: DataFrame, candidates: DataFrame) -> DataFrame:
         """Blocks meet slot by slot; candidates stay spread out."""
         held = _raw_blocks(candidates, "ck", WIDE_ROWS).withColumn("slot", F.pmod(F.xxhash64("ck"), F.lit(slots)).cast("int"))
-        asks = _raw_blocks(queries, "qb", WIDE_ROWS).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+        asks = _copies(_raw_blocks(queries, "qb", WIDE_ROWS), slots)
         return held.join(asks, ["dim", "slot"]).select("dim", "qb_ids", "qb_rows", "ck_ids", "ck_rows").mapInArrow(
             _exact, "query_id long, vec_id long, score long, key string")
 
@@ -319,8 +379,6 @@ def _with_large(rows: DataFrame, large: DataFrame) -> DataFrame:
     return found.withColumn("rank", rank).where(F.col("rank") <= K).select("query_id", "rank", "vec_id", "score")
 
 
-def _ids(column: str) -> Column:
-    """The 64-bit ids packed in a binary column."""
-    n = (F.length(column) / 8).cast("int")
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.conv(F.concat(*(
-        F.hex(F.substring(F.col(column), i * 8 + 8 - k, F.lit(1))) for k in range(8))), 16, -10).cast("long"))
+def _copies(queries: DataFrame, slots: int) -> DataFrame:
+    """The query blocks once for every slot; by its hint, a join with them shuffles (they are ``slots`` times what Spark takes them for)."""
+    return queries.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))).hint("merge")
