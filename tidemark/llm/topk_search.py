@@ -102,13 +102,24 @@ def _lists(dim: int) -> list[slice]:
     return [slice(a, b) for a, b in zip(edges[:-1], edges[1:])]
 
 
-def _parts(q: np.ndarray, v: np.ndarray) -> list[np.ndarray]:
-    """Exact entries of every list, queries by vectors (in floats where no sum can leave their whole numbers)."""
+def _parts(q: np.ndarray, v: np.ndarray, room: dict) -> list[np.ndarray]:
+    """Exact entries of every list, queries by vectors (in floats where no sum can leave their whole numbers).
+
+    They lie in ``room`` until the next call: fresh memory takes longer to get than the entries do."""
     norms = [math.sqrt(np.square(x, dtype=np.float64).sum(axis=1).max()) for x in (q, v)]
     most = 2 * norms[0] * norms[1]  # bounds every partial sum, with room for the rounding of the norms
     kind = np.float32 if most < 2 ** 24 else np.float64 if most < 2 ** 53 else np.int64
-    q, v = q.astype(kind), v.astype(kind)
-    return [q[:, dims] @ v[:, dims].T for dims in _lists(q.shape[1])]
+    q, v, out = q.astype(kind), v.astype(kind), []
+    for n, dims in enumerate(_lists(q.shape[1])):
+        if room.setdefault((n, kind), np.empty(0, kind)).size < len(q) * len(v):
+            room[n, kind] = np.empty(len(q) * len(v), kind)
+        out.append(np.matmul(q[:, dims], v[:, dims].T, out=room[n, kind][:len(q) * len(v)].reshape(len(q), len(v))))
+    return out
+
+
+def _true(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of what is marked."""
+    return np.divmod(np.flatnonzero(marks), marks.shape[1])
 
 
 def _reach(part: np.ndarray, level: np.ndarray) -> np.ndarray:
@@ -167,9 +178,9 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Phase 1: the least entry of every list, and the K best scores of the vectors of the chunks' K highest entries."""
-    most, blocks = np.iinfo(np.int64).max, {}
+    most, blocks, room = np.iinfo(np.int64).max, {}, {}
     for r, qid, q, _, v, own in _pairs(batches):
-        parts = _parts(q, v)
+        parts = _parts(q, v, room)
         _, _, least, best = blocks.setdefault(r["qb"].as_py(), (
             r["dim"].as_py(), qid.copy(), np.full((len(q), len(parts)), most), _Best(len(q))))
         heads = np.zeros(parts[0].shape, bool)
@@ -182,7 +193,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             p[own] = lo
             heads |= p >= np.partition(p, -K, axis=1)[:, -K, None] if len(v) > K else True
         heads[own] = False
-        i, j = np.nonzero(heads)
+        i, j = _true(heads)
         best.add(i, sum(p[i, j].astype(np.int64) for p in parts), np.zeros(len(i), np.int64))
     for qb, (dim, ids, least, best) in blocks.items():
         asks = np.flatnonzero(least[:, 0] < most)
@@ -214,14 +225,14 @@ def _known(r: dict, qid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return np.array([x["least"] for x in of], np.int64), np.array([x["cut"] for x in of], np.int64), np.array(tau, np.int64)
 
 
-def _collect(q: np.ndarray, v: np.ndarray, own: tuple, least: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, ...]:
+def _collect(q: np.ndarray, v: np.ndarray, own: tuple, least: np.ndarray, cut: np.ndarray, room: dict) -> tuple[np.ndarray, ...]:
     """The entries that reach the cutoff: query, vector, and bounds on the score from both sides."""
-    parts = _parts(q, v)
+    parts = _parts(q, v, room)
     seen = np.zeros(parts[0].shape, bool)
     for n, p in enumerate(parts):
         seen |= _reach(p, least[:, n] + cut)
     seen[own] = False
-    i, j = np.nonzero(seen)
+    i, j = _true(seen)
     low, high = np.zeros(len(i), np.int64), np.zeros(len(i), np.int64)
     for n, p in enumerate(parts):
         part, floor = p[i, j].astype(np.int64), least[i, n]
@@ -233,13 +244,13 @@ def _collect(q: np.ndarray, v: np.ndarray, own: tuple, least: np.ndarray, cut: n
 
 def _bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Phase 2: the K best lower bounds of the entries that reach the cutoff."""
-    blocks = {}
+    blocks, room = {}, {}
     for r, qid, q, _, v, own in _pairs(batches):
         qb = r["qb"].as_py()
         if qb not in blocks:
             blocks[qb] = qid.copy(), _known(r, qid), _Best(len(q))
         _, (least, cut, _), best = blocks[qb]
-        i, _, low, _ = _collect(q, v, own, least, cut)
+        i, _, low, _ = _collect(q, v, own, least, cut, room)
         best.add(i, low, np.zeros(len(i), np.int64))
     for qb, (ids, _, best) in blocks.items():
         yield pa.RecordBatch.from_arrays(
@@ -249,13 +260,13 @@ def _bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Phase 3: exact scores of the candidates that can still be among the K best of their query."""
-    blocks = {}
+    blocks, room = {}, {}
     for r, qid, q, vid, v, own in _pairs(batches):
         qb = r["qb"].as_py()
         if qb not in blocks:
             blocks[qb] = qid.copy(), _known(r, qid), _Best(len(q)), np.zeros(len(q), np.int64)
         _, (least, cut, tau), best, resolved = blocks[qb]
-        i, j, _, high = _collect(q, v, own, least, cut)
+        i, j, _, high = _collect(q, v, own, least, cut, room)
         left = np.flatnonzero(high >= tau[i])
         resolved += np.bincount(i[left], minlength=len(q))
         for lo in range(0, len(left), SCORED):
